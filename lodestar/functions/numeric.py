@@ -45,3 +45,9 @@ def safe_ratio(num, den) -> Column:
 
 def rounded(c, digits: int = 6) -> Column:
     return F.round(_c(c).cast("double"), digits)
+
+
+def significant(c, digits: int = 8) -> Column:
+    """Round to ``digits`` significant digits (via ``%.{digits-1}e``), for
+    values whose magnitude varies too much for a fixed decimal rounding."""
+    return F.format_string(f"%.{digits - 1}e", _c(c).cast("double")).cast("double")
