@@ -27,6 +27,7 @@ STOP_WORDS = [
 
 # Word pattern and document tag markers.
 WORD_PATTERN = "[a-zA-Z]+"
+NON_WORD_PATTERN = "[^a-zA-Z]+"
 ID_MARK = 'id="'
 URL_MARK = '" url='
 BODY_MARK = '">'
@@ -40,12 +41,14 @@ def _c(c) -> Column:
 def tokens(text) -> Column:
     """every maximal run of ASCII letters, lower-cased.
 
-    Equivalent to replacing non-letters by spaces, lower-casing and splitting
-    on whitespace; letters are extracted *before* lower-casing so that
-    non-ASCII capitals can never turn into ASCII letters.
+    Non-letters (including non-ASCII letters) become one space, the rest is
+    lower-cased and split; only ASCII letters are left when ``lower`` runs, so
+    no non-ASCII capital can turn into an ASCII letter.  All three functions
+    are code-generated (no per-element lambda).  A text without letters gives
+    ``['']``; consumers drop empty tokens.
     """
-    return F.transform(F.regexp_extract_all(_c(text), F.lit(WORD_PATTERN), 0),
-                       lambda w: F.lower(w))
+    cleaned = F.trim(F.lower(F.regexp_replace(_c(text), NON_WORD_PATTERN, " ")))
+    return F.split(cleaned, " ")
 
 
 def tag_id(line, skip: int = 0) -> Column:

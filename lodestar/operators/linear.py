@@ -91,18 +91,6 @@ def weight_vector(spark: SparkSession, w: np.ndarray) -> Column:
     return spark.createDataFrame(pd.DataFrame({"w": [flat]})).scalar()
 
 
-def _scored(design: SparseDesign, w: np.ndarray) -> DataFrame:
-    """Rows with per-class scores ``s0..`` = x . W[:, c]."""
-    classes = 1 if w.ndim == 1 else w.shape[1]
-    rows = design.rows.withColumn("W", weight_vector(design.rows.sparkSession, w))
-    def dot(c: int) -> Column:
-        prods = F.zip_with("pos", "x", lambda p, v: v * F.element_at(F.col("W"), p * classes + c + 1))
-        return F.aggregate(prods, F.lit(0.0), lambda a, b: a + b).alias(f"s{c}")
-
-    scores = [dot(c) for c in range(classes)]
-    return rows.select("doc_id", "y", "pos", "x", *scores)
-
-
 def _collect_keyed(df: DataFrame, size: int, classes: int) -> tuple[float, np.ndarray]:
     """Sum ``e`` = array<struct<k, v0..>> entries by key; return (loss, grad)."""
     agg = (df.select(F.explode("e").alias("e"))
@@ -119,37 +107,45 @@ def _collect_keyed(df: DataFrame, size: int, classes: int) -> tuple[float, np.nd
     return loss, grad
 
 
-def _entries(coefs: list[Column], loss: Column) -> Column:
-    """Per-position gradient entries ``x * coef_c`` plus one loss entry."""
-    classes = len(coefs)
-    grads = F.transform(F.arrays_zip("pos", "x"), lambda e: F.struct(
-        e["pos"].alias("k"), *[(e["x"] * coefs[c]).alias(f"v{c}") for c in range(classes)]))
-    lz = [loss.alias("v0")] + [F.lit(0.0).alias(f"v{c}") for c in range(1, classes)]
-    return F.concat(grads, F.array(F.struct(F.lit(LOSS_KEY).alias("k"), *lz)))
+def _step(design: SparseDesign, w: np.ndarray, coefs, loss) -> tuple[float, np.ndarray]:
+    """One pass: per document the class scores s_c = x . W[:, c] are folded
+    in a single ``aggregate`` whose finish step emits the gradient entries
+    ``(pos, x * coef_c(s))`` and one loss entry ``loss(s)``; the scores are
+    lambda variables there, so nothing is evaluated twice.  ``coefs`` and
+    ``loss`` map the list of score columns to columns."""
+    classes = 1 if w.ndim == 1 else w.shape[1]
+    rows = design.rows.withColumn("W", weight_vector(design.rows.sparkSession, w))
+    init = F.struct(*[F.lit(0.0).alias(f"s{c}") for c in range(classes)])
+
+    def add(acc, e):
+        return F.struct(*[(acc[f"s{c}"] + e["x"] * F.element_at(F.col("W"), e["pos"] * classes + c + 1)).alias(f"s{c}")
+                          for c in range(classes)])
 
+    def finish(acc):
+        s = [acc[f"s{c}"] for c in range(classes)]
+        cs = coefs(s)
+        grads = F.transform(F.arrays_zip("pos", "x"), lambda e: F.struct(
+            e["pos"].alias("k"), *[(e["x"] * cs[c]).alias(f"v{c}") for c in range(classes)]))
+        lz = [loss(s).alias("v0")] + [F.lit(0.0).alias(f"v{c}") for c in range(1, classes)]
+        return F.concat(grads, F.array(F.struct(F.lit(LOSS_KEY).alias("k"), *lz)))
 
-def _step(scored: DataFrame, coefs: dict[str, Column], loss: Column, size: int) -> tuple[float, np.ndarray]:
-    """Materialise the per-document coefficients first, then emit entries."""
-    per_doc = scored.select("pos", "x", *[c.alias(k) for k, c in coefs.items()], loss.alias("loss"))
-    e = _entries([F.col(k) for k in coefs], F.col("loss"))
-    return _collect_keyed(per_doc.select(e.alias("e")), size, len(coefs))
+    e = F.aggregate(F.arrays_zip("pos", "x"), init, add, finish)
+    return _collect_keyed(rows.select(e.alias("e")), design.size, classes)
 
 
 def logistic_step(design: SparseDesign, w: np.ndarray) -> tuple[float, np.ndarray]:
     """Cost sum(-y t + ln(1 + e^t)) and gradient sum x (sigma(t) - y)."""
-    s = _scored(design, w)
-    t, y = F.col("s0"), F.col("y")
-    loss, grad = _step(s, {"c0": sigmoid(t) - y}, -y * t + softplus(t), design.size)
+    y = F.col("y")
+    loss, grad = _step(design, w, lambda s: [sigmoid(s[0]) - y], lambda s: -y * s[0] + softplus(s[0]))
     return loss, grad[:, 0]
 
 
 def hinge_step(design: SparseDesign, w: np.ndarray, reg: float) -> tuple[float, np.ndarray]:
     """0.5 reg w.w + mean max(0, 1 - y' t); gradient reg w + mean(-y' x [y' t < 1]),
     labels y' = 2y - 1."""
-    s = _scored(design, w)
-    t, yp = F.col("s0"), 2 * F.col("y") - 1
-    coef = F.when(yp * t < 1, -yp).otherwise(F.lit(0.0))
-    loss, grad = _step(s, {"c0": coef}, hinge(1 - yp * t), design.size)
+    yp = 2 * F.col("y") - 1
+    loss, grad = _step(design, w, lambda s: [F.when(yp * s[0] < 1, -yp).otherwise(F.lit(0.0))],
+                       lambda s: hinge(1 - yp * s[0]))
     n = float(design.n_docs)
     return 0.5 * reg * float(w @ w) + loss / n, reg * w + grad[:, 0] / n
 
@@ -158,14 +154,18 @@ def two_class_step(design: SparseDesign, w: np.ndarray, reg: float) -> tuple[flo
     """One score per class; margin max(0, s_other - s_true + 1).  Returns
     (mean data loss, regulariser 0.5 reg |W|^2, gradient (V, 2)) where the
     gradient is mean(b x (+1 other, -1 true)) + reg W."""
-    s = _scored(design, w)
     y = F.col("y")
-    s_true = F.when(y == 1, F.col("s1")).otherwise(F.col("s0"))
-    s_other = F.when(y == 1, F.col("s0")).otherwise(F.col("s1"))
-    margin = hinge(s_other - s_true + 1)
-    b = F.when(margin > 0, F.lit(1.0)).otherwise(F.lit(0.0))
-    coefs = {"c0": F.when(y == 0, -b).otherwise(b), "c1": F.when(y == 1, -b).otherwise(b)}
-    loss, grad = _step(s, coefs, margin, design.size)
+
+    def margin(s):
+        s_true = F.when(y == 1, s[1]).otherwise(s[0])
+        s_other = F.when(y == 1, s[0]).otherwise(s[1])
+        return hinge(s_other - s_true + 1)
+
+    def coefs(s):
+        b = F.when(margin(s) > 0, F.lit(1.0)).otherwise(F.lit(0.0))
+        return [F.when(y == 0, -b).otherwise(b), F.when(y == 1, -b).otherwise(b)]
+
+    loss, grad = _step(design, w, coefs, margin)
     n = float(design.n_docs)
     return loss / n, 0.5 * reg * float(np.sum(w * w)), grad / n + reg * w
 

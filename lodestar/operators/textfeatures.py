@@ -21,8 +21,13 @@ def tokenize(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
 
 def all_words(tokenized: DataFrame, stop_words: list[str] | None = None) -> DataFrame:
-    """One row per token occurrence, optionally without stop words."""
-    words = tokenized.select("doc_id", F.explode("words").alias("word"))
+    """One row per token occurrence, optionally without stop words.
+
+    ``explode_outer`` + an explicit null filter: a plain ``explode`` makes
+    Catalyst infer ``isnotnull(words) AND size(words) > 0`` and push it below
+    the projection, which would tokenise every document twice."""
+    words = (tokenized.select("doc_id", F.explode_outer("words").alias("word"))
+             .filter(F.col("word").isNotNull() & (F.col("word") != "")))
     if stop_words:
         words = words.filter(~F.col("word").isin(stop_words))
     return words
