@@ -85,6 +85,42 @@ def log_posterior_scores(rows: DataFrame, log_pi: Column, log_mu: Column, classe
     return r.withColumn(name, out).drop("LPI", "LMU")
 
 
+def posterior_batches(rows: DataFrame, log_pi: np.ndarray, log_mu: np.ndarray, keep: list[str]) -> DataFrame:
+    """M24, vectorised: the same posterior as ``log_posterior_scores`` computed
+    with numpy on Arrow batches (``mapInPandas``); the (C,) and (C, V)
+    parameters are broadcast once.  Output: ``keep`` columns + ``post``."""
+    sc = rows.sparkSession.sparkContext
+    params = sc.broadcast((np.asarray(log_pi, float), np.ascontiguousarray(np.asarray(log_mu, float).T)))
+    schema = ", ".join([rows.schema[c].simpleString().replace(":", " ", 1) for c in keep] + ["post array<double>"])
+
+    def score(batches):
+        lpi, lmu_t = params.value
+        for pdf in batches:
+            if len(pdf) == 0:
+                continue
+            lens = pdf["pos"].map(len).to_numpy()
+            pos = np.concatenate(pdf["pos"].to_numpy()).astype(np.int64)
+            x = np.concatenate(pdf["x"].to_numpy()).astype(float)
+            ll = np.zeros((len(pdf), lmu_t.shape[1]))
+            np.add.at(ll, np.repeat(np.arange(len(pdf)), lens), x[:, None] * lmu_t[pos])
+            lp = lpi[None, :] + ll
+            lp -= lp.max(axis=1, keepdims=True)
+            p = np.exp(lp)
+            p /= p.sum(axis=1, keepdims=True)
+            out = pdf[keep].copy()
+            out["post"] = list(p)
+            yield out
+
+    return rows.select(*keep, "pos", "x").mapInPandas(score, schema)
+
+
+def collect_params(log_pi: DataFrame, log_mu: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The fitted parameters as arrays (C and C x V values: a bounded size)."""
+    pi = sorted((r["cls"], r["log_pi"]) for r in log_pi.collect())
+    mu = sorted((r["cls"], r["log_mu"]) for r in log_mu.collect())
+    return np.array([v for _, v in pi]), np.array([v for _, v in mu])
+
+
 def hash_uniform(seed: int, iteration: int, key: str) -> Column:
     """A uniform in [0, 1) from xxhash64(seed, iteration, key)."""
     h = F.xxhash64(F.lit(seed), F.lit(iteration), F.col(key))

@@ -82,6 +82,11 @@ def gd_trace(stats: GramStats, w0: float, lr: float, iters: int, scale_by_n: boo
     """
     w = np.full(len(stats.xty), float(w0))
     out, prev = [], None
+    with np.errstate(over="ignore", invalid="ignore"):   # a too-large rate diverges to inf/nan, as in SQL
+        return _gd_loop(stats, w, lr, iters, scale_by_n, step_rule, step_delta, out, prev)
+
+
+def _gd_loop(stats, w, lr, iters, scale_by_n, step_rule, step_delta, out, prev):
     for it in range(iters):
         loss = stats.yty - 2.0 * w @ stats.xty + w @ stats.xtx @ w
         grad = stats.xtx @ w - stats.xty

@@ -8,6 +8,7 @@ stream is never shuffled by word, so a hot word cannot skew a join.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -108,22 +109,38 @@ def position_lines(counts: DataFrame) -> DataFrame:
 
 class TextFeatures:
     """The full chain F1 -> A8 -> T3 -> J1 -> A11 -> M1 -> A12 -> M2 -> M3 for
-    one corpus, exposing each stage as a DataFrame."""
+    one corpus, exposing each stage as a DataFrame.
+
+    The two corpus passes (word counts for the dictionary, then the
+    in-dictionary term counts) feed many branches (query encoding, TF, DF,
+    IDF, TF-IDF); with ``persist=True`` the bounded dictionary and the
+    ``(doc_id, pos, n)`` counts are persisted (memory and disk, rebuilt from
+    lineage if an executor is lost) so each pass runs once.  Call
+    ``release()`` when done."""
 
     def __init__(self, docs: DataFrame, size: int, stop_words: list[str] | None = None,
-                 id_col: str = "doc_id", text_col: str = "text", n_docs: Column | None = None):
+                 id_col: str = "doc_id", text_col: str = "text", n_docs: Column | None = None,
+                 persist: bool = True):
         self.size = size
         self.stop_words = stop_words
         self.tokenized = tokenize(docs, id_col, text_col)
         self.vocab = vocabulary(self.tokenized, size, stop_words)
+        if persist:
+            self.vocab = self.vocab.persist(StorageLevel.MEMORY_AND_DISK)
         self.terms = doc_terms(self.tokenized, self.vocab, size, stop_words)
         self.counts = term_counts(self.terms)
+        if persist:
+            self.counts = self.counts.persist(StorageLevel.MEMORY_AND_DISK)
         self.tf = term_frequency(self.counts)
         self.df = document_frequency(self.counts)
         self.n_docs = n_docs if n_docs is not None else doc_count(docs)
         self.idf = inverse_document_frequency(self.df, self.n_docs)
         self.tfidf = tfidf(self.tf, self.idf, size)
 
+    def release(self) -> None:
+        self.counts.unpersist()
+        self.vocab.unpersist()
+
     def encode(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
         """Term frequencies of other documents under this fitted dictionary."""
         toks = tokenize(docs, id_col, text_col)

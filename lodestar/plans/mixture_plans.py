@@ -6,6 +6,7 @@ sampler is checked on rows."""
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from lodestar.functions import text as T
@@ -53,13 +54,13 @@ class _Corpus:
         rows = LN.doc_arrays(self.features.tf.select("doc_id", "pos", F.col("tf").alias("x")))
         rows = rows.withColumn("label", T.group_of("doc_id"))
         self.classes = MX.class_index(rows)
-        self.rows = rows.join(F.broadcast(self.classes), "label")
+        # scored and aggregated several times (parameters, posterior): persist once
+        self.rows = rows.join(F.broadcast(self.classes), "label").persist(StorageLevel.MEMORY_AND_DISK)
         self.log_pi, self.log_mu = MX.mle_params(self.rows, "cls", VOCAB, BETA)
 
     def posterior(self):
-        n_cls = self.classes.count()
-        lpi, lmu = MX.flat_params(self.log_pi, self.log_mu)
-        return MX.log_posterior_scores(self.rows, lpi, lmu, n_cls, VOCAB)
+        lpi, lmu = MX.collect_params(self.log_pi, self.log_mu)
+        return MX.posterior_batches(self.rows, lpi, lmu, ["doc_id", "label"])
 
 
 @register("mixture_posterior", sql=PARAMS_SQL + f"""

@@ -53,6 +53,17 @@ def trip_lines(lineitem: DataFrame) -> DataFrame:
     return lineitem.select(F.concat_ws(",", *[f.cast("string") for f in fields]).alias("value"))
 
 
+def materialise_text(df: DataFrame, name: str) -> str:
+    """Write a one-column string DataFrame as text files under the session's
+    checkpoint folder (shared storage on a cluster) and return the path."""
+    import uuid
+    from lodestar.session import ensure_checkpoint_dir
+    base = ensure_checkpoint_dir(df.sparkSession).rstrip("/")
+    path = f"{base}/lodestar-{name}-{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").text(path)
+    return path
+
+
 def hourly_trips(events: DataFrame) -> DataFrame:
     """Trips for the best-hour analysis: start = ts, end = ts + 37*(event_id%5)
     minutes, surcharge = value, distance = user_id % 7 + 1."""

@@ -1,0 +1,2 @@
+"""Intentionally empty: the reference workload has no stream sources,
+watermarks or stateful operators, so no streaming operators are provided."""
