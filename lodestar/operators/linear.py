@@ -86,9 +86,9 @@ def weight_table(spark: SparkSession, w: np.ndarray) -> DataFrame:
 
 def weight_vector(spark: SparkSession, w: np.ndarray) -> Column:
     """The flattened (V*C) weights as a scalar-subquery column."""
-    flat = np.asarray(w, dtype=float).reshape(-1)
-    # pandas input -> LocalRelation: the subquery needs no Spark job
-    return spark.createDataFrame(pd.DataFrame({"w": [flat]})).scalar()
+    flat = np.asarray(w, dtype=float).reshape(-1).tolist()
+    # local rows -> LocalRelation: the subquery needs no Spark job
+    return spark.createDataFrame(pd.DataFrame({"w": [flat]}), "w array<double>").scalar()
 
 
 def _collect_keyed(df: DataFrame, size: int, classes: int) -> tuple[float, np.ndarray]:

@@ -45,8 +45,8 @@ def flat_params(log_pi: DataFrame, log_mu: DataFrame) -> tuple[Column, Column]:
 
 def driver_params(spark: SparkSession, pi: np.ndarray, mu: np.ndarray) -> tuple[Column, Column]:
     """Scalar-subquery columns from driver-held parameters (LocalRelation)."""
-    pdf = pd.DataFrame({"a": [np.log(pi).astype(float)], "b": [np.log(mu).reshape(-1).astype(float)]})
-    df = spark.createDataFrame(pdf)
+    pdf = pd.DataFrame({"a": [np.log(pi).astype(float).tolist()], "b": [np.log(mu).reshape(-1).astype(float).tolist()]})
+    df = spark.createDataFrame(pdf, "a array<double>, b array<double>")
     return df.select("a").scalar(), df.select("b").scalar()
 
 
