@@ -183,3 +183,11 @@ def _ml_evaluate(spark, sf, fit):
     scored = ML.scored(fit(train).transform(test))
     f1 = MT.f1_from_confusion(MT.confusion(scored))
     return f1.withColumn("auc", MT.auc(scored).select("auc").scalar())
+
+
+@register("label_balance", sql="""
+SELECT CAST(sum(quality) AS BIGINT) AS positives, count(*) AS rows FROM labels
+""")
+def label_balance(spark, sf):
+    """Number of positive labels and of labelled documents."""
+    return ST.positive_count(_labels(spark, sf).withColumnRenamed("y", "label"))

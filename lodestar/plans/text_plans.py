@@ -197,3 +197,16 @@ def top_tf_of_longest_doc(spark, sf):
                                     F.array_repeat(F.lit(0.0), 100)), 1, 100).alias("v"))
     return vals.select(F.posexplode("v").alias("i", "x")).select(
         (F.col("i") + 1).cast("int").alias("rank"), F.round(F.col("x") * float(VOCAB), DIGITS).alias("scaled_tf"))
+
+
+@register("dictionary_point_lookup", sql=f"""
+WITH {words_cte('documents')}, {vocab_cte(VOCAB)},
+q AS (SELECT DISTINCT lower(unnest(regexp_extract_all(t, '[a-zA-Z]+'))) AS word FROM ({FIRST_QUERY_SQL}) AS s(t))
+SELECT word, pos FROM vocab WHERE word IN (SELECT word FROM q)
+""")
+def dictionary_point_lookup(spark, sf):
+    """Dictionary positions of the words of the first benchmark text
+    (one semi-join against the distinct query words instead of one filter per word)."""
+    vocab = TF.vocabulary(TF.tokenize(_docs(spark, sf)), VOCAB)
+    words = TF.all_words(TF.tokenize(_first_query(spark, sf))).select("word").distinct()
+    return vocab.join(F.broadcast(words), "word", "left_semi")
