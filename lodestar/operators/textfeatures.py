@@ -113,14 +113,15 @@ class TextFeatures:
 
     The two corpus passes (word counts for the dictionary, then the
     in-dictionary term counts) feed many branches (query encoding, TF, DF,
-    IDF, TF-IDF); with ``persist=True`` the bounded dictionary and the
-    ``(doc_id, pos, n)`` counts are persisted (memory and disk, rebuilt from
-    lineage if an executor is lost) so each pass runs once.  Call
-    ``release()`` when done."""
+    IDF, TF-IDF).  Within one query AQE reuses the identical exchanges; when
+    the stages feed *several jobs* (training then evaluation, parameters then
+    scoring) pass ``persist=True``: the bounded dictionary and the
+    ``(doc_id, pos, n)`` counts are then persisted (memory and disk, rebuilt
+    from lineage if an executor is lost).  Call ``release()`` when done."""
 
     def __init__(self, docs: DataFrame, size: int, stop_words: list[str] | None = None,
                  id_col: str = "doc_id", text_col: str = "text", n_docs: Column | None = None,
-                 persist: bool = True):
+                 persist: bool = False):
         self.size = size
         self.stop_words = stop_words
         self.tokenized = tokenize(docs, id_col, text_col)

@@ -51,7 +51,7 @@ class _Split:
         self.labels = _labels(spark, sf)
         train_docs = docs.filter(~is_test())
         test_docs = docs.filter(is_test())
-        f = TF.TextFeatures(train_docs, VOCAB)
+        f = TF.TextFeatures(train_docs, VOCAB, persist=True)   # design job + test job
         self.features = f
         self.train_tokens = f.tokenized
         self.test_tokens = TF.tokenize(test_docs)

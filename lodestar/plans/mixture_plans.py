@@ -50,7 +50,7 @@ class _Corpus:
     def __init__(self, spark, sf):
         docs = table(spark, sf, "documents", "doc_id", "text", "source")
         keyed = docs.select(F.concat("source", F.lit("/"), F.col("doc_id").cast("string")).alias("doc_id"), "text")
-        self.features = TF.TextFeatures(keyed, VOCAB)
+        self.features = TF.TextFeatures(keyed, VOCAB, persist=True)   # parameter jobs + scoring job
         rows = LN.doc_arrays(self.features.tf.select("doc_id", "pos", F.col("tf").alias("x")))
         rows = rows.withColumn("label", T.group_of("doc_id"))
         self.classes = MX.class_index(rows)

@@ -14,7 +14,7 @@ def text_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
 
-def delimited(spark: SparkSession, path: str, schema: StructType | None = None,
+def delimited(spark: SparkSession, path: str, schema: StructType | str | None = None,
               header: bool = False, sep: str = ",", infer: bool = False) -> DataFrame:
     """CSV with an explicit schema (preferred), a header, or inference."""
     reader = spark.read.option("header", header).option("sep", sep).option("mode", "PERMISSIVE")

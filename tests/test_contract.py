@@ -75,3 +75,19 @@ def test_sinks_round_trip(spark):
     assert len(sinks.bounded_collect(df.orderBy("k"), 2)) == 2
     sinks.write_text(df.select(F.concat_ws("|", "k", "v")), os.path.join(out, "txt"))
     assert spark.read.text(os.path.join(out, "txt")).count() == 3
+
+
+def test_bz2_delimited_and_text_sources(spark):
+    from lodestar.sources import readers
+    out = tempfile.mkdtemp(prefix="lodestar-src-")
+    df = spark.createDataFrame([("a", 1.5), ("b", 2.0)], "k string, v double")
+    df.write.option("compression", "bzip2").csv(os.path.join(out, "csv"))
+    assert any(f.endswith(".bz2") for f in os.listdir(os.path.join(out, "csv")))
+    typed = readers.delimited(spark, os.path.join(out, "csv"), schema="k string, v double")
+    assert sorted(typed.collect()) == sorted(df.collect())
+    inferred = readers.delimited(spark, os.path.join(out, "csv"), infer=True)
+    assert dict(inferred.dtypes)["_c1"] == "double"
+    lines = readers.text_lines(spark, os.path.join(out, "csv"))
+    assert sorted(r.value for r in lines.collect()) == ["a,1.5", "b,2.0"]
+    df.write.option("header", True).csv(os.path.join(out, "hdr"))
+    assert readers.delimited(spark, os.path.join(out, "hdr"), header=True).columns == ["k", "v"]
