@@ -43,7 +43,7 @@ def _multi(spark, sf):
 
 
 @register("ols_closed_form", sql=f"""
-SELECT regr_count(l_extendedprice, l_quantity) AS n,
+SELECT CAST(regr_count(l_extendedprice, l_quantity) AS BIGINT) AS n,
        {sig('regr_slope(l_extendedprice, l_quantity)')} AS slope,
        {sig('regr_intercept(l_extendedprice, l_quantity)')} AS intercept,
        {sig('regr_r2(l_extendedprice, l_quantity)')} AS r2
@@ -51,7 +51,7 @@ FROM lineitem WHERE l_quantity <> 0 AND l_extendedprice <> 0
 """)
 def ols_closed_form(spark, sf):
     fit = ST.ols_fit(_simple(spark, sf), "l_quantity", "l_extendedprice")
-    return fit.select("n", *[significant(c, SIG).alias(c) for c in ("slope", "intercept", "r2")])
+    return fit.select(F.col("n").cast("bigint").alias("n"), *[significant(c, SIG).alias(c) for c in ("slope", "intercept", "r2")])
 
 
 def _trace(spark, rows, names):

@@ -154,7 +154,7 @@ SELECT CAST(doc_id AS VARCHAR) AS doc_id, length(text) AS text_len, md5(text) AS
 def tagged_document_parse(spark, sf):
     lines = tagged_lines(table(spark, sf, "documents", "doc_id", "text", "source"))
     parsed = readers.parse_tagged(lines)
-    return parsed.select("doc_id", F.length("text").alias("text_len"), F.md5("text").alias("text_md5"))
+    return parsed.select("doc_id", F.length("text").cast("bigint").alias("text_len"), F.md5("text").alias("text_md5"))
 
 
 @register("grouped_id_counts", sql="""
