@@ -12,7 +12,6 @@ from lodestar.operators import metrics as MT
 from lodestar.operators import mlmodels as ML
 from lodestar.operators import tabular as TB
 from lodestar.plans.registry import register
-from lodestar.plans.sqlparts import sig
 from lodestar.sources.tables import table
 
 THRESHOLD = 950.0
