@@ -24,3 +24,15 @@ def top_k(df: DataFrame, k: int, *order) -> DataFrame:
     """Global top-k with a total order (TakeOrderedAndProject: each task keeps
     k rows, the merge sees at most k rows per task)."""
     return df.orderBy(*order).limit(k)
+
+
+def checked_broadcast(df: DataFrame, max_rows: int, row_bytes: int = 64,
+                      limit_bytes: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
+    """Broadcast ``df`` only after counting it: for small sides whose size is
+    not fixed by a parameter (category indexes, class centroids).  One cheap
+    counting job; above ``max_rows`` or the byte limit the plain shuffle join
+    is used."""
+    n = df.count()
+    if n <= max_rows and n * row_bytes <= limit_bytes:
+        return F.broadcast(df)
+    return df

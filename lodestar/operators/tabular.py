@@ -14,7 +14,7 @@ from pyspark.ml.feature import CountVectorizerModel, StringIndexer, VectorAssemb
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodestar.operators.common import bounded_broadcast
+from lodestar.operators.common import checked_broadcast
 
 MAX_CATEGORIES = 1_000_000  # bound for broadcasting an index of distinct values
 
@@ -45,7 +45,7 @@ def frequency_index(df: DataFrame, col: str) -> DataFrame:
 def apply_index(df: DataFrame, col: str, index: DataFrame, out: str) -> DataFrame:
     """Replace categories by their index; unseen values get ``size`` (keep bucket)."""
     size = index.select(F.count(F.lit(1))).scalar()
-    idx = bounded_broadcast(index.withColumnRenamed("value", col), MAX_CATEGORIES)
+    idx = checked_broadcast(index.withColumnRenamed("value", col), MAX_CATEGORIES)
     return df.join(idx, col, "left").withColumn(out, F.coalesce(F.col("idx"), size.cast("int"))).drop("idx")
 
 
@@ -59,7 +59,7 @@ def multi_hot_positions(df: DataFrame, key: str, arr_col: str, vocab: DataFrame)
     """(key, positions) -- the sorted vocabulary positions present in the
     row's category set (the sparse form of the multi-hot vector)."""
     exploded = df.select(key, F.explode(F.array_distinct(arr_col)).alias("category"))
-    hot = exploded.join(bounded_broadcast(vocab, MAX_CATEGORIES), "category")
+    hot = exploded.join(checked_broadcast(vocab, MAX_CATEGORIES), "category")
     return hot.groupBy(key).agg(F.array_sort(F.collect_list("idx")).alias("positions"))
 
 

@@ -41,9 +41,13 @@ def _centroid_predictions(spark, sf):
     emb = table(spark, sf, "embeddings", "vec_id", "embedding", "label")
     elems = emb.select("vec_id", "label", F.posexplode("embedding").alias("i", "x")) \
         .withColumn("x", F.col("x").cast("double"))
+    # size proof for the broadcast centroid table: counted classes x bounded dimension
+    n_cls = emb.select("label").distinct().count()
+    n_cls = n_cls if n_cls <= MAX_CLASSES else None
     cent = elems.groupBy(F.col("label").alias("cls"), "i").agg(F.avg("x").alias("mu"))
     half = cent.groupBy("cls").agg((0.5 * F.sum(F.col("mu") * F.col("mu"))).alias("half"))
-    cent_b = bounded_broadcast(cent.join(F.broadcast(half), "cls"), MAX_CLASSES * MAX_DIM)
+    cent_b = bounded_broadcast(cent.join(bounded_broadcast(half, n_cls), "cls"),
+                               n_cls * MAX_DIM if n_cls else None)
     scores = (elems.join(cent_b, "i")
               .groupBy("vec_id", "label", "cls", "half")
               .agg((F.sum(F.col("x") * F.col("mu")) - F.col("half")).alias("score")))

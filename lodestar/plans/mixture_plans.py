@@ -14,6 +14,7 @@ from lodestar.functions.numeric import significant
 from lodestar.operators import linear as LN
 from lodestar.operators import mixture as MX
 from lodestar.operators import textfeatures as TF
+from lodestar.operators.common import checked_broadcast
 from lodestar.plans.registry import register
 from lodestar.plans.sqlparts import features_ctes, sig
 from lodestar.sources.tables import table
@@ -25,6 +26,7 @@ TOP_WORDS = 50
 TOP_LABELS = 3
 GIBBS_CLASSES = 20
 GIBBS_ITERATIONS = 200
+MAX_CLASSES = 100_000   # broadcast bound for the class table (checked by counting)
 
 GDOCS = "(SELECT source || '/' || CAST(doc_id AS VARCHAR) AS doc_id, text FROM documents) AS gdocs"
 
@@ -55,7 +57,8 @@ class _Corpus:
         rows = rows.withColumn("label", T.group_of("doc_id"))
         self.classes = MX.class_index(rows)
         # scored and aggregated several times (parameters, posterior): persist once
-        self.rows = rows.join(F.broadcast(self.classes), "label").persist(StorageLevel.MEMORY_AND_DISK)
+        self.rows = rows.join(checked_broadcast(self.classes, MAX_CLASSES), "label") \
+            .persist(StorageLevel.MEMORY_AND_DISK)
         self.log_pi, self.log_mu = MX.mle_params(self.rows, "cls", VOCAB, BETA)
 
     def posterior(self):
