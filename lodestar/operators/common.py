@@ -36,3 +36,25 @@ def checked_broadcast(df: DataFrame, max_rows: int, row_bytes: int = 64,
     if n <= max_rows and n * row_bytes <= limit_bytes:
         return F.broadcast(df)
     return df
+
+
+def global_rank(df: DataFrame, order: list, name: str = "rank", partitions: int | None = None) -> DataFrame:
+    """0-based position of every row in the total order ``order`` without a
+    single-partition window: rows are range-partitioned on the order keys,
+    numbered inside their partition, and shifted by the row count of all
+    earlier partitions (a prefix sum over at most ``partitions`` rows).  Both
+    uses of the range exchange are the same subtree, so Spark reuses one
+    materialised shuffle and the partition ids agree.  ``order`` must be a
+    total order (no ties)."""
+    from pyspark.sql import Window
+    spark = df.sparkSession
+    n = partitions or max(spark.sparkContext.defaultParallelism,
+                          int(spark.conf.get("spark.sql.shuffle.partitions")))
+    ranged = df.repartitionByRange(n, *order).withColumn("_pid", F.spark_partition_id())
+    sizes = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    local = F.row_number().over(Window.partitionBy("_pid").orderBy(*order))
+    return (ranged.withColumn("_local", local)
+            .join(bounded_broadcast(offsets, n), "_pid")
+            .select(*df.columns, (F.col("_off") + F.col("_local") - 1).cast("int").alias(name)))

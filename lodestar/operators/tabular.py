@@ -1,8 +1,8 @@
 """Tabular classification operators.
 
 Category handling stays in DataFrames: frequency indexing and the category
-vocabulary are rankings over *distinct* values (bounded by the number of
-categories, not by rows) applied back with broadcast joins; the multi-hot
+vocabulary are distributed rankings over *distinct* values (``global_rank``:
+no single-partition window) applied back with size-checked broadcast joins; the multi-hot
 encoding is kept sparse (sorted positions).  Model fitting uses pyspark.ml.
 """
 
@@ -11,10 +11,10 @@ from __future__ import annotations
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import LinearSVC, LogisticRegression
 from pyspark.ml.feature import CountVectorizerModel, StringIndexer, VectorAssembler
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodestar.operators.common import checked_broadcast
+from lodestar.operators.common import checked_broadcast, global_rank
 
 MAX_CATEGORIES = 1_000_000  # bound for broadcasting an index of distinct values
 
@@ -38,8 +38,7 @@ def threshold_label(c, threshold: float) -> Column:
 def frequency_index(df: DataFrame, col: str) -> DataFrame:
     """(value, idx) with idx = rank by (frequency desc, value asc) - 1."""
     counts = df.groupBy(F.col(col).alias("value")).agg(F.count(F.lit(1)).alias("n")).filter("value IS NOT NULL")
-    w = Window.orderBy(F.desc("n"), "value")
-    return counts.select("value", (F.row_number().over(w) - 1).cast("int").alias("idx"))
+    return global_rank(counts, [F.desc("n"), F.asc("value")], "idx").select("value", "idx")
 
 
 def apply_index(df: DataFrame, col: str, index: DataFrame, out: str) -> DataFrame:
@@ -52,7 +51,7 @@ def apply_index(df: DataFrame, col: str, index: DataFrame, out: str) -> DataFram
 def category_vocabulary(df: DataFrame, arr_col: str) -> DataFrame:
     """The union of all category sets, sorted, numbered from 0."""
     cats = df.select(F.explode(arr_col).alias("category")).distinct()
-    return cats.select("category", (F.row_number().over(Window.orderBy("category")) - 1).cast("int").alias("idx"))
+    return global_rank(cats, [F.asc("category")], "idx")
 
 
 def multi_hot_positions(df: DataFrame, key: str, arr_col: str, vocab: DataFrame) -> DataFrame:

@@ -88,3 +88,13 @@ def test_per_class_metrics_and_argmax(spark):
                                    "k string, cls int, score double")
     got = {r.k: r.prediction for r in MT.argmax_class(scores, "k").collect()}
     assert got == {"a": 0, "b": 2}
+
+
+def test_global_rank_matches_sorted_order(spark):
+    from lodestar.operators.common import global_rank
+    rng = np.random.default_rng(5)
+    vals = [(f"w{i:04d}", int(rng.integers(0, 20))) for i in rng.permutation(500)]
+    df = spark.createDataFrame(vals, "value string, n int")
+    got = {r.value: r.idx for r in global_rank(df, [F.desc("n"), F.asc("value")], "idx", partitions=7).collect()}
+    expected = sorted(vals, key=lambda t: (-t[1], t[0]))
+    assert got == {v: i for i, (v, _) in enumerate(expected)}
