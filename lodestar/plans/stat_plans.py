@@ -105,7 +105,7 @@ SELECT CAST(row_number() OVER (ORDER BY {sig('variance', 10)} DESC, pos) AS INTE
 def tf_variance_ranking(spark, sf):
     """Mean and population variance of every TF column over
     the featurised documents; the 100 largest variances with ln(variance)."""
-    f = TF.TextFeatures(table(spark, sf, "documents", "doc_id", "text"), VOCAB)
+    f = TF.TextFeatures(table(spark, sf, "documents", "doc_id", "text"), VOCAB, persist=True)  # subquery + main job
     n = f.tf.select(F.count_distinct("doc_id")).scalar()
     top = ST.top_variance(ST.column_moments(f.tf, n, VOCAB), TOP_M)
     return top.select("rank", "pos", *[significant(c, SIG).alias(c) for c in ("mean", "variance", "log_variance")])
@@ -117,7 +117,7 @@ FROM tf WHERE pos IN (SELECT pos FROM top) GROUP BY doc_id
 """)
 def variance_selected_features(spark, sf):
     """Keep the 100 highest-variance positions of every document."""
-    f = TF.TextFeatures(table(spark, sf, "documents", "doc_id", "text"), VOCAB)
+    f = TF.TextFeatures(table(spark, sf, "documents", "doc_id", "text"), VOCAB, persist=True)  # subquery + main job
     n = f.tf.select(F.count_distinct("doc_id")).scalar()
     top = ST.top_variance(ST.column_moments(f.tf, n, VOCAB), TOP_M)
     kept = ST.select_positions(f.tf, top, TOP_M)
