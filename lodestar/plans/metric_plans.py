@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from lodestar.functions.numeric import significant
 from lodestar.operators import metrics as MT
-from lodestar.operators.common import bounded_broadcast
 from lodestar.plans.registry import register
 from lodestar.plans.sqlparts import sig
 from lodestar.sources.tables import table
@@ -39,20 +38,7 @@ pf AS (SELECT *, CASE WHEN precision + recall = 0 THEN 0.0 ELSE 2 * precision *
 def _centroid_predictions(spark, sf):
     """Nearest class centroid by Euclidean distance: argmax x.mu_c - |mu_c|^2/2."""
     emb = table(spark, sf, "embeddings", "vec_id", "embedding", "label")
-    elems = emb.select("vec_id", "label", F.posexplode("embedding").alias("i", "x")) \
-        .withColumn("x", F.col("x").cast("double"))
-    # size proof for the broadcast centroid table: counted classes x bounded dimension
-    n_cls = emb.select("label").distinct().count()
-    n_cls = n_cls if n_cls <= MAX_CLASSES else None
-    cent = elems.groupBy(F.col("label").alias("cls"), "i").agg(F.avg("x").alias("mu"))
-    half = cent.groupBy("cls").agg((0.5 * F.sum(F.col("mu") * F.col("mu"))).alias("half"))
-    cent_b = bounded_broadcast(cent.join(bounded_broadcast(half, n_cls), "cls"),
-                               n_cls * MAX_DIM if n_cls else None)
-    scores = (elems.join(cent_b, "i")
-              .groupBy("vec_id", "label", "cls", "half")
-              .agg((F.sum(F.col("x") * F.col("mu")) - F.col("half")).alias("score")))
-    pred = MT.argmax_class(scores.select(F.struct("vec_id", "label").alias("k"), "cls", "score"), "k")
-    return pred.select("k.vec_id", "k.label", "prediction")
+    return MT.nearest_centroid(emb, "embedding", "label", ["vec_id", "label"], MAX_CLASSES, MAX_DIM)
 
 
 @register("centroid_class_metrics", sql=PER_CLASS_SQL + f"""
