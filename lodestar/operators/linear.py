@@ -115,21 +115,27 @@ def _step(design: SparseDesign, w: np.ndarray, coefs, loss) -> tuple[float, np.n
     ``loss`` map the list of score columns to columns."""
     classes = 1 if w.ndim == 1 else w.shape[1]
     rows = design.rows.withColumn("W", weight_vector(design.rows.sparkSession, w))
-    init = F.struct(*[F.lit(0.0).alias(f"s{c}") for c in range(classes)])
 
-    def add(acc, e):
-        return F.struct(*[(acc[f"s{c}"] + e["x"] * F.element_at(F.col("W"), e["pos"] * classes + c + 1)).alias(f"s{c}")
-                          for c in range(classes)])
-
-    def finish(acc):
-        s = [acc[f"s{c}"] for c in range(classes)]
+    def entries(s):
         cs = coefs(s)
-        grads = F.transform(F.arrays_zip("pos", "x"), lambda e: F.struct(
-            e["pos"].alias("k"), *[(e["x"] * cs[c]).alias(f"v{c}") for c in range(classes)]))
+        grads = F.zip_with("pos", "x", lambda p, v: F.struct(
+            p.alias("k"), *[(v * cs[c]).alias(f"v{c}") for c in range(classes)]))
         lz = [loss(s).alias("v0")] + [F.lit(0.0).alias(f"v{c}") for c in range(1, classes)]
         return F.concat(grads, F.array(F.struct(F.lit(LOSS_KEY).alias("k"), *lz)))
 
-    e = F.aggregate(F.arrays_zip("pos", "x"), init, add, finish)
+    if classes == 1:
+        # plain double accumulator over the element products: no per-element struct
+        prods = F.zip_with("pos", "x", lambda p, v: v * F.element_at(F.col("W"), p + 1))
+        e = F.aggregate(prods, F.lit(0.0), lambda a, b: a + b, lambda t: entries([t]))
+    else:
+        init = F.struct(*[F.lit(0.0).alias(f"s{c}") for c in range(classes)])
+
+        def add(acc, e):
+            return F.struct(*[(acc[f"s{c}"] + e["x"] * F.element_at(F.col("W"), e["pos"] * classes + c + 1))
+                              .alias(f"s{c}") for c in range(classes)])
+
+        e = F.aggregate(F.arrays_zip("pos", "x"), init, add,
+                        lambda acc: entries([acc[f"s{c}"] for c in range(classes)]))
     return _collect_keyed(rows.select(e.alias("e")), design.size, classes)
 
 
