@@ -80,7 +80,10 @@ def auc(df: DataFrame, score: str = "score", label: str = "label", buckets: int
     before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select("bucket", F.coalesce(F.sum("bneg").over(before), F.lit(0.0)).alias("off"))
     inside = Window.partitionBy("bucket").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
-    below = (keyed.join(bounded_broadcast(offsets, buckets + 1), "bucket")
+    # left join: every bucket has an offset row, and an inner join would make
+    # Catalyst infer isnotnull(bucket) and push the bucket expression down to
+    # the scan (evaluated per input row instead of per distinct score)
+    below = (keyed.join(bounded_broadcast(offsets, buckets + 1), "bucket", "left")
              .select("pos", "neg", (F.col("off") + F.coalesce(F.sum("neg").over(inside), F.lit(0.0))).alias("nb")))
     return below.agg(
         (F.sum(F.col("pos") * (F.col("nb") + 0.5 * F.col("neg"))) / (F.sum("pos") * F.sum("neg"))).alias("auc"),
