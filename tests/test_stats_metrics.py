@@ -98,3 +98,33 @@ def test_global_rank_matches_sorted_order(spark):
     got = {r.value: r.idx for r in global_rank(df, [F.desc("n"), F.asc("value")], "idx", partitions=7).collect()}
     expected = sorted(vals, key=lambda t: (-t[1], t[0]))
     assert got == {v: i for i, (v, _) in enumerate(expected)}
+
+
+def test_checked_broadcast_falls_back_when_too_large(spark):
+    from lodestar.operators.common import checked_broadcast
+    small = spark.range(5)
+    assert "broadcast" in str(checked_broadcast(small, 10)._jdf.queryExecution().logical()).lower()
+    assert checked_broadcast(small, 4) is small
+
+
+def test_hash_split_is_stable_under_repartitioning(spark):
+    from lodestar.operators.tabular import hash_split
+    df = spark.range(2000).withColumnRenamed("id", "k")
+    _, test_a = hash_split(df.repartition(1), "k", 7)
+    _, test_b = hash_split(df.repartition(13), "k", 7)
+    a = {r.k for r in test_a.collect()}
+    assert a == {r.k for r in test_b.collect()}
+    assert 100 < len(a) < 300
+
+
+def test_nearest_centroid_matches_numpy(spark):
+    rng = np.random.default_rng(6)
+    labels = rng.integers(0, 3, 90)
+    x = (rng.normal(size=(90, 4)) + labels[:, None] * 2.0).astype(np.float32)
+    df = spark.createDataFrame([(i, x[i].tolist(), int(labels[i])) for i in range(90)],
+                               "vec_id long, embedding array<float>, label int")
+    got = {r.vec_id: r.prediction for r in MT.nearest_centroid(df, "embedding", "label", ["vec_id"]).collect()}
+    xd = x.astype(float)
+    mu = np.vstack([xd[labels == c].mean(axis=0) for c in range(3)])
+    ref = np.argmax(xd @ mu.T - 0.5 * (mu * mu).sum(axis=1), axis=1)
+    assert got == {i: int(ref[i]) for i in range(90)}
