@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from lodestar.operators.common import bounded_broadcast
 from lodestar.operators.textfeatures import TextFeatures
 
+TIE_DIGITS = 9
+
 
 def query_vector(features: TextFeatures, query: DataFrame,
                  id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -44,12 +46,15 @@ def similarity_topk(features: TextFeatures, query: DataFrame, k: int,
     ranking would.  Every intermediate set is bounded by 2k rows."""
     qvec = query_vector(features, query, id_col, text_col)
     scores = dot_scores(features, qvec, normalize)
-    positive = scores.filter(F.col("score") > 0).orderBy(F.desc("score"), F.asc("doc_id")).limit(k)
+    # scores equal to TIE_DIGITS decimals are ties (copies of a document can
+    # differ in the last bits by summation order); ties -> smaller doc_id
+    key = F.round("score", TIE_DIGITS)
+    positive = scores.filter(F.col("score") > 0).orderBy(key.desc(), F.asc("doc_id")).limit(k)
     # features.tf is hash-partitioned by doc_id, so this distinct needs no shuffle.
     first_ids = features.tf.select("doc_id").distinct().orderBy("doc_id").limit(2 * k)
     zeros = (first_ids.join(F.broadcast(positive.select("doc_id")), "doc_id", "left_anti")
              .select("doc_id", F.lit(0.0).alias("score")))
-    return positive.unionByName(zeros).orderBy(F.desc("score"), F.asc("doc_id")).limit(k)
+    return positive.unionByName(zeros).orderBy(key.desc(), F.asc("doc_id")).limit(k)
 
 
 def neighbour_vote(neighbours: DataFrame, labels: DataFrame, label_col: str) -> DataFrame:
