@@ -126,7 +126,7 @@ BYTE_TO_CHAR = {b: b for b in _PRINT} | {b: 256 + i for i, b in enumerate(_REST)
 PRE_TOKENS = regex.compile(
     r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""")
 # Below this code point the library's Unicode tables and Python's agree.
-PLAIN = regex.compile(r"[\u0000-ͯ]*")
+PLAIN = regex.compile(r"[\u0000-\u036f]*")
 
 
 def byte_chars(text: str) -> str:

@@ -33,3 +33,13 @@ def op2_token_bitpack(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lodestar.llm import bitpack
     files = bitpack.write_packed(table(spark, sf_dir, "documents", "doc_id", "text"))
     return bitpack.read_packed(files).withColumnRenamed("key", "doc_id")
+
+
+@query("op3_prefix_bpe")
+def op3_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lodestar.llm import prefixbpe
+    coded = prefixbpe.encode_decode(table(spark, sf_dir, "documents", "doc_id", "text"))
+    return coded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))
