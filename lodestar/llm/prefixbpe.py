@@ -43,9 +43,10 @@ ODD_SPACE = re.compile("[\x1c-\x1f]")
 
 class PrefixBPE(dict):
     """Exact encoder of a BPE tokenizer file with word ends; remembers the ids
-    (little-endian u32 bytes) of at most ``limit`` white-space-separated pieces."""
+    (little-endian u32 bytes) of at most ``limit`` white-space-separated pieces and
+    as many words."""
 
-    def __init__(self, path: str, limit: int = 400_000):
+    def __init__(self, path: str, limit: int = 300_000):
         from tokenizers import Tokenizer
         super().__init__()
         self.limit = limit
@@ -70,6 +71,7 @@ class PrefixBPE(dict):
         self.children, self.edges = children, {}
         self.pairs: dict[tuple[int, int], bool] = {}
         self.whole: dict[int, bool] = {}
+        self.words: dict[str, bytes] = {}
         self.automaton = ahocorasick.Automaton()
         for t, i in vocab.items():
             if not self.single(i):      # no text encodes to it
@@ -156,10 +158,18 @@ class PrefixBPE(dict):
             pre = [byte_chars(w) for w in self.pattern.findall(unicodedata.normalize("NFC", piece).lower())]
         else:
             pre = self.split_by_library(piece)
-        value = np.array([i for w in pre for i in self.word(w)], "<u4").tobytes()
+        value = b"".join(map(self.known_word, pre))
         self[piece] = value
         return value
 
+    def known_word(self, chars: str) -> bytes:
+        got = self.words.get(chars)
+        if got is None:
+            if len(self.words) >= self.limit:
+                self.words.clear()
+            got = self.words[chars] = np.array(self.word(chars), "<u4").tobytes()
+        return got
+
     def split_by_library(self, text: str) -> list[str]:
         return [w for w, _ in self.tok.pre_tokenizer.pre_tokenize_str(self.tok.normalizer.normalize_str(text))]
 
@@ -171,7 +181,7 @@ class PrefixBPE(dict):
                      for p in self.cut.split(text)]
             return np.concatenate(parts)
         if ODD_SPACE.search(text):
-            return np.array([i for w in self.split_by_library(text) for i in self.word(w)], "<u4")
+            return np.frombuffer(b"".join(map(self.known_word, self.split_by_library(text))), "<u4")
         return np.frombuffer(b"".join(map(self.__getitem__, text.split())), "<u4")
 
     def decode(self, ids: np.ndarray) -> str:
