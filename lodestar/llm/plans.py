@@ -7,17 +7,25 @@ digest columns are derived here from the operator's own outputs.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lodestar.session import ship_package
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
 def query(name: str, sql: str | None = None):
     def add(fn):
-        QUERIES[name] = fn
+        @wraps(fn)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship_package(spark)
+            return fn(spark, sf_dir)
+
+        QUERIES[name] = run
         if sql:
             ORACLE[name] = sql.strip()
         return fn
@@ -43,3 +51,9 @@ def op3_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
         F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))
+
+
+@query("op5_token_group_join")
+def op5_token_group_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lodestar.llm import tokengroups
+    return tokengroups.jaccard_components(table(spark, sf_dir, "documents", "doc_id", "text"))

@@ -1,90 +1,64 @@
-"""Word-shingle sets as sorted 64-bit hashes, computed a batch at a time.
+"""Word-shingle sets as sorted 64-bit hashes, computed a slice of texts at a time.
 
 A word is a maximal run of characters other than ASCII white space
 (``[^\\x20\\x09-\\x0D]+``) after lower-casing A-Z.  A document's set holds its
 distinct ``width``-word shingles; with fewer words the whole word sequence is
 the only shingle; without words, or with a null text, the set is empty.
-
-Words are hashed once per distinct word (bounded memo), windows are combined
-with vectorised 64-bit mixing over all words of a batch, so the Python cost per
-word is one dictionary lookup.
 """
 
 from __future__ import annotations
 
-import numpy as np
-import xxhash
-
-# ASCII upper case to lower case, every other byte unchanged.
-LOWER_AZ = bytes.maketrans(bytes(range(0x41, 0x5B)), bytes(range(0x61, 0x7B)))
-
-_MIX = [np.uint64(x) for x in (
-    0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
-    0xA0761D6478BD642F)]
-
-
-class _Hashes(dict):
-    """word bytes -> xxh64; at most ``limit`` words are remembered."""
+from collections.abc import Iterator
 
-    limit = 400_000
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.limit:
-            self.clear()
-        value = self[word] = xxhash.xxh64_intdigest(word)
-        return value
-
-
-_memo = _Hashes()
-
-
-def finalise(h: np.ndarray) -> np.ndarray:
-    """Bijective avalanche of 64-bit values (so any bit range can be used)."""
-    h = h ^ (h >> np.uint64(33))
-    h = h * np.uint64(0xFF51AFD7ED558CCD)
-    h = h ^ (h >> np.uint64(33))
-    h = h * np.uint64(0xC4CEB9FE1A85EC53)
-    return h ^ (h >> np.uint64(33))
+import numpy as np
+import pyarrow as pa
 
+from lodestar.llm import bytewords as bw
 
-def words(text: str | None) -> list[bytes]:
-    return text.encode("utf-8", "surrogatepass").translate(LOWER_AZ).split() if text else []
+_MIX = np.uint64(0xC2B2AE3D27D4EB4F)
 
 
-def batch_sets(texts: list, width: int = 5) -> tuple[np.ndarray, np.ndarray]:
-    """``(hashes, starts)``: the set of document ``i`` is
-    ``hashes[starts[i]:starts[i + 1]]``, ascending and distinct."""
-    memo, flat, counts = _memo, [], np.zeros(len(texts), np.int64)
-    for i, text in enumerate(texts):
-        w = words(text)
-        counts[i] = len(w)
-        flat += [memo[x] for x in w]
-    hashed = np.array(flat, np.uint64)
-    del flat
+def _sets(column: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
+    w = bw.scan(column)
+    hashed, counts = w.hashes(), w.counts
     n = len(hashed)
-    doc = np.repeat(np.arange(len(texts), dtype=np.int64), counts)
-    ends = np.cumsum(counts)
-    # A document of fewer words than the width is one window of its own length.
-    short = (counts > 0) & (counts < width)
+    length = np.minimum(counts, width)          # words per window of each text
     value = hashed.copy()
-    length = np.minimum(counts, width)[doc] if n else counts[:0]
-    for k in range(1, width):
-        if n <= k:
-            break
-        inside = length[: n - k] > k
-        mixed = (value[: n - k] ^ (value[: n - k] >> np.uint64(29))) * _MIX[k % 5] + hashed[k:]
-        value[: n - k] = np.where(inside, mixed, value[: n - k])
-    value = finalise(value ^ (length.astype(np.uint64) * _MIX[0]))
-    if n:
-        begin = np.arange(n) - (ends - counts)[doc]
-        keep = begin <= (counts - np.minimum(counts, width))[doc]
-        keep &= ~(short[doc] & (begin > 0))
-        value, doc = value[keep], doc[keep]
-        order = np.lexsort((value, doc))
-        value, doc = value[order], doc[order]
-        first = np.ones(len(value), bool)
-        first[1:] = (value[1:] != value[:-1]) | (doc[1:] != doc[:-1])
-        value, doc = value[first], doc[first]
-    starts = np.zeros(len(texts) + 1, np.int64)
-    np.cumsum(np.bincount(doc, minlength=len(texts)), out=starts[1:])
-    return value, starts
+    for k in range(1, min(width, n)):
+        mixed = (value[: n - k] ^ (value[: n - k] >> np.uint64(29))) * _MIX + hashed[k:]
+        if (length[w.doc[: n - k]] > k).all():
+            value[: n - k] = mixed
+        else:
+            value[: n - k] = np.where(length[w.doc[: n - k]] > k, mixed, value[: n - k])
+    value = bw.finalise(value)
+    windows = np.where(counts >= width, counts - width + 1, np.minimum(counts, 1))
+    first = np.cumsum(counts) - counts
+    sizes = np.zeros(len(counts), np.int64)
+    parts = []
+    for i in np.flatnonzero(windows):
+        a = np.sort(value[first[i]: first[i] + windows[i]])
+        if len(a) > 1:
+            a = a[np.concatenate(([True], a[1:] != a[:-1]))]
+        parts.append(a)
+        sizes[i] = len(a)
+    starts = np.zeros(len(counts) + 1, np.int64)
+    np.cumsum(sizes, out=starts[1:])
+    return (np.concatenate(parts) if parts else np.zeros(0, np.uint64)), starts
+
+
+def batch_sets(texts, width: int = 5) -> Iterator[tuple[int, np.ndarray]]:
+    """``(row, set)`` for every row in order; a set is ascending and distinct."""
+    column = bw.strings(texts)
+    for lo, hi in bw.slices(column):
+        flat, starts = _sets(column.slice(lo, hi - lo), width)
+        for i in range(hi - lo):
+            yield lo + i, flat[starts[i]: starts[i + 1]]
+
+
+def set_key(s: np.ndarray) -> bytes:
+    """128-bit key of a set (equal sets have equal keys)."""
+    n = np.uint64(len(s))
+    with np.errstate(over="ignore"):
+        a = bw.finalise(np.array([s.sum(dtype=np.uint64) + n], np.uint64))
+        b = bw.finalise(np.array([np.bitwise_xor.reduce(s * (s >> np.uint64(7) | np.uint64(1)), initial=0) + n], np.uint64))
+    return a.tobytes() + b.tobytes()
