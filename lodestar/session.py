@@ -41,6 +41,23 @@ def get_session(master: str | None = None, app: str = "lodestar",
     return spark
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers once per application, so that
+    functions run in tasks can import it wherever the driver was started."""
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    import shutil
+    root = os.path.dirname(os.path.abspath(__file__))
+    archive = shutil.make_archive(os.path.join(tempfile.mkdtemp(prefix="lodestar-pkg-"), "lodestar"), "zip",
+                                  os.path.dirname(root), os.path.basename(root))
+    spark.sparkContext.addPyFile(archive)
+    _shipped.add(app)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the checkpoint directory, setting one only when none is configured.
 
