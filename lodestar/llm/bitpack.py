@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -125,6 +126,7 @@ _REST = [b for b in range(256) if b not in set(_PRINT)]
 BYTE_TO_CHAR = {b: b for b in _PRINT} | {b: 256 + i for i, b in enumerate(_REST)}
 PRE_TOKENS = regex.compile(
     r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""")
+_OTHER_SPACE = "\t\r\x0b\x0c\x1c\x1d\x1e\x1f"
 # Below this code point the library's Unicode tables and Python's agree.
 PLAIN = regex.compile(r"[\u0000-\u036f]*")
 
@@ -138,37 +140,51 @@ class ByteLevelEncoder(dict):
 
     A text in which no two white-space characters are adjacent is cut before
     every blank and around every line break; no pre-token crosses such a cut,
-    so the pieces are encoded one by one, each distinct piece once (memo of at
-    most ``limit`` pieces).  Any other text, and any text that may hold a special
+    so the pieces are encoded one by one, each distinct piece once (memos of at
+    most ``limit`` pieces and as many pre-tokens).  Any other text, and any text that may hold a special
     token, goes to the library whole.
     """
 
-    def __init__(self, path: str, limit: int = 700_000):
+    def __init__(self, path: str, limit: int = 450_000):
         from tokenizers import Tokenizer
         super().__init__()
         self.tok, self.limit = Tokenizer.from_file(path), limit
-        self.model = self.tok.model
+        self.model, self.known = self.tok.model, {}
         self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
 
     def library(self, text: str) -> bytes:
-        return np.array(self.tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return array("I", self.tok.encode(text, add_special_tokens=False).ids).tobytes()
 
     def __missing__(self, piece: str) -> bytes:
         if len(self) >= self.limit:
             self.clear()
-        if PLAIN.fullmatch(piece):
-            ids = [t.id for pre in PRE_TOKENS.findall(piece) for t in self.model.tokenize(byte_chars(pre))]
-            value = np.array(ids, "<u4").tobytes()
+        if piece.isascii() and piece[1:].isalpha() and (piece[0] == " " or piece[0].isalpha()):
+            value = self.pre_token(piece)
+        elif PLAIN.fullmatch(piece):
+            value = b"".join(map(self.pre_token, PRE_TOKENS.findall(piece)))
         else:
             value = self.library(piece)
         self[piece] = value
         return value
 
+    def pre_token(self, pre: str) -> bytes:
+        got = self.known.get(pre)
+        if got is None:
+            if len(self.known) >= self.limit:
+                self.known.clear()
+            got = self.known[pre] = array("I", [t.id for t in self.model.tokenize(byte_chars(pre))]).tobytes()
+        return got
+
+    def separable(self, text: str) -> bool:
+        """No two white-space characters are adjacent and all are blanks or line breaks."""
+        if text.isascii() and not any(c in text for c in _OTHER_SPACE):
+            return not any(c in text for c in ("  ", " \n", "\n ", "\n\n", "\0"))
+        return text.replace("\n", " ").split(" ") == text.split() and "\0" not in text
+
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
-        if (text.replace("\n", " ").split(" ") != text.split() or "\0" in text
-                or any(s in text for s in self.special)):
+        if not self.separable(text) or any(s in text for s in self.special):
             return self.library(text)
         return b"".join(map(self.__getitem__, text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")))
 
