@@ -57,3 +57,36 @@ def op3_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_token_group_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lodestar.llm import tokengroups
     return tokengroups.jaccard_components(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+_AZ = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+
+
+@query("op4_fm_decontaminate", rf"""
+WITH item AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), {_AZ}), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+iw AS (
+  SELECT DISTINCT item_id, len(w) AS n, unnest(CASE WHEN len(w) >= 10
+    THEN list_transform(range(1, len(w) - 8), lambda i: array_to_string(w[i:i + 9], ' '))
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS win FROM item),
+sized AS (SELECT item_id, win, least(n, 10) AS n FROM iw),
+doc AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), {_AZ}), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+pos AS (
+  SELECT doc_id, s.n, unnest(range(1, len(w) - s.n + 2)) AS i, w FROM doc, (SELECT DISTINCT n FROM sized) s WHERE len(w) >= s.n),
+occ AS (SELECT p.doc_id, p.i, p.n, s.item_id FROM pos p JOIN sized s ON s.n = p.n AND s.win = array_to_string(p.w[p.i:p.i + p.n - 1], ' ')),
+hit AS (SELECT doc_id, count(DISTINCT k) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS k FROM occ) GROUP BY doc_id),
+its AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(s, ',' ORDER BY s) AS ids
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS s FROM occ) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+  CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM doc d LEFT JOIN hit USING (doc_id) LEFT JOIN its USING (doc_id)
+""")
+def op4_fm_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lodestar.llm import fmindex
+    found = fmindex.decontaminate(table(spark, sf_dir, "documents", "doc_id", "text"),
+                                  table(spark, sf_dir, "benchmark", "item_id", "text"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
