@@ -90,3 +90,30 @@ def op4_fm_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
+@query("op8_two_pass_shuffle")
+def op8_two_pass_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lodestar.llm import twopass
+    written = twopass.write_shards(table(spark, sf_dir, "documents", "doc_id", "text"), shards=24, seed=8)
+    return written.select(
+        "doc_id", (F.coalesce(F.octet_length("text"), F.lit(0)) + 8).cast("long").alias("size"),
+        F.crc32(F.encode(F.coalesce("text", F.lit("")), "utf-8")).alias("text_crc32"), F.lit("rows").alias("law"),
+        "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query("op9_vector_approximation", """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM v q JOIN v c ON c.vec_id <> q.vec_id AND len(c.e) = len(q.e) WHERE q.vec_id % 50 = 0),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+""")
+def op9_vector_approximation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lodestar.llm import vafile
+    vectors = table(spark, sf_dir, "embeddings", "vec_id", "embedding")
+    return vafile.top_k(vectors, vectors.where("vec_id % 50 = 0"), k=5)
