@@ -117,3 +117,18 @@ def op9_vector_approximation(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lodestar.llm import vafile
     vectors = table(spark, sf_dir, "embeddings", "vec_id", "embedding")
     return vafile.top_k(vectors, vectors.where("vec_id % 50 = 0"), k=5)
+
+
+def held_out(doc_id: str = "doc_id"):
+    """crc32 of the id as text modulo 5 is 0 (null ids: false)."""
+    return F.coalesce(F.pmod(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(5)) == 0, F.lit(False))
+
+
+@query("op6_toxicity_grammar")
+def op6_toxicity_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lodestar.llm import toxicity
+    documents = table(spark, sf_dir, "documents", "doc_id", "text")
+    model = toxicity.fit(documents, table(spark, sf_dir, "labels", "doc_id", "toxic"))
+    return toxicity.score(documents, model).select(
+        "doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"),
+        F.size("clauses").alias("n_clauses"))
