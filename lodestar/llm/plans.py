@@ -132,3 +132,12 @@ def op6_toxicity_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(documents, model).select(
         "doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"),
         F.size("clauses").alias("n_clauses"))
+
+
+@query("op1_quality_discriminant")
+def op1_quality_discriminant(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lodestar.llm import quality
+    documents = table(spark, sf_dir, "documents", "doc_id", "text")
+    model = quality.fit(documents, table(spark, sf_dir, "labels", "doc_id", "quality"))
+    return quality.score(documents, model).select(
+        "doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
