@@ -141,3 +141,99 @@ def op1_quality_discriminant(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = quality.fit(documents, table(spark, sf_dir, "labels", "doc_id", "quality"))
     return quality.score(documents, model).select(
         "doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+# Capture records derived from the pages: every page is a full response, and is visited again
+# (some before it was stored) by another spelling of its URL with one of five validator states.
+_WARC = """
+WITH p AS (
+  SELECT page_id, url, length(html) AS n, concat('"', substr(md5(html), 1, 16), '"') AS tag FROM {pages})
+SELECT concat('r', page_id) AS record_id, 'response' AS record_type, url, page_id * 60 AS ts, tag AS etag,
+  concat('day ', page_id % 11) AS last_modified, 'text/html' AS content_type, CAST(n AS {text}) AS content_length,
+  CAST(NULL AS {text}) AS cache_control, CAST(NULL AS {text}) AS connection, CAST(page_id * 60 AS {text}) AS date FROM p
+UNION ALL
+SELECT concat('v', page_id), 'revisit', concat(replace(replace(url, 'https://', 'HTTP://'), '#top', ''), '#again'),
+  CASE WHEN page_id % 9 = 0 THEN page_id * 60 - 30 ELSE page_id * 60 + 5850 END,
+  CASE page_id % 5 WHEN 0 THEN '"changed"' WHEN 1 THEN concat('W/', tag) WHEN 2 THEN NULL WHEN 3 THEN NULL ELSE tag END,
+  CASE page_id % 5 WHEN 2 THEN concat('day ', page_id % 11) END,
+  NULL, '0', 'max-age=60', 'close', CAST(page_id * 60 + 5850 AS {text}) FROM p
+"""
+_FIELDS = ("etag", "last_modified", "content_type", "content_length", "cache_control", "connection", "date")
+
+
+def _sql_canonical(u: str) -> str:
+    u = f"regexp_replace(regexp_replace(trim({u}), '#.*$', ''), '^[A-Za-z]+://', '')"
+    host = rf"regexp_replace(regexp_replace(regexp_replace(lower(regexp_extract({u}, '^([^/?]*)', 1)), '^.*@', ''), ':(80|443)$', ''), '^www\.', '')"
+    rest = rf"regexp_replace(regexp_replace({u}, '^[^/?]*', ''), '([?&])utm_[^&]*', '\1', 'g')"
+    rest = rf"regexp_replace(regexp_replace({rest}, '&&+', '&', 'g'), '\?&+', '?', 'g')"
+    return rf"concat({host}, regexp_replace(regexp_replace({rest}, '[?&]+$', ''), '/+$', ''))"
+
+
+def _sql_lines(pairs: list[tuple[str, str]]) -> str:
+    items = ", ".join(f"CASE WHEN {v} IS NOT NULL THEN concat('{k.replace('_', '-')}: ', {v}) END" for k, v in pairs)
+    return f"array_to_string(list_sort(list_filter([{items}], lambda x: x IS NOT NULL)), chr(10))"
+
+
+_BODY = ("content_type", "content_length", "connection")
+
+
+@query("op7_warc_revisits", f"""
+WITH rec AS ({_WARC.format(pages="pages", text="VARCHAR")}),
+c AS (SELECT *, {_sql_canonical("url")} AS canonical FROM rec),
+j AS (
+  SELECT v.*, r.record_id AS base, {", ".join(f"r.{f} AS b_{f}" for f in _FIELDS)},
+    row_number() OVER (PARTITION BY v.record_id ORDER BY r.ts DESC, r.record_id DESC) AS k
+  FROM c v LEFT JOIN c r ON r.record_type = 'response' AND r.canonical = v.canonical
+    AND (r.ts < v.ts OR r.ts = v.ts AND r.record_id < v.record_id)
+  WHERE v.record_type = 'revisit'),
+o AS (
+  SELECT *, CASE WHEN base IS NULL THEN 'no earlier response'
+    WHEN etag IS NOT NULL AND b_etag IS NOT NULL THEN
+      CASE WHEN regexp_replace(etag, '^W/', '') = regexp_replace(b_etag, '^W/', '') THEN 'resolved' ELSE 'changed' END
+    WHEN last_modified IS NOT NULL AND b_last_modified IS NOT NULL THEN
+      CASE WHEN last_modified = b_last_modified THEN 'resolved' ELSE 'changed' END
+    ELSE 'no validator' END AS outcome FROM j WHERE k = 1)
+SELECT record_id, canonical, outcome, CASE WHEN outcome = 'resolved' THEN base END AS refers_to,
+  CASE WHEN outcome = 'resolved'
+    THEN {_sql_lines([(f, f"b_{f}" if f in _BODY else f"coalesce({f}, b_{f})") for f in _FIELDS])}
+    ELSE {_sql_lines([(f, f) for f in _FIELDS])} END AS header_lines
+FROM o
+""")
+def op7_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lodestar.llm import revisits
+    pages = table(spark, sf_dir, "pages", "page_id", "url", "html")
+    records = spark.sql(_WARC.format(pages="{pages}", text="STRING"), pages=pages)
+    fields = F.create_map(*[x for f in _FIELDS for x in (F.lit(f.replace("_", "-")), F.col(f))])
+    records = records.withColumn("headers", F.map_filter(fields, lambda _, v: v.isNotNull()))
+    found = revisits.resolve(records.select("record_id", "record_type", "url", "ts", "headers"))
+    return found.withColumn("header_lines", revisits.header_lines(F.col("headers"))).drop("headers")
+
+
+@query("op10_perspective_rotation", """
+WITH t AS (
+  SELECT conv_id, CAST(turn AS BIGINT) AS turn, role, coalesce(text, '') AS said, CAST(floor(coalesce(turn, 0) / 256) AS INTEGER) AS part
+  FROM conversations),
+people AS (SELECT DISTINCT conv_id, role AS participant FROM t WHERE role <> 'system'),
+s AS (
+  SELECT t.*, participant, coalesce(role = participant, false) AS own,
+    CASE WHEN role = 'system' THEN '<|system|>' WHEN role = participant THEN '<|assistant|>'
+      ELSE concat('<|user name=', coalesce(role, 'unknown'), '|>') END || chr(10) AS head
+  FROM t JOIN people p ON t.conv_id IS NOT DISTINCT FROM p.conv_id),
+l AS (
+  SELECT *, length(head) + length(said) + 8 AS n,
+    sum(length(head) + length(said) + 8) OVER w - (length(head) + length(said) + 8) AS pos,
+    sum(length(head) + length(said) + 8) OVER (PARTITION BY conv_id, participant ORDER BY turn NULLS FIRST, role NULLS FIRST, said
+      ROWS UNBOUNDED PRECEDING) - (length(head) + length(said) + 8) AS whole
+  FROM s WINDOW w AS (PARTITION BY conv_id, participant, part ORDER BY turn NULLS FIRST, role NULLS FIRST, said ROWS UNBOUNDED PRECEDING))
+SELECT conv_id, participant, part, CAST(count(*) AS INTEGER) AS n_turns, CAST(min(whole) AS BIGINT) AS char_start,
+  sha256(string_agg(head || said || '<|end|>' || chr(10), '' ORDER BY turn NULLS FIRST, role NULLS FIRST, said)) AS text_sha256,
+  coalesce(string_agg(CAST(CAST(pos + length(head) AS INTEGER) AS VARCHAR) || '-' || CAST(CAST(pos + n - 1 AS INTEGER) AS VARCHAR), ','
+    ORDER BY turn NULLS FIRST, role NULLS FIRST, said) FILTER (WHERE own), '') AS masks
+FROM l GROUP BY conv_id, participant, part
+""")
+def op10_perspective_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lodestar.llm import perspectives
+    seen = perspectives.rotate(table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
+    masks = F.transform("masks", lambda m: F.concat_ws("-", m["start"].cast("string"), m["end"].cast("string")))
+    return seen.select("conv_id", "participant", "part", "n_turns", "char_start", F.sha2("text", 256).alias("text_sha256"),
+                       F.array_join(masks, ",").alias("masks"))
