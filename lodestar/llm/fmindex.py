@@ -180,6 +180,8 @@ def shard_hits(words: bw.Words, hashes: np.ndarray, p: Phrases) -> tuple[np.ndar
     symbol = np.searchsorted(p.vocabulary, hashes)
     symbol = np.where(p.vocabulary[np.minimum(symbol, len(p.vocabulary) - 1)] == hashes, symbol + 1, 0)
     known = symbol > 0
+    if not known.any():
+        return nothing
     first = known.copy()
     first[1:] &= ~known[:-1] | (words.doc[1:] != words.doc[:-1])
     begin = np.flatnonzero(first)
@@ -244,6 +246,7 @@ def _spans(words: bw.Words, hit: np.ndarray, offsets: np.ndarray) -> list[list[t
     out: list[list[tuple[int, int]]] = [[] for _ in range(len(words.counts))]
     if hit.any():
         joined = hit.copy()
+        joined[0] = False
         joined[1:] &= hit[:-1] & (words.doc[1:] == words.doc[:-1])
         begin = np.flatnonzero(hit & ~joined)
         end = np.flatnonzero(hit & ~np.append(joined[1:], False))

@@ -46,17 +46,17 @@ CLOSED = {
 
 # --- machines ------------------------------------------------------------------
 
-def _insult(state: int, symbol: int, negated: bool) -> int:
-    """0 none, 1 only negated insults, 2 an insult."""
-    return max(state, 1 if negated else 2) if symbol == INSULT else state
+def _insult(state: int, symbol: int, negated: bool, reported: bool) -> int:
+    """0 none, 1 only negated insults, 2 a reported one, 3 an own one."""
+    return max(state, 2 if reported else 1 if negated else 3) if symbol == INSULT else state
 
 
-def _threat(state: int, symbol: int, negated: bool) -> int:
-    """0 none, 1 intent seen, 2 negated threat, 3 threat (harm after intent)."""
+def _threat(state: int, symbol: int, negated: bool, reported: bool) -> int:
+    """0 none, 1 intent seen, 2 negated threat, 3 reported threat, 4 own threat (harm after intent)."""
     if symbol == INTENT:
         return max(state, 1)
     if symbol == HARM and state:
-        return max(state, 2 if negated else 3)
+        return max(state, 3 if reported else 2 if negated else 4)
     return state
 
 
@@ -79,13 +79,13 @@ def _reported(state: int, symbol: int) -> int:
 PATTERNS = ("none", "insult", "insult at a target", "negated insult", "reported insult", "threat", "threat at a target",
             "negated threat", "reported threat")
 
+OWN = (1, 2, 5, 6)
 
-def _pattern(insult: int, threat: int, target: int, reported: int) -> int:
+
+def _pattern(insult: int, threat: int, target: int) -> int:
     if insult:
-        return 4 if reported else 3 if insult == 1 else 1 + target
-    if threat >= 2:
-        return 8 if reported else 7 if threat == 2 else 5 + target
-    return 0
+        return (0, 3, 4, 1 + target)[insult]
+    return (0, 0, 7, 8, 5 + target)[threat]
 
 
 def compose() -> tuple[np.ndarray, np.ndarray]:
@@ -96,14 +96,14 @@ def compose() -> tuple[np.ndarray, np.ndarray]:
         i, t, g, n, r = todo.pop(0)
         row = []
         for symbol in range(8):
-            after = (_insult(i, symbol, n > 0), _threat(t, symbol, n > 0), _target(g, symbol), _negation(n, symbol),
+            after = (_insult(i, symbol, n > 0, r > 0), _threat(t, symbol, n > 0, r > 0), _target(g, symbol), _negation(n, symbol),
                      _reported(r, symbol))
             if after not in known:
                 known[after] = len(known)
                 todo.append(after)
             row.append(known[after])
         rows.append(row)
-    return np.array(rows), np.array([_pattern(i, t, g, r) for i, t, g, _, r in known])
+    return np.array(rows), np.array([_pattern(i, t, g) for i, t, g, _, _ in known])
 
 
 NEXT, FINAL = compose()
@@ -200,11 +200,14 @@ def clauses(column: pa.Array, g: Grammar) -> list[list[tuple[int, int, int, floa
 
 
 def features(found: list[list[tuple]]) -> np.ndarray:
-    """By text: log of 1 + the summed clause weights of each pattern; a constant."""
+    """By text: log of 1 + the summed clause weights of each pattern, and in place 0 of all own
+    insults and threats together (so a pattern that no label showed has a weight); a constant."""
     x = np.zeros((len(found), len(PATTERNS) + 1))
     for i, cs in enumerate(found):
         for pattern, _, _, weight in cs:
             x[i, pattern] += max(weight, 1.0)
+            if pattern in OWN:
+                x[i, 0] += max(weight, 1.0)
     x = np.log1p(x)
     x[:, -1] = 1
     return x
