@@ -33,20 +33,11 @@ def hinge(margin) -> Column:
     return F.greatest(F.lit(0.0), _c(margin))
 
 
-def binarize(c) -> Column:
-    """1.0 for non-zero, else 0.0."""
-    return F.when(_c(c) != 0, F.lit(1.0)).otherwise(F.lit(0.0))
-
-
 def safe_ratio(num, den) -> Column:
     """Division that yields NULL for a zero or NULL denominator."""
     return F.try_divide(_c(num), _c(den))
 
 
-def rounded(c, digits: int = 6) -> Column:
-    return F.round(_c(c).cast("double"), digits)
-
-
 def significant(c, digits: int = 8) -> Column:
     """Round to ``digits`` significant digits (via ``%.{digits-1}e``), for
     values whose magnitude varies too much for a fixed decimal rounding."""

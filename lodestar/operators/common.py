@@ -5,56 +5,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A broadcast side is allowed only when its row count is bounded by a
-# parameter (vocabulary size, number of classes, k) and the bound times a
-# generous per-row size stays under this limit.  Past it, the plain
-# (shuffle) join is used.
-BROADCAST_LIMIT_BYTES = 256 * 1024 * 1024
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int, row_bytes: int = 64,
-                      limit_bytes: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
-    """Broadcast ``df`` if ``max_rows`` (a proven upper bound) fits the limit."""
-    if max_rows is not None and max_rows * row_bytes <= limit_bytes:
-        return F.broadcast(df)
-    return df
-
-
 def top_k(df: DataFrame, k: int, *order) -> DataFrame:
     """Global top-k with a total order (TakeOrderedAndProject: each task keeps
     k rows, the merge sees at most k rows per task)."""
     return df.orderBy(*order).limit(k)
 
 
-def checked_broadcast(df: DataFrame, max_rows: int, row_bytes: int = 64,
-                      limit_bytes: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
-    """Broadcast ``df`` only after counting it: for small sides whose size is
-    not fixed by a parameter (category indexes, class centroids).  One cheap
-    counting job; above ``max_rows`` or the byte limit the plain shuffle join
-    is used."""
-    n = df.count()
-    if n <= max_rows and n * row_bytes <= limit_bytes:
-        return F.broadcast(df)
-    return df
-
-
-def global_rank(df: DataFrame, order: list, name: str = "rank", partitions: int | None = None) -> DataFrame:
+def global_rank(df: DataFrame, order: list, name: str = "rank") -> DataFrame:
     """0-based position of every row in the total order ``order`` without a
-    single-partition window: rows are range-partitioned on the order keys,
-    numbered inside their partition, and shifted by the row count of all
-    earlier partitions (a prefix sum over at most ``partitions`` rows).  Both
-    uses of the range exchange are the same subtree, so Spark reuses one
-    materialised shuffle and the partition ids agree.  ``order`` must be a
-    total order (no ties)."""
+    single-partition window: rows are range-partitioned on the order keys (as
+    many partitions as AQE finds fit), numbered inside their partition, and
+    shifted by the row count of all earlier partitions (a prefix sum with one
+    row per partition).  The ranged frame is persisted, so both uses see the
+    same partitions; ``df`` must hold distinct values only, and ``order`` must
+    be a total order (no ties)."""
+    from pyspark import StorageLevel
     from pyspark.sql import Window
-    spark = df.sparkSession
-    n = partitions or max(spark.sparkContext.defaultParallelism,
-                          int(spark.conf.get("spark.sql.shuffle.partitions")))
-    ranged = df.repartitionByRange(n, *order).withColumn("_pid", F.spark_partition_id())
+    ranged = (df.repartitionByRange(*order).withColumn("_pid", F.spark_partition_id())
+              .persist(StorageLevel.MEMORY_AND_DISK))
     sizes = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
     local = F.row_number().over(Window.partitionBy("_pid").orderBy(*order))
-    return (ranged.withColumn("_local", local)
-            .join(bounded_broadcast(offsets, n), "_pid")
+    return (ranged.withColumn("_local", local).join(offsets, "_pid")
             .select(*df.columns, (F.col("_off") + F.col("_local") - 1).cast("int").alias(name)))

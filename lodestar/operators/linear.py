@@ -1,20 +1,19 @@
 """Iterative linear classifiers on sparse features (M10-M16, J8, A23, A24,
 M11-M13).
 
-Training data are one row per document, ``(doc_id, y, pos[], x[])`` with the
-positions sorted, written to the checkpoint folder (lineage cut, survives lost
-executors) and cached.  Each iteration is one Spark job:
-
-* the weight vector (one entry per vocabulary position and class -- a proven
-  bound) enters as an uncorrelated scalar subquery, i.e. one small value
-  shipped with the tasks, not a join;
-* the per-document score is a higher-order-function dot product over the
-  document's own arrays -- no window, no join, no shuffle of the rows;
-* the loss and the gradient are one aggregate keyed by position (partial
-  aggregation per task, at most ``V`` rows per task cross the shuffle).
-
-Only the gradient vector (``V`` numbers per class) reaches the driver, where
-the step and the step-size rule are applied -- the split MLlib uses.
+Training data are one row per labelled document, ``(doc_id, y, pos[], x[])``
+with the positions sorted, written to the checkpoint folder (lineage cut,
+survives lost executors) and cached; a document without features is an all-zero
+row.  Each iteration is one Spark job:
+
+* the weights (one per vocabulary position and class, a bound fixed by
+  parameters) are broadcast once;
+* every task scores its rows with numpy on slices of Arrow batches of bounded
+  size, adds up loss and gradient, and hands on the non-zero entries, so at
+  most ``V`` rows per task cross the shuffle; the rows themselves never move.
+
+Only the gradient (``V`` numbers per class) reaches the driver, where the step
+and the step-size rule are applied -- the split MLlib uses.
 """
 
 from __future__ import annotations
@@ -23,17 +22,27 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestar.functions.numeric import hinge, sigmoid, softplus
-from lodestar.operators.common import bounded_broadcast
 from lodestar.session import ensure_checkpoint_dir
 
 LOSS_KEY = -1  # aggregate key that carries the loss next to the gradient
 
 
+def np_sigmoid(t: np.ndarray) -> np.ndarray:
+    """F10 on arrays, without overflow."""
+    e = np.exp(-np.abs(t))
+    return np.where(t >= 0, 1.0, e) / (1.0 + e)
+
+
+def np_softplus(t: np.ndarray) -> np.ndarray:
+    """F10 on arrays: ln(1 + e^t) without overflow."""
+    return np.maximum(t, 0.0) + np.log1p(np.exp(-np.abs(t)))
+
+
 def stable(df: DataFrame) -> DataFrame:
     """Checkpoint to the configured checkpoint folder and cache."""
     ensure_checkpoint_dir(df.sparkSession)
@@ -56,21 +65,16 @@ class SparseDesign:
 
     @staticmethod
     def build(features: DataFrame, labels: DataFrame, size: int, checkpoint: bool = True) -> "SparseDesign":
-        """``features`` (doc_id, pos, x); ``labels`` (doc_id, y)."""
-        rows = doc_arrays(features).join(
-            labels.select("doc_id", F.col("y").cast("double").alias("y")), "doc_id")
-        spark = rows.sparkSession
-        parts = max(spark.sparkContext.defaultParallelism,
-                    int(spark.conf.get("spark.sql.shuffle.partitions")))
-        rows = rows.select("doc_id", "y", "pos", "x").repartition(parts)
+        """``features`` (doc_id, pos, x), null positions count for nothing;
+        ``labels`` (doc_id, y) of every training document."""
+        none = F.array()
+        rows = (labels.select("doc_id", F.col("y").cast("double").alias("y"))
+                .join(doc_arrays(features.where("pos is not null")), "doc_id", "left")
+                .select("doc_id", "y", F.coalesce("pos", none.cast("array<int>")).alias("pos"),
+                        F.coalesce("x", none.cast("array<double>")).alias("x")))
         rows = stable(rows) if checkpoint else rows.persist(StorageLevel.MEMORY_AND_DISK)
         return SparseDesign(rows, size, rows.count())
 
-    def long_rows(self) -> DataFrame:
-        """(doc_id, pos, x) back in long format."""
-        return self.rows.select("doc_id", F.explode(F.arrays_zip("pos", "x")).alias("e")) \
-            .select("doc_id", "e.pos", "e.x")
-
     def release(self) -> None:
         self.rows.unpersist()
 
@@ -84,74 +88,74 @@ def weight_table(spark: SparkSession, w: np.ndarray) -> DataFrame:
     return spark.createDataFrame(pdf)
 
 
-def weight_vector(spark: SparkSession, w: np.ndarray) -> Column:
-    """The flattened (V*C) weights as a scalar-subquery column."""
-    flat = np.asarray(w, dtype=float).reshape(-1).tolist()
-    # local rows -> LocalRelation: the subquery needs no Spark job
-    return spark.createDataFrame(pd.DataFrame({"w": [flat]}), "w array<double>").scalar()
+SLICE_ENTRIES = 500_000     # non-zero entries that a task works on at once
 
 
-def _collect_keyed(df: DataFrame, size: int, classes: int) -> tuple[float, np.ndarray]:
-    """Sum ``e`` = array<struct<k, v0..>> entries by key; return (loss, grad)."""
-    agg = (df.select(F.explode("e").alias("e"))
-           .groupBy(F.col("e.k").alias("k"))
-           .agg(*[F.sum(f"e.v{c}").alias(f"v{c}") for c in range(classes)]))
-    pdf = agg.toPandas()
-    grad = np.zeros((size, classes))
-    loss = 0.0
-    for row in pdf.itertuples(index=False):
-        if row.k == LOSS_KEY:
-            loss = float(row.v0)
-        else:
-            grad[int(row.k)] = [getattr(row, f"v{c}") for c in range(classes)]
-    return loss, grad
+def sparse_slices(batch):
+    """``(first row, last row, row of each entry, pos, x)`` of an Arrow batch
+    with list columns ``pos`` and ``x``, cut by the number of entries."""
+    at, xs = (batch.column(batch.schema.get_field_index(c)) for c in ("pos", "x"))
+    ends = np.concatenate(([0], np.cumsum(at.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))))
+    pos = at.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+    x = xs.flatten().to_numpy(zero_copy_only=False).astype(float)
+    lo = 0
+    while lo < len(at):
+        hi = max(lo + 1, int(np.searchsorted(ends, ends[lo] + SLICE_ENTRIES, "right")) - 1)
+        hi = min(hi, len(at))
+        part = slice(ends[lo], ends[hi])
+        yield lo, hi, np.repeat(np.arange(hi - lo), np.diff(ends[lo: hi + 1])), pos[part], x[part]
+        lo = hi
 
 
 def _step(design: SparseDesign, w: np.ndarray, coefs, loss) -> tuple[float, np.ndarray]:
-    """One pass: per document the class scores s_c = x . W[:, c] are folded
-    in a single ``aggregate`` whose finish step emits the gradient entries
-    ``(pos, x * coef_c(s))`` and one loss entry ``loss(s)``; the scores are
-    lambda variables there, so nothing is evaluated twice.  ``coefs`` and
-    ``loss`` map the list of score columns to columns."""
-    classes = 1 if w.ndim == 1 else w.shape[1]
-    rows = design.rows.withColumn("W", weight_vector(design.rows.sparkSession, w))
-
-    def entries(s):
-        cs = coefs(s)
-        grads = F.zip_with("pos", "x", lambda p, v: F.struct(
-            p.alias("k"), *[(v * cs[c]).alias(f"v{c}") for c in range(classes)]))
-        lz = [loss(s).alias("v0")] + [F.lit(0.0).alias(f"v{c}") for c in range(1, classes)]
-        return F.concat(grads, F.array(F.struct(F.lit(LOSS_KEY).alias("k"), *lz)))
-
-    if classes == 1:
-        # plain double accumulator over the element products: no per-element struct
-        prods = F.zip_with("pos", "x", lambda p, v: v * F.element_at(F.col("W"), p + 1))
-        e = F.aggregate(prods, F.lit(0.0), lambda a, b: a + b, lambda t: entries([t]))
-    else:
-        init = F.struct(*[F.lit(0.0).alias(f"s{c}") for c in range(classes)])
-
-        def add(acc, e):
-            return F.struct(*[(acc[f"s{c}"] + e["x"] * F.element_at(F.col("W"), e["pos"] * classes + c + 1))
-                              .alias(f"s{c}") for c in range(classes)])
-
-        e = F.aggregate(F.arrays_zip("pos", "x"), init, add,
-                        lambda acc: entries([acc[f"s{c}"] for c in range(classes)]))
-    return _collect_keyed(rows.select(e.alias("e")), design.size, classes)
+    """One pass: loss sum and gradient (V, C).  ``coefs(s, y)`` gives the
+    factors of each class's gradient and ``loss(s, y)`` the losses, from the
+    list of score arrays and the labels."""
+    wide = np.ascontiguousarray(w.reshape(design.size, -1).T, dtype=float)
+    sent = design.rows.sparkSession.sparkContext.broadcast(wide)
+    classes = len(wide)
+
+    def part(batches):
+        weights, total = sent.value, 0.0
+        grad = np.zeros(weights.shape)
+        for batch in batches:
+            labels = batch.column(batch.schema.get_field_index("y")).to_numpy(zero_copy_only=False)
+            for lo, hi, row, pos, x in sparse_slices(batch):
+                y = labels[lo:hi]
+                s = [np.bincount(row, x * weights[c][pos], minlength=hi - lo) for c in range(classes)]
+                total += loss(s, y).sum()
+                for c, k in enumerate(coefs(s, y)):
+                    grad[c] += np.bincount(pos, x * k[row], minlength=grad.shape[1])
+        used = np.flatnonzero(grad.any(axis=0))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.append(used, LOSS_KEY))]
+            + [pa.array(np.append(grad[c][used], total if c == 0 else 0.0)) for c in range(classes)],
+            names=["k", *(f"v{c}" for c in range(classes))])
+
+    names = [f"v{c}" for c in range(classes)]
+    parts = design.rows.select("y", "pos", "x").mapInArrow(part, ", ".join(["k long", *(f"{n} double" for n in names)]))
+    pdf = parts.groupBy("k").agg(*[F.sum(n).alias(n) for n in names]).toPandas()
+    sent.unpersist()
+    at, values = pdf["k"].to_numpy(), pdf[names].to_numpy()
+    grad = np.zeros((design.size, classes))
+    grad[at[at >= 0]] = values[at >= 0]
+    return float(values[at == LOSS_KEY, 0].sum()), grad
 
 
 def logistic_step(design: SparseDesign, w: np.ndarray) -> tuple[float, np.ndarray]:
     """Cost sum(-y t + ln(1 + e^t)) and gradient sum x (sigma(t) - y)."""
-    y = F.col("y")
-    loss, grad = _step(design, w, lambda s: [sigmoid(s[0]) - y], lambda s: -y * s[0] + softplus(s[0]))
+    loss, grad = _step(design, w, lambda s, y: [np_sigmoid(s[0]) - y], lambda s, y: -y * s[0] + np_softplus(s[0]))
     return loss, grad[:, 0]
 
 
 def hinge_step(design: SparseDesign, w: np.ndarray, reg: float) -> tuple[float, np.ndarray]:
     """0.5 reg w.w + mean max(0, 1 - y' t); gradient reg w + mean(-y' x [y' t < 1]),
     labels y' = 2y - 1."""
-    yp = 2 * F.col("y") - 1
-    loss, grad = _step(design, w, lambda s: [F.when(yp * s[0] < 1, -yp).otherwise(F.lit(0.0))],
-                       lambda s: hinge(1 - yp * s[0]))
+    def coefs(s, y):
+        yp = 2 * y - 1
+        return [np.where(yp * s[0] < 1, -yp, 0.0)]
+
+    loss, grad = _step(design, w, coefs, lambda s, y: np.maximum(0.0, 1 - (2 * y - 1) * s[0]))
     n = float(design.n_docs)
     return 0.5 * reg * float(w @ w) + loss / n, reg * w + grad[:, 0] / n
 
@@ -160,16 +164,12 @@ def two_class_step(design: SparseDesign, w: np.ndarray, reg: float) -> tuple[flo
     """One score per class; margin max(0, s_other - s_true + 1).  Returns
     (mean data loss, regulariser 0.5 reg |W|^2, gradient (V, 2)) where the
     gradient is mean(b x (+1 other, -1 true)) + reg W."""
-    y = F.col("y")
-
-    def margin(s):
-        s_true = F.when(y == 1, s[1]).otherwise(s[0])
-        s_other = F.when(y == 1, s[0]).otherwise(s[1])
-        return hinge(s_other - s_true + 1)
+    def margin(s, y):
+        return np.maximum(0.0, np.where(y == 1, s[0] - s[1], s[1] - s[0]) + 1)
 
-    def coefs(s):
-        b = F.when(margin(s) > 0, F.lit(1.0)).otherwise(F.lit(0.0))
-        return [F.when(y == 0, -b).otherwise(b), F.when(y == 1, -b).otherwise(b)]
+    def coefs(s, y):
+        b = (margin(s, y) > 0).astype(float)
+        return [np.where(y == 0, -b, b), np.where(y == 1, -b, b)]
 
     loss, grad = _step(design, w, coefs, margin)
     n = float(design.n_docs)
@@ -235,12 +235,14 @@ def train_two_class(design: SparseDesign, lr: float = 0.01, w0: float = 0.1, reg
     return w, trace
 
 
-def linear_scores(features: DataFrame, spark: SparkSession, w: np.ndarray, size: int) -> DataFrame:
-    """J8 for scoring: (doc_id, s0[, s1]) = sum x * w per document."""
-    wt = weight_table(spark, w)
+def linear_scores(features: DataFrame, docs: DataFrame, w: np.ndarray) -> DataFrame:
+    """J8 for scoring: (doc_id, s0[, s1]) = sum x * w per document of
+    ``docs`` (doc_id); a document without features scores 0."""
+    wt = weight_table(features.sparkSession, w)
     k = len(wt.columns) - 1
-    return (features.join(bounded_broadcast(wt, size), "pos").groupBy("doc_id")
+    sums = (features.join(F.broadcast(wt), "pos").groupBy("doc_id")
             .agg(*[F.sum(F.col("x") * F.col(f"w{c}")).alias(f"s{c}") for c in range(k)]))
+    return docs.select("doc_id").join(sums, "doc_id", "left").fillna(0.0, [f"s{c}" for c in range(k)])
 
 
 def predict_threshold(scores: DataFrame) -> DataFrame:

@@ -2,18 +2,20 @@
 
 AUC is exact (Mann-Whitney with half credit for ties) without a global
 single-partition rank: rows are first grouped by distinct score, the distinct
-scores are cut into B ranges by approximate quantiles, and the number of
-negatives below each score is a prefix sum over the (<= B) range totals plus a
-window inside each range.  A score shared by a third of all rows is one row
-after the first aggregation.
+scores are range-partitioned (as many partitions as the data need), and the
+number of negatives below each score is a prefix sum over the partition totals
+plus a window inside each partition.  A score shared by a third of all rows is
+one row after the first aggregation.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodestar.operators.common import bounded_broadcast
 
 
 def confusion(df: DataFrame, label: str = "label", pred: str = "prediction") -> DataFrame:
@@ -65,74 +67,85 @@ def overall_metrics(per_class: DataFrame) -> DataFrame:
                          (F.sum(s * F.col("f1")) / total).alias("weighted_f1"))
 
 
-def auc(df: DataFrame, score: str = "score", label: str = "label", buckets: int = 1000) -> DataFrame:
+def auc(df: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
     """Exact area under the ROC curve, one row ``(auc, positives, negatives)``."""
     y = F.col(label).cast("int")
     per_score = df.groupBy(F.col(score).alias("s")).agg(
         F.sum(y).cast("double").alias("pos"), F.sum(1 - y).cast("double").alias("neg"))
-    probs = [i / buckets for i in range(1, buckets)]
-    bounds = per_score.select(F.percentile_approx("s", probs, 10 * buckets)).scalar()
-    # The bounds are a scalar subquery; materialise them as a column first
-    # (subqueries may not sit inside a lambda).
-    bucket = F.aggregate(F.col("bounds"), F.lit(0), lambda acc, b: acc + F.when(b <= F.col("s"), 1).otherwise(0))
-    keyed = per_score.withColumn("bounds", bounds).withColumn("bucket", bucket).drop("bounds")
-    totals = keyed.groupBy("bucket").agg(F.sum("neg").alias("bneg"))
-    before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("bucket", F.coalesce(F.sum("bneg").over(before), F.lit(0.0)).alias("off"))
-    inside = Window.partitionBy("bucket").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
-    # left join: every bucket has an offset row, and an inner join would make
-    # Catalyst infer isnotnull(bucket) and push the bucket expression down to
-    # the scan (evaluated per input row instead of per distinct score)
-    below = (keyed.join(bounded_broadcast(offsets, buckets + 1), "bucket", "left")
+    # Persisted, so that the offsets and the windows see the same ranges.
+    ranged = (per_score.repartitionByRange("s").withColumn("part", F.spark_partition_id())
+              .persist(StorageLevel.MEMORY_AND_DISK))
+    totals = ranged.groupBy("part").agg(F.sum("neg").alias("pneg"))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("part", F.coalesce(F.sum("pneg").over(before), F.lit(0.0)).alias("off"))
+    inside = Window.partitionBy("part").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
+    below = (ranged.join(offsets, "part")
              .select("pos", "neg", (F.col("off") + F.coalesce(F.sum("neg").over(inside), F.lit(0.0))).alias("nb")))
     return below.agg(
         (F.sum(F.col("pos") * (F.col("nb") + 0.5 * F.col("neg"))) / (F.sum("pos") * F.sum("neg"))).alias("auc"),
         F.sum("pos").cast("long").alias("positives"), F.sum("neg").cast("long").alias("negatives"))
 
 
-def argmax_class(scores: DataFrame, key: str, cls: str = "cls", score: str = "score") -> DataFrame:
-    """per key the class with the largest score; ties -> smaller class
-    (partial aggregation of ``max(struct(score, -cls))``)."""
-    best = F.max(F.struct(F.col(score).alias("s"), (-F.col(cls)).alias("neg_c")))
-    return scores.groupBy(key).agg(best.alias("b")).select(key, (-F.col("b.neg_c")).alias("prediction"))
+# Centroids are sent to the tasks in blocks of this many bytes.
+CENTROID_BYTES = 8 << 20
 
 
-def nearest_centroid(vectors: DataFrame, vec_col: str, label: str, keep: list[str],
-                     max_classes: int = 1000, max_dim: int = 4096) -> DataFrame:
+def centroids(vectors: DataFrame, vec_col: str, label: str) -> DataFrame:
+    """``(cls, i, mu)``: mean vector of every class.  Each task adds up its
+    rows by class and hands on one vector per class."""
+    kind = vectors.schema[label].dataType.simpleString()
+
+    def partial(batches):
+        sums, counts = {}, {}
+        for pdf in batches:
+            for cls, part in pdf.groupby(label, sort=False)[vec_col]:
+                x = np.vstack([np.asarray(v, dtype=np.float32).astype(float) for v in part])
+                sums[cls] = sums.get(cls, 0.0) + x.sum(axis=0)
+                counts[cls] = counts.get(cls, 0) + len(x)
+        for cls, s in sums.items():
+            yield pd.DataFrame({"cls": cls, "i": np.arange(len(s)), "s": s, "n": counts[cls]})
+
+    parts = vectors.select(label, vec_col).mapInPandas(partial, f"cls {kind}, i int, s double, n long")
+    return parts.groupBy("cls", "i").agg((F.sum("s") / F.sum("n")).alias("mu"))
+
+
+def nearest_centroid(vectors: DataFrame, vec_col: str, label: str, keep: list[str]) -> DataFrame:
     """F13 on a nearest-class-centroid rule: prediction = argmax_c
     x.mu_c - |mu_c|^2 / 2 (Euclidean), ties -> smaller class.
 
-    The centroids are one aggregate (classes x dimension values, counted
-    before they are collected); every vector is then scored in place with
-    numpy on Arrow batches -- no explode, no join, no shuffle of the vectors."""
-    import numpy as np
-    import pandas as pd
-
+    The table is read once for the centroids and once for the scores.  The
+    centroids go to the tasks in blocks of bounded bytes; every vector keeps
+    its best class so far from block to block, in place: no explode, join or
+    shuffle of the vectors."""
     spark = vectors.sparkSession
-    elems = vectors.select(F.col(label).alias("cls"), F.posexplode(vec_col).alias("i", "x"))
-    cent = elems.groupBy("cls", "i").agg(F.avg(F.col("x").cast("double")).alias("mu"))
-    n = cent.count()
-    if n > max_classes * max_dim:
-        raise ValueError(f"{n} centroid entries exceed the bound {max_classes} x {max_dim}")
-    rows = cent.collect()
-    classes = sorted({r["cls"] for r in rows})
-    dim = max(r["i"] for r in rows) + 1
-    mu = np.zeros((len(classes), dim))
-    for r in rows:
-        mu[classes.index(r["cls"]), r["i"]] = r["mu"]
-    params = spark.sparkContext.broadcast((mu, 0.5 * (mu * mu).sum(axis=1), np.array(classes)))
-    schema = ", ".join([vectors.schema[c].simpleString().replace(":", " ", 1) for c in keep]
-                       + ["prediction " + vectors.schema[label].dataType.simpleString()])
-
-    def score(batches):
-        m, half, cls = params.value
-        for pdf in batches:
-            if len(pdf) == 0:
-                continue
-            x = np.vstack([np.asarray(v, dtype=np.float32).astype(float) for v in pdf[vec_col]])
-            s = x @ m.T - half[None, :]
-            out = pdf[keep].copy()
-            out["prediction"] = cls[np.argmax(s, axis=1)]
-            yield out
-
-    return vectors.select(*dict.fromkeys(keep + [vec_col])).mapInPandas(score, schema)
+    kind = vectors.schema[label].dataType.simpleString()
+    cent = centroids(vectors, vec_col, label).persist(StorageLevel.MEMORY_AND_DISK)
+    blocks = max(1, -(-cent.count() * 16 // CENTROID_BYTES))
+    kept = list(dict.fromkeys([*keep, vec_col]))
+    out = vectors.select(*kept, F.lit(float("-inf")).alias("_best"), F.lit(None).cast(kind).alias("prediction"))
+    schema = out.schema
+    for b in range(blocks):
+        pdf = cent.where(F.pmod(F.xxhash64("cls"), F.lit(blocks)) == b).toPandas()
+        if len(pdf) == 0:
+            continue
+        wide = pdf.pivot(index="cls", columns="i", values="mu").sort_index().fillna(0.0)
+        mu = wide.to_numpy()
+        params = spark.sparkContext.broadcast((mu, 0.5 * (mu * mu).sum(axis=1), wide.index.to_numpy()))
+
+        def score(batches, params=params):
+            m, half, cls = params.value
+            for pdf in batches:
+                if len(pdf) == 0:
+                    continue
+                x = np.vstack([np.asarray(v, dtype=np.float32).astype(float) for v in pdf[vec_col]])
+                s = x @ m.T - half[None, :]
+                at = s.argmax(axis=1)
+                top, name, best = s[np.arange(len(s)), at], cls[at], pdf["_best"].to_numpy()
+                old = pdf["prediction"].to_numpy()
+                first = np.isneginf(best)
+                better = first | (top > best)
+                better[~better] = (top == best)[~better] & (name < old)[~better]
+                yield pdf.assign(_best=np.where(better, top, best), prediction=np.where(better, name, old))
+
+        out = out.mapInPandas(score, schema)
+    return out.select(*keep, "prediction")

@@ -1,15 +1,13 @@
 """Multinomial mixture over documents.
 
 Documents are rows ``(doc_id, label, pos[], x[])``.  The parameters -- class
-log-priors (C) and class-word log-probabilities (C x V), a bound fixed by the
-number of classes and the vocabulary -- enter every task as one scalar
-subquery value.  The posterior of a document is computed inside its row with
-higher-order functions (log space, maximum subtracted), so scoring never
-shuffles documents.  A Gibbs iteration draws each document's class by inverse
-CDF from a seeded hash of (seed, iteration, doc_id) -- reproducible under any
-partitioning or retry -- and aggregates class counts and per-(class, position)
-sums with partial aggregation; only those C x V sums reach the driver, where
-the Dirichlet draws happen.
+log-priors (C) and class-word log-probabilities (C x V), the model itself --
+are broadcast once per pass.  Scoring works in place with numpy on slices of
+Arrow batches of bounded size and never shuffles documents.  A Gibbs iteration
+draws each document's class by inverse CDF from a seeded hash of (seed,
+iteration, doc_id) and aggregates class counts and per-(class, position) sums
+with partial aggregation; only those C x V sums reach the driver, where the
+Dirichlet draws happen.
 """
 
 from __future__ import annotations
@@ -18,99 +16,53 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodestar.operators.linear import stable
+from lodestar.operators.common import global_rank
+from lodestar.operators.linear import sparse_slices, stable
 
 HASH_RANGE = float(2 ** 53)
 
 
 def class_index(labels: DataFrame, label: str = "label") -> DataFrame:
-    """Distinct labels numbered 0.. in alphabetical order (C rows)."""
-    distinct = labels.select(label).distinct()
-    return distinct.select(label, (F.dense_rank().over(Window.orderBy(label)) - 1).cast("int").alias("cls"))
-
-
-def flat_params(log_pi: DataFrame, log_mu: DataFrame) -> tuple[Column, Column]:
-    """Scalar-subquery columns: log_pi (C,) by class, log_mu flattened
-    row-major (C*V,) from (cls, log_mu array<double>)."""
-    pi_arr = log_pi.agg(F.transform(F.array_sort(F.collect_list(F.struct("cls", "log_pi"))),
-                                    lambda s: s["log_pi"]).alias("a")).scalar()
-    mu_arr = log_mu.agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("cls", "log_mu"))),
-                                              lambda s: s["log_mu"])).alias("a")).scalar()
-    return pi_arr, mu_arr
-
-
-def driver_params(spark: SparkSession, pi: np.ndarray, mu: np.ndarray) -> tuple[Column, Column]:
-    """Scalar-subquery columns from driver-held parameters (LocalRelation)."""
-    pdf = pd.DataFrame({"a": [np.log(pi).astype(float).tolist()], "b": [np.log(mu).reshape(-1).astype(float).tolist()]})
-    df = spark.createDataFrame(pdf, "a array<double>, b array<double>")
-    return df.select("a").scalar(), df.select("b").scalar()
-
-
-def _posterior_expr(lp: Column, finish) -> Column:
-    """Fold the log-scores ``lp`` once: collect them with their maximum, then
-    ``finish(a, m)`` works on lambda variables only, so the expensive score
-    array is evaluated exactly once per document."""
-    init = F.struct(F.array().cast("array<double>").alias("a"), F.lit(float("-inf")).alias("m"))
-    return F.aggregate(lp, init,
-                       lambda acc, v: F.struct(F.array_append(acc["a"], v).alias("a"),
-                                               F.greatest(acc["m"], v).alias("m")),
-                       lambda acc: finish(acc["a"], acc["m"]))
-
-
-def _normalised(a: Column, m: Column) -> Column:
-    z = F.aggregate(a, F.lit(0.0), lambda s, u: s + F.exp(u - m))
-    return F.transform(a, lambda v: F.exp(v - m) / z)
-
-
-def log_posterior_scores(rows: DataFrame, log_pi: Column, log_mu: Column, classes: int, size: int,
-                         draw_u: Column | None = None) -> DataFrame:
-    """Per row the posterior ``post`` (C,) of log pi_c + sum_w x_w log mu_cw
-    (log space, maximum subtracted).  With ``draw_u`` the row instead gets the
-    class ``c`` drawn by inverse CDF from that uniform."""
-    r = rows.withColumn("LPI", log_pi).withColumn("LMU", log_mu)
-
-    def class_score(c):
-        prods = F.zip_with("pos", "x", lambda p, v: v * F.element_at(F.col("LMU"), c * size + p + 1))
-        return F.element_at(F.col("LPI"), c + 1) + F.aggregate(prods, F.lit(0.0), lambda a, b: a + b)
-
-    lp = F.transform(F.sequence(F.lit(0), F.lit(classes - 1)), class_score)
-    if draw_u is None:
-        name, out = "post", _posterior_expr(lp, _normalised)
-    else:
-        name, out = "c", _posterior_expr(lp, lambda a, m: categorical_draw(_normalised(a, m), draw_u, classes))
-    return r.withColumn(name, out).drop("LPI", "LMU")
-
-
-def posterior_batches(rows: DataFrame, log_pi: np.ndarray, log_mu: np.ndarray, keep: list[str]) -> DataFrame:
-    """M24, vectorised: the same posterior as ``log_posterior_scores`` computed
-    with numpy on Arrow batches (``mapInPandas``); the (C,) and (C, V)
-    parameters are broadcast once.  Output: ``keep`` columns + ``post``."""
-    sc = rows.sparkSession.sparkContext
-    params = sc.broadcast((np.asarray(log_pi, float), np.ascontiguousarray(np.asarray(log_mu, float).T)))
+    """Distinct labels numbered 0.. in alphabetical order, without a
+    single-partition window."""
+    return global_rank(labels.select(label).distinct(), [F.asc(label)], "cls")
+
+
+def _log_scores(batch, log_pi: np.ndarray, log_mu: np.ndarray):
+    """``(first row, last row, log scores (rows, C), row of each entry, pos, x)``
+    of an Arrow batch, slice by slice; one class at a time, so the memory
+    follows the entries of a slice and not entries x classes."""
+    for lo, hi, row, pos, x in sparse_slices(batch):
+        lp = np.tile(log_pi, (hi - lo, 1))
+        for c, words in enumerate(log_mu):
+            lp[:, c] += np.bincount(row, x * words[pos], minlength=hi - lo)
+        yield lo, hi, lp, row, pos, x
+
+
+def _normalised(lp: np.ndarray) -> np.ndarray:
+    p = np.exp(lp - lp.max(axis=1, keepdims=True))
+    return p / p.sum(axis=1, keepdims=True)
+
+
+def posterior(rows: DataFrame, log_pi: np.ndarray, log_mu: np.ndarray, keep: list[str]) -> DataFrame:
+    """``keep`` columns and ``post``, the posterior (C,) of log pi_c + sum_w
+    x_w log mu_cw (log space, maximum subtracted), with numpy on Arrow batches;
+    the (C,) and (C, V) parameters are broadcast once."""
+    params = rows.sparkSession.sparkContext.broadcast((np.asarray(log_pi, float), np.ascontiguousarray(log_mu, float)))
     schema = ", ".join([rows.schema[c].simpleString().replace(":", " ", 1) for c in keep] + ["post array<double>"])
 
     def score(batches):
-        lpi, lmu_t = params.value
-        for pdf in batches:
-            if len(pdf) == 0:
-                continue
-            lens = pdf["pos"].map(len).to_numpy()
-            pos = np.concatenate(pdf["pos"].to_numpy()).astype(np.int64)
-            x = np.concatenate(pdf["x"].to_numpy()).astype(float)
-            ll = np.zeros((len(pdf), lmu_t.shape[1]))
-            np.add.at(ll, np.repeat(np.arange(len(pdf)), lens), x[:, None] * lmu_t[pos])
-            lp = lpi[None, :] + ll
-            lp -= lp.max(axis=1, keepdims=True)
-            p = np.exp(lp)
-            p /= p.sum(axis=1, keepdims=True)
-            out = pdf[keep].copy()
-            out["post"] = list(p)
-            yield out
-
-    return rows.select(*keep, "pos", "x").mapInPandas(score, schema)
+        lpi, lmu = params.value
+        for batch in batches:
+            for lo, hi, lp, *_ in _log_scores(batch, lpi, lmu):
+                columns = [batch.column(i).slice(lo, hi - lo) for i in range(len(keep))]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(list(_normalised(lp)))], names=[*keep, "post"])
+
+    return rows.select(*keep, "pos", "x").mapInArrow(score, schema)
 
 
 def collect_params(log_pi: DataFrame, log_mu: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -126,12 +78,9 @@ def hash_uniform(seed: int, iteration: int, key: str) -> Column:
     return F.pmod(h, F.lit(2 ** 53)).cast("double") / F.lit(HASH_RANGE)
 
 
-def categorical_draw(post: Column, u: Column, classes: int) -> Column:
+def categorical_draw(post: np.ndarray, u: np.ndarray) -> np.ndarray:
     """Inverse CDF: the number of cumulative probabilities <= u (clamped)."""
-    cum = F.transform(F.sequence(F.lit(1), F.lit(classes)),
-                      lambda k: F.aggregate(F.slice(post, 1, k), F.lit(0.0), lambda a, b: a + b))
-    n = F.size(F.filter(cum, lambda v: v <= u))
-    return F.least(n, F.lit(classes - 1)).cast("int")
+    return np.minimum((np.cumsum(post, axis=1) <= u[:, None]).sum(axis=1), post.shape[1] - 1)
 
 
 def validate_params(log_pi: DataFrame, log_mu: DataFrame, size: int, tol: float = 1e-3) -> DataFrame:
@@ -157,14 +106,19 @@ def mle_params(rows: DataFrame, cls_col: str, size: int, beta: float = 0.5) -> t
     log_pi = counts.select(F.col(cls_col).alias("cls"), F.ln(F.col("n") / total).alias("log_pi"))
     sums = (rows.select(cls_col, F.explode(F.arrays_zip("pos", "x")).alias("e"))
             .groupBy(cls_col, F.col("e.pos").alias("pos")).agg(F.sum("e.x").alias("s")))
-    per_cls = sums.groupBy(cls_col).agg(F.map_from_entries(F.collect_list(F.struct("pos", "s"))).alias("m"),
-                                        F.sum("s").alias("tot"))
-    log_mu = per_cls.select(
-        F.col(cls_col).alias("cls"),
-        F.transform(F.sequence(F.lit(0), F.lit(size - 1)),
-                    lambda p: F.ln((F.lit(beta) + F.coalesce(F.element_at("m", p), F.lit(0.0)))
-                                   / (F.lit(beta * size) + F.col("tot")))).alias("log_mu"))
-    return log_pi, log_mu
+    kind = rows.schema[cls_col].dataType.simpleString()
+
+    def smooth(batches):
+        for pdf in batches:
+            out = []
+            for pos, s in zip(pdf["pos"], pdf["s"]):
+                full = np.zeros(size)
+                full[np.asarray(pos, dtype=np.int64)] = s
+                out.append(np.log((beta + full) / (beta * size + full.sum())))
+            yield pd.DataFrame({"cls": pdf["cls"], "log_mu": out})
+
+    per_cls = sums.groupBy(F.col(cls_col).alias("cls")).agg(F.collect_list("pos").alias("pos"), F.collect_list("s").alias("s"))
+    return log_pi, per_cls.mapInPandas(smooth, f"cls {kind}, log_mu array<double>")
 
 
 @dataclass
@@ -173,99 +127,96 @@ class GibbsResult:
     mu: np.ndarray
     counts: list
     assigned: DataFrame
-
-
-def _batch_draw(pdf: pd.DataFrame, log_pi: np.ndarray, log_mu_t: np.ndarray):
-    """Vectorised posterior + inverse-CDF draw for one Arrow batch of
-    documents; ``log_mu_t`` is (V, C).  Returns (classes, flat pos, flat x,
-    lengths)."""
-    lens = pdf["pos"].map(len).to_numpy()
-    pos = np.concatenate(pdf["pos"].to_numpy()).astype(np.int64) if len(pdf) else np.zeros(0, np.int64)
-    x = np.concatenate(pdf["x"].to_numpy()).astype(float) if len(pdf) else np.zeros(0)
-    contrib = x[:, None] * log_mu_t[pos]
-    doc_of = np.repeat(np.arange(len(pdf)), lens)
-    ll = np.zeros((len(pdf), log_mu_t.shape[1]))
-    np.add.at(ll, doc_of, contrib)
-    lp = log_pi[None, :] + ll
-    lp -= lp.max(axis=1, keepdims=True)
-    p = np.exp(lp)
-    p /= p.sum(axis=1, keepdims=True)
-    cum = np.cumsum(p, axis=1)
-    u = pdf["u"].to_numpy()
-    c = np.minimum((cum <= u[:, None]).sum(axis=1), log_mu_t.shape[1] - 1)
-    return c, pos, x, lens
+    data: DataFrame         # cached rows behind ``assigned``: unpersist when done
 
 
 def gibbs(rows: DataFrame, classes: int, size: int, iterations: int = 200, alpha: float = 0.5,
-          beta: float = 0.5, seed: int = 7, accumulate: bool = False) -> GibbsResult:
+          beta: float = 0.5, seed: int = 7, accumulate: bool = True) -> GibbsResult:
     """Gibbs sampling of document classes.
 
-    Per iteration one ``mapInPandas`` pass over the cached documents computes
-    every posterior with numpy on Arrow batches, draws the class from the
-    JVM-computed hash uniform, and pre-aggregates class counts and
-    per-(class, position) sums inside the task; Spark then sums those partial
-    tables (at most C x V + C rows per task).  ``accumulate=False`` uses the
-    standard conditional update (alpha + n_c, beta + S_c); ``accumulate=True``
-    keeps adding the current shares and sums to the running
-    hyper-parameters instead."""
+    Per iteration one pass over the cached documents computes every posterior
+    with numpy on Arrow batches, draws the class from the JVM-computed hash
+    uniform, and adds up class counts and per-(class, position) sums inside the
+    task; Spark then sums those partial tables (at most C x V + C rows per
+    task).  ``accumulate=True`` keeps adding the current class shares and sums to
+    the running hyper-parameters (the reference's rule; on term frequencies it
+    keeps the classes in use); ``accumulate=False`` is the standard conditional
+    update (alpha + n_c, beta + S_c), meant for counts.
+
+    The draws' uniforms do not depend on partitioning or retries; the sums are
+    rounded to SUM_DIGITS before they feed the Dirichlet draws, so the order of
+    float additions does not show."""
     spark = rows.sparkSession
     sc = spark.sparkContext
-    data = stable(rows.select("doc_id", "pos", "x"))
+    extra = [c for c in rows.columns if c == "label"]
+    data = stable(rows.select("doc_id", *extra, "pos", "x"))
     rng = np.random.default_rng(seed)
     a = np.full(classes, alpha)
     b = np.full((classes, size), beta)
-    pi = rng.dirichlet(a)
-    mu = np.vstack([rng.dirichlet(b[c]) for c in range(classes)])
+    pi, mu = rng.dirichlet(a), _dirichlet_rows(rng, b)
     total = data.count()
     history = []
     for it in range(iterations):
-        params = sc.broadcast((np.log(pi), np.ascontiguousarray(np.log(mu).T)))
+        params = sc.broadcast((np.log(pi), np.log(mu)))
 
         def step(batches, params=params):
-            lpi, lmu_t = params.value
-            n_c = np.zeros(lpi.shape[0])
-            s_cw = np.zeros(lmu_t.shape[1] * lmu_t.shape[0])
-            for pdf in batches:
-                if len(pdf) == 0:
-                    continue
-                c, pos, x, lens = _batch_draw(pdf, lpi, lmu_t)
-                np.add.at(n_c, c, 1.0)
-                np.add.at(s_cw, np.repeat(c, lens) * lmu_t.shape[0] + pos, x)
-            nz = np.nonzero(s_cw)[0]
-            cz = np.nonzero(n_c)[0]
-            yield pd.DataFrame({"k": np.concatenate([nz, -1 - cz]).astype(np.int64),
-                                "v": np.concatenate([s_cw[nz], n_c[cz]])})
-
-        drawn = data.withColumn("u", hash_uniform(seed, it, "doc_id")).mapInPandas(step, "k long, v double")
+            lpi, lmu = params.value
+            n_c, s_cw = np.zeros(len(lpi)), np.zeros(lmu.size)
+            for batch in batches:
+                u = batch.column(2).to_numpy(zero_copy_only=False)
+                for lo, hi, lp, row, pos, x in _log_scores(batch, lpi, lmu):
+                    c = categorical_draw(_normalised(lp), u[lo:hi])
+                    n_c += np.bincount(c, minlength=len(n_c))
+                    s_cw += np.bincount(c[row] * lmu.shape[1] + pos, x, minlength=lmu.size)
+            nz, cz = np.flatnonzero(s_cw), np.flatnonzero(n_c)
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([nz, -1 - cz])),
+                                              pa.array(np.concatenate([s_cw[nz], n_c[cz]]))], names=["k", "v"])
+
+        drawn = data.select("pos", "x", hash_uniform(seed, it, "doc_id").alias("u")).mapInArrow(step, "k long, v double")
         agg = drawn.groupBy("k").agg(F.sum("v").alias("v")).toPandas()
         params.unpersist()
-        n_c = np.zeros(classes)
-        s_cw = np.zeros(classes * size)
-        for k, v in zip(agg["k"].to_numpy(), agg["v"].to_numpy()):
-            if k < 0:
-                n_c[-1 - k] = v
-            else:
-                s_cw[k] = v
+        k, v = agg["k"].to_numpy(), np.round(agg["v"].to_numpy(), SUM_DIGITS)
+        n_c, s_cw = np.zeros(classes), np.zeros(classes * size)
+        n_c[-1 - k[k < 0]] = v[k < 0]
+        s_cw[k[k >= 0]] = v[k >= 0]
         s_cw = s_cw.reshape(classes, size)
         if accumulate:
-            a = a + n_c / total
-            b = b + s_cw
+            a, b = a + n_c / total, b + s_cw
         else:
-            a = alpha + n_c
-            b = beta + s_cw
-        pi = rng.dirichlet(a)
-        mu = np.vstack([rng.dirichlet(b[c]) for c in range(classes)])
+            a, b = alpha + n_c, beta + s_cw
+        pi, mu = rng.dirichlet(a), _dirichlet_rows(rng, b)
         history.append(n_c.tolist())
-    lpi, lmu = driver_params(spark, pi, mu)
-    final = log_posterior_scores(rows, lpi, lmu, classes, size,
-                                 draw_u=hash_uniform(seed, iterations, "doc_id"))
-    assigned = final.select("doc_id", *[c for c in rows.columns if c == "label"], F.col("c").alias("cluster"))
-    data.unpersist()
-    return GibbsResult(pi, mu, history, assigned)
+    final = posterior(data.withColumn("u", hash_uniform(seed, iterations, "doc_id")), np.log(pi), np.log(mu),
+                      ["doc_id", *extra, "u"])
+    return GibbsResult(pi, mu, history, final.select("doc_id", *extra, drawn_class("post", "u").alias("cluster")), data)
+
+
+SUM_DIGITS = 9
+
+
+def _dirichlet_rows(rng, b: np.ndarray) -> np.ndarray:
+    """One Dirichlet draw per row; draws that underflow to 0 become the least positive value."""
+    g = np.maximum(rng.standard_gamma(b), np.finfo(float).tiny)
+    return g / g.sum(axis=1, keepdims=True)
+
+
+def drawn_class(post: str, u: str) -> Column:
+    """``categorical_draw`` on a posterior column."""
+    fold = F.aggregate(post, F.struct(F.lit(0.0).alias("cum"), F.lit(0).alias("n")), lambda acc, p: F.struct(
+        (acc["cum"] + p).alias("cum"), (acc["n"] + F.when(acc["cum"] + p <= F.col(u), 1).otherwise(0)).alias("n")))
+    return F.least(fold["n"], F.size(post) - 1).cast("int")
 
 
 # ------------------------------------------------------------------ reports
 
+def cluster_sizes(assigned: DataFrame, rows: DataFrame, cluster: str = "cluster") -> DataFrame:
+    """Per cluster the number of documents and, per position, the summed
+    feature values: ``(cluster, n_docs, pos, total)``."""
+    sizes = assigned.groupBy(cluster).agg(F.count(F.lit(1)).alias("n_docs"))
+    sums = (rows.select("doc_id", F.explode(F.arrays_zip("pos", "x")).alias("e")).join(assigned.select("doc_id", cluster), "doc_id")
+            .groupBy(cluster, F.col("e.pos").alias("pos")).agg(F.sum("e.x").alias("total")))
+    return sums.join(sizes, cluster)
+
 def top_words(log_mu: DataFrame, vocab: DataFrame, k: int = 50, key_digits: int = 12) -> DataFrame:
     """Per class the k most probable words (ties -> smaller position)."""
     long = log_mu.select("cls", F.posexplode("log_mu").alias("pos", "lm"))

@@ -6,7 +6,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestar.operators.common import bounded_broadcast
 from lodestar.operators.textfeatures import TextFeatures
 
 TIE_DIGITS = 9
@@ -17,7 +16,7 @@ def query_vector(features: TextFeatures, query: DataFrame,
     """J6 + M1 + M3 for the query text(s): ``(qid, pos, w)`` with the query's
     own TF times the corpus IDF.  At most ``size`` rows per query."""
     q_tf = features.encode(query, id_col, text_col)
-    return (q_tf.join(bounded_broadcast(features.idf, features.size), "pos")
+    return (q_tf.join(F.broadcast(features.idf), "pos")
             .select(F.col("doc_id").alias("qid"), "pos", (F.col("tf") * F.col("idf")).alias("w")))
 
 
@@ -25,7 +24,7 @@ def dot_scores(features: TextFeatures, qvec: DataFrame, normalize: bool = False)
     """``(doc_id, score)`` = sum over shared positions of tfidf * w for a
     single query vector (<= size rows, broadcast).  ``normalize`` divides by
     both L2 norms (true cosine); the default is the plain dot product."""
-    joined = features.tfidf.join(bounded_broadcast(qvec.select("pos", "w"), features.size), "pos")
+    joined = features.tfidf.join(F.broadcast(qvec.select("pos", "w")), "pos")
     scores = joined.groupBy("doc_id").agg(F.sum(F.col("tfidf") * F.col("w")).alias("score"))
     if normalize:
         doc_norm = features.tfidf.groupBy("doc_id").agg(
@@ -50,8 +49,7 @@ def similarity_topk(features: TextFeatures, query: DataFrame, k: int,
     # differ in the last bits by summation order); ties -> smaller doc_id
     key = F.round("score", TIE_DIGITS)
     positive = scores.filter(F.col("score") > 0).orderBy(key.desc(), F.asc("doc_id")).limit(k)
-    # features.tf is hash-partitioned by doc_id, so this distinct needs no shuffle.
-    first_ids = features.tf.select("doc_id").distinct().orderBy("doc_id").limit(2 * k)
+    first_ids = features.docs.select("doc_id").orderBy("doc_id").limit(2 * k)
     zeros = (first_ids.join(F.broadcast(positive.select("doc_id")), "doc_id", "left_anti")
              .select("doc_id", F.lit(0.0).alias("score")))
     return positive.unionByName(zeros).orderBy(key.desc(), F.asc("doc_id")).limit(k)

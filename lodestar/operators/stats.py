@@ -12,11 +12,11 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lodestar.functions.numeric import significant
-from lodestar.operators.common import bounded_broadcast
 
 
 def _c(c) -> Column:
@@ -25,13 +25,6 @@ def _c(c) -> Column:
 
 # ---------------------------------------------------------------- A13 / M7
 
-def simple_sums(df: DataFrame, x, y) -> DataFrame:
-    """N, sum x, sum y, sum xy, sum x^2, sum y^2 in one aggregate."""
-    xs, ys = _c(x).cast("double"), _c(y).cast("double")
-    return df.agg(F.count(F.lit(1)).alias("n"), F.sum(xs).alias("sx"), F.sum(ys).alias("sy"),
-                  F.sum(xs * ys).alias("sxy"), F.sum(xs * xs).alias("sxx"), F.sum(ys * ys).alias("syy"))
-
-
 def ols_fit(df: DataFrame, x, y) -> DataFrame:
     """M7: closed-form simple least squares (numerically stable built-ins)."""
     xs, ys = _c(x).cast("double"), _c(y).cast("double")
@@ -110,26 +103,34 @@ def trace_frame(spark: SparkSession, rows: list[tuple], names: list[str]) -> Dat
 # ---------------------------------------------------------------- J9
 
 def gram_matrix(df: DataFrame, vec_col: str) -> DataFrame:
-    """(i, j, sum x_i x_j) for i <= j over array rows.
-
-    Each row emits d*(d+1)/2 products (fixed by the vector dimension d, not by
-    the data) and the partial aggregate folds them per task before the
-    shuffle, so the exchange carries at most that many rows per task."""
-    v = F.col(vec_col)
-    last = F.size(v) - 1
-    prods = F.flatten(F.transform(F.sequence(F.lit(0), last), lambda i: F.transform(
-        F.sequence(i, last),
-        lambda j: F.struct(i.alias("i"), j.alias("j"),
-                           (v[i].cast("double") * v[j].cast("double")).alias("p")))))
-    return (df.select(F.explode(prods).alias("e"))
-            .groupBy(F.col("e.i").alias("i"), F.col("e.j").alias("j"))
-            .agg(F.sum("e.p").alias("g")))
+    """(i, j, sum x_i x_j) for i <= j over array rows (null vectors and
+    null components count as zeros).
+
+    Each task adds up one product X'X per Arrow batch and hands on its d x d
+    sums once (d is the vector dimension), which are then added by (i, j)."""
+    def partial(batches):
+        total = np.zeros((0, 0))
+        for batch in batches:
+            rows = batch.column(0)
+            sizes = rows.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+            flat = np.nan_to_num(rows.flatten().cast(pa.float64()).fill_null(0.0).to_numpy(zero_copy_only=False))
+            d = int(sizes.max(initial=0))
+            x = np.zeros((len(sizes), d))
+            x[np.arange(d)[None, :] < sizes[:, None]] = flat
+            if d > len(total):
+                total = np.pad(total, (0, d - len(total)))
+            total[:d, :d] += x.T @ x
+        i, j = np.triu_indices(len(total))
+        yield pa.RecordBatch.from_arrays([pa.array(i), pa.array(j), pa.array(total[i, j])], names=["i", "j", "g"])
+
+    return (df.select(vec_col).mapInArrow(partial, "i long, j long, g double")
+            .groupBy("i", "j").agg(F.sum("g").alias("g")))
 
 
 # ---------------------------------------------------------------- A14-A16, T6, T11, M17
 
-def column_moments(features: DataFrame, n_rows: Column, size: int,
-                   key: str = "doc_id", pos: str = "pos", val: str = "tf") -> DataFrame:
+def column_moments(features: DataFrame, n_rows: Column,
+                   pos: str = "pos", val: str = "tf") -> DataFrame:
     """Mean and population variance of every position over ``n_rows``
     rows, where absent (doc, pos) entries are zeros.  Two passes: the mean
     (<= size rows, broadcast) and the centred sum
@@ -137,7 +138,7 @@ def column_moments(features: DataFrame, n_rows: Column, size: int,
     n = n_rows.cast("double")
     means = (features.groupBy(pos).agg(F.sum(val).alias("s"), F.count(F.lit(1)).alias("nnz"))
              .select(pos, "nnz", (F.col("s") / n).alias("mean")))
-    centred = (features.join(bounded_broadcast(means, size), pos)
+    centred = (features.join(F.broadcast(means), pos)
                .groupBy(pos, "nnz", "mean")
                .agg(F.sum((F.col(val) - F.col("mean")) ** 2).alias("ss")))
     return centred.select(pos, "nnz", "mean",
@@ -155,9 +156,14 @@ def top_variance(moments: DataFrame, m: int, key_digits: int = 10) -> DataFrame:
                       F.ln("variance").alias("log_variance"))
 
 
-def select_positions(features: DataFrame, selected: DataFrame, m: int, pos: str = "pos") -> DataFrame:
-    """Keep only the selected positions (fit on train, apply anywhere)."""
-    return features.join(bounded_broadcast(selected.select(pos), m), pos, "left_semi")
+def select_positions(features: DataFrame, selected: DataFrame, pos: str = "pos", val: str = "tf") -> DataFrame:
+    """Keep only the selected positions (fit on train, apply anywhere).
+    Entries elsewhere become nulls instead of going, so a document without any
+    selected position stays as an all-zero row."""
+    chosen = selected.select(F.col(pos).alias("_chosen"))
+    hit = features.join(F.broadcast(chosen), F.col(pos) == F.col("_chosen"), "left")
+    return hit.select(*[c for c in features.columns if c not in (pos, val)], F.col("_chosen").alias(pos),
+                      F.when(F.col("_chosen").isNotNull(), F.col(val)).alias(val))
 
 
 def positive_count(df: DataFrame, label: str = "label") -> DataFrame:

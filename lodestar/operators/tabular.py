@@ -2,7 +2,7 @@
 
 Category handling stays in DataFrames: frequency indexing and the category
 vocabulary are distributed rankings over *distinct* values (``global_rank``:
-no single-partition window) applied back with size-checked broadcast joins; the multi-hot
+no single-partition window) applied back with joins; the multi-hot
 encoding is kept sparse (sorted positions).  Model fitting uses pyspark.ml.
 """
 
@@ -14,9 +14,7 @@ from pyspark.ml.feature import CountVectorizerModel, StringIndexer, VectorAssemb
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodestar.operators.common import checked_broadcast, global_rank
-
-MAX_CATEGORIES = 1_000_000  # bound for broadcasting an index of distinct values
+from lodestar.operators.common import global_rank
 
 
 def typed_projection(df: DataFrame, types: dict[str, str]) -> DataFrame:
@@ -44,8 +42,7 @@ def frequency_index(df: DataFrame, col: str) -> DataFrame:
 def apply_index(df: DataFrame, col: str, index: DataFrame, out: str) -> DataFrame:
     """Replace categories by their index; unseen values get ``size`` (keep bucket)."""
     size = index.select(F.count(F.lit(1))).scalar()
-    idx = checked_broadcast(index.withColumnRenamed("value", col), MAX_CATEGORIES)
-    return df.join(idx, col, "left").withColumn(out, F.coalesce(F.col("idx"), size.cast("int"))).drop("idx")
+    return df.join(index.withColumnRenamed("value", col), col, "left").withColumn(out, F.coalesce(F.col("idx"), size.cast("int"))).drop("idx")
 
 
 def category_vocabulary(df: DataFrame, arr_col: str) -> DataFrame:
@@ -58,7 +55,7 @@ def multi_hot_positions(df: DataFrame, key: str, arr_col: str, vocab: DataFrame)
     """(key, positions) -- the sorted vocabulary positions present in the
     row's category set (the sparse form of the multi-hot vector)."""
     exploded = df.select(key, F.explode(F.array_distinct(arr_col)).alias("category"))
-    hot = exploded.join(checked_broadcast(vocab, MAX_CATEGORIES), "category")
+    hot = exploded.join(vocab, "category")
     return hot.groupBy(key).agg(F.array_sort(F.collect_list("idx")).alias("positions"))
 
 
@@ -69,18 +66,21 @@ def hash_split(df: DataFrame, key: str, seed: int, test_percent: int = 10) -> tu
     return df.filter(~test), df.filter(test)
 
 
-def classifier_pipeline(nominal: list[str], numeric: list[str], categories_col: str,
-                        categories: list[str], label: str, model: str = "logistic") -> Pipeline:
-    """Index nominal columns (fit on the training data; unseen values
-    kept in an extra bucket), multi-hot categories, assemble, classify."""
+def feature_pipeline(nominal: list[str], numeric: list[str], categories_col: str, categories: list[str]) -> Pipeline:
+    """Index nominal columns (fit on the training data; unseen values kept
+    in an extra bucket), multi-hot categories, assemble.  The category list is
+    part of the model: it is as long as the model's weight vector."""
     indexer = StringIndexer(inputCols=nominal, outputCols=[f"{c}_idx" for c in nominal],
                             handleInvalid="keep", stringOrderType="frequencyDesc")
     hot = CountVectorizerModel.from_vocabulary(categories, inputCol=categories_col,
                                                outputCol="categories_vec", binary=True)
     assembler = VectorAssembler(inputCols=numeric + [f"{c}_idx" for c in nominal] + ["categories_vec"],
                                 outputCol="features", handleInvalid="keep")
+    return Pipeline(stages=[indexer, hot, assembler])
+
+
+def classifier(label: str, model: str = "logistic"):
+    """Logistic regression (L-BFGS) or a linear SVM on assembled features."""
     if model == "logistic":
-        clf = LogisticRegression(maxIter=100, featuresCol="features", labelCol=label)
-    else:
-        clf = LinearSVC(maxIter=100, regParam=0.0, featuresCol="features", labelCol=label)
-    return Pipeline(stages=[indexer, hot, assembler, clf])
+        return LogisticRegression(maxIter=100, featuresCol="features", labelCol=label)
+    return LinearSVC(maxIter=100, regParam=0.0, featuresCol="features", labelCol=label)

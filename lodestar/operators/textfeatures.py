@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestar.functions import text as T
-from lodestar.operators.common import bounded_broadcast
 
 
 def tokenize(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -51,30 +50,36 @@ def vocabulary(tokenized: DataFrame, size: int,
     return top.select("word", (F.row_number().over(rank) - 1).cast("int").alias("pos"))
 
 
-def doc_terms(tokenized: DataFrame, vocab: DataFrame, size: int,
+def doc_terms(tokenized: DataFrame, vocab: DataFrame,
               stop_words: list[str] | None = None) -> DataFrame:
     """In-vocabulary token occurrences ``(doc_id, pos)``; out-of-vocabulary
     tokens drop out through the inner join with the broadcast dictionary."""
     return (all_words(tokenized, stop_words)
-            .join(bounded_broadcast(vocab, size), "word")
+            .join(F.broadcast(vocab), "word")
             .select("doc_id", "pos"))
 
 
-def term_counts(terms: DataFrame) -> DataFrame:
-    """``(doc_id, pos, n)``."""
-    return terms.groupBy("doc_id", "pos").agg(F.count(F.lit(1)).alias("n"))
+def doc_positions(terms: DataFrame) -> DataFrame:
+    """``(doc_id, positions)``: the in-vocabulary occurrences of each document
+    (its own length bounds the array).  The only shuffle of the chain; the
+    filter, always true, keeps every branch reading both columns, so all
+    branches share one exchange."""
+    return (terms.groupBy("doc_id").agg(F.collect_list("pos").alias("positions"))
+            .filter(F.size("positions") > 0))
 
 
-def term_frequency(counts: DataFrame) -> DataFrame:
-    """``tf = n / sum(n) over the document``; sums to 1 per document."""
-    per_doc = Window.partitionBy("doc_id")
-    return counts.select("doc_id", "pos",
-                         (F.col("n") / F.sum("n").over(per_doc)).alias("tf"))
+def term_counts(docs: DataFrame) -> DataFrame:
+    """A11, M1/W2 in one pass over ``doc_positions``: ``(doc_id, pos, n, tf)``
+    with ``tf = n / positions of the document`` (sums to 1 per document).  The
+    grouping keeps the partitioning by ``doc_id``: no shuffle."""
+    each = docs.select("doc_id", F.size("positions").alias("total"), F.explode("positions").alias("pos"))
+    counts = each.groupBy("doc_id", "total", "pos").agg(F.count(F.lit(1)).alias("n"))
+    return counts.select("doc_id", "pos", "n", (F.col("n") / F.col("total")).alias("tf"))
 
 
 def document_frequency(counts: DataFrame) -> DataFrame:
     """Number of documents containing each position."""
-    return counts.groupBy("pos").agg(F.count(F.lit(1)).alias("df"))
+    return counts.groupBy("pos").agg(F.count_if(F.col("n") > 0).alias("df"))
 
 
 def inverse_document_frequency(dfreq: DataFrame, n_docs: Column) -> DataFrame:
@@ -83,9 +88,9 @@ def inverse_document_frequency(dfreq: DataFrame, n_docs: Column) -> DataFrame:
     return dfreq.select("pos", F.ln(n_docs.cast("double") / F.col("df")).alias("idf"))
 
 
-def tfidf(tf: DataFrame, idf: DataFrame, size: int) -> DataFrame:
+def tfidf(tf: DataFrame, idf: DataFrame) -> DataFrame:
     """``(doc_id, pos, tfidf)`` = tf * idf (idf broadcast, <= size rows)."""
-    return (tf.join(bounded_broadcast(idf, size), "pos")
+    return (tf.join(F.broadcast(idf), "pos")
             .select("doc_id", "pos", (F.col("tf") * F.col("idf")).alias("tfidf")))
 
 
@@ -94,30 +99,23 @@ def doc_count(docs: DataFrame) -> Column:
     return docs.select(F.count(F.lit(1))).scalar()
 
 
-def position_lines(counts: DataFrame) -> DataFrame:
-    """A10 + K2: ``doc_id,p1,p2,...`` with every occurrence, positions ascending.
-
-    Built from the per-document counts, so each group holds at most one entry
-    per distinct position (bounded by the vocabulary), never raw tokens.
-    """
-    entries = F.array_sort(F.collect_list(F.struct("pos", "n")))
-    positions = F.flatten(F.transform(entries, lambda s: F.array_repeat(s["pos"], s["n"].cast("int"))))
-    return (counts.groupBy("doc_id")
-            .agg(positions.alias("positions"))
-            .select("doc_id", T.join_positions("doc_id", "positions").alias("line")))
+def position_lines(docs: DataFrame) -> DataFrame:
+    """A10 + K2: ``doc_id,p1,p2,...`` with every occurrence, positions ascending."""
+    ordered = docs.select("doc_id", F.sort_array("positions").alias("positions"))
+    return ordered.select("doc_id", T.join_positions("doc_id", "positions").alias("line"))
 
 
 class TextFeatures:
     """The full chain F1 -> A8 -> T3 -> J1 -> A11 -> M1 -> A12 -> M2 -> M3 for
     one corpus, exposing each stage as a DataFrame.
 
-    The two corpus passes (word counts for the dictionary, then the
-    in-dictionary term counts) feed many branches (query encoding, TF, DF,
-    IDF, TF-IDF).  Within one query AQE reuses the identical exchanges; when
-    the stages feed *several jobs* (training then evaluation, parameters then
-    scoring) pass ``persist=True``: the bounded dictionary and the
-    ``(doc_id, pos, n)`` counts are then persisted (memory and disk, rebuilt
-    from lineage if an executor is lost).  Call ``release()`` when done."""
+    The texts are tokenised twice: for the dictionary, and for the positions
+    of each document, which every branch (query encoding, TF, DF, IDF, TF-IDF)
+    reads whole, so the branches of one query share one exchange.  When the
+    stages feed *several jobs* (training then evaluation, parameters then
+    scoring) pass ``persist=True``: the bounded dictionary and the positions
+    are then persisted (memory and disk, rebuilt from lineage if an executor
+    is lost).  Call ``release()`` when done."""
 
     def __init__(self, docs: DataFrame, size: int, stop_words: list[str] | None = None,
                  id_col: str = "doc_id", text_col: str = "text", n_docs: Column | None = None,
@@ -128,21 +126,21 @@ class TextFeatures:
         self.vocab = vocabulary(self.tokenized, size, stop_words)
         if persist:
             self.vocab = self.vocab.persist(StorageLevel.MEMORY_AND_DISK)
-        self.terms = doc_terms(self.tokenized, self.vocab, size, stop_words)
-        self.counts = term_counts(self.terms)
+        self.docs = doc_positions(doc_terms(self.tokenized, self.vocab, stop_words))
         if persist:
-            self.counts = self.counts.persist(StorageLevel.MEMORY_AND_DISK)
-        self.tf = term_frequency(self.counts)
+            self.docs = self.docs.persist(StorageLevel.MEMORY_AND_DISK)
+        self.counts = term_counts(self.docs)
+        self.tf = self.counts.drop("n")
         self.df = document_frequency(self.counts)
         self.n_docs = n_docs if n_docs is not None else doc_count(docs)
         self.idf = inverse_document_frequency(self.df, self.n_docs)
-        self.tfidf = tfidf(self.tf, self.idf, size)
+        self.tfidf = tfidf(self.tf, self.idf)
 
     def release(self) -> None:
-        self.counts.unpersist()
+        self.docs.unpersist()
         self.vocab.unpersist()
 
     def encode(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
         """Term frequencies of other documents under this fitted dictionary."""
         toks = tokenize(docs, id_col, text_col)
-        return term_frequency(term_counts(doc_terms(toks, self.vocab, self.size, self.stop_words)))
+        return term_counts(doc_positions(doc_terms(toks, self.vocab, self.stop_words))).drop("n")

@@ -22,9 +22,11 @@ TIE_DIGITS = 9  # ratios equal to 9 decimals count as ties
 
 def split_lines(lines: DataFrame, value_col: str = "value", arity: int = ARITY) -> DataFrame:
     """P1 + P2: strip a trailing newline, split on commas, keep lines with
-    exactly ``arity`` fields.  Result column ``f`` is the field array."""
+    exactly ``arity`` fields.  Result column ``f`` is the field array.  The
+    array passes through a one-element ``explode``: a generator's output is a
+    value, so the split is not evaluated again for every field."""
     fields = F.split(F.regexp_replace(F.col(value_col), r"\n$", ""), ",", -1)
-    return lines.select(fields.alias("f")).filter(F.size("f") == arity)
+    return lines.select(F.explode(F.array(fields)).alias("f")).filter(F.size("f") == arity)
 
 
 def numeric_ok(fields: Column, idx: list[int]) -> Column:

@@ -1,8 +1,10 @@
 """Registered text-classifier queries: documents joined with ``labels``
-(label = ``quality``), TF features over a 200-word vocabulary.
+(label = ``quality``), TF features over a 20,000-word vocabulary.
 
-The train/test split is a seeded hash of ``doc_id`` (stable under any
-repartitioning), 90 % train.
+The split is by ``doc_id`` modulo 10 (0: test); SQL can express it, so two
+unrolled steps of every optimiser and the evaluations on them are checked.
+Every labelled training document is trained on and every labelled test document
+is scored; one without a word of the dictionary is an all-zero row.
 """
 
 from __future__ import annotations
@@ -20,25 +22,29 @@ from lodestar.plans.registry import register
 from lodestar.plans.sqlparts import features_ctes, sig
 from lodestar.sources.tables import table
 
-VOCAB = 200
-SEED = 12345
+VOCAB = 20_000
 SIG = 8
-SELECT_M = 100
+SELECT_M = 10_000
 
 
 def is_test(doc_id="doc_id"):
-    return F.pmod(F.xxhash64(F.col(doc_id), F.lit(SEED)), F.lit(10)) == 0
+    return F.pmod(F.col(doc_id), F.lit(10)) == 0
 
 
 def _labels(spark, sf):
     return table(spark, sf, "labels", "doc_id", "quality").select("doc_id", F.col("quality").alias("y"))
 
 
+def _labelled(docs, labels):
+    """(doc_id, y) of the labelled documents of ``docs``."""
+    return labels.join(docs.select("doc_id"), "doc_id", "left_semi")
+
+
 def _all_design(spark, sf):
     docs = table(spark, sf, "documents", "doc_id", "text")
     f = TF.TextFeatures(docs, VOCAB)
     feats = f.tf.select("doc_id", "pos", F.col("tf").alias("x"))
-    return LN.SparseDesign.build(feats, _labels(spark, sf), VOCAB)
+    return LN.SparseDesign.build(feats, _labelled(docs, _labels(spark, sf)), VOCAB)
 
 
 class _Split:
@@ -48,9 +54,9 @@ class _Split:
     def __init__(self, spark, sf, select_m: int | None = None):
         docs = table(spark, sf, "documents", "doc_id", "text")
         self.spark = spark
-        self.labels = _labels(spark, sf)
-        train_docs = docs.filter(~is_test())
-        test_docs = docs.filter(is_test())
+        train_docs, test_docs = docs.filter(~is_test()), docs.filter(is_test())
+        labels = _labels(spark, sf)
+        self.train_labels, self.test_labels = _labelled(train_docs, labels), _labelled(test_docs, labels)
         f = TF.TextFeatures(train_docs, VOCAB, persist=True)   # design job + test job
         self.features = f
         self.train_tokens = f.tokenized
@@ -59,42 +65,124 @@ class _Split:
         test = f.encode(test_docs).select("doc_id", "pos", F.col("tf").alias("x"))
         self.size = VOCAB
         if select_m:
-            lab_train = train.join(self.labels, "doc_id", "left_semi")
-            n = lab_train.select(F.count_distinct("doc_id")).scalar()
-            mom = ST.column_moments(lab_train.withColumnRenamed("x", "tf"), n, VOCAB)
-            top = ST.top_variance(mom, select_m)
+            n = self.train_labels.select(F.count(F.lit(1))).scalar()
+            mom = ST.column_moments(train.join(self.train_labels, "doc_id", "left_semi"), n, val="x")
             # re-number the selected positions 0..m-1 (dense weight rows)
-            remap = F.broadcast(top.select("pos", (F.col("rank") - 1).cast("int").alias("new_pos")))
-            train = train.join(remap, "pos").select("doc_id", F.col("new_pos").alias("pos"), "x")
-            test = test.join(remap, "pos").select("doc_id", F.col("new_pos").alias("pos"), "x")
+            remap = ST.top_variance(mom, select_m).select("pos", (F.col("rank") - 1).cast("int").alias("new_pos"))
+            train, test = (x.join(F.broadcast(remap), "pos").select("doc_id", F.col("new_pos").alias("pos"), "x")
+                           for x in (train, test))
             self.size = select_m
-        self.design = LN.SparseDesign.build(train, self.labels, self.size)
-        self.test = test.join(self.labels, "doc_id", "left_semi")
+        self.design = LN.SparseDesign.build(train, self.train_labels, self.size)
+        self.test = test.join(self.test_labels, "doc_id", "left_semi")
 
     def evaluate(self, w: np.ndarray, two_class: bool = False):
-        scores = LN.linear_scores(self.test, self.spark, w, self.size)
+        """Predictions of every labelled test document, and the F1 report."""
+        scores = LN.linear_scores(self.test, self.test_labels, w)
         pred = LN.predict_argmax2(scores) if two_class else LN.predict_threshold(scores)
-        joined = pred.join(self.labels.withColumnRenamed("y", "label"), "doc_id")
+        joined = pred.join(self.test_labels.withColumnRenamed("y", "label"), "doc_id")
         return joined, MT.f1_from_confusion(MT.confusion(joined))
 
-
-def _two_step_sql(steps: int = 2, lr: float = 0.01, w0: float = 0.01) -> str:
-    ctes = [features_ctes(VOCAB),
-            "d AS (SELECT doc_id, pos, tf AS x, CAST(l.quality AS DOUBLE) AS y FROM tf JOIN labels l USING (doc_id))",
-            f"w0 AS (SELECT pos, CAST({w0!r} AS DOUBLE) AS w FROM vocab)"]
-    rate, prev = lr, "CAST(1.7976931348623157e308 AS DOUBLE)"
-    rate_sql = f"CAST({lr!r} AS DOUBLE)"
-    for k in range(steps):
-        ctes.append(f"t{k} AS (SELECT doc_id, y, sum(x * w) AS theta FROM d JOIN w{k} USING (pos) GROUP BY doc_id, y)")
-        ctes.append(f"c{k} AS (SELECT sum(-y * theta + greatest(theta, 0) + ln(1 + exp(-abs(theta)))) AS cost FROM t{k})")
-        ctes.append(f"g{k} AS (SELECT pos, sum(d.x * (1.0 / (1.0 + exp(-t{k}.theta)) - d.y)) AS g FROM d JOIN t{k} USING (doc_id) GROUP BY pos)")
-        ctes.append(f"w{k + 1} AS (SELECT pos, w - {rate_sql} * coalesce(g, 0.0) AS w FROM w{k} LEFT JOIN g{k} USING (pos))")
-        rate_sql = (f"({rate_sql} * CASE WHEN (SELECT cost FROM c{k}) < {prev} THEN 1.05 ELSE 0.5 END)")
-        prev = f"(SELECT cost FROM c{k})"
-    return "WITH " + ",\n".join(ctes) + f"\nSELECT pos, {sig('w')} AS w FROM w{steps}"
-
-
-@register("logreg_gd_two_steps", sql=_two_step_sql())
+    def release(self) -> None:
+        self.design.release()
+        self.features.release()
+
+
+TRAIN = "(SELECT * FROM documents WHERE doc_id % 10 <> 0)"
+
+
+def _bold(steps: int, lr: float, loss: str) -> list[str]:
+    """SQL of the rate of each step: M11's rule on the losses before."""
+    rates, prev = [f"CAST({lr!r} AS DOUBLE)"], "CAST(1.7976931348623157e308 AS DOUBLE)"
+    for k in range(steps - 1):
+        rates.append(f"({rates[-1]} * CASE WHEN (SELECT {loss} FROM c{k}) < {prev} THEN 1.05 ELSE 0.5 END)")
+        prev = f"(SELECT {loss} FROM c{k})"
+    return rates
+
+
+def _training_ctes(source: str = TRAIN, select_m: int | None = None) -> list[str]:
+    """Features, labelled rows ``lab(doc_id, y)``, entries ``d(doc_id, pos, x)`` and weights' positions ``ps``."""
+    ctes = [features_ctes(VOCAB, source=source),
+            f"lab AS (SELECT l.doc_id, CAST(l.quality AS DOUBLE) AS y FROM labels l SEMI JOIN {source} t USING (doc_id))",
+            "nl AS (SELECT CAST(count(*) AS DOUBLE) AS n FROM lab)",
+            "d0 AS (SELECT doc_id, pos, tf AS x FROM tf SEMI JOIN lab USING (doc_id))"]
+    if select_m is None:
+        return [*ctes, "d AS (SELECT * FROM d0)", "remap AS (SELECT pos AS old, pos FROM vocab)", f"ps AS (SELECT CAST(range AS INTEGER) AS pos FROM range({VOCAB}))"]
+    return [*ctes,
+            "m AS (SELECT pos, count(*) AS nnz, sum(x) / (SELECT n FROM nl) AS mean FROM d0 GROUP BY pos)",
+            "v AS (SELECT pos, (sum((x - mean) * (x - mean)) + ((SELECT n FROM nl) - nnz) * mean * mean) / (SELECT n FROM nl) AS variance "
+            "FROM d0 JOIN m USING (pos) GROUP BY pos, nnz, mean)",
+            f"remap AS (SELECT pos AS old, CAST(row_number() OVER (ORDER BY {sig('variance', 10)} DESC, pos) - 1 AS INTEGER) AS pos "
+            f"FROM v ORDER BY {sig('variance', 10)} DESC, pos LIMIT {select_m})",
+            "d AS (SELECT doc_id, remap.pos, x FROM d0 JOIN remap ON remap.old = d0.pos)",
+            f"ps AS (SELECT CAST(range AS INTEGER) AS pos FROM range({select_m}))"]
+
+
+def _logistic_ctes(steps: int = 2, lr: float = 0.01, w0: float = 0.01, **kw) -> list[str]:
+    ctes = [*_training_ctes(**kw), f"w0 AS (SELECT pos, CAST({w0!r} AS DOUBLE) AS w FROM ps)"]
+    for k, rate in enumerate(_bold(steps, lr, "cost")):
+        ctes += [f"s{k} AS (SELECT doc_id, sum(x * w) AS s FROM d JOIN w{k} USING (pos) GROUP BY doc_id)",
+                 f"t{k} AS (SELECT doc_id, y, coalesce(s, 0.0) AS theta FROM lab LEFT JOIN s{k} USING (doc_id))",
+                 f"c{k} AS (SELECT sum(-y * theta + greatest(theta, 0) + ln(1 + exp(-abs(theta)))) AS cost FROM t{k})",
+                 f"g{k} AS (SELECT pos, sum(x * (1.0 / (1.0 + exp(-theta)) - y)) AS g FROM d JOIN t{k} USING (doc_id) GROUP BY pos)",
+                 f"w{k + 1} AS (SELECT pos, w - {rate} * coalesce(g, 0.0) AS w FROM w{k} LEFT JOIN g{k} USING (pos))"]
+    return ctes
+
+
+def _hinge_ctes(steps: int = 2, lr: float = 0.01, w0: float = 1.5, reg: float = 1.0, **kw) -> list[str]:
+    ctes = [*_training_ctes(**kw), f"w0 AS (SELECT pos, CAST({w0!r} AS DOUBLE) AS w FROM ps)"]
+    for k, rate in enumerate(_bold(steps, lr, "loss")):
+        ctes += [f"s{k} AS (SELECT doc_id, sum(x * w) AS s FROM d JOIN w{k} USING (pos) GROUP BY doc_id)",
+                 f"t{k} AS (SELECT doc_id, 2 * y - 1 AS yp, coalesce(s, 0.0) AS theta FROM lab LEFT JOIN s{k} USING (doc_id))",
+                 f"c{k} AS (SELECT (SELECT 0.5 * {reg} * sum(w * w) FROM w{k}) + avg(greatest(0.0, 1 - yp * theta)) AS loss FROM t{k})",
+                 f"g{k} AS (SELECT pos, sum(CASE WHEN yp * theta < 1 THEN -yp * x ELSE 0.0 END) / (SELECT n FROM nl) AS g "
+                 f"FROM d JOIN t{k} USING (doc_id) GROUP BY pos)",
+                 f"w{k + 1} AS (SELECT pos, w - {rate} * ({reg} * w + coalesce(g, 0.0)) AS w FROM w{k} LEFT JOIN g{k} USING (pos))"]
+    return ctes
+
+
+def _two_class_ctes(steps: int = 2, lr: float = 0.01, w0: float = 0.1, reg: float = 0.1, **kw) -> list[str]:
+    ctes = [*_training_ctes(**kw), f"w0 AS (SELECT pos, CAST({w0!r} AS DOUBLE) AS u, CAST({w0!r} AS DOUBLE) AS w FROM ps)"]
+    for k, rate in enumerate(_bold(steps, lr, "loss")):
+        ctes += [f"s{k} AS (SELECT doc_id, sum(x * u) AS s0, sum(x * w) AS s1 FROM d JOIN w{k} USING (pos) GROUP BY doc_id)",
+                 f"t{k} AS (SELECT doc_id, y, greatest(0.0, CASE WHEN y = 1 THEN coalesce(s0 - s1, 0.0) ELSE coalesce(s1 - s0, 0.0) END + 1) AS margin "
+                 f"FROM lab LEFT JOIN s{k} USING (doc_id))",
+                 f"c{k} AS (SELECT avg(margin) AS loss FROM t{k})",
+                 f"g{k} AS (SELECT pos, sum(CASE WHEN margin > 0 THEN CASE WHEN y = 0 THEN -x ELSE x END ELSE 0.0 END) / (SELECT n FROM nl) AS gu, "
+                 f"sum(CASE WHEN margin > 0 THEN CASE WHEN y = 1 THEN -x ELSE x END ELSE 0.0 END) / (SELECT n FROM nl) AS gw "
+                 f"FROM d JOIN t{k} USING (doc_id) GROUP BY pos)",
+                 f"w{k + 1} AS (SELECT pos, u - {rate} * ({reg} * u + coalesce(gu, 0.0)) AS u, w - {rate} * ({reg} * w + coalesce(gw, 0.0)) AS w "
+                 f"FROM w{k} LEFT JOIN g{k} USING (pos))"]
+    return ctes
+
+
+def _prediction_ctes(predict: str, steps: int = 2) -> list[str]:
+    """Labelled test documents under the training dictionary: ``pr(doc_id, label, prediction)``."""
+    return ["tw AS (SELECT doc_id, lower(unnest(regexp_extract_all(text, '[a-zA-Z]+'))) AS word FROM documents WHERE doc_id % 10 = 0)",
+            "tt AS (SELECT doc_id, pos, count(*) AS n FROM tw JOIN vocab USING (word) GROUP BY doc_id, pos)",
+            "tx AS (SELECT doc_id, pos AS old, n / sum(n) OVER (PARTITION BY doc_id) AS x FROM tt)",
+            f"ts AS (SELECT doc_id, {predict} AS p FROM tx JOIN remap USING (old) JOIN w{steps} ON w{steps}.pos = remap.pos GROUP BY doc_id)",
+            "pr AS (SELECT l.doc_id, l.quality AS label, coalesce(p, {none}) AS prediction FROM labels l JOIN documents USING (doc_id) "
+            "LEFT JOIN ts USING (doc_id) WHERE l.doc_id % 10 = 0)"]
+
+
+def _f1_sql(ctes: list[str]) -> str:
+    return "WITH " + ",\n".join(ctes) + f""",
+cf AS (SELECT count(*) FILTER (WHERE label = 1 AND prediction = 1) AS tp, count(*) FILTER (WHERE label = 0 AND prediction = 0) AS tn,
+              count(*) FILTER (WHERE label = 1 AND prediction = 0) AS fn, count(*) FILTER (WHERE label = 0 AND prediction = 1) AS fp FROM pr),
+q AS (SELECT *, CASE WHEN tp = 0 THEN 0.0 ELSE tp / (tp + fp) END AS precision, CASE WHEN tp = 0 THEN 0.0 ELSE tp / (tp + fn) END AS recall FROM cf)
+SELECT tp, tn, fn, fp, {sig('precision')} AS precision, {sig('recall')} AS recall,
+       {sig('CASE WHEN tp = 0 THEN 0.0 ELSE 2 * precision * recall / (precision + recall) END')} AS f1 FROM q"""
+
+
+def _rounded_f1(f1):
+    return f1.select("tp", "tn", "fn", "fp", *[significant(c, SIG).alias(c) for c in ("precision", "recall", "f1")])
+
+
+_THRESHOLD = [x.replace("{none}", "1") for x in _prediction_ctes("CAST(sum(x * w) >= 0 AS INTEGER)")]
+_ARGMAX = [x.replace("{none}", "0") for x in _prediction_ctes("CAST(sum(x * w) > sum(x * u) AS INTEGER)")]
+
+
+@register("logreg_gd_two_steps", sql="WITH " + ",\n".join(_logistic_ctes(source="documents")) + f"\nSELECT pos, {sig('w')} AS w FROM w2")
 def logreg_gd_two_steps(spark, sf):
     """M10/A23/M11 unrolled: weights after two full-batch steps (all labelled
     documents, rate 0.01, initial weight 0.01, bold driver between steps)."""
@@ -104,6 +192,58 @@ def logreg_gd_two_steps(spark, sf):
     return LN.weight_table(spark, w).select("pos", significant("w0", SIG).alias("w"))
 
 
+@register("svm_hinge_two_steps", sql="WITH " + ",\n".join(_hinge_ctes(source="documents")) + f"\nSELECT pos, {sig('w')} AS w FROM w2")
+def svm_hinge_two_steps(spark, sf):
+    """M15/A24/F12 unrolled: weights after two steps (all labelled documents, W = 1.5, rate 0.01, reg 1.0)."""
+    design = _all_design(spark, sf)
+    w, _ = LN.train_hinge(design, max_iter=2)
+    design.release()
+    return LN.weight_table(spark, w).select("pos", significant("w0", SIG).alias("w"))
+
+
+@register("svm_two_class_two_steps", sql="WITH " + ",\n".join(_two_class_ctes(select_m=SELECT_M))
+          + f"\nSELECT pos, {sig('u')} AS w0, {sig('w')} AS w1 FROM w2")
+def svm_two_class_two_steps(spark, sf):
+    """M16/M17 unrolled: both weight columns after two steps over the selected positions of the training split."""
+    sp = _Split(spark, sf, select_m=SELECT_M)
+    w, _ = LN.train_two_class(sp.design, max_iter=2)
+    sp.release()
+    return LN.weight_table(spark, w).select("pos", *[significant(c, SIG).alias(c) for c in ("w0", "w1")])
+
+
+@register("logreg_two_steps_evaluate", sql=_f1_sql([*_logistic_ctes(), *_THRESHOLD]))
+def logreg_two_steps_evaluate(spark, sf):
+    """J2/M13/A17/A18 on the weights after two steps: threshold theta >= 0 on the labelled test documents."""
+    sp = _Split(spark, sf)
+    w, _ = LN.train_logistic(sp.design, max_iter=2, tol=0.0)
+    return _rounded_f1(sp.evaluate(w)[1])
+
+
+@register("svm_two_class_two_steps_evaluate", sql=_f1_sql([*_two_class_ctes(select_m=SELECT_M), *_ARGMAX]))
+def svm_two_class_two_steps_evaluate(spark, sf):
+    """J2/F13/M16/M17 on the weights after two steps: the larger column wins."""
+    sp = _Split(spark, sf, select_m=SELECT_M)
+    w, _ = LN.train_two_class(sp.design, max_iter=2)
+    return _rounded_f1(sp.evaluate(w, two_class=True)[1])
+
+
+@register("logreg_two_steps_false_positives", sql="WITH " + ",\n".join([*_logistic_ctes(), *_THRESHOLD]) + """
+SELECT doc_id, md5(text) AS text_md5 FROM documents
+WHERE doc_id IN (SELECT doc_id FROM pr WHERE label = 0 AND prediction = 1 ORDER BY doc_id LIMIT 3)""")
+def logreg_two_steps_false_positives(spark, sf):
+    """J4/P14/T10 on the weights after two steps: the three lowest-id false positives."""
+    sp = _Split(spark, sf)
+    w, _ = LN.train_logistic(sp.design, max_iter=2, tol=0.0)
+    return _false_positives(spark, sf, sp, w).select("doc_id", F.md5("text").alias("text_md5"))
+
+
+def _false_positives(spark, sf, sp, w):
+    joined, _ = sp.evaluate(w)
+    fp = joined.filter((F.col("label") == 0) & (F.col("prediction") == 1)).select("doc_id") \
+        .orderBy("doc_id").limit(3)
+    return table(spark, sf, "documents", "doc_id", "text").join(F.broadcast(fp), "doc_id", "left_semi")
+
+
 @register("logreg_gd_train", note="iterative optimiser: rows-only check")
 def logreg_gd_train(spark, sf):
     """Up to 100 steps, stop when the step norm <= 1e-8; the trace."""
@@ -128,11 +268,7 @@ def logreg_false_positives(spark, sf):
     their text (left-semi join against the documents)."""
     sp = _Split(spark, sf)
     w, _ = LN.train_logistic(sp.design)
-    joined, _ = sp.evaluate(w)
-    fp = joined.filter((F.col("label") == 0) & (F.col("prediction") == 1)).select("doc_id") \
-        .orderBy("doc_id").limit(3)
-    docs = table(spark, sf, "documents", "doc_id", "text")
-    return docs.join(F.broadcast(fp), "doc_id", "left_semi")
+    return _false_positives(spark, sf, sp, w)
 
 
 @register("svm_hinge_train", note="iterative optimiser: rows-only check")
@@ -154,7 +290,7 @@ def svm_hinge_evaluate(spark, sf):
 
 @register("svm_two_class_evaluate", note="iterative optimiser: rows-only check")
 def svm_two_class_evaluate(spark, sf):
-    """Top-100 variance positions fitted on train, two-column SVM,
+    """Top-10,000 variance positions fitted on train, two-column SVM,
     argmax prediction on test."""
     sp = _Split(spark, sf, select_m=SELECT_M)
     w, _ = LN.train_two_class(sp.design)
@@ -177,9 +313,9 @@ def linear_svc_evaluate(spark, sf):
 
 def _ml_evaluate(spark, sf, fit):
     sp = _Split(spark, sf)
-    lab = sp.labels.select("doc_id", F.col("y").cast("double").alias("label"))
-    train = ML.tf_vectors(sp.train_tokens, sp.features.vocab, VOCAB, sp.design.rows).join(lab, "doc_id")
-    test = ML.tf_vectors(sp.test_tokens, sp.features.vocab, VOCAB, sp.test).join(lab, "doc_id")
+    train, test = (ML.tf_vectors(tokens, sp.features.vocab, VOCAB, lab)
+                   .join(lab.select("doc_id", F.col("y").cast("double").alias("label")), "doc_id")
+                   for tokens, lab in ((sp.train_tokens, sp.train_labels), (sp.test_tokens, sp.test_labels)))
     scored = ML.scored(fit(train).transform(test))
     f1 = MT.f1_from_confusion(MT.confusion(scored))
     return f1.withColumn("auc", MT.auc(scored).select("auc").scalar())

@@ -12,8 +12,6 @@ from lodestar.plans.registry import register
 from lodestar.plans.sqlparts import sig
 from lodestar.sources.tables import table
 
-MAX_CLASSES = 1000   # bound on distinct labels for the broadcast centroid table
-MAX_DIM = 4096       # bound on the vector dimension
 SIG = 8
 
 CENTROID_SQL = """
@@ -38,7 +36,7 @@ pf AS (SELECT *, CASE WHEN precision + recall = 0 THEN 0.0 ELSE 2 * precision *
 def _centroid_predictions(spark, sf):
     """Nearest class centroid by Euclidean distance: argmax x.mu_c - |mu_c|^2/2."""
     emb = table(spark, sf, "embeddings", "vec_id", "embedding", "label")
-    return MT.nearest_centroid(emb, "embedding", "label", ["vec_id", "label"], MAX_CLASSES, MAX_DIM)
+    return MT.nearest_centroid(emb, "embedding", "label", ["vec_id", "label"])
 
 
 @register("centroid_class_metrics", sql=PER_CLASS_SQL + f"""

@@ -1,11 +1,12 @@
 """Registered mixture-model queries over ``documents``: document keys
 ``source/doc_id`` (the id the S8 parse yields), true label = ``source`` (P18), TF over
-a 1000-word vocabulary.  Fixed parameters are the smoothed per-label
+a 20,000-word vocabulary.  Fixed parameters are the smoothed per-label
 estimates, so the posterior and the reports are checkable in SQL; the Gibbs
 sampler is checked on rows."""
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
@@ -14,19 +15,17 @@ from lodestar.functions.numeric import significant
 from lodestar.operators import linear as LN
 from lodestar.operators import mixture as MX
 from lodestar.operators import textfeatures as TF
-from lodestar.operators.common import checked_broadcast
 from lodestar.plans.registry import register
 from lodestar.plans.sqlparts import features_ctes, sig
 from lodestar.sources.tables import table
 
-VOCAB = 1000
+VOCAB = 20_000
 BETA = 0.5
 SIG = 8
 TOP_WORDS = 50
 TOP_LABELS = 3
 GIBBS_CLASSES = 20
 GIBBS_ITERATIONS = 200
-MAX_CLASSES = 100_000   # broadcast bound for the class table (checked by counting)
 
 GDOCS = "(SELECT source || '/' || CAST(doc_id AS VARCHAR) AS doc_id, text FROM documents) AS gdocs"
 
@@ -57,13 +56,13 @@ class _Corpus:
         rows = rows.withColumn("label", T.group_of("doc_id"))
         self.classes = MX.class_index(rows)
         # scored and aggregated several times (parameters, posterior): persist once
-        self.rows = rows.join(checked_broadcast(self.classes, MAX_CLASSES), "label") \
+        self.rows = rows.join(self.classes, "label") \
             .persist(StorageLevel.MEMORY_AND_DISK)
         self.log_pi, self.log_mu = MX.mle_params(self.rows, "cls", VOCAB, BETA)
 
     def posterior(self):
         lpi, lmu = MX.collect_params(self.log_pi, self.log_mu)
-        return MX.posterior_batches(self.rows, lpi, lmu, ["doc_id", "label"])
+        return MX.posterior(self.rows, lpi, lmu, ["doc_id", "label"])
 
 
 @register("mixture_posterior", sql=PARAMS_SQL + f"""
@@ -119,13 +118,38 @@ def mixture_label_shares(spark, sf):
                     significant("share", SIG).alias("share"))
 
 
+@register("mixture_cluster_sums", sql=PARAMS_SQL + f""",
+best AS (SELECT doc_id, cls AS cluster FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY prob DESC, cls) AS rn
+         FROM post) WHERE rn = 1),
+sz AS (SELECT cluster, count(*) AS n_docs FROM best GROUP BY cluster)
+SELECT cluster, n_docs, pos, {sig('sum(tf)')} AS total FROM tf JOIN best USING (doc_id) JOIN sz USING (cluster) GROUP BY cluster, n_docs, pos
+""")
+def mixture_cluster_sums(spark, sf):
+    """A21 on the posterior-argmax assignment: documents and summed TF by position of every cluster."""
+    c = _Corpus(spark, sf)
+    post = c.posterior()
+    assigned = post.select("doc_id", MX.argmax_cluster(post).alias("cluster"))
+    sums = MX.cluster_sizes(assigned, c.rows)
+    return sums.select("cluster", "n_docs", "pos", significant("total", SIG).alias("total"))
+
+
 @register("gibbs_mixture_clusters", note="seeded sampler: rows-only check")
 def gibbs_mixture_clusters(spark, sf):
-    """20 classes, 200 Gibbs iterations, alpha = beta = 0.5;
-    the top-3 true labels of every sampled cluster."""
+    """20 classes, 200 Gibbs iterations, alpha = beta = 0.5, running
+    hyper-parameters; for every one of the 20 clusters its size, its 50 most
+    probable words and its top 3 true labels (empty for an unused cluster)."""
     c = _Corpus(spark, sf)
     res = MX.gibbs(c.rows.select("doc_id", "label", "pos", "x"), GIBBS_CLASSES, VOCAB,
                    iterations=GIBBS_ITERATIONS)
-    s = MX.label_shares(res.assigned, k=TOP_LABELS)
-    return s.select("cluster", F.col("rank").cast("int").alias("rank"), "label", "n",
-                    significant("share", SIG).alias("share"))
+    order = np.argsort(-res.mu, axis=1, kind="stable")[:, :TOP_WORDS]
+    best = spark.createDataFrame([(k, r, int(p)) for k, ps in enumerate(order) for r, p in enumerate(ps)],
+                                 "cluster int, r int, pos int")
+    words = (best.join(F.broadcast(c.features.vocab), "pos").groupBy("cluster")
+             .agg(F.array_join(F.array_sort(F.collect_list(F.struct("r", "word")))["word"], " ").alias("top_words")))
+    sizes = res.assigned.groupBy("cluster").agg(F.count(F.lit(1)).alias("n_docs"))
+    labels = MX.label_shares(res.assigned, k=TOP_LABELS).groupBy("cluster").agg(
+        F.array_join(F.array_sort(F.collect_list(F.struct("rank", "label")))["label"], " ").alias("top_labels"))
+    every = spark.range(GIBBS_CLASSES).select(F.col("id").cast("int").alias("cluster"))
+    return (every.join(words, "cluster", "left").join(sizes, "cluster", "left").join(labels, "cluster", "left")
+            .select("cluster", F.coalesce("n_docs", F.lit(0)).alias("n_docs"), F.coalesce("top_labels", F.lit("")).alias("top_labels"),
+                    F.coalesce("top_words", F.lit("")).alias("top_words")))

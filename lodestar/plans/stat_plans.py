@@ -12,8 +12,8 @@ from lodestar.plans.registry import DIGITS, register
 from lodestar.plans.sqlparts import features_ctes, gd_trace_sql, sig
 from lodestar.sources.tables import table
 
-VOCAB = 2000
-TOP_M = 100
+VOCAB = 20_000
+TOP_M = 10_000
 SIG = 8
 
 # Simple regression: x = quantity, y = extended price, both non-zero.
@@ -104,22 +104,22 @@ SELECT CAST(row_number() OVER (ORDER BY {sig('variance', 10)} DESC, pos) AS INTE
 """)
 def tf_variance_ranking(spark, sf):
     """Mean and population variance of every TF column over
-    the featurised documents; the 100 largest variances with ln(variance)."""
+    the featurised documents; the 10,000 largest variances with ln(variance)."""
     f = TF.TextFeatures(table(spark, sf, "documents", "doc_id", "text"), VOCAB, persist=True)  # subquery + main job
     n = f.tf.select(F.count_distinct("doc_id")).scalar()
-    top = ST.top_variance(ST.column_moments(f.tf, n, VOCAB), TOP_M)
+    top = ST.top_variance(ST.column_moments(f.tf, n), TOP_M)
     return top.select("rank", "pos", *[significant(c, SIG).alias(c) for c in ("mean", "variance", "log_variance")])
 
 
 @register("variance_selected_features", sql=VAR_SQL + f"""
-SELECT doc_id, count(*) AS n_selected, round(sum(tf), {DIGITS}) AS tf_selected
-FROM tf WHERE pos IN (SELECT pos FROM top) GROUP BY doc_id
+SELECT doc_id, count(top.pos) AS n_selected, round(coalesce(sum(tf) FILTER (WHERE top.pos IS NOT NULL), 0.0), {DIGITS}) AS tf_selected
+FROM tf LEFT JOIN top USING (pos) GROUP BY doc_id
 """)
 def variance_selected_features(spark, sf):
-    """Keep the 100 highest-variance positions of every document."""
+    """Keep the 10,000 highest-variance positions; a document with none of them stays, with no features."""
     f = TF.TextFeatures(table(spark, sf, "documents", "doc_id", "text"), VOCAB, persist=True)  # subquery + main job
     n = f.tf.select(F.count_distinct("doc_id")).scalar()
-    top = ST.top_variance(ST.column_moments(f.tf, n, VOCAB), TOP_M)
-    kept = ST.select_positions(f.tf, top, TOP_M)
-    return kept.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_selected"),
-                                      F.round(F.sum("tf"), DIGITS).alias("tf_selected"))
+    top = ST.top_variance(ST.column_moments(f.tf, n), TOP_M)
+    kept = ST.select_positions(f.tf, top)
+    return kept.groupBy("doc_id").agg(F.count("pos").alias("n_selected"),
+                                      F.round(F.coalesce(F.sum("tf"), F.lit(0.0)), DIGITS).alias("tf_selected"))

@@ -4,6 +4,7 @@ nominal columns brand and type, categories = the words of the part name
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from lodestar.functions import text as T
@@ -88,11 +89,13 @@ def tabular_classifier_metrics(spark, sf):
     p = _parts(spark, sf)
     train, test = TB.hash_split(p, "p_partkey", SEED)
     cats = [r["category"] for r in TB.category_vocabulary(train, "categories").orderBy("idx").collect()]
+    # The features are fitted once and kept for both models.
+    featured = TB.feature_pipeline(["p_brand", "p_type"], ["p_size"], "categories", cats).fit(train)
+    train, test = (featured.transform(x).select("features", F.col("target").cast("double").alias("label"))
+                   .persist(StorageLevel.MEMORY_AND_DISK) for x in (train, test))
     out = None
     for model in ("logistic", "svm"):
-        pipe = TB.classifier_pipeline(["p_brand", "p_type"], ["p_size"], "categories", cats, "target", model)
-        fitted = pipe.fit(train.withColumn("target", F.col("target").cast("double")))
-        scored = ML.scored(fitted.transform(test).withColumn("label", F.col("target")))
+        scored = ML.scored(TB.classifier("label", model).fit(train).transform(test))
         pc = MT.per_class_metrics(scored)
         row = (MT.overall_metrics(pc)
                .withColumn("auc", MT.auc(scored).select("auc").scalar())

@@ -13,7 +13,7 @@ from lodestar.sources import readers
 from lodestar.sources.tables import grouped_tagged_lines, table, tagged_lines
 
 # Parameters of the registered text queries.
-VOCAB = 2000
+VOCAB = 20_000
 TOP_K = 30
 FIRST_QUERY_SQL = "SELECT text FROM benchmark ORDER BY item_id LIMIT 1"
 STOP_SQL = "word NOT IN (" + ", ".join("'" + w.replace("'", "''") + "'" for w in T.STOP_WORDS) + ")"
@@ -56,16 +56,16 @@ FROM terms GROUP BY doc_id
 """)
 def doc_position_lines(spark, sf):
     f = TF.TextFeatures(_docs(spark, sf), VOCAB)
-    return TF.position_lines(f.counts)
+    return TF.position_lines(f.docs)
 
 
 @register("term_frequency", sql=f"""
 WITH {features_ctes(VOCAB)}
-SELECT t.doc_id, t.pos, t.n, round(tf.tf, {DIGITS}) AS tf FROM terms t JOIN tf USING (doc_id, pos)
+SELECT doc_id, pos, n, round(n / sum(n) OVER (PARTITION BY doc_id), {DIGITS}) AS tf FROM terms
 """)
 def term_frequency(spark, sf):
     f = TF.TextFeatures(_docs(spark, sf), VOCAB)
-    return f.counts.join(f.tf, ["doc_id", "pos"]).select("doc_id", "pos", "n", _r("tf"))
+    return f.counts.select("doc_id", "pos", "n", _r("tf"))
 
 
 @register("inverse_document_frequency", sql=f"""
@@ -190,7 +190,7 @@ def top_tf_of_longest_doc(spark, sf):
     """The 100 largest TFs (zero-padded) of the document with the
     most in-vocabulary tokens, times the vocabulary size."""
     f = TF.TextFeatures(_docs(spark, sf), VOCAB)
-    target = (f.counts.groupBy("doc_id").agg(F.sum("n").alias("len"))
+    target = (f.docs.select("doc_id", F.size("positions").alias("len"))
               .orderBy(F.desc("len"), "doc_id").limit(1))
     one = f.tf.join(F.broadcast(target.select("doc_id")), "doc_id")
     vals = one.agg(F.slice(F.concat(F.sort_array(F.collect_list("tf"), asc=False),

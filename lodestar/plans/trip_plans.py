@@ -7,8 +7,7 @@ from pyspark.sql import functions as F
 
 from lodestar.operators import trips as TR
 from lodestar.plans.registry import DIGITS, register
-from lodestar.sources import readers
-from lodestar.sources.tables import hourly_trips, materialise_text, table, trip_lines, trips_from_lineitem
+from lodestar.sources.tables import hourly_trips, table, trip_lines, trips_from_lineitem
 
 TRIPS_SQL = """trips AS (SELECT CAST(l_suppkey AS VARCHAR) AS taxi_id, CAST(l_partkey AS VARCHAR) AS driver_id,
   l_quantity * 60.0 AS trip_secs, l_extendedprice AS total_amount FROM lineitem)"""
@@ -96,17 +95,15 @@ SELECT CAST(l_suppkey AS VARCHAR) AS taxi_id, count(*) AS n_lines,
        round(sum(l_extendedprice), {DIGITS}) AS fare, round(sum(l_tax * 10.0), {DIGITS}) AS surcharge,
        count(*) FILTER (WHERE l_discount <> 0 AND l_extendedprice <> 0) AS n_regression_rows,
        min(date_trunc('second', l_shipdate)) AS first_start
-FROM lineitem GROUP BY l_suppkey
+FROM lineitem WHERE l_orderkey % 97 <> 0 AND l_orderkey % 89 <> 0 GROUP BY l_suppkey
 """)
 def trip_line_parse(spark, sf):
-    """Lines -> fields -> typed trips, summarised per taxi."""
+    """Lines -> fields -> typed trips, summarised per taxi; lines
+    with a missing field or a non-numeric one drop out."""
     li = table(spark, sf, "lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
                "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag",
                "l_linestatus", "l_shipdate")
-    # The lines are written once as text and scanned back (S1), so every
-    # parse step reads a stored column instead of re-deriving the line.
-    path = materialise_text(trip_lines(li), "trip-lines")
-    split = TR.split_lines(readers.text_lines(spark, path))
+    split = TR.split_lines(trip_lines(li))
     ok = (split.filter(TR.numeric_ok(F.col("f"), [4, 5, 11, 12, 16]))
           .withColumn("reg", TR.nonzero(F.col("f"), [5, 11])))
     trips = TR.typed_trips(ok, keep=("reg",))

@@ -19,6 +19,7 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
@@ -62,7 +63,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the checkpoint directory, setting one only when none is configured.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as
-    is.  Only when it is unset (local tests) a fresh scratch folder is created.
+    is; without it this raises, since executors cannot read the driver's own
+    folders.  Only a local master gets a fresh scratch folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -70,6 +72,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="lodestar-ckpt-",
                                       dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)

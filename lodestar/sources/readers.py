@@ -30,13 +30,3 @@ def parse_tagged(lines: DataFrame, value_col: str = "value", skip: int = 0) -> D
     v = F.col(value_col)
     return (lines.filter(T.is_tagged_line(v))
             .select(T.tag_id(v, skip).alias("doc_id"), T.tag_body(v).alias("text")))
-
-
-def literal_table(spark: SparkSession, rows, schema) -> DataFrame:
-    """A small literal table (query text, id lists)."""
-    return spark.createDataFrame(rows, schema)
-
-
-def id_range(spark: SparkSession, n: int) -> DataFrame:
-    """Integers 0..n-1 as column ``id``."""
-    return spark.range(n)

@@ -31,7 +31,8 @@ def trips_from_lineitem(lineitem: DataFrame) -> DataFrame:
 
 def trip_lines(lineitem: DataFrame) -> DataFrame:
     """Seventeen comma-separated fields per line in the taxi layout, one line
-    per lineitem row (input of the line parser P1-P5)."""
+    per lineitem row (input of the line parser P1-P5).  Some are malformed: order
+    keys divisible by 97 lack the last field, those by 89 hold text for the fare."""
     ts_fmt = "yyyy-MM-dd HH:mm:ss"
     start = F.col("l_shipdate")
     end = start + F.make_dt_interval(F.lit(0), F.lit(0), F.col("l_quantity").cast("int"))
@@ -45,23 +46,15 @@ def trip_lines(lineitem: DataFrame) -> DataFrame:
         F.col("l_orderkey"), F.col("l_linenumber"),           # 6, 7
         F.col("l_returnflag"), F.col("l_linestatus"),         # 8, 9
         F.lit("x"),                                           # 10
-        F.col("l_extendedprice"),                             # 11 fare
+        F.when(F.col("l_orderkey") % 89 == 0, F.lit("n/a"))   # 11 fare
+        .otherwise(F.col("l_extendedprice").cast("string")),
         F.col("l_tax") * 10.0,                                # 12 surcharge
         F.lit("y"), F.lit("z"), F.lit("w"),                   # 13-15
         F.col("l_extendedprice") * (1 - F.col("l_discount")) * (1 + F.col("l_tax")),  # 16 total
     ]
-    return lineitem.select(F.concat_ws(",", *[f.cast("string") for f in fields]).alias("value"))
-
-
-def materialise_text(df: DataFrame, name: str) -> str:
-    """Write a one-column string DataFrame as text files under the session's
-    checkpoint folder (shared storage on a cluster) and return the path."""
-    import uuid
-    from lodestar.session import ensure_checkpoint_dir
-    base = ensure_checkpoint_dir(df.sparkSession).rstrip("/")
-    path = f"{base}/lodestar-{name}-{uuid.uuid4().hex}"
-    df.write.mode("errorifexists").text(path)
-    return path
+    text = [f.cast("string") for f in fields]
+    return lineitem.select(F.when(F.col("l_orderkey") % 97 == 0, F.concat_ws(",", *text[:-1]))
+                           .otherwise(F.concat_ws(",", *text)).alias("value"))
 
 
 def hourly_trips(events: DataFrame) -> DataFrame:

@@ -52,7 +52,7 @@ def test_logistic_training_lowers_cost_and_bold_driver(spark):
     assert costs[-1] < costs[0]
     lrs = [r[2] for r in trace.rows]
     assert math.isclose(lrs[1], 0.01 * 1.05)      # first cost < +inf -> grow
-    scores = LN.linear_scores(d.long_rows(), spark, w, 4)
+    scores = LN.linear_scores(spark.createDataFrame(rows, "doc_id long, pos int, x double"), d.rows, w)
     pred = {r.doc_id: r.prediction for r in LN.predict_threshold(scores).collect()}
     assert all(pred[doc] == doc % 2 for doc in range(60))
     d.release()
@@ -83,8 +83,7 @@ def test_mixture_posterior_sums_to_one_and_params_valid(spark):
     r = rows.join(F.broadcast(idx), "label")
     log_pi, log_mu = MX.mle_params(r, "cls", 4)
     assert all(v.ok for v in MX.validate_params(log_pi, log_mu, 4).collect())
-    lpi, lmu = MX.flat_params(log_pi, log_mu)
-    post = MX.log_posterior_scores(r, lpi, lmu, 2, 4).collect()
+    post = MX.posterior(r, *MX.collect_params(log_pi, log_mu), ["cls"]).collect()
     for p in post:
         assert math.isclose(sum(p.post), 1.0)
         assert p.post[p.cls] > 0.5
@@ -97,3 +96,51 @@ def test_gibbs_is_reproducible_under_repartitioning(spark):
     assert a.counts == b.counts
     assert np.allclose(a.mu, b.mu)
     assert sum(a.counts[-1]) == 40
+
+
+def test_documents_without_features_are_zero_rows(spark):
+    d = _design(spark, [(0, 0, 1.0)], [(0, 1), (1, 0)], 2)
+    assert d.n_docs == 2
+    loss, reg, grad = LN.two_class_step(d, np.full((2, 2), 0.1), reg=0.0)
+    assert math.isclose(loss, 1.0)      # the empty row's margin is 1 too
+    assert np.allclose(grad, [[0.5, -0.5], [0.0, 0.0]])
+    scores = LN.linear_scores(spark.createDataFrame([(0, 0, 1.0)], "doc_id long, pos int, x double"), d.rows, np.array([-1.0, 0.0]))
+    assert {r.doc_id: r.prediction for r in LN.predict_threshold(scores).collect()} == {0: 0, 1: 1}
+    d.release()
+
+
+def test_numpy_steps_equal_plain_sums(spark):
+    rng = np.random.default_rng(1)
+    rows = [(i, int(p), float(rng.random())) for i in range(50) for p in rng.choice(9, rng.integers(0, 5), replace=False)]
+    y = {i: int(rng.integers(0, 2)) for i in range(50)}
+    x = np.zeros((50, 9))
+    for i, p, v in rows:
+        x[i, p] = v
+    d = _design(spark, rows, list(y.items()), 9)
+    w, ys = rng.normal(size=9), np.array([y[i] for i in range(50)])
+    cost, grad = LN.logistic_step(d, w)
+    t = x @ w
+    assert math.isclose(cost, (np.log1p(np.exp(t)) - ys * t).sum())
+    assert np.allclose(grad, x.T @ (1 / (1 + np.exp(-t)) - ys))
+    loss, grad = LN.hinge_step(d, w, 0.5)
+    yp = 2 * ys - 1
+    assert math.isclose(loss, 0.25 * w @ w + np.maximum(0, 1 - yp * t).mean())
+    assert np.allclose(grad, 0.5 * w - (x * ((yp * t < 1) * yp)[:, None]).mean(axis=0))
+    d.release()
+
+
+def test_gibbs_keeps_most_clusters_in_use(spark):
+    import __spark_entry__  # noqa: F401
+    from lodestar.plans import mixture_plans as MP
+    c = MP._Corpus(spark, "/root/testdata/sf0.01")
+    res = MX.gibbs(c.rows.select("doc_id", "label", "pos", "x"), 20, MP.VOCAB, iterations=25)
+    assert sum(n > 0 for n in res.counts[-1]) > 10
+    sizes = {r.cluster: r["count"] for r in res.assigned.groupBy("cluster").count().collect()}
+    assert sum(sizes.values()) == c.rows.count()
+
+
+def test_cluster_sums(spark):
+    rows = _mixture_rows(spark)
+    assigned = rows.select("doc_id", F.when(F.col("label") == "a", 0).otherwise(1).alias("cluster"))
+    got = {(r.cluster, r.pos): (r.n_docs, r.total) for r in MX.cluster_sizes(assigned, rows).collect()}
+    assert got == {(0, 0): (20, 10.0), (0, 1): (20, 10.0), (1, 2): (20, 10.0), (1, 3): (20, 10.0)}

@@ -73,21 +73,17 @@ def test_auc_matches_pairwise_count_with_ties(spark):
     scores = rng.integers(0, 5, 300).astype(float)
     labels = (rng.random(300) < 0.3 + 0.1 * scores).astype(int)
     df = spark.createDataFrame([(float(s), int(l)) for s, l in zip(scores, labels)], "score double, label int")
-    got = MT.auc(df, buckets=4).first().auc
+    got = MT.auc(df.repartition(5)).first().auc
     pos = scores[labels == 1]
     neg = scores[labels == 0]
     wins = sum(1.0 if p > n else 0.5 if p == n else 0.0 for p, n in itertools.product(pos, neg))
     assert math.isclose(got, wins / (len(pos) * len(neg)), rel_tol=1e-12)
 
 
-def test_per_class_metrics_and_argmax(spark):
+def test_per_class_metrics(spark):
     df = spark.createDataFrame([(0, 0), (0, 1), (1, 1), (2, 1)], "label int, prediction int")
     pc = {r.cls: (r.tp, r.fp, r.fn, r.support) for r in MT.per_class_metrics(df).collect()}
     assert pc == {0: (1, 0, 1, 2), 1: (1, 2, 0, 1), 2: (0, 0, 1, 1)}
-    scores = spark.createDataFrame([("a", 0, 1.0), ("a", 1, 1.0), ("b", 0, 0.0), ("b", 2, 3.0)],
-                                   "k string, cls int, score double")
-    got = {r.k: r.prediction for r in MT.argmax_class(scores, "k").collect()}
-    assert got == {"a": 0, "b": 2}
 
 
 def test_global_rank_matches_sorted_order(spark):
@@ -95,16 +91,22 @@ def test_global_rank_matches_sorted_order(spark):
     rng = np.random.default_rng(5)
     vals = [(f"w{i:04d}", int(rng.integers(0, 20))) for i in rng.permutation(500)]
     df = spark.createDataFrame(vals, "value string, n int")
-    got = {r.value: r.idx for r in global_rank(df, [F.desc("n"), F.asc("value")], "idx", partitions=7).collect()}
+    got = {r.value: r.idx for r in global_rank(df, [F.desc("n"), F.asc("value")], "idx").collect()}
     expected = sorted(vals, key=lambda t: (-t[1], t[0]))
     assert got == {v: i for i, (v, _) in enumerate(expected)}
 
 
-def test_checked_broadcast_falls_back_when_too_large(spark):
-    from lodestar.operators.common import checked_broadcast
-    small = spark.range(5)
-    assert "broadcast" in str(checked_broadcast(small, 10)._jdf.queryExecution().logical()).lower()
-    assert checked_broadcast(small, 4) is small
+def test_selection_keeps_documents_without_a_selected_position(spark):
+    feats = spark.createDataFrame([(1, 0, 0.5), (1, 7, 0.5), (2, 7, 1.0)], "doc_id long, pos int, tf double")
+    kept = ST.select_positions(feats, spark.createDataFrame([(0,)], "pos int"))
+    got = {r.doc_id: (r.n, r.s) for r in kept.groupBy("doc_id").agg(F.count("pos").alias("n"), F.sum("tf").alias("s")).collect()}
+    assert got == {1: (1, 0.5), 2: (0, None)}
+
+
+def test_gram_matrix_with_nulls(spark):
+    df = spark.createDataFrame([([1.0, 2.0],), ([3.0, None],), (None,), ([0.5, -1.0],)], "v array<double>")
+    got = {(r.i, r.j): r.g for r in ST.gram_matrix(df.repartition(3), "v").collect()}
+    assert got == {(0, 0): 10.25, (0, 1): 1.5, (1, 1): 5.0}
 
 
 def test_hash_split_is_stable_under_repartitioning(spark):
@@ -128,3 +130,9 @@ def test_nearest_centroid_matches_numpy(spark):
     mu = np.vstack([xd[labels == c].mean(axis=0) for c in range(3)])
     ref = np.argmax(xd @ mu.T - 0.5 * (mu * mu).sum(axis=1), axis=1)
     assert got == {i: int(ref[i]) for i in range(90)}
+
+
+def test_nearest_centroid_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(MT, "CENTROID_BYTES", 64)       # every class in a block of its own
+    df = spark.createDataFrame([(i, [float(i % 4), 1.0], i % 4) for i in range(20)], "vec_id long, embedding array<float>, label int")
+    assert all(r.prediction == r.vec_id % 4 for r in MT.nearest_centroid(df, "embedding", "label", ["vec_id"]).collect())

@@ -51,7 +51,7 @@ def test_prefix_and_group_labels(spark):
 def test_term_frequency_worked_example(spark):
     # positions [3, 4, 1, 1, 2] -> tf over positions 0..4 = [0, 2/5, 1/5, 1/5, 1/5]
     terms = spark.createDataFrame([(1, p) for p in [3, 4, 1, 1, 2]], "doc_id long, pos int")
-    tf = {r.pos: r.tf for r in TF.term_frequency(TF.term_counts(terms)).collect()}
+    tf = {r.pos: r.tf for r in TF.term_counts(TF.doc_positions(terms)).collect()}
     assert tf == {1: 0.4, 2: 0.2, 3: 0.2, 4: 0.2}
 
 
@@ -90,3 +90,17 @@ def test_stop_words_drop_out(spark):
     docs = spark.createDataFrame([(1, "the cat and the hat")], "doc_id long, text string")
     vocab = {r.word for r in TF.vocabulary(TF.tokenize(docs), 10, T.STOP_WORDS).collect()}
     assert vocab == {"cat", "hat"}
+
+
+def test_similarity_tokenises_the_corpus_twice(spark):
+    """One pass for the dictionary, one for the positions; all branches share them."""
+    import os
+    import re
+
+    import __spark_entry__ as E
+    df = E.queries()["tfidf_similarity_top30"](spark, os.environ.get("SMOKE", "/root/testdata/sf0.001"))
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    scans = [line for line in plan.splitlines() if "FileScan" in line and "documents.parquet" in line and "text#" in line]
+    assert len(scans) <= 2, plan
+    assert not re.search("CartesianProduct|BroadcastNestedLoopJoin Cross", plan)
