@@ -144,3 +144,12 @@ def test_cluster_sums(spark):
     assigned = rows.select("doc_id", F.when(F.col("label") == "a", 0).otherwise(1).alias("cluster"))
     got = {(r.cluster, r.pos): (r.n_docs, r.total) for r in MX.cluster_sizes(assigned, rows).collect()}
     assert got == {(0, 0): (20, 10.0), (0, 1): (20, 10.0), (1, 2): (20, 10.0), (1, 3): (20, 10.0)}
+
+
+def test_column_and_array_forms_agree(spark):
+    from lodestar.functions import numeric as N
+    t = [-800.0, -1.5, 0.0, 2.0, 800.0]
+    got = spark.createDataFrame([(v,) for v in t], "t double").select("t", N.sigmoid("t").alias("s"), N.softplus("t").alias("p"), N.hinge("t").alias("h")).collect()
+    for r in got:
+        x = np.array([r.t])
+        assert math.isclose(r.s, LN.np_sigmoid(x)[0]) and math.isclose(r.p, LN.np_softplus(x)[0]) and r.h == max(0.0, r.t)

@@ -51,11 +51,11 @@ def test_sparse_population_variance(spark):
     dense = np.array([[0.5, 0.0, 0.5], [0.0, 0.0, 1.0], [1.0, 0.0, 0.0], [0.2, 0.8, 0.0]])
     rows = [(d, p, float(v)) for d in range(4) for p, v in enumerate(dense[d]) if v != 0]
     feats = spark.createDataFrame(rows, "doc_id long, pos int, tf double")
-    mom = {r.pos: (r.mean, r.variance) for r in ST.column_moments(feats, F.lit(4), 3).collect()}
+    mom = {r.pos: (r.mean, r.variance) for r in ST.column_moments(feats, F.lit(4)).collect()}
     for p in range(3):
         assert math.isclose(mom[p][0], dense[:, p].mean())
         assert math.isclose(mom[p][1], dense[:, p].var())   # population variance
-    top = ST.top_variance(ST.column_moments(feats, F.lit(4), 3), 2).collect()
+    top = ST.top_variance(ST.column_moments(feats, F.lit(4)), 2).collect()
     assert [r.pos for r in top] == list(np.argsort(-dense.var(axis=0), kind="stable")[:2])
 
 

@@ -82,8 +82,8 @@ def test_similarity_fills_zero_scores_by_id(spark):
 
 
 def test_position_lines_repeat_occurrences(spark):
-    counts = spark.createDataFrame([(7, 5, 2), (7, 1, 1)], "doc_id long, pos int, n long")
-    assert TF.position_lines(counts).collect()[0].line == "7,1,5,5"
+    docs = spark.createDataFrame([(7, [5, 1, 5])], "doc_id long, positions array<int>")
+    assert TF.position_lines(docs).collect()[0].line == "7,1,5,5"
 
 
 def test_stop_words_drop_out(spark):
