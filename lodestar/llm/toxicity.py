@@ -13,6 +13,7 @@ weights fitted to labels, so an isolated word counts only through its clause.
 from __future__ import annotations
 
 import math
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -29,6 +30,8 @@ SAMPLE_TOXIC, SAMPLE_CLEAN = 8000, 12000    # labelled texts that the model is f
 STEMS = range(3, 9)                         # characters of the word beginnings that are tried
 CANDIDATES = 300_000                        # beginnings counted in the clean texts, the most frequent ones
 PRECISION = 0.9                             # of an insult family among the labelled texts
+CLEAN_COST = 5                              # toxic texts that a clean text with the family outweighs
+PURER = 0.98                                # of one that no text needs for its explanation
 
 OTHER, INSULT, HARM, INTENT, TARGET, NEGATOR, REPORT, QUOTE = range(8)
 
@@ -233,39 +236,61 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.1, rounds: int = 25)
 
 # --- fitting ---------------------------------------------------------------------
 
+def _words(text: str) -> list[str]:
+    w = bw.scan(bw.strings(pa.array([text], pa.string())), bw.ALNUM)
+    data = w.data.tobytes()
+    return [data[a:b].decode("utf-8", "replace") for a, b in zip(w.start.tolist(), w.end.tolist(), strict=True)]
+
+
 def _beginnings(text: str) -> set[str]:
-    """Distinct words of a text (marked by a final blank) and beginnings of words."""
-    raw = bw.scan(bw.strings(pa.array([text], pa.string())), bw.ALNUM)
-    data = raw.data.tobytes()
-    found = {data[a:b] for a, b in zip(raw.start.tolist(), raw.end.tolist(), strict=True)}
-    out = set()
-    for x in found:
-        word = x.decode("utf-8", "replace")
-        out.update(word[:n] for n in STEMS if len(word) >= n)
-    return out
+    """Distinct beginnings of the words of a text."""
+    return {word[:n] for word in set(_words(text)) for n in STEMS if len(word) >= n}
+
+
+def _in_context(text: str, wanted: set[str]) -> list[tuple[str, int]]:
+    """Wanted beginnings with a hash of the words beside each occurrence."""
+    words = ["", *_words(text), ""]
+    return sorted({(word[:n], zlib.crc32(f"{words[i]} {words[i + 2]}".encode()))
+                   for i, word in enumerate(words[1:-1]) for n in STEMS if len(word) >= n and word[:n] in wanted})
+
+
+def cover(toxic: list[list[tuple[str, int]]], counts: dict[str, tuple[int, int]], n_toxic: int, n_clean: int) -> dict[str, float]:
+    """Insult families from the toxic texts' candidate beginnings with their contexts.
+
+    First by sequential covering: always the beginning that is in most of the texts not
+    yet explained, each clean text with it counting against it (of equal ones the longest),
+    while it explains enough.  Then the others that are
+    purer still and stand in many different contexts: a real insult does, even if its texts hold
+    others too, while the rare words of a much copied toxic text don't."""
+    least, contexts_least = max(3, n_toxic // 500), max(8, n_toxic // 100)
 
+    def weight(k: str) -> float:
+        t, c = counts[k]
+        return math.log((t + 0.5) / (n_toxic + 1)) - math.log((c + 0.5) / (n_clean + 1))
 
-def cover(toxic: list[list[str]], counts: dict[str, tuple[int, int]], n_toxic: int, n_clean: int) -> dict[str, float]:
-    """Insult families by sequential covering: always the beginning that is in most of the
-    toxic texts not yet explained (of equal ones the longest), while it explains enough."""
-    least = max(3, n_toxic // 500)
-    left = {i: set(keys) for i, keys in enumerate(toxic)}
+    left = {i: {k for k, _ in keys} for i, keys in enumerate(toxic)}
     gain = Counter(k for keys in left.values() for k in keys)
     holders: dict[str, list[int]] = {}
-    for i, keys in left.items():
-        for k in keys:
+    contexts: dict[str, set[int]] = {}
+    for i, keys in enumerate(toxic):
+        for k in left[i]:
             holders.setdefault(k, []).append(i)
+        for k, c in keys:
+            contexts.setdefault(k, set()).add(c)
     families = {}
     while gain:
-        best = max(gain, key=lambda k: (gain[k], len(k), k))
-        if gain[best] < least:
+        best = max(gain, key=lambda k: (gain[k] - CLEAN_COST * counts[k][1], len(k), k))
+        if gain[best] - CLEAN_COST * counts[best][1] < least:
             break
-        t, c = counts[best]
-        families[best] = math.log((t + 0.5) / (n_toxic + 1)) - math.log((c + 0.5) / (n_clean + 1))
+        families[best] = weight(best)
         for i in holders[best]:
             for k in left.pop(i, ()):
                 gain[k] -= 1
         gain = Counter({k: n for k, n in gain.items() if n >= least})
+    for k in sorted(holders, key=lambda k: (CLEAN_COST * counts[k][1] - counts[k][0], -len(k), k)):
+        t, c = counts[k]
+        if t >= PURER * (t + c) and len(contexts[k]) >= contexts_least and not any(k.startswith(f) or f.startswith(k) for f in families):
+            families[k] = weight(k)
     return families
 
 
@@ -320,10 +345,12 @@ def fit(documents: DataFrame, labels: DataFrame, column: str = "toxic") -> Gramm
 
     def held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = [sorted(_beginnings(x) & chosen.value) for x in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.list_(pa.string()))], names=["keys"])
+            found = [_in_context(x, chosen.value) for x in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array([[k for k, _ in x] for x in found], pa.list_(pa.string())),
+                                              pa.array([[c for _, c in x] for x in found], pa.list_(pa.int64()))], names=["keys", "beside"])
 
-    incidence = toxic.mapInArrow(held, "keys array<string>").toArrow().column("keys").to_pylist()
+    got = toxic.mapInArrow(held, "keys array<string>, beside array<long>").toArrow()
+    incidence = [list(zip(k, c, strict=True)) for k, c in zip(got.column("keys").to_pylist(), got.column("beside").to_pylist(), strict=True)]
     families = cover(incidence, exact, n_toxic, n_clean)
     model = spark.sparkContext.broadcast(grammar(families))
 

@@ -49,7 +49,17 @@ def test_clause_spans_are_bytes():
 def test_covering_prefers_the_common_beginning():
     docs = [["lowe", "lowei", "loweiä"], ["lowe", "lowei", "loweich"], ["lowe", "lowei", "lowein"], ["rare"]]
     counts = {"lowe": (3, 0), "lowei": (3, 0), "loweiä": (1, 0), "loweich": (1, 0), "lowein": (1, 0), "rare": (1, 0)}
-    assert list(toxicity.cover(docs, counts, 4, 100)) == ["lowei"]
+    assert list(toxic_cover(docs, counts)) == ["lowei"]
+
+
+def test_covering_adds_pure_words_of_many_contexts():
+    docs = [["idiot", "stupid", "copied"] if i % 2 else ["idiot"] for i in range(40)]
+    counts = {"idiot": (40, 0), "stupid": (20, 0), "copied": (20, 0)}
+    assert set(toxic_cover(docs, counts, {"copied"})) == {"idiot", "stupid"}
+
+
+def toxic_cover(docs, counts, one_context=frozenset()):
+    return toxicity.cover([[(k, 0 if k in one_context else i) for k in keys] for i, keys in enumerate(docs)], counts, len(docs), 100)
 
 
 def test_discriminant_equals_plain_densities():
