@@ -29,8 +29,9 @@ def components(edges: DataFrame) -> DataFrame:
         low = large.groupBy("v").agg(F.min("u").alias("m"))
         small = (large.join(low, "v").select(F.col("u").alias("v"), F.col("m").alias("u"))
                  .unionByName(low.select("v", F.col("m").alias("u")))).where("u <> v").distinct()
-        e = scratch.stage(small, "edges")
+        before, e = e, scratch.stage(small, "edges")
         now = _state(e)
+        scratch.discard(before)
         if now == state:
             break
         state = now

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestar.llm import bytewords as bw
+from lodestar.llm import scratch
 from lodestar.llm.toxicity import logistic, training_sample
 
 SAMPLE_GOOD, SAMPLE_BAD = 16000, 16000      # labelled texts that the model is fitted on, about
@@ -163,6 +164,7 @@ def fit(documents: DataFrame, labels: DataFrame, column: str = "quality") -> Dis
             yield pa.RecordBatch.from_arrays([pa.array(list(x), pa.list_(pa.float64())), batch.column(1)], names=["x", "y"])
 
     got = sample.select("text", "y").mapInArrow(run, "x array<double>, y int").toArrow()
+    scratch.discard(sample)
     x = np.array(got.column("x").to_pylist(), float).reshape(-1, len(STATISTICS))
     return discriminant(x, got.column("y").to_numpy())
 

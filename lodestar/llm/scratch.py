@@ -34,7 +34,17 @@ def stage(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(where)
-    return spark.read.schema(df.schema).parquet(where)
+    back = spark.read.schema(df.schema).parquet(where)
+    back.scratch_path = where
+    return back
+
+
+def discard(*staged: DataFrame) -> None:
+    """Delete tables of ``stage`` that nothing reads any more."""
+    for df in staged:
+        spark = df.sparkSession
+        where = spark._jvm.org.apache.hadoop.fs.Path(df.scratch_path)
+        where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(where, True)
 
 
 def tokenizer_file(name: str) -> str:

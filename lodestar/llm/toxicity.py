@@ -362,6 +362,7 @@ def fit(documents: DataFrame, labels: DataFrame, column: str = "toxic") -> Gramm
                 yield pa.RecordBatch.from_arrays([pa.array(list(x)), batch.column(1).slice(lo, hi - lo)], names=["x", "y"])
 
     got = sample.select("text", "y").mapInArrow(read, "x array<double>, y int").toArrow()
+    scratch.discard(sample)
     x, y = np.array(got.column("x").to_pylist()), got.column("y").to_numpy()
     return grammar(families, logistic(x, y))
 

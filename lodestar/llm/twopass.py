@@ -56,4 +56,6 @@ def write_shards(documents: DataFrame, shards: int = 24, seed: int = 0, key: str
     g = F.col("offset") + F.col("pos")
     placed = (shuffled.join(offsets, "bucket")
               .select("doc_id", "text", F.floor(g / shards).cast("long").alias("slot"), F.pmod(g, F.lit(shards)).cast("int").alias("shard")))
-    return scratch.stage(placed, name, "shard")
+    written = scratch.stage(placed, name, "shard")
+    scratch.discard(offsets)
+    return written
