@@ -141,23 +141,28 @@ class ByteLevelEncoder(dict):
     A text in which no two white-space characters are adjacent is cut before
     every blank and around every line break; no pre-token crosses such a cut,
     so the pieces are encoded one by one, each distinct piece once (memos of at
-    most ``limit`` pieces and as many pre-tokens).  Any other text, and any text that may hold a special
+    most ``limit`` pieces in each of two generations and as many pre-tokens).  Any other text, and any text that may hold a special
     token, goes to the library whole.
     """
 
-    def __init__(self, path: str, limit: int = 450_000):
+    def __init__(self, path: str, limit: int = 400_000):
         from tokenizers import Tokenizer
         super().__init__()
         self.tok, self.limit = Tokenizer.from_file(path), limit
-        self.model, self.known = self.tok.model, {}
+        self.model, self.known, self.old = self.tok.model, {}, {}
         self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
 
     def library(self, text: str) -> bytes:
         return array("I", self.tok.encode(text, add_special_tokens=False).ids).tobytes()
 
     def __missing__(self, piece: str) -> bytes:
-        if len(self) >= self.limit:
+        if len(self) >= self.limit:         # the pieces in use come back from the older generation
+            self.old = dict(self)
             self.clear()
+        value = self.old.get(piece)
+        if value is not None:
+            self[piece] = value
+            return value
         if piece.isascii() and piece[1:].isalpha() and (piece[0] == " " or piece[0].isalpha()):
             value = self.pre_token(piece)
         elif PLAIN.fullmatch(piece):
