@@ -103,7 +103,7 @@ def scan(column: pa.Array, kept: np.ndarray = NOT_SPACE) -> Words:
     return Words(data, start, end, np.repeat(np.arange(len(counts)), counts), counts)
 
 
-def slices(column: pa.Array, most_bytes: int = 1 << 20) -> Iterator[tuple[int, int]]:
+def slices(column: pa.Array, most_bytes: int = 1 << 18) -> Iterator[tuple[int, int]]:
     """Row ranges of at most that many bytes (one longer text stands alone)."""
     offs, lo = offsets_of(column), 0
     while lo < len(column):

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from lodestar.llm import bytewords as bw
 
-SHARD_BYTES = 8 << 20       # bytes of text per index
+SHARD_BYTES = 2 << 20       # bytes of text per index
 SAMPLE = 16
 BLOCK_BYTES = 8 << 20       # bytes of phrase texts that are searched together
 

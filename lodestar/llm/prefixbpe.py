@@ -99,7 +99,7 @@ class PrefixBPE(dict):
                 r = rank((a, b))
                 if r is not None and r < used_a and r <= used_b:
                     got = False
-        if len(self.pairs) >= 1_000_000:
+        if len(self.pairs) >= 300_000:
             self.pairs.clear()
         self.pairs[s, t] = got
         return got
