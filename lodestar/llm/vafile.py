@@ -49,25 +49,29 @@ def parse(ids, vectors, scale: float) -> dict[int, tuple[np.ndarray, np.ndarray]
     return out
 
 
+def _place(first: np.ndarray) -> np.ndarray:
+    """Number of each row within its run; ``first`` marks where runs begin."""
+    head = np.flatnonzero(first)
+    return np.arange(len(first)) - np.repeat(head, np.diff(np.append(head, len(first))))
+
+
 def merge(q, ids, scores, k: int):
-    """The k best of each query: higher score first, ties to the smaller id."""
+    """The k best of each query: higher score first, ties to the smaller id; copies of a row stay."""
     order = np.lexsort((ids, -scores, q))
     q, ids, scores = q[order], ids[order], scores[order]
-    head = np.flatnonzero(np.concatenate(([True], q[1:] != q[:-1]))) if len(q) else np.zeros(0, np.int64)
-    place = np.arange(len(q)) - np.repeat(head, np.diff(np.append(head, len(q))))
-    keep = place < k
+    keep = _place(np.concatenate(([True], q[1:] != q[:-1]))[: len(q)]) < k
     return q[keep], ids[keep], scores[keep]
 
 
 def scan(queries: np.ndarray, query_ids: np.ndarray, ids: np.ndarray, vectors: np.ndarray, k: int, shift: int,
          best: tuple[np.ndarray, np.ndarray, np.ndarray], stats: dict | None = None):
     """``best`` (query row, id, score; at most k per query) after these vectors."""
-    # Of equal vectors only the k + 1 smallest ids can matter (one may be the query itself).
+    # Of the copies of a row only k can matter, and of equal vectors the 2 k first of those (k may be the query's own).
     order = np.lexsort((ids, *vectors.T))
-    same = np.concatenate(([False], (vectors[order][1:] == vectors[order][:-1]).all(axis=1)))
-    head = np.flatnonzero(~same)
-    place = np.arange(len(order)) - np.repeat(head, np.diff(np.append(head, len(order))))
-    order = np.sort(order[place <= k])
+    differ = np.concatenate(([True], (vectors[order][1:] != vectors[order][:-1]).any(axis=1)))
+    order = order[_place(differ | np.concatenate(([True], ids[order][1:] != ids[order][:-1]))) < k]
+    differ = np.concatenate(([True], (vectors[order][1:] != vectors[order][:-1]).any(axis=1)))
+    order = np.sort(order[_place(differ) < 2 * k])
     ids, vectors = ids[order], vectors[order]
 
     width = float((1 << shift) - 1)
@@ -126,18 +130,28 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, id_column: str = "
     product of components floor(scale * x); all if fewer; ties to the smaller id.
 
     Vectors that are null or empty or hold null or non-finite components, and rows
-    without an id, take no part; only vectors of equal dimension are compared;
-    repeated queries give their result once.  Scores are exact below 2^53.
+    without an id, take no part; only vectors of equal dimension are compared.  Every row
+    counts, as in SQL: copies of a row are as many neighbours, and rows of ``queries`` with
+    one id ask together, each neighbour coming once for every row that asked.  Scores are
+    exact below 2^53.
     """
     spark = vectors.sparkSession
     pick = lambda df: df.select(F.col(id_column).cast("long").alias("i"), F.col(vector).cast("array<double>").alias("v"))
-    asked = pick(queries).where("i is not null and size(v) > 0").dropDuplicates(["i"])
+    asked = pick(queries).where("i is not null and size(v) > 0").groupBy("i", "v").agg(F.count(F.lit(1)).alias("copies"))
     n, widest = asked.agg(F.count(F.lit(1)), F.max(F.size("v"))).first()
     blocks = max(1, -(-n * (widest or 1) * 8 // QUERY_BYTES))
+
+    def best(found: DataFrame) -> DataFrame:
+        order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+        return (found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+                .select("query_id", "rank", "vec_id", "score"))
+
     found = None
     for b in range(blocks):
-        got = asked.where(F.pmod(F.xxhash64("i"), F.lit(blocks)) == b).toArrow()
-        sent = spark.sparkContext.broadcast(parse(got.column("i"), got.column("v"), scale))
+        got = asked.where(F.pmod(F.xxhash64("i", "v"), F.lit(blocks)) == b).toArrow()
+        query_ids, copies = (got.column(c).to_numpy().astype(np.int64) for c in ("i", "copies"))
+        rows = parse(pa.array(np.arange(len(got))), got.column("v"), scale)
+        sent = spark.sparkContext.broadcast({d: (query_ids[r], v, np.minimum(copies[r], k)) for d, (r, v) in rows.items()})
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             block = sent.value
@@ -148,13 +162,12 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, id_column: str = "
                         for c in range(0, len(ids), CHUNK):
                             best[d] = scan(block[d][1], block[d][0], ids[c: c + CHUNK], v[c: c + CHUNK], k, shift, best[d])
             for d, (row, ids, score) in best.items():
+                times = block[d][2][row]
+                row, ids, score = merge(*(np.repeat(a, times) for a in (row, ids, score)), k)
                 yield pa.RecordBatch.from_arrays([pa.array(block[d][0][row]), pa.array(ids), pa.array(score.astype(np.int64))],
                                                  names=["query_id", "vec_id", "score"])
 
-        part = pick(vectors).mapInArrow(run, "query_id long, vec_id long, score long")
-        order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-        best = (part.distinct().withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-                .select("query_id", "rank", "vec_id", "score"))
-        best = best if blocks == 1 else scratch.stage(best, "topk")     # one block of queries at a time
-        found = best if found is None else found.unionByName(best)
-    return found
+        part = best(pick(vectors).mapInArrow(run, "query_id long, vec_id long, score long"))
+        part = part if blocks == 1 else scratch.stage(part, "topk")     # one block of queries at a time
+        found = part if found is None else found.unionByName(part)
+    return found if blocks == 1 else best(found.drop("rank"))           # rows of one query id may be in several blocks

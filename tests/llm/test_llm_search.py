@@ -4,13 +4,14 @@ import math
 import random
 import re
 
+import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from lodestar.llm import bytewords as bw
-from lodestar.llm import fmindex, tokengroups, vafile
+from lodestar.llm import fmindex, plans, tokengroups, vafile
 from lodestar.llm.components import components
 
 WORD = re.compile("[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -228,6 +229,31 @@ def test_top_k_blocks_of_queries(spark, monkeypatch):
     assert vafile.top_k(df.limit(0), df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("split", ["one task", "many tasks", "query blocks"])
+def test_top_k_of_repeated_rows_equals_its_sql(spark, tmp_path, monkeypatch, split):
+    if split == "query blocks":
+        monkeypatch.setattr(vafile, "QUERY_BYTES", 100)
+    rnd = random.Random(5)
+    vector = lambda: [float(np.float32(rnd.gauss(0, 0.3))) for _ in range(4)]
+    rows = [(i, vector()) for i in range(1, 90)]
+    near = [float(np.float32(x * 2)) for x in rows[49][1]]
+    rows += [rows[49]] * 8 + [(100, vector())] * 3 + [(150, vector()), (150, vector())]     # repeated queries
+    rows += [(1001, near)] * 2 + [(1002, near)] * 7 + [(50, near)] * 9 + [(1003, near)] + [rows[3]] * 6
+    rnd.shuffle(rows)
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(1 if split == "one task" else 7)
+    df.write.parquet(f"{tmp_path}/embeddings.parquet")
+    got = plans.QUERIES["op9_vector_approximation"](spark, str(tmp_path)).collect()
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM read_parquet('{tmp_path}/embeddings.parquet/*.parquet')")
+    assert sorted(tuple(r) for r in got) == sorted(con.execute(plans.ORACLE["op9_vector_approximation"]).fetchall())
+
+
+def test_scan_keeps_rows_beside_copies_of_the_query():
+    ids, v = np.array([7] * 20 + [8, 8, 9]), np.ones((23, 2))
+    best = vafile.scan(v[:1], ids[:1], ids, v, 3, 2, (np.zeros(0, np.int64),) * 2 + (np.zeros(0),))
+    assert best[1].tolist() == [8, 8, 9]
+
+
 def test_bounds_spare_exact_reads():
     rnd = np.random.default_rng(0)
     v = np.floor(256 * rnd.normal(0, 0.125, (4000, 64)))
