@@ -3,19 +3,26 @@
 For every participant of a conversation the whole dialogue is rendered with
 that speaker as the assistant, the others as named users and system turns as
 they are; the loss masks cover what the assistant says.  A dialogue is cut into
-parts of PART_TURNS turn numbers, each a row with its offset in the whole, so a
-conversation with a third of all turns is never gathered into one task.
+parts of PART_TURNS turn numbers, each a row with its offset in the whole, so a long
+conversation with ascending turn numbers is not gathered into one task.  The SQL of the
+query cuts by turn number: turns without a number or with few different ones are
+one part, one row and one task, whose work is linear in its turns.
 Column functions only.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 PART_TURNS = 256
 SYSTEM = "system"
 UNNAMED = "unknown"
+OWN = "<|assistant|>\n"
+
+
+def user(role: Column) -> Column:
+    return F.concat(F.lit("<|user name="), F.coalesce(role, F.lit(UNNAMED)), F.lit("|>\n"))
 
 
 def rotate(conversations: DataFrame, part_turns: int = PART_TURNS) -> DataFrame:
@@ -35,28 +42,29 @@ def rotate(conversations: DataFrame, part_turns: int = PART_TURNS) -> DataFrame:
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("said"))
     turns = turns.withColumn("part", F.coalesce(F.floor(F.col("turn") / part_turns), F.lit(0)).cast("int"))
     people = (turns.where(F.col("role") != SYSTEM).select(F.col("conv_id").alias("c"), F.col("role").alias("participant")).distinct())
-    parts = (turns.groupBy("conv_id", "part")
-             .agg(F.array_sort(F.collect_list(F.struct("turn", "role", "said"))).alias("turns")))
+    # Places are counted with every speaker as a user; a participant's own labels shift them by the same
+    # length at each own turn before, so the masks need no running sum per participant.
+    plain = F.when(F.col("role") == SYSTEM, "<|system|>\n").otherwise(user(F.col("role")))
+    ahead = Window.partitionBy("conv_id", "part").orderBy("turn", "role", "said").rowsBetween(Window.unboundedPreceding, -1)
+    placed = turns.withColumn("at", F.coalesce(F.sum((F.length(plain) + F.length("said") + 8).cast("long")).over(ahead), F.lit(0)))
+    parts = (placed.groupBy("conv_id", "part")
+             .agg(F.array_sort(F.collect_list(F.struct("at", "role", "said"))).alias("turns")))
     seen = parts.join(people, F.col("conv_id").eqNullSafe(F.col("c"))).drop("c")
 
     def label(t):
-        return (F.when(t["role"] == SYSTEM, "<|system|>\n").when(t["role"] == F.col("participant"), "<|assistant|>\n")
-                .otherwise(F.concat(F.lit("<|user name="), F.coalesce(t["role"], F.lit(UNNAMED)), F.lit("|>\n"))))
+        return (F.when(t["role"] == SYSTEM, "<|system|>\n").when(t["role"] == F.col("participant"), OWN)
+                .otherwise(user(t["role"])))
 
-    lines = F.transform("turns", lambda t: F.struct(
-        F.concat(label(t), t["said"], F.lit("<|end|>\n")).alias("line"), F.length(label(t)).alias("head"),
-        F.coalesce(t["role"] == F.col("participant"), F.lit(False)).alias("own")))
-    spans = F.array().cast("array<struct<start:int,end:int>>")
+    lines = F.transform("turns", lambda t: F.concat(label(t), t["said"], F.lit("<|end|>\n")))
+    shift = F.lit(len(OWN)) - F.length(user(F.col("participant")))
 
-    def step(acc, t):
-        end = acc["at"] + F.length(t["line"])
-        mask = F.struct((acc["at"] + t["head"]).alias("start"), (end - 1).alias("end"))
-        return F.struct(end.alias("at"), F.when(t["own"], F.concat(acc["masks"], F.array(mask))).otherwise(acc["masks"]).alias("masks"))
+    def mask(t, i):
+        start = t["at"] + i * shift + len(OWN)
+        return F.struct(start.cast("int").alias("start"), (start + F.length(t["said"]) + 7).cast("int").alias("end"))
 
     rendered = seen.select(
-        "conv_id", "participant", "part", F.size("turns").alias("n_turns"), lines.alias("lines")).select(
-        "conv_id", "participant", "part", "n_turns", F.array_join(F.col("lines.line"), "").alias("text"),
-        F.aggregate("lines", F.struct(F.lit(0).alias("at"), spans.alias("masks")), step)["masks"].alias("masks"))
+        "conv_id", "participant", "part", F.size("turns").alias("n_turns"), F.array_join(lines, "").alias("text"),
+        F.transform(F.filter("turns", lambda t: t["role"] == F.col("participant")), mask).alias("masks"))
     before = Window.partitionBy("conv_id", "participant").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     starts = (turns.join(people, F.col("conv_id").eqNullSafe(F.col("c"))).drop("c")
               .groupBy("conv_id", "participant", "part")

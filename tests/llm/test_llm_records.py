@@ -1,6 +1,7 @@
 """Operators 7, 8 and 10 against brute force."""
 
 import random
+import time
 import zlib
 from collections import Counter
 
@@ -138,6 +139,27 @@ def test_rotation_equals_brute_force(spark):
     assert perspectives.rotate(df.limit(0)).count() == 0
 
 
+def test_rotation_of_null_and_repeated_turns(spark):
+    rnd = random.Random(12)
+    rows = [(rnd.choice([None, None, 1]), rnd.choice([None, 0, 1, 3, 9]), rnd.choice(["user", "assistant", "système", "system", None]),
+             rnd.choice(["hi", "é 中", None, "said"])) for _ in range(600)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(5)
+    got = [(r.conv_id, r.participant, r.part, r.n_turns, r.char_start, r.text, tuple((m.start, m.end) for m in r.masks))
+           for r in perspectives.rotate(df, 4).collect()]
+    assert sorted(got, key=repr) == brute_rotate(rows, 4)
+
+
+def test_work_of_a_part_is_linear(spark):
+    took = {}
+    for n in (2_000, 2_000, 48_000):
+        df = spark.range(n).selectExpr("cast(null as long) as conv_id", "id % 8 as turn", "'user' as role", "'said' as text")
+        began = time.monotonic()
+        row = perspectives.rotate(df).selectExpr("n_turns", "size(masks) as n_masks").first()
+        took[n] = time.monotonic() - began
+        assert row.n_turns == row.n_masks == n
+    assert took[48_000] < 24 * took[2_000]
+
+
 def test_masks_cover_what_the_assistant_says(spark):
     df = spark.createDataFrame([(1, 0, "ann", "Hello"), (1, 1, "bob", "Hi Ann"), (1, 2, "ann", "Bye")], "conv_id long, turn long, role string, text string")
     got = {r.participant: r for r in perspectives.rotate(df).collect()}
