@@ -1,7 +1,8 @@
 """Sharding by a two-pass external shuffle (operator 8).
 
 Pass 1 scatters the rows into buckets of memory size by a seeded hash of
-the row; pass 2 puts each bucket into a canonical order, shuffles it by
+the row, and of its copy number where the copies of a row are a good part of a
+bucket; pass 2 puts each bucket into a canonical order, shuffles it by
 Fisher-Yates with a generator seeded by (seed, bucket), and writes it.  The
 buckets one after the other are a uniform order of all rows; row g of
 that order goes to shard g mod n as its slot g div n, so row counts differ by
@@ -29,20 +30,41 @@ def _fisher_yates(n: int, seed: int, bucket: int) -> np.ndarray:
     return order
 
 
+def _many_copies(rows: DataFrame, most: int) -> tuple[DataFrame, DataFrame]:
+    """``rows`` without those whose copies together exceed ``most`` bytes, and these with
+    a ``copy`` number.  They are counted and made again from one row each, in pieces of
+    about ``most`` bytes, so that no task holds them all."""
+    rows = rows.withColumns({"size": F.coalesce(F.octet_length("text"), F.lit(0)) + 8, "h": F.xxhash64("doc_id", "text")})
+    # A row in ``most`` bytes of the table at most: always sent to all tasks.
+    heavy = F.broadcast(rows.groupBy("h").agg(F.count(F.lit(1)).alias("c"), F.max("size").cast("long").alias("s"))
+                        .where(F.col("c") > 1).where(F.col("c") * F.col("s") > most).select("h"))
+    counted = scratch.stage(rows.join(heavy, "h", "left_semi").groupBy("doc_id", "text", "size").agg(F.count(F.lit(1)).alias("c")), "copies")
+    piece = F.greatest(F.lit(1), F.floor(F.lit(most) / F.col("size"))).cast("long")
+    pieces = (counted.withColumn("piece", piece)
+              .withColumn("first", F.explode(F.sequence(F.lit(0).cast("long"), F.col("c") - 1, F.col("piece"))))
+              .repartition(F.col("doc_id"), F.col("first"), F.xxhash64("text")))
+    copies = pieces.select("doc_id", "text", F.explode(F.sequence("first", F.least(F.col("first") + F.col("piece"), F.col("c")) - 1)).alias("copy"))
+    copies.scratch_path = counted.scratch_path
+    return rows.join(heavy, "h", "left_anti"), copies
+
+
 def write_shards(documents: DataFrame, shards: int = 24, seed: int = 0, key: str = "doc_id", text: str = "text",
                  bucket_bytes: int = BUCKET_BYTES, name: str = "shards") -> DataFrame:
     """Write all rows into ``shards`` shards and return the written table: ``doc_id,
     text, slot long, shard int`` (one folder per shard).
 
     Null texts count as empty for their size and stay null.  Rows that are equal
-    in key and text may change places without a trace; they share a bucket.
+    in key and text may change places without a trace; copies that fill more than a quarter
+    of a bucket are counted and dealt over the buckets, fewer share one.
     An empty table gives an empty result.  Other columns are not written.
     """
     spark = documents.sparkSession
     rows = documents.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     total = rows.agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + 8)).first()[0] or 0
     n = max(int(total) // bucket_bytes + 1, shards)
-    dealt = rows.withColumn("bucket", F.pmod(F.xxhash64(F.lit(seed), "doc_id", "text"), F.lit(n)).cast("int"))
+    single, copies = _many_copies(rows, max(1, bucket_bytes // 4))
+    bucket = lambda *key: F.pmod(F.xxhash64(F.lit(seed), "doc_id", "text", *key), F.lit(n)).cast("int").alias("bucket")
+    dealt = single.select("doc_id", "text", bucket()).unionByName(copies.select("doc_id", "text", bucket("copy")))
     counts = dealt.groupBy("bucket").agg(F.count(F.lit(1)).alias("rows"))
     before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = scratch.stage(counts.select("bucket", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("offset")), "offsets")
@@ -57,5 +79,5 @@ def write_shards(documents: DataFrame, shards: int = 24, seed: int = 0, key: str
     placed = (shuffled.join(offsets, "bucket")
               .select("doc_id", "text", F.floor(g / shards).cast("long").alias("slot"), F.pmod(g, F.lit(shards)).cast("int").alias("shard")))
     written = scratch.stage(placed, name, "shard")
-    scratch.discard(offsets)
+    scratch.discard(offsets, copies)
     return written

@@ -95,6 +95,19 @@ def test_two_pass_shuffle(spark):
     assert twopass.write_shards(df.limit(0)).count() == 0
 
 
+def test_copies_of_a_row_are_dealt_over_the_buckets(spark):
+    rows = [(i, f"text {i}") for i in range(600)] + [(7, "hot " * 30)] * 300 + [(None, None)] * 500 + [(8, "twice")] * 2
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = twopass.write_shards(df.repartition(6), shards=5, seed=2, bucket_bytes=2000).collect()
+    assert Counter((r.doc_id, r.text) for r in got) == Counter(rows)
+    assert sorted(r.slot * 5 + r.shard for r in got) == list(range(len(rows)))
+    for key in (7, None):       # copies lie all over the order, not beside each other
+        at = sorted(r.slot * 5 + r.shard for r in got if r.doc_id == key and r.text != "text 7")
+        assert max(b - a for a, b in zip(at, at[1:], strict=False)) < 150 and at[-1] - at[0] > 1000
+    again = twopass.write_shards(df.repartition(2), shards=5, seed=2, bucket_bytes=2000).collect()
+    assert Counter(again) == Counter(got)
+
+
 def test_checksum_is_of_utf8(spark):
     df = spark.createDataFrame([("é中",), ("",)], "t string").select(F.crc32(F.encode("t", "utf-8")).alias("c"), "t")
     assert all(r.c == zlib.crc32(r.t.encode()) for r in df.collect())
