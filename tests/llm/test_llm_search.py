@@ -156,6 +156,23 @@ def test_join_blocks_of_a_large_group(spark, monkeypatch):
     assert sorted(tuple(r) for r in got.collect()) == brute_components(rows)
 
 
+def test_unrelated_short_texts_share_no_group(spark):
+    rows = [(" ".join(f"w{i}x{j}" for j in range(5 + i % 12)),) for i in range(120)]
+    frequent = spark.sparkContext.broadcast(np.zeros(0, np.uint64))
+    parts = tokengroups.matrix_input(spark.createDataFrame(rows, "text string"), frequent, 4, 5, 3, 4)
+    groups = tokengroups.form_groups(parts.where("kind = 0").selectExpr("a as band", "b as e")).collect()
+    assert len(groups) == len({r.e for r in groups}) == len({r.g for r in groups}) == 120
+
+
+def test_join_of_short_texts(spark):
+    rnd = random.Random(14)
+    rows = list(enumerate(" ".join(rnd.choice("abc") for _ in range(rnd.randint(0, 9))) for _ in range(300)))
+    texts = [t for i in range(12) for t in near_copies(rnd, " ".join(f"v{i}x{j}" for j in range(24)), 3, 1)]
+    rows += [(1000 + i, t) for i, t in enumerate(texts)]
+    got = tokengroups.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(tuple(r) for r in got.collect()) == brute_components(rows)
+
+
 def test_join_odd_rows(spark):
     rows = [(1, None), (2, ""), (3, "a b c d e f"), (3, "a b c d e f"), (None, "a b c d e f"), (None, "alone in the world now"), (4, None)]
     got = tokengroups.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()
