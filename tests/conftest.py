@@ -7,9 +7,6 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from lodestar.session import get_session  # noqa: E402
 
-SMOKE = "/root/testdata/sf0.001"
-SMALL = "/root/testdata/sf0.01"
-
 
 @pytest.fixture(scope="session")
 def spark():

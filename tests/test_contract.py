@@ -10,7 +10,7 @@ import __spark_entry__ as E
 from lodestar.sources import sinks
 from lodestar.sources.tables import TABLES
 
-from conftest import SMOKE
+from paths import SMOKE
 
 # A quick oracle pass at sf0.001 over a representative subset; the full set
 # runs with tools/compare.py at sf0.01.
