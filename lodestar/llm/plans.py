@@ -237,3 +237,35 @@ def op10_perspective_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
     masks = F.transform("masks", lambda m: F.concat_ws("-", m["start"].cast("string"), m["end"].cast("string")))
     return seen.select("conv_id", "participant", "part", "n_turns", "char_start", F.sha2("text", 256).alias("text_sha256"),
                        F.array_join(masks, ",").alias("masks"))
+
+
+@query("op11_piece_table_fim", r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, sha256(concat('42:', doc_id)) AS h,
+    regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS w FROM documents),
+u AS (
+  SELECT doc_id, t, w, len(w) AS n, CAST(concat('0x', substr(h, 1, 8)) AS BIGINT) % (len(w) + 1) AS a,
+    CAST(concat('0x', substr(h, 9, 8)) AS BIGINT) % (len(w) + 1) AS b,
+    CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>')
+        OR CAST(concat('0x', substr(h, 17, 8)) AS BIGINT) % 100 >= 50 THEN 'plain'
+      WHEN CAST(concat('0x', substr(h, 25, 8)) AS BIGINT) % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM d),
+s AS (
+  SELECT *, array_to_string(w[1:least(a, b)], '') AS pre, array_to_string(w[least(a, b) + 1:greatest(a, b)], '') AS mid,
+    array_to_string(w[greatest(a, b) + 1:], '') AS suf FROM u),
+o AS (
+  SELECT *, CASE form WHEN 'psm' THEN concat('<P>', pre, '<S>', suf, '<M>', mid)
+    WHEN 'spm' THEN concat('<S>', suf, '<P>', pre, '<M>', mid) ELSE t END AS output FROM s),
+b AS (
+  SELECT *, CASE form
+    WHEN 'psm' THEN concat(substr(split_part(output, '<S>', 1), 4), split_part(output, '<M>', 2), split_part(split_part(output, '<M>', 1), '<S>', 2))
+    WHEN 'spm' THEN concat(split_part(split_part(output, '<M>', 1), '<P>', 2), split_part(output, '<M>', 2), substr(split_part(output, '<P>', 1), 4))
+    ELSE output END AS restored FROM o)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN CAST(length(pre) AS BIGINT) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN CAST(length(mid) AS BIGINT) END AS middle_chars,
+  sha256(output) AS output_sha256, sha256(restored) AS restored_sha256 FROM b
+""")
+def op11_piece_table_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lodestar.llm import piecetable
+    made = piecetable.restore(piecetable.fill_in_middle(table(spark, sf_dir, "documents", "doc_id", "text")))
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", "output_sha256",
+                       F.sha2("restored", 256).alias("restored_sha256"))
