@@ -269,3 +269,28 @@ def op11_piece_table_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = piecetable.restore(piecetable.fill_in_middle(table(spark, sf_dir, "documents", "doc_id", "text")))
     return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", "output_sha256",
                        F.sha2("restored", 256).alias("restored_sha256"))
+
+
+_TERMS = rf"regexp_extract_all(translate(coalesce(text, ''), {_AZ}), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+
+@query("op12_k2_treap_search", f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS w FROM documents),
+g AS (SELECT count(*) AS docs, CAST(sum(len(w)) AS BIGINT) AS terms FROM d WHERE len(w) > 0),
+t AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(w) AS term FROM d) GROUP BY r, term),
+f AS (SELECT term, count(*) AS df FROM t GROUP BY term),
+i AS (SELECT row_number() OVER () AS i, item_id, {_TERMS} AS w FROM (SELECT DISTINCT item_id, text FROM benchmark)),
+q AS (SELECT i, term, count(*) AS c FROM (SELECT i, unnest(w) AS term FROM i) GROUP BY i, term),
+s AS (
+  SELECT q.i, t.r, CAST(sum(q.c * CAST(floor(1000 * ln((2 * docs + 2) / (2 * df + 1))) AS BIGINT)
+    * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * len(d.w) * docs) // terms)))) AS BIGINT) AS score
+  FROM q JOIN t USING (term) JOIN f USING (term) JOIN d ON d.r = t.r, g GROUP BY q.i, t.r),
+k AS (
+  SELECT i, doc_id, score, CAST(row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank
+  FROM s JOIN d USING (r) WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM k JOIN i USING (i) WHERE rank <= 20
+""")
+def op12_k2_treap_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lodestar.llm import k2treap
+    index = k2treap.build_index(table(spark, sf_dir, "documents", "doc_id", "text"))
+    return k2treap.rank(index, table(spark, sf_dir, "benchmark", "item_id", "text"), k=20)
