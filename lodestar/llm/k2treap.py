@@ -9,17 +9,17 @@
    written table, one row per shard, and does not depend on any query.
 3. Queries come in blocks of bounded size.  The shards' dictionaries give the document
    frequencies of a block's terms (one sum per term), hence their weights.
-4. In every shard the paths of an item's rows descend jointly: a state is a range of
-   documents with one cell per row that has postings there; its bound is the weighted sum of the
-   cells' maxima.  States are opened best first, many at a time, until no bound reaches the
-   k-th best score so far, which a task carries from shard to shard.
+4. In every shard the row paths descend jointly over ranges of documents: an item's bound
+   for a range is the weighted sum of the maxima of its rows' cells there.  Items open their
+   best ranges first, then only those whose bound reaches the k-th best score so far, which a task
+   carries from shard to shard.  Paths are shared by the items of a block, as most hold the
+   same frequent terms.
 
 Scores are exact 64-bit integers; terms are told apart by 64-bit hashes of their bytes.
 """
 
 from __future__ import annotations
 
-import heapq
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -34,7 +34,8 @@ from lodestar.llm import scratch
 
 SHARD_BYTES = 8 << 20       # texts of one shard, about (one longer text stands alone)
 BLOCK_BYTES = 1 << 20       # item texts sent to the tasks at a time, about
-OPEN_AT_ONCE = 192          # states opened in one vectorised step
+STEP = 3                    # levels that paths descend between two looks at the bounds
+FIRST_SPANS = 16            # ranges of a shard from which on bounds are worth a look
 NO_ID = np.iinfo(np.int64).max      # sorts rows without an id last
 
 _POP = np.array([bin(i).count("1") for i in range(16)], np.int64)
@@ -130,95 +131,131 @@ def build(row: np.ndarray, col: np.ndarray, impact: np.ndarray) -> Treap:
 
 
 @dataclass
-class _States:
-    """Ranges of ``2^level`` documents from ``col`` on; entries ``cut[i]:cut[i+1]`` of
-    ``path``/``cell`` are the rows of state i."""
+class _Paths:
+    """Cells on the paths of some rows at one level, by row, then range: entry j says
+    that row ``row[j]`` has postings in range ``span[j]`` of ``2^level`` documents, at most
+    ``peak[j]`` each, in cell ``cell[j]``.  Entries of row r are ``cut[r]:cut[r+1]``."""
 
     level: int
-    col: np.ndarray
-    bound: np.ndarray
-    cut: np.ndarray
-    path: np.ndarray
+    row: np.ndarray
+    span: np.ndarray
     cell: np.ndarray
-
-    def take(self, chosen: np.ndarray) -> _States:
-        size = np.diff(self.cut)[chosen]
-        cut = np.concatenate(([0], np.cumsum(size)))
-        at = np.repeat(self.cut[:-1][chosen] - cut[:-1], size) + np.arange(cut[-1])
-        return _States(self.level, self.col[chosen], self.bound[chosen], cut, self.path[at], self.cell[at])
+    peak: np.ndarray
+    cut: np.ndarray
 
 
-def _states(t: Treap, level: int, col, owner, path, cell, weight) -> _States | None:
-    """States of the entries that hold a posting of their row; ``owner`` ascends."""
+def _paths(t: Treap, level: int, places: np.ndarray, row, span, cell) -> _Paths:
+    """Entries without those whose cell holds one posting of another row."""
     ends = t.mask[cell] == 0
     ok = ~ends
-    ok[ends] = t.row[t.single[cell[ends]]] == weight[0][path[ends]]
-    owner, path, cell = owner[ok], path[ok], cell[ok]
-    if not len(owner):
-        return None
-    cut = np.flatnonzero(np.concatenate(([True], owner[1:] != owner[:-1])))
-    bound = np.add.reduceat(weight[1][path] * t.peak[cell].astype(np.int64), cut)
-    return _States(level, col[owner[cut]], bound, np.append(cut, len(owner)), path, cell)
-
-
-def _open(t: Treap, s: _States, weight) -> list[_States]:
-    """Both halves of every state."""
-    half = s.level - 1
-    owner = np.repeat(np.arange(len(s.col)), np.diff(s.cut))
-    mask = t.mask[s.cell]
+    ok[ends] = t.row[t.single[cell[ends]]] == places[row[ends]]
+    row, span, cell = row[ok], span[ok], cell[ok]
+    cut = np.concatenate(([0], np.cumsum(np.bincount(row, minlength=len(places)))))
+    return _Paths(level, row, span, cell, t.peak[cell].astype(np.int64), cut)
+
+
+def _open(t: Treap, p: _Paths, places: np.ndarray, wanted: np.ndarray) -> _Paths:
+    """The next level of all paths inside the ranges of ``wanted``."""
+    some = np.flatnonzero(wanted[p.span])
+    row, span, cell, half = p.row[some], p.span[some], p.cell[some], p.level - 1
+    mask = t.mask[cell]
     ends = mask == 0
-    side = np.full(len(owner), -1)
-    side[ends] = (t.col[t.single[s.cell[ends]]] >> half) & 1
-    upper = ((weight[0][s.path] >> half) & 1) * 2
-    out = []
-    for k in (0, 1):
-        quad = upper + k
-        down = ~ends & ((mask >> quad.astype(np.uint8)) & 1).astype(bool)
-        cell = np.where(ends, s.cell, t.first[s.cell] + _POP[mask & _BELOW[quad]])
-        keep = down | (side == k)
-        got = _states(t, half, s.col + (k << half), owner[keep], s.path[keep], cell[keep], weight)
-        if got is not None:
-            out.append(got)
-    return out
+    side = np.full(len(cell), -1)
+    side[ends] = (t.col[t.single[cell[ends]]] >> half) & 1
+    quad = (((places[row] >> half) & 1) * 2)[:, None] + np.arange(2)
+    there = ((mask[:, None] >> quad.astype(np.uint8)) & 1).astype(bool) | (side[:, None] == np.arange(2))
+    down = t.first[cell][:, None] + _POP[mask[:, None] & _BELOW[quad]]
+    down = np.where(ends[:, None], cell[:, None], down)
+    both = np.broadcast_to(row[:, None], there.shape)
+    return _paths(t, half, places, both[there], (2 * span[:, None] + np.arange(2))[there], down[there])
 
 
 Best = tuple[np.ndarray, np.ndarray]
 
 
-def search(t: Treap, ids: np.ndarray, rows: np.ndarray, weights: np.ndarray, k: int, best: Best) -> Best:
-    """The ``k`` best ``(score, id)`` of ``best`` and the shard: higher scores first,
-    then smaller ids.  ``ids`` ascends with the columns."""
-    weight = (rows, weights)
-    least, last = (best[0][-1], best[1][-1]) if len(best[0]) == k else (1, NO_ID)
-    root = _states(t, t.height, np.zeros(1, np.int64), np.zeros(len(rows), np.int64), np.arange(len(rows)),
-                   np.zeros(len(rows), np.int64), weight)
-    heap, made = ([], 0) if root is None else ([(-int(root.bound[0]), 0, root)], 1)
-    while heap:
-        bound, _, s = heapq.heappop(heap)
-        if -bound < least:
-            break
-        alive = (s.bound > least) | ((s.bound == least) & (ids[np.minimum(s.col, len(ids) - 1)] <= last))
-        if not alive.all():
-            s = s.take(np.flatnonzero(alive))
-        if not len(s.col):
-            continue
-        if s.level == 0:
-            score, doc = np.append(best[0], s.bound), np.append(best[1], ids[s.col])
-            order = np.lexsort((doc, -score))[:k]
-            best = score[order], doc[order]
-            if len(order) == k:
-                least, last = best[0][-1], best[1][-1]
-            continue
-        if len(s.col) > OPEN_AT_ONCE:
-            order = np.argsort(-s.bound, kind="stable")
-            rest = s.take(np.sort(order[OPEN_AT_ONCE:]))
-            made += 1
-            heapq.heappush(heap, (-int(rest.bound.max()), made, rest))
-            s = s.take(np.sort(order[:OPEN_AT_ONCE]))
-        for child in _open(t, s, weight):
-            made += 1
-            heapq.heappush(heap, (-int(child.bound.max()), made, child))
-    return best
+class _Item:
+    """Search state of one item in one shard."""
+
+    def __init__(self, rows: np.ndarray, weights: np.ndarray, k: int, best: Best):
+        self.rows, self.weights, self.k, self.best = rows, weights, k, best
+        self.exact = float(weights.sum()) * 1_000_000 < 2.0 ** 53
+
+    def sums(self, p: _Paths, alive: np.ndarray | None, spans: int) -> np.ndarray:
+        """Weighted sum of the peaks of every range; 0 outside ``alive`` (of a coarser level)."""
+        size = p.cut[self.rows + 1] - p.cut[self.rows]
+        at = np.repeat(p.cut[self.rows] - np.cumsum(size) + size, size) + np.arange(size.sum())
+        weight = np.repeat(self.weights, size)
+        span = p.span[at]
+        if alive is not None:
+            inside = alive[span]
+            at, weight, span = at[inside], weight[inside], span[inside]
+        worth = weight * p.peak[at]
+        if self.exact:                      # sums below 2^53 are exact in doubles
+            return np.bincount(span, worth, spans).astype(np.int64)
+        total = np.zeros(spans, np.int64)
+        np.add.at(total, span, worth)
+        return total
+
+    def reach(self, bound: np.ndarray, firsts: np.ndarray) -> np.ndarray:
+        """Ranges that may still hold one of the best; ``firsts``: their first ids."""
+        if len(self.best[0]) < self.k:
+            return bound > 0
+        least, last = self.best[0][-1], self.best[1][-1]
+        return (bound > least) | ((bound == least) & (firsts <= last))
+
+    def take(self, score: np.ndarray, ids: np.ndarray) -> None:
+        at = np.flatnonzero(self.reach(score, ids))
+        score, doc = np.append(self.best[0], score[at]), np.append(self.best[1], ids[at])
+        order = np.lexsort((doc, -score))[: self.k]
+        self.best = score[order], doc[order]
+
+
+def search(t: Treap, ids: np.ndarray, places: np.ndarray, items: list[_Item]) -> None:
+    """Add the shard to the best of every item: higher scores first, then smaller ids.
+    ``ids`` ascends with the columns; ``places`` are the rows that items name by position.
+
+    The paths of all rows descend together; every STEP levels each item's bounds are summed
+    over its own rows, and a range is opened only where some item still needs it.
+    Each item first opens its best ranges, then what these leave within reach."""
+    width = len(ids)
+    firsts = lambda level: ids[np.minimum(np.arange((width - 1 >> level) + 1) << level, width - 1)]
+    alone = np.zeros(len(places), np.int64)
+    p = _paths(t, t.height, places, np.arange(len(places)), alone, alone)
+    while p.level and (p.level % STEP or p.level and width >> p.level < FIRST_SPANS):
+        p = _open(t, p, places, np.ones((width - 1 >> p.level) + 1, bool))
+    start, spans = p, (width - 1 >> p.level) + 1
+    bounds = [i.sums(p, None, spans) for i in items]
+    if p.level == 0:
+        for item, score in zip(items, bounds, strict=True):
+            item.take(score, ids)
+        return
+    done = [np.zeros(spans, bool)] * len(items)
+    for wave in (spans // 8 + 1, spans):
+        p, alive = start, []
+        for n, (item, bound) in enumerate(zip(items, bounds, strict=True)):
+            now = item.reach(bound, firsts(p.level)) & ~done[n]
+            if wave < spans:
+                best = np.argsort(-bound, kind="stable")[:wave]
+                now &= np.isin(np.arange(spans), best)
+            done[n] = done[n] | now
+            alive.append(now)
+        while p.level and any(a.any() for a in alive):
+            wanted = np.logical_or.reduce(alive)
+            coarse = p.level
+            for _ in range(STEP):
+                p = _open(t, p, places, wanted)
+                wanted = np.repeat(wanted, 2)
+            n = (width - 1 >> p.level) + 1
+            for j, item in enumerate(items):
+                if alive[j].any():
+                    inside = np.repeat(alive[j], 1 << coarse - p.level)[:n]
+                    score = item.sums(p, inside, n)
+                    if p.level == 0:
+                        item.take(score, ids)
+                    else:
+                        alive[j] = inside & item.reach(score, firsts(p.level))
+                else:
+                    alive[j] = np.zeros(n, bool)
 
 
 # --- index ------------------------------------------------------------------------
@@ -368,13 +405,21 @@ def _search_block(index: Index, block: Block, k: int, name: str) -> DataFrame:
         for batch in batches:
             for ids, terms, grid in zip(*batch.columns, strict=True):
                 _, row = _places(terms.as_py(), block)
-                keys, t = np.frombuffer(ids.as_py(), np.int64), Treap.load(grid.as_py())
+                held = np.flatnonzero((row >= 0) & (weights > 0))
+                if not len(held):
+                    continue
+                position = np.full(len(row), -1)
+                position[held] = np.arange(len(held))
+                asking = []
                 for i in range(len(best)):
                     at = block.at[block.cut[i]: block.cut[i + 1]]
-                    here = (row[at] >= 0) & (weights[at] > 0)
+                    here = position[at] >= 0
                     if here.any():
                         count = block.count[block.cut[i]: block.cut[i + 1]][here]
-                        best[i] = search(t, keys, row[at][here], weights[at][here] * count, k, best[i])
+                        asking.append((i, _Item(position[at][here], weights[at][here] * count, k, best[i])))
+                search(Treap.load(grid.as_py()), np.frombuffer(ids.as_py(), np.int64), row[held], [x for _, x in asking])
+                for i, item in asking:
+                    best[i] = item.best
         size = [len(s) for s, _ in best]
         score, doc = (np.concatenate([b[x] for b in best]) if best else none[0] for x in (0, 1))
         yield pa.RecordBatch.from_arrays(

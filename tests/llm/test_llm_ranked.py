@@ -53,7 +53,8 @@ def test_like_brute_force(spark, seed, monkeypatch):
              for i in range(14)] + [(3, None), (4, ""), (5, "common text"), (5, "common text")]
     monkeypatch.setattr(kt, "SHARD_BYTES", rnd.choice([200, 5000, 1 << 20]))
     monkeypatch.setattr(kt, "BLOCK_BYTES", rnd.choice([300, 1 << 20]))
-    monkeypatch.setattr(kt, "OPEN_AT_ONCE", rnd.choice([1, 7, 192]))
+    monkeypatch.setattr(kt, "STEP", rnd.choice([1, 2, 3]))
+    monkeypatch.setattr(kt, "FIRST_SPANS", rnd.choice([1, 4, 16]))
     table = spark.createDataFrame(docs, "doc_id long, text string").withColumns({"i": F.lit(1), "score": F.lit("x")}).repartition(3)
     asked = spark.createDataFrame(items, "item_id long, text string").withColumns({"rank": F.lit(1), "doc_id": F.lit(2)})
     got = kt.rank(kt.build_index(table), asked, k=rnd.choice([1, 5, 20]) if seed else 20)
@@ -71,7 +72,9 @@ def test_empty_tables(spark):
 
 
 @pytest.mark.parametrize("seed", range(30))
-def test_tree_holds_every_posting(seed):
+def test_tree_holds_every_posting(seed, monkeypatch):
+    monkeypatch.setattr(kt, "STEP", seed % 3 + 1)
+    monkeypatch.setattr(kt, "FIRST_SPANS", seed % 5 + 1)
     rng = np.random.default_rng(seed)
     rows, cols = rng.integers(1, 70), rng.integers(1, 300)
     there = rng.random((rows, cols)) < rng.choice([0.01, 0.3, 1.0])
@@ -87,7 +90,10 @@ def test_tree_holds_every_posting(seed):
     total = (weight[:, None] * dense[chosen]).sum(axis=0)
     want = sorted((-int(s), int(i)) for s, i in zip(total, ids, strict=True) if s > 0)[:10]
     none = np.zeros(0, np.int64), np.zeros(0, np.int64)
-    score, doc = kt.search(t, ids, chosen, weight, 10, none)
+    item = kt._Item(np.arange(len(chosen)), weight, 10, none)
+    other = kt._Item(np.arange(1), weight[:1], 3, none)
+    kt.search(t, ids, chosen, [other, item])
+    score, doc = item.best
     assert [(-int(s), int(d)) for s, d in zip(score, doc, strict=True)] == want
 
 
@@ -101,8 +107,10 @@ def test_search_opens_few_documents(monkeypatch):
     t = kt.build(r, c, rng.integers(1, 100, len(r)))
     opened = []
     plain = kt._open
-    monkeypatch.setattr(kt, "_open", lambda t, s, w: opened.append(len(s.col)) or plain(t, s, w))
-    monkeypatch.setattr(kt, "OPEN_AT_ONCE", 16)
+    monkeypatch.setattr(kt, "_open", lambda t, p, rows, wanted: opened.append((p.level, int(wanted.sum()))) or plain(t, p, rows, wanted))
+    monkeypatch.setattr(kt, "STEP", 1)
     none = np.zeros(0, np.int64), np.zeros(0, np.int64)
-    kt.search(t, np.arange(4096), np.array([63, 1]), np.array([1000, 1]), 3, none)
-    assert sum(opened) < 400
+    item = kt._Item(np.arange(2), np.array([1000, 1]), 3, none)
+    kt.search(t, np.arange(4096), np.array([63, 1]), [item])
+    assert sorted(item.best[1].tolist()) == [5, 900, 4000]
+    assert sum(n for level, n in opened if level == 1) < 2048 / 4       # ranges of two documents
