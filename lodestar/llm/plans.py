@@ -294,3 +294,9 @@ def op12_k2_treap_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lodestar.llm import k2treap
     index = k2treap.build_index(table(spark, sf_dir, "documents", "doc_id", "text"))
     return k2treap.rank(index, table(spark, sf_dir, "benchmark", "item_id", "text"), k=20)
+
+
+@query("op13_bayes_near_dedup")
+def op13_bayes_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lodestar.llm import bayesdedup
+    return bayesdedup.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
