@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from lodestar.llm import bytewords as bw
 from lodestar.llm import scratch
 
-SHARD_BYTES = 8 << 20       # texts of one shard, about (one longer text stands alone)
+SHARD_BYTES = 2 << 20       # texts of one shard, about (one longer text stands alone)
 BLOCK_BYTES = 1 << 20       # item texts sent to the tasks at a time, about
 STEP = 3                    # levels that paths descend between two looks at the bounds
 FIRST_SPANS = 16            # ranges of a shard from which on bounds are worth a look
@@ -80,9 +80,9 @@ class Treap:
     col: np.ndarray
 
     def __post_init__(self):
-        kids = _POP[self.mask]
-        self.first = np.cumsum(kids) - kids + 1
-        self.single = np.cumsum(self.mask == 0) - 1
+        kids = _POP[self.mask].astype(np.int32)
+        self.first = np.cumsum(kids, dtype=np.int32) - kids + 1
+        self.single = np.cumsum(self.mask == 0, dtype=np.int32) - 1
 
     def dump(self) -> bytes:
         head = np.array([self.height, len(self.mask), len(self.row), self.row.dtype.itemsize, self.col.dtype.itemsize], "<i8")
@@ -284,6 +284,7 @@ def _shard(ids: list, parts: list, counts: list, n_docs: int, n_terms: int) -> t
     order = np.argsort(keys, kind="stable")
     place = np.empty(len(order), np.int64)
     place[order] = np.arange(len(order))
+    parts.clear()
     terms, row = np.unique(term, return_inverse=True)
     df = np.bincount(row, minlength=len(terms))
     by_df = np.argsort(-df, kind="stable")          # frequent terms share cells, so rare ones keep low maxima
