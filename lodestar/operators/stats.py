@@ -127,6 +127,163 @@ def gram_matrix(df: DataFrame, vec_col: str) -> DataFrame:
             .groupBy("i", "j").agg(F.sum("g").alias("g")))
 
 
+HEAD = 2048                 # positions whose products a task keeps as one dense matrix (32 MB)
+HEAD_ROWS = 256             # rows of one dense product
+PAIR_LIMIT = 1 << 20        # products outside the head that a task holds before it adds them up
+
+
+def _tail_pairs(row: np.ndarray, pos: np.ndarray, x: np.ndarray, head: int):
+    """Products ``(i, j, x_i x_j)``, i <= j, of entries of one row with j outside the head, in
+    chunks of about PAIR_LIMIT; entries ascend by (row, position)."""
+    first = np.searchsorted(row, row)                   # first entry of the own row
+    at = np.flatnonzero(pos >= head)
+    many = at - first[at] + 1                           # partners up to and with itself
+    ends = np.cumsum(many)
+    lo = 0
+    while lo < len(at):
+        hi = max(lo + 1, int(np.searchsorted(ends, ends[lo] - many[lo] + PAIR_LIMIT, "right")))
+        some, n = at[lo:hi], many[lo:hi]
+        right = np.repeat(some, n)
+        left = np.repeat(first[some] - np.cumsum(n) + n, n) + np.arange(n.sum())
+        yield pos[left], pos[right], x[left] * x[right]
+        lo = hi
+
+
+def gram_blocks(rows: DataFrame, size: int, head: int = HEAD) -> DataFrame:
+    """J9 for sparse rows over ``size`` positions: ``(i, j, g)`` with i <= j and
+    g = sum x_i x_j, for every pair of positions that some row holds together.
+
+    ``rows`` has list columns ``pos`` (ascending, distinct) and ``x``; null or empty
+    lists and zeros count for nothing.  Positions below ``head`` (the frequent ones, when
+    positions go by frequency) form one dense block: a task adds its rows' products up
+    in a single head x head matrix and hands it on once.  Cells outside that block come
+    from the few rare positions of each row; a task adds them up slice by slice.  So a
+    task's memory is bounded by ``head`` and PAIR_LIMIT, not by ``size`` squared, the rows never move, and
+    Spark adds the partial cells by (i, j)."""
+    from lodestar.operators.linear import sparse_slices
+    head = min(head, size)
+
+    def cells(i, j, g):
+        return pa.RecordBatch.from_arrays([pa.array(i, pa.int32()), pa.array(j, pa.int32()), pa.array(g, pa.float64())], names=["i", "j", "g"])
+
+    def added(parts):
+        i, j, g = (np.concatenate(c) for c in zip(*parts, strict=True))
+        key, back = np.unique(i.astype(np.int64) * size + j, return_inverse=True)
+        return cells(key // size, key % size, np.bincount(back, g))
+
+    def partial(batches):
+        dense, met = np.zeros((head, head)), np.zeros((head, head), bool)
+        parts, held = [], 0
+        for batch in batches:
+            for lo, hi, row, pos, x in sparse_slices(batch):
+                used = x != 0
+                row, pos, x = row[used], pos[used], x[used]
+                for a in range(0, hi - lo, HEAD_ROWS):
+                    s = slice(*np.searchsorted(row, [a, a + HEAD_ROWS]))
+                    low = pos[s] < head
+                    block = np.zeros((min(HEAD_ROWS, hi - lo - a), head))
+                    block[row[s][low] - a, pos[s][low]] = x[s][low]
+                    dense += block.T @ block
+                    there = (block != 0).astype(np.float32)
+                    met |= there.T @ there > 0          # a cell stays though its sum may be zero
+                for i, j, g in _tail_pairs(row, pos, x, head):
+                    parts.append((i, j, g))
+                    held += len(i)
+                    if held >= PAIR_LIMIT:
+                        yield added(parts)
+                        parts, held = [], 0
+        if parts:
+            yield added(parts)
+        i, j = np.nonzero(np.triu(met))
+        for k in range(0, len(i), PAIR_LIMIT):
+            part = slice(k, k + PAIR_LIMIT)
+            yield cells(i[part], j[part], dense[i[part], j[part]])
+
+    return (rows.select("pos", "x").mapInArrow(partial, "i int, j int, g double")
+            .groupBy("i", "j").agg(F.sum("g").alias("g")))
+
+
+def gram_rows(cells: DataFrame) -> DataFrame:
+    """Report of ``gram_blocks``: per position i of the upper triangle its number of cells, diagonal, sum
+    and sum weighted by position."""
+    return cells.groupBy("i").agg(
+        F.count(F.lit(1)).alias("n_cells"), F.coalesce(F.sum(F.when(F.col("i") == F.col("j"), F.col("g"))), F.lit(0.0)).alias("diagonal"),
+        F.sum("g").alias("total"), F.sum(F.col("g") * (F.col("j") + 1)).alias("weighted"))
+
+
+# ---------------------------------------------------------------- M9, exact
+
+@dataclass
+class ExactFit:
+    """Least squares from centred moments: intercept and coefficients by name (0 for a
+    dependent column), the number of independent columns, the condition number of the
+    correlation matrix of these, and R^2."""
+    names: list[str]
+    intercept: float
+    coefficients: np.ndarray
+    rank: int
+    condition: float
+    r2: float
+    n: int
+
+
+def centred_moments(df: DataFrame, features: list[str], y: str) -> tuple[int, np.ndarray, np.ndarray]:
+    """Rows, means and centred second moments (co-moment sums) of ``features`` and ``y``, in one
+    pass: Spark merges centred partial moments, so nothing cancels for columns far from zero."""
+    columns = [F.col(c).cast("double") for c in (*features, y)]
+    whole = df.where(" AND ".join(f"`{c}` IS NOT NULL" for c in (*features, y)))
+    d = len(columns)
+    pairs = [(i, j) for i in range(d) for j in range(i, d)]
+    row = whole.agg(F.count(F.lit(1)).alias("n"), *[F.avg(c).alias(f"m{i}") for i, c in enumerate(columns)],
+                    *[F.covar_pop(columns[i], columns[j]).alias(f"c{i}_{j}") for i, j in pairs]).first()
+    n = int(row["n"])
+    moments = np.zeros((d, d))
+    for i, j in pairs:
+        moments[i, j] = moments[j, i] = (row[f"c{i}_{j}"] or 0.0) * n
+    return n, np.array([row[f"m{i}"] if n else 0.0 for i in range(d)]), moments
+
+
+def pivoted_cholesky(a: np.ndarray, tol: float = 1e-10) -> tuple[np.ndarray, list[int]]:
+    """Lower factor L and pivot order p with a[p][:, p] = L L' up to the rank, at which the
+    largest remaining diagonal falls to ``tol`` of the largest of all."""
+    a, n = a.copy(), len(a)
+    order, l = list(range(n)), np.zeros((n, n))
+    top = max(a.diagonal(), default=0.0)
+    for k in range(n):
+        best = k + int(np.argmax(a.diagonal()[k:]))
+        if a[best, best] <= tol * top or a[best, best] <= 0:
+            return l[:, :k], order
+        for m in (a, a.T, l):
+            m[[k, best]] = m[[best, k]]
+        order[k], order[best] = order[best], order[k]
+        l[k, k] = np.sqrt(a[k, k])
+        l[k + 1:, k] = a[k + 1:, k] / l[k, k]
+        a[k + 1:, k + 1:] -= np.outer(l[k + 1:, k], l[k + 1:, k])
+    return l, order
+
+
+def exact_regression(df: DataFrame, features: list[str], y: str) -> ExactFit:
+    """M9's exact alternative: least squares with an intercept by a pivoted Cholesky
+    factorisation of the correlation matrix.  Columns that depend on earlier pivots (or are
+    constant) get the coefficient 0; rows with a null are left out."""
+    n, mean, moments = centred_moments(df, features, y)
+    d = len(features)
+    scale = np.sqrt(moments.diagonal())
+    safe = np.where(scale > 0, scale, 1.0)
+    corr = moments / np.outer(safe, safe)
+    l, order = pivoted_cholesky(corr[:d, :d])
+    rank = l.shape[1]
+    used = order[:rank]
+    beta = np.zeros(d)
+    if rank:
+        z = np.linalg.solve(l[:rank], corr[used, d])
+        beta[used] = np.linalg.solve(l[:rank].T, z) * safe[d] / safe[used]
+    condition = float(np.linalg.cond(corr[np.ix_(used, used)])) if rank else 1.0
+    fitted = float(beta @ moments[:d, d])
+    return ExactFit(list(features), float(mean[d] - beta @ mean[:d]), beta, rank, condition,
+                    fitted / moments[d, d] if moments[d, d] > 0 else 0.0, n)
+
+
 # ---------------------------------------------------------------- A14-A16, T6, T11, M17
 
 def column_moments(features: DataFrame, n_rows: Column,

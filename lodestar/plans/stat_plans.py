@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lodestar.functions.numeric import significant
+from lodestar.operators import linear as LN
 from lodestar.operators import stats as ST
 from lodestar.operators import textfeatures as TF
 from lodestar.plans.registry import DIGITS, register
@@ -88,6 +89,53 @@ def embedding_gram_matrix(spark, sf):
                     significant("g", 10).alias("g"))
 
 
+@register("tf_gram_blocks", sql=f"""
+WITH {features_ctes(VOCAB)},
+cells AS (SELECT a.pos AS i, b.pos AS j, sum(a.tf * b.tf) AS g FROM tf a JOIN tf b ON a.doc_id = b.doc_id AND a.pos <= b.pos GROUP BY a.pos, b.pos)
+SELECT i, count(*) AS n_cells, {sig('sum(g) FILTER (WHERE i = j)')} AS diagonal, {sig('sum(g)')} AS total,
+       {sig('sum(g * (j + 1))')} AS weighted FROM cells GROUP BY i
+""")
+def tf_gram_blocks(spark, sf):
+    """J9 over the TF rows of all documents and the whole 20,000-word vocabulary: every
+    non-zero cell of X'X, reported per row of the upper triangle."""
+    f = TF.TextFeatures(table(spark, sf, "documents", "doc_id", "text"), VOCAB)
+    cells = ST.gram_blocks(LN.doc_arrays(f.tf.select("doc_id", "pos", F.col("tf").alias("x"))), VOCAB)
+    return ST.gram_rows(cells).select("i", "n_cells", *[significant(c, SIG).alias(c) for c in ("diagonal", "total", "weighted")])
+
+
+EXACT_FEATURES = ["secs", "distance", "fare", "surcharge"]
+
+
+def _exact_sql() -> str:
+    """Normal equations of the centred design by elimination, one CTE per column."""
+    d = len(EXACT_FEATURES)
+    cols = [f"x{i + 1}" for i in range(d)] + ["y"]
+    pairs = [(i, j) for i in range(d) for j in range(i, d + 1)]
+    a = lambda i, j: f"a{min(i, j)}_{max(i, j)}"
+    ctes = [f"dm AS ({MULTI_SQL})", "mean AS (SELECT count(*) AS n, " + ", ".join(f"avg({c}) AS m{i}" for i, c in enumerate(cols)) + " FROM dm)",
+            "e0 AS (SELECT " + ", ".join(f"sum(({cols[i]} - m{i}) * ({cols[j]} - m{j})) AS {a(i, j)}" for i, j in pairs) + " FROM dm, mean)"]
+    for k in range(d):
+        left = [f"{a(i, j)} - a{k}_{i} * {a(k, j)} / a{k}_{k} AS {a(i, j)}" for i, j in pairs if i > k]
+        kept = [a(i, j) for i, j in pairs if i <= k]
+        ctes.append(f"e{k + 1} AS (SELECT {', '.join(kept + left)} FROM e{k})")
+    for k in reversed(range(d)):
+        back = "".join(f" - {a(k, j)} * b{j}" for j in range(k + 1, d))
+        ctes.append(f"s{k} AS (SELECT *, ({a(k, d)}{back}) / {a(k, k)} AS b{k} FROM {f's{k + 1}' if k + 1 < d else f'e{d}'})")
+    names = [("intercept", f"m{d}" + "".join(f" - b{i} * m{i}" for i in range(d)))] + [(n, f"b{i}") for i, n in enumerate(EXACT_FEATURES)]
+    return ("WITH " + ",\n".join(ctes) + "\n" + " UNION ALL ".join(
+        f"SELECT '{n}' AS term, {sig(e, 6)} AS coefficient, CAST(n AS BIGINT) AS n, {d} AS rank FROM s0, mean" for n, e in names))
+
+
+@register("multi_regression_exact", sql=_exact_sql())
+def multi_regression_exact(spark, sf):
+    """M9's exact alternative on the same rows: one pass of centred moments, pivoted
+    Cholesky; finite at every size, where gradient descent at M9's fixed rates diverges."""
+    fit = ST.exact_regression(_multi(spark, sf), EXACT_FEATURES, "total")
+    rows = [(n, float(b), fit.n, fit.rank) for n, b in zip(["intercept", *fit.names], [fit.intercept, *fit.coefficients], strict=True)]
+    return (spark.createDataFrame(rows, "term string, coefficient double, n long, rank int")
+            .select("term", significant("coefficient", 6).alias("coefficient"), "n", "rank"))
+
+
 VAR_SQL = f"""
 WITH {features_ctes(VOCAB)},
 nd AS (SELECT CAST(count(DISTINCT doc_id) AS DOUBLE) AS n FROM tf),
