@@ -1,17 +1,18 @@
 """Multinomial mixture over documents.
 
-Documents are rows ``(doc_id, label, pos[], x[])``.  The parameters -- class
-log-priors (C) and class-word log-probabilities (C x V), the model itself --
-are broadcast once per pass.  Scoring works in place with numpy on slices of
-Arrow batches of bounded size and never shuffles documents.  A Gibbs iteration
-draws each document's class by inverse CDF from a seeded hash of (seed,
-iteration, doc_id) and aggregates class counts and per-(class, position) sums
-with partial aggregation; only those C x V sums reach the driver, where the
+Documents are rows ``(doc_id, label, pos[], x[])``.  Fitted parameters stay a table,
+one row ``(cls, log_pi, log_mu[])`` per class; scoring takes the classes in
+blocks of bounded bytes, works in place with numpy on slices of Arrow batches
+and never shuffles documents.  A Gibbs iteration draws each document's
+class by inverse CDF from a seeded hash of (seed, iteration, doc_id); every task
+hands on one dense row of sums per class, which are added in a tree of tasks.  Its
+classes are a parameter, so its C x V model may stand on the driver, where the
 Dirichlet draws happen.
 """
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -23,7 +24,8 @@ from pyspark.sql import functions as F
 from lodestar.operators.common import global_rank
 from lodestar.operators.linear import sparse_slices, stable
 
-HASH_RANGE = float(2 ** 53)
+BLOCK_BYTES = 8 << 20       # class parameters sent to the tasks at a time
+TREE = 16                   # partial sums that one task adds up
 
 
 def class_index(labels: DataFrame, label: str = "label") -> DataFrame:
@@ -49,33 +51,63 @@ def _normalised(lp: np.ndarray) -> np.ndarray:
 
 
 def posterior(rows: DataFrame, log_pi: np.ndarray, log_mu: np.ndarray, keep: list[str]) -> DataFrame:
-    """``keep`` columns and ``post``, the posterior (C,) of log pi_c + sum_w
-    x_w log mu_cw (log space, maximum subtracted), with numpy on Arrow batches;
-    the (C,) and (C, V) parameters are broadcast once."""
-    params = rows.sparkSession.sparkContext.broadcast((np.asarray(log_pi, float), np.ascontiguousarray(log_mu, float)))
-    schema = ", ".join([rows.schema[c].simpleString().replace(":", " ", 1) for c in keep] + ["post array<double>"])
+    """M24 for parameters at hand: ``keep`` columns and ``post``, the posterior (C,) of log
+    pi_c + sum_w x_w log mu_cw (log space, maximum subtracted), with numpy on Arrow
+    batches; the parameters are broadcast once."""
+    return _scored(rows.select(*_with_entries(keep)), np.asarray(log_pi, float), np.ascontiguousarray(log_mu, float), keep, True)[0]
+
+
+def _with_entries(keep: list[str]) -> list[str]:
+    return [*keep, *(c for c in ("pos", "x") if c not in keep)]
+
+
+def _scored(rows: DataFrame, log_pi: np.ndarray, log_mu: np.ndarray, keep: list[str], last: bool):
+    """One block of classes: their log scores behind those of the blocks before (column
+    ``post``, if it is there); the last block makes posteriors of all."""
+    params = rows.sparkSession.sparkContext.broadcast((log_pi, log_mu))
+    more = [] if last else _with_entries(keep)[len(keep):]
+    before = "post" in rows.columns
+    schema = ", ".join([f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in (*keep, *more)] + ["post array<double>"])
 
     def score(batches):
         lpi, lmu = params.value
         for batch in batches:
             for lo, hi, lp, *_ in _log_scores(batch, lpi, lmu):
-                columns = [batch.column(i).slice(lo, hi - lo) for i in range(len(keep))]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array(list(_normalised(lp)))], names=[*keep, "post"])
-
-    return rows.select(*keep, "pos", "x").mapInArrow(score, schema)
-
-
-def collect_params(log_pi: DataFrame, log_mu: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """The fitted parameters as arrays (C and C x V values: a bounded size)."""
-    pi = sorted((r["cls"], r["log_pi"]) for r in log_pi.collect())
-    mu = sorted((r["cls"], r["log_mu"]) for r in log_mu.collect())
-    return np.array([v for _, v in pi]), np.array([v for _, v in mu])
+                part = batch.slice(lo, hi - lo)
+                if before:
+                    old = part.column(part.schema.get_field_index("post")).flatten().to_numpy(zero_copy_only=False)
+                    lp = np.hstack([old.reshape(hi - lo, -1), lp])
+                out = pa.array(list(_normalised(lp) if last else lp), pa.list_(pa.float64()))
+                yield pa.RecordBatch.from_arrays([*(part.column(part.schema.get_field_index(c)) for c in (*keep, *more)), out],
+                                                 names=[*keep, *more, "post"])
+
+    return rows.mapInArrow(score, schema), params
+
+
+def posterior_by_blocks(rows: DataFrame, params: DataFrame, size: int, keep: list[str], block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """M24 for a table of parameters ``(cls, log_pi, log_mu[size])``, classes numbered from 0:
+    as ``posterior``, but the classes come to the tasks in blocks of ``block_bytes``, and the
+    driver holds one block at a time.  Between blocks the scores so far are checkpointed."""
+    params = params.select("cls", "log_pi", "log_mu").checkpoint()
+    classes = params.count()
+    step = max(1, block_bytes // (8 * size))
+    state = rows.select(*_with_entries(keep))
+    for lo in range(0, classes, step):
+        block = params.where((F.col("cls") >= lo) & (F.col("cls") < lo + step)).toArrow().sort_by("cls")
+        log_pi = block.column("log_pi").to_numpy()
+        log_mu = block.column("log_mu").combine_chunks().flatten().to_numpy().reshape(len(log_pi), size)
+        last = lo + step >= classes
+        state, sent = _scored(state, log_pi, log_mu, keep, last)
+        if not last:
+            state = state.checkpoint()
+            sent.destroy()
+    return state if classes else rows.select(*keep, F.array().cast("array<double>").alias("post"))
 
 
 def hash_uniform(seed: int, iteration: int, key: str) -> Column:
-    """A uniform in [0, 1) from xxhash64(seed, iteration, key)."""
-    h = F.xxhash64(F.lit(seed), F.lit(iteration), F.col(key))
-    return F.pmod(h, F.lit(2 ** 53)).cast("double") / F.lit(HASH_RANGE)
+    """A uniform in [0, 1): the first 52 bits of md5("seed:iteration:key") (any engine has md5)."""
+    digest = F.md5(F.concat(F.lit(f"{seed}:{iteration}:"), F.col(key).cast("string")).cast("binary"))
+    return F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") / F.lit(float(2 ** 52))
 
 
 def categorical_draw(post: np.ndarray, u: np.ndarray) -> np.ndarray:
@@ -121,6 +153,14 @@ def mle_params(rows: DataFrame, cls_col: str, size: int, beta: float = 0.5) -> t
     return log_pi, per_cls.mapInPandas(smooth, f"cls {kind}, log_mu array<double>")
 
 
+def require_valid(checks: DataFrame) -> DataFrame:
+    """M25's raising form: the rows of ``validate_params``, failing the job with the offending
+    class as soon as one of them is not ok."""
+    wrong = F.concat(F.lit("not a probability vector: class "), F.col("cls").cast("string"),
+                     F.lit(" with sum "), F.col("mu_sum").cast("string"), F.lit(" over "), F.col("n_pos").cast("string"), F.lit(" positions"))
+    return checks.where(F.when(F.col("ok"), F.lit(True)).otherwise(F.raise_error(wrong).cast("boolean")))
+
+
 @dataclass
 class GibbsResult:
     pi: np.ndarray
@@ -130,15 +170,70 @@ class GibbsResult:
     data: DataFrame         # cached rows behind ``assigned``: unpersist when done
 
 
+def packed(rows: DataFrame) -> DataFrame:
+    """``block binary``: the rows' (doc_id, pos, x) as Arrow streams of bounded size, so that a
+    pass over cached rows hands bytes to the tasks and converts nothing."""
+    def pack(batches):
+        for batch in batches:
+            for lo, hi, *_ in sparse_slices(batch):
+                out = pa.BufferOutputStream()
+                with pa.ipc.new_stream(out, batch.schema) as stream:
+                    stream.write_batch(batch.slice(lo, hi - lo))
+                yield pa.RecordBatch.from_arrays([pa.array([out.getvalue().to_pybytes()], pa.binary())], names=["block"])
+
+    return rows.select(F.col("doc_id").cast("string").alias("doc_id"), "pos", "x").mapInArrow(pack, "block binary")
+
+
+def uniform(seed: int, iteration: int, key: str) -> float:
+    """``hash_uniform`` of one key."""
+    return int(hashlib.md5(f"{seed}:{iteration}:{key}".encode()).hexdigest()[:13], 16) / 2 ** 52
+
+
+def sweep_sums(blocks: DataFrame, seed: int, iteration: int, log_pi: np.ndarray, log_mu: np.ndarray, tasks: int):
+    """One sweep over ``packed`` rows: every row draws its class under fixed parameters, and the
+    draws are added up to ``(cls, n, sums)``, ``sums`` the V doubles sum of x by position.
+
+    Every one of the ``tasks`` partitions hands on one row per class that it drew; these are added TREE
+    at a time until at most TREE rows per class are left, which the caller adds."""
+    params = blocks.sparkSession.sparkContext.broadcast((log_pi, log_mu))
+    schema = "cls int, node int, n double, sums binary"
+
+    def rows_of(cls, node, n, sums):
+        return pa.RecordBatch.from_arrays(
+            [pa.array(cls, pa.int32()), pa.array(node, pa.int32()), pa.array(n, pa.float64()),
+             pa.array([s.tobytes() for s in sums], pa.binary())], names=["cls", "node", "n", "sums"])
+
+    def step(batches):
+        from pyspark import TaskContext
+        lpi, lmu = params.value
+        n_c, s_cw = np.zeros(len(lpi)), np.zeros(lmu.size)
+        for block in (x for batch in batches for x in batch.column(0)):
+            for batch in pa.ipc.open_stream(block.as_buffer()):
+                u = np.array([uniform(seed, iteration, k) for k in batch.column(0).to_pylist()])
+                for lo, hi, lp, row, pos, x in _log_scores(batch, lpi, lmu):
+                    c = categorical_draw(_normalised(lp), u[lo:hi])
+                    n_c += np.bincount(c, minlength=len(n_c))
+                    s_cw += np.bincount(c[row] * lmu.shape[1] + pos, x, minlength=lmu.size)
+        used, node = np.flatnonzero(n_c), TaskContext.get().partitionId() // TREE
+        yield rows_of(used, np.full(len(used), node), n_c[used], s_cw.reshape(lmu.shape)[used])
+
+    def add(table: pa.Table) -> pa.Table:
+        total = np.sum([np.frombuffer(x.as_py()) for x in table.column("sums")], axis=0)
+        return pa.Table.from_batches([rows_of([table.column("cls")[0].as_py()], [table.column("node")[0].as_py() // TREE],
+                                              [sum(table.column("n").to_pylist())], [total])])
+
+    sums = blocks.mapInArrow(step, schema)
+    while tasks > TREE:
+        sums = sums.groupBy("cls", "node").applyInArrow(add, schema)
+        tasks = -(-tasks // TREE)
+    return sums.select("cls", "n", "sums"), params
+
+
 def gibbs(rows: DataFrame, classes: int, size: int, iterations: int = 200, alpha: float = 0.5,
           beta: float = 0.5, seed: int = 7, accumulate: bool = True) -> GibbsResult:
-    """Gibbs sampling of document classes.
+    """Gibbs sampling of document classes, one ``sweep_sums`` over the cached documents per iteration.
 
-    Per iteration one pass over the cached documents computes every posterior
-    with numpy on Arrow batches, draws the class from the JVM-computed hash
-    uniform, and adds up class counts and per-(class, position) sums inside the
-    task; Spark then sums those partial tables (at most C x V + C rows per
-    task).  ``accumulate=True`` keeps adding the current class shares and sums to
+    ``accumulate=True`` keeps adding the current class shares and sums to
     the running hyper-parameters (the reference's rule; on term frequencies it
     keeps the classes in use); ``accumulate=False`` is the standard conditional
     update (alpha + n_c, beta + S_c), meant for counts.
@@ -146,10 +241,12 @@ def gibbs(rows: DataFrame, classes: int, size: int, iterations: int = 200, alpha
     The draws' uniforms do not depend on partitioning or retries; the sums are
     rounded to SUM_DIGITS before they feed the Dirichlet draws, so the order of
     float additions does not show."""
-    spark = rows.sparkSession
-    sc = spark.sparkContext
+    sc = rows.sparkSession.sparkContext
     extra = [c for c in rows.columns if c == "label"]
-    data = stable(rows.select("doc_id", *extra, "pos", "x"))
+    # Every iteration is one pass: all cores take part, however small the table.
+    parts = max(sc.defaultParallelism, rows.rdd.getNumPartitions())
+    data = stable(rows.select("doc_id", *extra, "pos", "x").repartition(parts))
+    blocks = stable(packed(data))
     rng = np.random.default_rng(seed)
     a = np.full(classes, alpha)
     b = np.full((classes, size), beta)
@@ -157,35 +254,21 @@ def gibbs(rows: DataFrame, classes: int, size: int, iterations: int = 200, alpha
     total = data.count()
     history = []
     for it in range(iterations):
-        params = sc.broadcast((np.log(pi), np.log(mu)))
-
-        def step(batches, params=params):
-            lpi, lmu = params.value
-            n_c, s_cw = np.zeros(len(lpi)), np.zeros(lmu.size)
-            for batch in batches:
-                u = batch.column(2).to_numpy(zero_copy_only=False)
-                for lo, hi, lp, row, pos, x in _log_scores(batch, lpi, lmu):
-                    c = categorical_draw(_normalised(lp), u[lo:hi])
-                    n_c += np.bincount(c, minlength=len(n_c))
-                    s_cw += np.bincount(c[row] * lmu.shape[1] + pos, x, minlength=lmu.size)
-            nz, cz = np.flatnonzero(s_cw), np.flatnonzero(n_c)
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([nz, -1 - cz])),
-                                              pa.array(np.concatenate([s_cw[nz], n_c[cz]]))], names=["k", "v"])
-
-        drawn = data.select("pos", "x", hash_uniform(seed, it, "doc_id").alias("u")).mapInArrow(step, "k long, v double")
-        agg = drawn.groupBy("k").agg(F.sum("v").alias("v")).toPandas()
-        params.unpersist()
-        k, v = agg["k"].to_numpy(), np.round(agg["v"].to_numpy(), SUM_DIGITS)
-        n_c, s_cw = np.zeros(classes), np.zeros(classes * size)
-        n_c[-1 - k[k < 0]] = v[k < 0]
-        s_cw[k[k >= 0]] = v[k >= 0]
-        s_cw = s_cw.reshape(classes, size)
+        sums, sent = sweep_sums(blocks, seed, it, np.log(pi), np.log(mu), parts)
+        got = sums.toArrow()
+        sent.destroy()
+        n_c, s_cw = np.zeros(classes), np.zeros((classes, size))
+        for c, n, s in zip(*(got.column(k).to_pylist() for k in ("cls", "n", "sums")), strict=True):
+            n_c[c] += n
+            s_cw[c] += np.frombuffer(s)
+        s_cw = np.round(s_cw, SUM_DIGITS)
         if accumulate:
             a, b = a + n_c / total, b + s_cw
         else:
             a, b = alpha + n_c, beta + s_cw
         pi, mu = rng.dirichlet(a), _dirichlet_rows(rng, b)
         history.append(n_c.tolist())
+    blocks.unpersist()
     final = posterior(data.withColumn("u", hash_uniform(seed, iterations, "doc_id")), np.log(pi), np.log(mu),
                       ["doc_id", *extra, "u"])
     return GibbsResult(pi, mu, history, final.select("doc_id", *extra, drawn_class("post", "u").alias("cluster")), data)

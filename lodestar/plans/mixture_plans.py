@@ -1,12 +1,13 @@
 """Registered mixture-model queries over ``documents``: document keys
 ``source/doc_id`` (the id the S8 parse yields), true label = ``source`` (P18), TF over
 a 20,000-word vocabulary.  Fixed parameters are the smoothed per-label
-estimates, so the posterior and the reports are checkable in SQL; the Gibbs
-sampler is checked on rows."""
+estimates, so the posterior and the reports are checkable in SQL, as is one sweep of the Gibbs sampler; its whole
+run is checked on rows."""
 
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
@@ -61,8 +62,7 @@ class _Corpus:
         self.log_pi, self.log_mu = MX.mle_params(self.rows, "cls", VOCAB, BETA)
 
     def posterior(self):
-        lpi, lmu = MX.collect_params(self.log_pi, self.log_mu)
-        return MX.posterior(self.rows, lpi, lmu, ["doc_id", "label"])
+        return MX.posterior_by_blocks(self.rows, self.log_pi.join(self.log_mu, "cls"), VOCAB, ["doc_id", "label"])
 
 
 @register("mixture_posterior", sql=PARAMS_SQL + f"""
@@ -133,6 +133,62 @@ def mixture_cluster_sums(spark, sf):
     return sums.select("cluster", "n_docs", "pos", significant("total", SIG).alias("total"))
 
 
+SWEEP_SEED = 11
+# One sweep under the fixed parameters: the class is the number of cumulative probabilities <= u.
+SWEEP_SQL = PARAMS_SQL + f""",
+u AS (SELECT doc_id, CAST(concat('0x', substr(md5(concat('{SWEEP_SEED}:0:', doc_id)), 1, 13)) AS BIGINT) / 4503599627370496.0 AS u
+      FROM (SELECT DISTINCT doc_id FROM tf)),
+cum AS (SELECT doc_id, cls, sum(prob) OVER (PARTITION BY doc_id ORDER BY cls ROWS UNBOUNDED PRECEDING) AS cum FROM post),
+drawn AS (SELECT doc_id, CAST(least(count(*) FILTER (WHERE cum <= u), count(*) - 1) AS INTEGER) AS cluster
+          FROM cum JOIN u USING (doc_id) GROUP BY doc_id)"""
+
+
+@register("mixture_sweep_assignments", sql=SWEEP_SQL + """
+SELECT doc_id, cluster FROM drawn
+""")
+def mixture_sweep_assignments(spark, sf):
+    """M26, one sweep under the fixed parameters: the drawn class of every document."""
+    c = _Corpus(spark, sf)
+    post = c.posterior().withColumn("u", MX.hash_uniform(SWEEP_SEED, 0, "doc_id"))
+    return post.select("doc_id", MX.drawn_class("post", "u").alias("cluster"))
+
+
+@register("mixture_sweep_sums", sql=SWEEP_SQL + f""",
+sz AS (SELECT cluster, count(*) AS n_docs FROM drawn GROUP BY cluster)
+SELECT cluster, n_docs, pos, {sig('sum(tf)')} AS total FROM tf JOIN drawn USING (doc_id) JOIN sz USING (cluster) GROUP BY cluster, n_docs, pos
+""")
+def mixture_sweep_sums(spark, sf):
+    """M26, the sums that one sweep hands to the next Dirichlet draw: documents and summed TF of
+    every (class, position) that occurs, by the sampler's own pass."""
+    c = _Corpus(spark, sf)
+    params = c.log_pi.join(c.log_mu, "cls").toArrow().sort_by("cls")        # as many classes as the report below has
+    log_mu = np.array(params.column("log_mu").to_pylist())
+    sums, _ = MX.sweep_sums(MX.packed(c.rows), SWEEP_SEED, 0, params.column("log_pi").to_numpy(), log_mu, c.rows.rdd.getNumPartitions())
+
+    def cells(batches):
+        for batch in batches:
+            for cls, n, data in zip(*(x.to_pylist() for x in batch.columns), strict=True):
+                values = np.frombuffer(data)
+                pos = np.append(np.flatnonzero(values), -1)         # the place -1 carries the documents
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(pos), cls), pa.int32()), pa.array(pos, pa.int32()),
+                     pa.array(np.append(values[pos[:-1]], n), pa.float64())], names=["cluster", "pos", "total"])
+
+    long = sums.mapInArrow(cells, "cluster int, pos int, total double").groupBy("cluster", "pos").agg(F.sum("total").alias("total"))
+    sizes = long.where("pos = -1").select("cluster", F.col("total").cast("long").alias("n_docs"))
+    return (long.where("pos >= 0").join(sizes, "cluster")
+            .select("cluster", "n_docs", "pos", significant("total", SIG).alias("total")))
+
+
+@register("mixture_param_required", sql=PARAMS_SQL + f"""
+SELECT cls, CAST(count(*) AS INTEGER) AS n_pos, {sig('sum(exp(log_mu))')} AS mu_sum FROM lmu GROUP BY cls
+""")
+def mixture_param_required(spark, sf):
+    """M25's raising form on the fitted parameters: all classes pass; a wrong one fails the job by name."""
+    c = _Corpus(spark, sf)
+    return MX.require_valid(MX.validate_params(c.log_pi, c.log_mu, VOCAB)).select("cls", "n_pos", significant("mu_sum", SIG).alias("mu_sum"))
+
+
 @register("gibbs_mixture_clusters", note="seeded sampler: rows-only check")
 def gibbs_mixture_clusters(spark, sf):
     """20 classes, 200 Gibbs iterations, alpha = beta = 0.5, running

@@ -83,7 +83,7 @@ def test_mixture_posterior_sums_to_one_and_params_valid(spark):
     r = rows.join(F.broadcast(idx), "label")
     log_pi, log_mu = MX.mle_params(r, "cls", 4)
     assert all(v.ok for v in MX.validate_params(log_pi, log_mu, 4).collect())
-    post = MX.posterior(r, *MX.collect_params(log_pi, log_mu), ["cls"]).collect()
+    post = MX.posterior_by_blocks(r, log_pi.join(log_mu, "cls"), 4, ["cls"]).collect()
     for p in post:
         assert math.isclose(sum(p.post), 1.0)
         assert p.post[p.cls] > 0.5
