@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from lodestar.session import ensure_checkpoint_dir
 
-LOSS_KEY = -1  # aggregate key that carries the loss next to the gradient
+LOSS_KEY, COUNT_KEY = -1, -2    # aggregate keys of the loss and the rows next to the gradient
 
 
 def np_sigmoid(t: np.ndarray) -> np.ndarray:
@@ -107,16 +107,16 @@ def sparse_slices(batch):
         lo = hi
 
 
-def _step(design: SparseDesign, w: np.ndarray, coefs, loss) -> tuple[float, np.ndarray]:
-    """One pass: loss sum and gradient (V, C).  ``coefs(s, y)`` gives the
+def _step(design: SparseDesign, w: np.ndarray, coefs, loss, batch=None) -> tuple[float, np.ndarray, int]:
+    """One pass: loss sum, gradient (V, C) and number of rows.  ``coefs(s, y)`` gives the
     factors of each class's gradient and ``loss(s, y)`` the losses, from the
-    list of score arrays and the labels."""
+    list of score arrays and the labels; ``batch`` (a column over ``doc_id``) picks the rows."""
     wide = np.ascontiguousarray(w.reshape(design.size, -1).T, dtype=float)
     sent = design.rows.sparkSession.sparkContext.broadcast(wide)
     classes = len(wide)
 
     def part(batches):
-        weights, total = sent.value, 0.0
+        weights, total, seen = sent.value, 0.0, 0
         grad = np.zeros(weights.shape)
         for batch in batches:
             labels = batch.column(batch.schema.get_field_index("y")).to_numpy(zero_copy_only=False)
@@ -124,27 +124,29 @@ def _step(design: SparseDesign, w: np.ndarray, coefs, loss) -> tuple[float, np.n
                 y = labels[lo:hi]
                 s = [np.bincount(row, x * weights[c][pos], minlength=hi - lo) for c in range(classes)]
                 total += loss(s, y).sum()
+                seen += hi - lo
                 for c, k in enumerate(coefs(s, y)):
                     grad[c] += np.bincount(pos, x * k[row], minlength=grad.shape[1])
         used = np.flatnonzero(grad.any(axis=0))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(np.append(used, LOSS_KEY))]
-            + [pa.array(np.append(grad[c][used], total if c == 0 else 0.0)) for c in range(classes)],
+            [pa.array(np.append(used, [LOSS_KEY, COUNT_KEY]))]
+            + [pa.array(np.append(grad[c][used], [total, seen] if c == 0 else [0.0, 0.0])) for c in range(classes)],
             names=["k", *(f"v{c}" for c in range(classes))])
 
     names = [f"v{c}" for c in range(classes)]
-    parts = design.rows.select("y", "pos", "x").mapInArrow(part, ", ".join(["k long", *(f"{n} double" for n in names)]))
+    rows = design.rows if batch is None else design.rows.where(batch)
+    parts = rows.select("y", "pos", "x").mapInArrow(part, ", ".join(["k long", *(f"{n} double" for n in names)]))
     pdf = parts.groupBy("k").agg(*[F.sum(n).alias(n) for n in names]).toPandas()
     sent.unpersist()
     at, values = pdf["k"].to_numpy(), pdf[names].to_numpy()
     grad = np.zeros((design.size, classes))
     grad[at[at >= 0]] = values[at >= 0]
-    return float(values[at == LOSS_KEY, 0].sum()), grad
+    return float(values[at == LOSS_KEY, 0].sum()), grad, int(values[at == COUNT_KEY, 0].sum())
 
 
 def logistic_step(design: SparseDesign, w: np.ndarray) -> tuple[float, np.ndarray]:
     """Cost sum(-y t + ln(1 + e^t)) and gradient sum x (sigma(t) - y)."""
-    loss, grad = _step(design, w, lambda s, y: [np_sigmoid(s[0]) - y], lambda s, y: -y * s[0] + np_softplus(s[0]))
+    loss, grad, _ = _step(design, w, lambda s, y: [np_sigmoid(s[0]) - y], lambda s, y: -y * s[0] + np_softplus(s[0]))
     return loss, grad[:, 0]
 
 
@@ -155,7 +157,7 @@ def hinge_step(design: SparseDesign, w: np.ndarray, reg: float) -> tuple[float,
         yp = 2 * y - 1
         return [np.where(yp * s[0] < 1, -yp, 0.0)]
 
-    loss, grad = _step(design, w, coefs, lambda s, y: np.maximum(0.0, 1 - (2 * y - 1) * s[0]))
+    loss, grad, _ = _step(design, w, coefs, lambda s, y: np.maximum(0.0, 1 - (2 * y - 1) * s[0]))
     n = float(design.n_docs)
     return 0.5 * reg * float(w @ w) + loss / n, reg * w + grad[:, 0] / n
 
@@ -171,7 +173,7 @@ def two_class_step(design: SparseDesign, w: np.ndarray, reg: float) -> tuple[flo
         b = (margin(s, y) > 0).astype(float)
         return [np.where(y == 0, -b, b), np.where(y == 1, -b, b)]
 
-    loss, grad = _step(design, w, coefs, margin)
+    loss, grad, _ = _step(design, w, coefs, margin)
     n = float(design.n_docs)
     return loss / n, 0.5 * reg * float(np.sum(w * w)), grad / n + reg * w
 
@@ -235,6 +237,36 @@ def train_two_class(design: SparseDesign, lr: float = 0.01, w0: float = 0.1, reg
     return w, trace
 
 
+def in_batch(seed: int, step: int, fraction: float, key: str = "doc_id"):
+    """Membership of a row in the mini-batch of a step: the first 32 bits of
+    md5("seed:step:key") below ``fraction`` of their range, the same under any partitioning."""
+    digest = F.md5(F.concat(F.lit(f"{seed}:{step}:"), F.col(key).cast("string")).cast("binary"))
+    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") < int(fraction * 2 ** 32)
+
+
+def train_svm_sgd(design: SparseDesign, rate: float = 1.0, fraction: float = 1.0, reg: float = 0.0, max_iter: int = 100,
+                  tol: float = 0.001, seed: int = 42) -> tuple[np.ndarray, Trace]:
+    """M18 by mini-batch SGD: hinge loss on +-1 labels, no intercept, weights from 0; step t takes the
+    rows of its seeded batch and moves by ``rate / sqrt(t)`` times their mean gradient, after
+    shrinking the weights by that step times ``reg``.  A batch without rows changes nothing; it stops
+    when the weights move by less than ``tol`` of their norm (or of 1).  The trace holds
+    (step, rows, mean loss, rate)."""
+    w, trace = np.zeros(design.size), Trace()
+    for t in range(1, max_iter + 1):
+        loss, grad, n = _step(design, w, lambda s, y: [np.where((2 * y - 1) * s[0] < 1, 1 - 2 * y, 0.0)],
+                              lambda s, y: np.maximum(0.0, 1 - (2 * y - 1) * s[0]),
+                              in_batch(seed, t, fraction) if fraction < 1 else None)
+        if not n:
+            continue
+        now = rate / np.sqrt(t)
+        new = w * (1 - now * reg) - now * grad[:, 0] / n
+        trace.rows.append((t, float(n), loss / n, float(now)))
+        moved, w = np.linalg.norm(new - w), new
+        if moved < tol * max(np.linalg.norm(w), 1.0):
+            break
+    return w, trace
+
+
 def linear_scores(features: DataFrame, docs: DataFrame, w: np.ndarray) -> DataFrame:
     """J8 for scoring: (doc_id, s0[, s1]) = sum x * w per document of
     ``docs`` (doc_id); a document without features scores 0."""
@@ -250,6 +282,11 @@ def predict_threshold(scores: DataFrame) -> DataFrame:
     return scores.select("doc_id", F.when(F.col("s0") >= 0, 1).otherwise(0).alias("prediction"))
 
 
+def predict_positive(scores: DataFrame) -> DataFrame:
+    """Prediction 1 when the margin is above 0."""
+    return scores.select("doc_id", F.when(F.col("s0") > 0, 1).otherwise(0).alias("prediction"))
+
+
 def predict_argmax2(scores: DataFrame) -> DataFrame:
     """F13 for two columns: class 1 only when its score is strictly larger."""
     return scores.select("doc_id", F.when(F.col("s1") > F.col("s0"), 1).otherwise(0).alias("prediction"))

@@ -117,3 +117,21 @@ def best_hour(ratios: DataFrame) -> DataFrame:
                           F.col("ratio").alias("ratio")))
     return (ratios.groupBy("day").agg(best.alias("b"))
             .select("day", F.col("b.ratio").alias("ratio"), F.col("b.h").alias("hour")))
+
+
+# ---------------------------------------------------------------- A2, approximate
+
+def driver_sketches(trips: DataFrame, keys: list[str], lg: int = 12) -> DataFrame:
+    """A2's sketch table: per key (a period may be one of them) a mergeable sketch of the distinct
+    drivers, ``2^lg`` registers at most; its size doesn't grow with the trips."""
+    return trips.groupBy(*keys).agg(F.hll_sketch_agg("driver_id", lg).alias("sketch"))
+
+
+def united_drivers(sketches: DataFrame, keys: list[str]) -> DataFrame:
+    """Sketches united over what is not in ``keys``: ``(keys, estimate)`` without reading a trip."""
+    return sketches.groupBy(*keys).agg(F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("estimate"))
+
+
+def sketch_bound(lg: int, sigmas: float) -> float:
+    """Relative error of united sketches at so many standard errors (1.04 / sqrt(2^lg))."""
+    return sigmas * 1.04 / 2 ** (lg / 2)

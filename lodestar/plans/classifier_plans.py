@@ -75,10 +75,10 @@ class _Split:
         self.design = LN.SparseDesign.build(train, self.train_labels, self.size)
         self.test = test.join(self.test_labels, "doc_id", "left_semi")
 
-    def evaluate(self, w: np.ndarray, two_class: bool = False):
+    def evaluate(self, w: np.ndarray, two_class: bool = False, predict=LN.predict_threshold):
         """Predictions of every labelled test document, and the F1 report."""
         scores = LN.linear_scores(self.test, self.test_labels, w)
-        pred = LN.predict_argmax2(scores) if two_class else LN.predict_threshold(scores)
+        pred = LN.predict_argmax2(scores) if two_class else predict(scores)
         joined = pred.join(self.test_labels.withColumnRenamed("y", "label"), "doc_id")
         return joined, MT.f1_from_confusion(MT.confusion(joined))
 
@@ -155,6 +155,22 @@ def _two_class_ctes(steps: int = 2, lr: float = 0.01, w0: float = 0.1, reg: floa
     return ctes
 
 
+SGD_SEED, SGD_FRACTION = 18, 0.5
+
+
+def _sgd_ctes(steps: int = 2, rate: float = 1.0, fraction: float = SGD_FRACTION, seed: int = SGD_SEED, **kw) -> list[str]:
+    ctes = [*_training_ctes(**kw), "w0 AS (SELECT pos, CAST(0 AS DOUBLE) AS w FROM ps)"]
+    for k in range(steps):
+        ctes += [f"b{k} AS (SELECT doc_id, 2 * y - 1 AS yp FROM lab WHERE CAST(concat('0x', substr(md5(concat('{seed}:{k + 1}:', doc_id)), 1, 8)) AS BIGINT) "
+                 f"< {int(fraction * 2 ** 32)})",
+                 f"s{k} AS (SELECT doc_id, sum(x * w) AS s FROM d JOIN w{k} USING (pos) GROUP BY doc_id)",
+                 f"t{k} AS (SELECT doc_id, yp, coalesce(s, 0.0) AS theta FROM b{k} LEFT JOIN s{k} USING (doc_id))",
+                 f"g{k} AS (SELECT pos, sum(CASE WHEN yp * theta < 1 THEN -yp * x ELSE 0.0 END) / (SELECT count(*) FROM b{k}) AS g "
+                 f"FROM d JOIN t{k} USING (doc_id) GROUP BY pos)",
+                 f"w{k + 1} AS (SELECT pos, w - {rate} / sqrt({k + 1}) * coalesce(g, 0.0) AS w FROM w{k} LEFT JOIN g{k} USING (pos))"]
+    return ctes
+
+
 def _prediction_ctes(predict: str, steps: int = 2) -> list[str]:
     """Labelled test documents under the training dictionary: ``pr(doc_id, label, prediction)``."""
     return ["tw AS (SELECT doc_id, lower(unnest(regexp_extract_all(text, '[a-zA-Z]+'))) AS word FROM documents WHERE doc_id % 10 = 0)",
@@ -179,6 +195,7 @@ def _rounded_f1(f1):
 
 
 _THRESHOLD = [x.replace("{none}", "1") for x in _prediction_ctes("CAST(sum(x * w) >= 0 AS INTEGER)")]
+_POSITIVE = [x.replace("{none}", "0") for x in _prediction_ctes("CAST(sum(x * w) > 0 AS INTEGER)")]
 _ARGMAX = [x.replace("{none}", "0") for x in _prediction_ctes("CAST(sum(x * w) > sum(x * u) AS INTEGER)")]
 
 
@@ -244,6 +261,51 @@ def _false_positives(spark, sf, sp, w):
     return table(spark, sf, "documents", "doc_id", "text").join(F.broadcast(fp), "doc_id", "left_semi")
 
 
+@register("svm_sgd_two_steps", sql="WITH " + ",\n".join(_sgd_ctes()) + f"\nSELECT pos, {sig('w')} AS w FROM w2")
+def svm_sgd_two_steps(spark, sf):
+    """M18 by SGD, unrolled: weights after two mini-batch steps (half of the rows each, rate 1 / sqrt(t))."""
+    sp = _Split(spark, sf)
+    w, _ = LN.train_svm_sgd(sp.design, fraction=SGD_FRACTION, max_iter=2, tol=0.0, seed=SGD_SEED)
+    sp.release()
+    return LN.weight_table(spark, w).select("pos", significant("w0", SIG).alias("w"))
+
+
+@register("svm_sgd_two_steps_evaluate", sql=_f1_sql([*_sgd_ctes(), *_POSITIVE]))
+def svm_sgd_two_steps_evaluate(spark, sf):
+    """M18/J2/A17/A18 on the weights after two SGD steps: margin > 0 on the labelled test documents."""
+    sp = _Split(spark, sf)
+    w, _ = LN.train_svm_sgd(sp.design, fraction=SGD_FRACTION, max_iter=2, tol=0.0, seed=SGD_SEED)
+    return _rounded_f1(sp.evaluate(w, predict=LN.predict_positive)[1])
+
+
+@register("svm_sgd_evaluate", note="iterative optimiser: rows-only check")
+def svm_sgd_evaluate(spark, sf):
+    """M18 by SGD, whole run as in the reference (100 steps over all rows, no regularisation), beside
+    the same loss by OWL-QN: both models' report on the labelled test documents."""
+    sp = _Split(spark, sf)
+    w, trace = LN.train_svm_sgd(sp.design)
+    f1 = sp.evaluate(w, predict=LN.predict_positive)[1]
+    sgd = f1.select(F.lit("sgd").alias("model"), "tp", "tn", "fn", "fp", "precision", "recall", "f1", F.lit(len(trace.rows)).alias("steps"))
+    other = _ml_evaluate(spark, sf, ML.fit_linear_svc, sp)
+    return sgd.unionByName(other.select(F.lit("owlqn").alias("model"), "tp", "tn", "fn", "fp", "precision", "recall", "f1", F.lit(None).cast("int").alias("steps")))
+
+
+NORM_TOL, NORM_STEPS = 0.05, 3
+
+
+@register("logreg_norm_stop", sql="WITH " + ",\n".join(_logistic_ctes(steps=NORM_STEPS, source="documents")) + ",\n" + ",\n".join(
+    f"n{k} AS (SELECT sqrt(sum((b.w - a.w) * (b.w - a.w))) AS norm FROM w{k} a JOIN w{k + 1} b USING (pos))" for k in range(NORM_STEPS)) + f"""
+SELECT CAST(CASE {' '.join(f'WHEN (SELECT norm FROM n{k}) <= {NORM_TOL} THEN {k + 1}' for k in range(NORM_STEPS))} ELSE {NORM_STEPS} END AS INTEGER) AS steps,
+       (SELECT least({', '.join(f'(SELECT norm FROM n{k})' for k in range(NORM_STEPS))}) <= {NORM_TOL}) AS by_norm
+""")
+def logreg_norm_stop(spark, sf):
+    """The number of steps until the step norm is at most 0.05 (three at most), and whether the rule ended the run."""
+    design = _all_design(spark, sf)
+    _, trace = LN.train_logistic(design, max_iter=NORM_STEPS, tol=NORM_TOL)
+    design.release()
+    return spark.createDataFrame([(len(trace.rows), trace.rows[-1][3] <= NORM_TOL)], "steps int, by_norm boolean")
+
+
 @register("logreg_gd_train", note="iterative optimiser: rows-only check")
 def logreg_gd_train(spark, sf):
     """Up to 100 steps, stop when the step norm <= 1e-8; the trace."""
@@ -311,8 +373,8 @@ def linear_svc_evaluate(spark, sf):
     return _ml_evaluate(spark, sf, ML.fit_linear_svc)
 
 
-def _ml_evaluate(spark, sf, fit):
-    sp = _Split(spark, sf)
+def _ml_evaluate(spark, sf, fit, sp=None):
+    sp = sp or _Split(spark, sf)
     train, test = (ML.tf_vectors(tokens, sp.features.vocab, VOCAB, lab)
                    .join(lab.select("doc_id", F.col("y").cast("double").alias("label")), "doc_id")
                    for tokens, lab in ((sp.train_tokens, sp.train_labels), (sp.test_tokens, sp.test_labels)))

@@ -29,10 +29,11 @@ def trips_from_lineitem(lineitem: DataFrame) -> DataFrame:
     )
 
 
-def trip_lines(lineitem: DataFrame) -> DataFrame:
+def trip_lines(lineitem: DataFrame, damaged: bool = True) -> DataFrame:
     """Seventeen comma-separated fields per line in the taxi layout, one line
-    per lineitem row (input of the line parser P1-P5).  Some are malformed: order
-    keys divisible by 97 lack the last field, those by 89 hold text for the fare."""
+    per lineitem row (input of the line parser P1-P5).  With ``damaged``, copies of some
+    lines stand beside them in a malformed state: of order keys divisible by 97 one without
+    the last field, of those divisible by 89 one with text for the fare."""
     ts_fmt = "yyyy-MM-dd HH:mm:ss"
     start = F.col("l_shipdate")
     end = start + F.make_dt_interval(F.lit(0), F.lit(0), F.col("l_quantity").cast("int"))
@@ -46,15 +47,19 @@ def trip_lines(lineitem: DataFrame) -> DataFrame:
         F.col("l_orderkey"), F.col("l_linenumber"),           # 6, 7
         F.col("l_returnflag"), F.col("l_linestatus"),         # 8, 9
         F.lit("x"),                                           # 10
-        F.when(F.col("l_orderkey") % 89 == 0, F.lit("n/a"))   # 11 fare
-        .otherwise(F.col("l_extendedprice").cast("string")),
+        F.col("l_extendedprice"),                             # 11 fare
         F.col("l_tax") * 10.0,                                # 12 surcharge
         F.lit("y"), F.lit("z"), F.lit("w"),                   # 13-15
         F.col("l_extendedprice") * (1 - F.col("l_discount")) * (1 + F.col("l_tax")),  # 16 total
     ]
     text = [f.cast("string") for f in fields]
-    return lineitem.select(F.when(F.col("l_orderkey") % 97 == 0, F.concat_ws(",", *text[:-1]))
-                           .otherwise(F.concat_ws(",", *text)).alias("value"))
+    whole = F.concat_ws(",", *text)
+    if not damaged:
+        return lineitem.select(whole.alias("value"))
+    # Made beside the whole line in one pass over the rows.
+    lines = F.array(whole, F.when(F.col("l_orderkey") % 97 == 0, F.concat_ws(",", *text[:-1])),
+                    F.when(F.col("l_orderkey") % 89 == 0, F.concat_ws(",", *text[:11], F.lit("n/a"), *text[12:])))
+    return lineitem.select(F.explode(F.array_compact(lines)).alias("value"))
 
 
 def hourly_trips(events: DataFrame) -> DataFrame:

@@ -60,3 +60,28 @@ def test_trips_per_taxi_and_distinct_drivers(spark):
     assert {r.taxi_id: r.n_drivers for r in TR.drivers_per_taxi(trips).collect()} == {"t": 2, "u": 1}
     approx = {r.taxi_id: r.n_drivers for r in TR.drivers_per_taxi(trips, approx=True).collect()}
     assert approx == {"t": 2, "u": 1}
+
+
+def test_damaged_copies_stand_beside_every_row(spark):
+    from lodestar.sources.tables import table, trip_lines
+    li = table(spark, "/root/testdata/sf0.001", "lineitem")
+    whole, every = trip_lines(li, damaged=False), trip_lines(li)
+    n = li.where("l_orderkey % 97 = 0").count() + li.where("l_orderkey % 89 = 0").count()
+    assert n and every.count() == li.count() + n
+    assert whole.exceptAll(every).count() == 0
+    split = TR.split_lines(every)
+    assert split.filter(TR.numeric_ok(F.col("f"), [4, 5, 11, 12, 16])).count() == li.count()
+
+
+def test_sketches_unite_over_periods(spark):
+    rows = [(f"t{i % 3}", f"d{(i * 7919) % 9000}", i % 12) for i in range(30_000)] + [("t9", None, 1)]
+    trips = spark.createDataFrame(rows, "taxi_id string, driver_id string, month int")
+    kept = TR.driver_sketches(trips, ["taxi_id", "month"])
+    assert kept.count() == len({(t, m) for t, _, m in rows})
+    told = {r.taxi_id: r.estimate for r in TR.united_drivers(kept, ["taxi_id"]).collect()}
+    for t in ("t0", "t1", "t2"):
+        exact = len({d for a, d, _ in rows if a == t})
+        assert abs(told[t] - exact) <= TR.sketch_bound(12, 3) * exact
+    assert told["t9"] == 0
+    monthly = {(r.taxi_id, r.month): r.estimate for r in TR.united_drivers(kept, ["taxi_id", "month"]).collect()}
+    assert abs(monthly["t1", 4] - len({d for a, d, m in rows if (a, m) == ("t1", 4)})) < 60
