@@ -25,6 +25,40 @@ def delimited(spark: SparkSession, path: str, schema: StructType | str | None =
     return reader.csv(path)
 
 
+def delimited_checked(spark: SparkSession, path: str, schema: str, header: bool = False, sep: str = ",") -> DataFrame:
+    """S2-S4 with a column of rejected lines: the columns of ``schema`` and ``rejected``, the raw
+    line where it doesn't fit (too few or too many fields, a field of another type), else null.
+    Spark reads ``rejected`` only together with another column.  Compressed files are read by Hadoop's
+    codecs; bz2 is split like plain text."""
+    return (spark.read.schema(f"{schema}, rejected string").option("columnNameOfCorruptRecord", "rejected")
+            .option("mode", "PERMISSIVE").option("columnPruning", False).option("header", header).option("sep", sep).csv(path))
+
+
+_TYPES = ("int", "bigint", "double", "date", "timestamp", "boolean")
+
+
+def inferred_types(strings: DataFrame) -> dict[str, str]:
+    """The narrowest of int, bigint, double, date, timestamp and boolean that every value of a string column
+    reads as, in one aggregate over all columns; a column without values stays a string."""
+    def fit(c: str, t: str):
+        value = F.col(c)
+        reads = value.try_cast(t).isNotNull()
+        if t == "date":                     # a time of day makes it a timestamp
+            reads &= F.length(F.trim(value)) <= 10
+        return F.every(value.isNull() | reads)
+
+    fits = [fit(c, t).alias(f"{i}_{t}") for i, c in enumerate(strings.columns) for t in _TYPES]
+    row = strings.agg(*fits, *[F.count(c).alias(f"{i}_n") for i, c in enumerate(strings.columns)]).first()
+    return {c: next((t for t in _TYPES if row[f"{i}_n"] and row[f"{i}_{t}"]), "string") for i, c in enumerate(strings.columns)}
+
+
+def delimited_inferred(spark: SparkSession, path: str, header: bool = False, sep: str = ",") -> DataFrame:
+    """S3: delimited files whose column types are inferred over all rows in one pass."""
+    strings = spark.read.option("header", header).option("sep", sep).csv(path)
+    types = inferred_types(strings)
+    return strings.select(*[F.col(c).cast(types[c]).alias(c) for c in strings.columns])
+
+
 def parse_tagged(lines: DataFrame, value_col: str = "value", skip: int = 0) -> DataFrame:
     """S7/S8 + P8: ``(doc_id, text)`` from tagged lines; malformed lines dropped."""
     v = F.col(value_col)
