@@ -28,10 +28,13 @@ def delimited(spark: SparkSession, path: str, schema: StructType | str | None =
 def delimited_checked(spark: SparkSession, path: str, schema: str, header: bool = False, sep: str = ",") -> DataFrame:
     """S2-S4 with a column of rejected lines: the columns of ``schema`` and ``rejected``, the raw
     line where it doesn't fit (too few or too many fields, a field of another type), else null.
-    Spark reads ``rejected`` only together with another column.  Compressed files are read by Hadoop's
-    codecs; bz2 is split like plain text."""
-    return (spark.read.schema(f"{schema}, rejected string").option("columnNameOfCorruptRecord", "rejected")
-            .option("mode", "PERMISSIVE").option("columnPruning", False).option("header", header).option("sep", sep).csv(path))
+    ``rejected`` depends on every column, so whoever reads it gets lines judged whole, whatever else is
+    selected.  Compressed files are read by Hadoop's codecs; bz2 is split like plain text."""
+    raw = (spark.read.schema(f"{schema}, _raw_line string").option("columnNameOfCorruptRecord", "_raw_line")
+           .option("mode", "PERMISSIVE").option("header", header).option("sep", sep).csv(path))
+    columns = raw.columns[:-1]
+    always = F.hash(*columns) >= F.lit(-2 ** 31)        # true, and reads all columns
+    return raw.select(*columns, F.when(always, F.col("_raw_line")).alias("rejected"))
 
 
 _TYPES = ("int", "bigint", "double", "date", "timestamp", "boolean")
