@@ -173,6 +173,38 @@ def test_join_of_short_texts(spark):
     assert sorted(tuple(r) for r in got.collect()) == brute_components(rows)
 
 
+def test_join_rows_without_ids_and_ids_with_two_texts(spark):
+    rnd = random.Random(3)
+    base = [" ".join(f"w{i}x{j}" for j in range(60)) for i in range(6)]
+    rows = [(None if rnd.random() < 0.4 else rnd.randint(0, 30), t) for b in base for t in near_copies(rnd, b, 12, 2)]
+    rows += [(5, base[0]), (5, base[1]), (None, base[2]), (None, base[2]), (None, None), (7, " ".join(base * 60)), (8, " ".join(base * 60) + " end")]
+    sets = [shingle_set(t) for _, t in rows]
+    label = list(range(len(rows)))
+    for _ in rows:                          # least row reachable
+        for i in range(len(rows)):
+            for j in range(len(rows)):
+                if sets[i] and sets[j] and 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j]):
+                    label[i] = label[j] = min(label[i], label[j])
+        if all(label[label[i]] == label[i] for i in range(len(rows))):
+            break
+    least = {}
+    for i, (d, _) in enumerate(rows):
+        if d is not None:
+            least[label[i]] = min(least.get(label[i], d), d)
+    want = [(d, len(sets[i]), least.get(label[i]) if sets[i] else d) for i, (d, _) in enumerate(rows)]
+    got = tokengroups.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string").repartition(4))
+    assert sorted([tuple(r) for r in got.collect()], key=repr) == sorted(want, key=repr)
+
+
+def test_frequent_tokens_are_counted_over_all_sets(spark, monkeypatch):
+    passage = " ".join(f"p{j}" for j in range(30))
+    texts = [" ".join(f"w{i}x{j}" for j in range(20)) + " " + passage for i in range(40)] + [passage] * 50
+    df = spark.createDataFrame([(t,) for t in texts], "text string").repartition(3)
+    got = tokengroups.frequent_tokens(df, 4, 5, 0, 1)       # a prefix that takes all hashes
+    shared = next(s for _, s in tokengroups.batch_sets(pa.array([passage]), 5))
+    assert set(got.tolist()) == set(shared.tolist())
+
+
 def test_join_odd_rows(spark):
     rows = [(1, None), (2, ""), (3, "a b c d e f"), (3, "a b c d e f"), (None, "a b c d e f"), (None, "alone in the world now"), (4, None)]
     got = tokengroups.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()
