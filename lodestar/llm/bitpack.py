@@ -26,15 +26,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lodestar.llm import bytewords as bw
 from lodestar.llm import scratch
 
 MAGIC, VERSION = b"LSBP", 1
 BLOCK_IDS = 4096            # ids per block, a multiple of 64
 FILE_IDS = 1 << 20          # a file is closed when it holds this many ids
+SLICE_BYTES = 1 << 20       # text that is cut and encoded at once (one longer text stands alone)
 
 NULL_KEY = -(1 << 63)       # stands for a null document key
 
@@ -127,6 +130,12 @@ BYTE_TO_CHAR = {b: b for b in _PRINT} | {b: 256 + i for i, b in enumerate(_REST)
 PRE_TOKENS = regex.compile(
     r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""")
 _OTHER_SPACE = "\t\r\x0b\x0c\x1c\x1d\x1e\x1f"
+_ODD_BYTE = np.zeros(256, bool)             # white space and NUL other than blank and line break
+_ODD_BYTE[[0, *map(ord, _OTHER_SPACE)]] = True
+_KIND = np.full(256, 3, np.uint8)           # of ASCII characters: 0 white space, 1 letter, 2 digit, 3 other
+_KIND[[0x20, 0x0A]] = 0
+_KIND[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = 1
+_KIND[0x30:0x3A] = 2
 # Below this code point the library's Unicode tables and Python's agree.
 PLAIN = regex.compile(r"[\u0000-\u036f]*")
 
@@ -139,10 +148,10 @@ class ByteLevelEncoder(dict):
     """Whole-text ids of a byte-level BPE tokenizer as little-endian u32 bytes.
 
     A text in which no two white-space characters are adjacent is cut before
-    every blank and around every line break; no pre-token crosses such a cut,
-    so the pieces are encoded one by one, each distinct piece once (memos of at
-    most ``limit`` pieces in each of two generations and as many pre-tokens).  Any other text, and any text that may hold a special
-    token, goes to the library whole.
+    every blank and around every line break, and where ASCII letters, digits and other marks
+    meet; no pre-token crosses such a cut, so each distinct piece is encoded once (memos of at
+    most ``limit`` pieces in each of two generations and as many pre-tokens).  Any other text, and any text
+    that may hold a special token, goes to the library whole.
     """
 
     def __init__(self, path: str, limit: int = 400_000):
@@ -160,15 +169,14 @@ class ByteLevelEncoder(dict):
             self.old = dict(self)
             self.clear()
         value = self.old.get(piece)
-        if value is not None:
-            self[piece] = value
-            return value
-        if piece.isascii() and piece[1:].isalpha() and (piece[0] == " " or piece[0].isalpha()):
-            value = self.pre_token(piece)
-        elif PLAIN.fullmatch(piece):
-            value = b"".join(map(self.pre_token, PRE_TOKENS.findall(piece)))
-        else:
-            value = self.library(piece)
+        if value is None:
+            if piece.isascii() and piece.isprintable() and "'" not in piece:
+                # One pre-token, whose only character that isn't its own byte character is the blank.
+                value = array("I", [t.id for t in self.model.tokenize(piece.replace(" ", "\u0120"))]).tobytes()
+            elif PLAIN.fullmatch(piece):
+                value = b"".join(map(self.pre_token, PRE_TOKENS.findall(piece)))
+            else:
+                value = self.library(piece)
         self[piece] = value
         return value
 
@@ -180,23 +188,81 @@ class ByteLevelEncoder(dict):
             got = self.known[pre] = array("I", [t.id for t in self.model.tokenize(byte_chars(pre))]).tobytes()
         return got
 
-    def separable(self, text: str) -> bool:
-        """No two white-space characters are adjacent and all are blanks or line breaks."""
-        if text.isascii() and not any(c in text for c in _OTHER_SPACE):
-            return not any(c in text for c in ("  ", " \n", "\n ", "\n\n", "\0"))
-        return text.replace("\n", " ").split(" ") == text.split() and "\0" not in text
+    def whole_rows(self, column: pa.Array, data: np.ndarray, offs: np.ndarray) -> np.ndarray:
+        """Rows that go to the library whole: with adjacent white space, white space other than blanks
+        and line breaks, or a special token."""
+        blank = (data == 0x20) | (data == 0x0A)
+        at = np.flatnonzero(blank[1:] & blank[:-1])
+        row = lambda x: np.searchsorted(offs, x, "right") - 1
+        bad = np.zeros(len(column), bool)
+        bad[row(at)[row(at) == row(at + 1)]] = True
+        bad[row(np.flatnonzero(_ODD_BYTE[data]))] = True
+        for lead in (0xC2, 0xE1, 0xE2, 0xE3):           # white space beyond ASCII
+            at = np.flatnonzero(data == lead)
+            b, c = data[np.minimum(at + 1, len(data) - 1)], data[np.minimum(at + 2, len(data) - 1)]
+            space = {0xC2: (b == 0x85) | (b == 0xA0), 0xE1: (b == 0x9A) & (c == 0x80), 0xE3: (b == 0x80) & (c == 0x80),
+                     0xE2: (b == 0x80) & ((c <= 0x8A) | (c == 0xA8) | (c == 0xA9) | (c == 0xAF)) | (b == 0x81) & (c == 0x9F)}[lead]
+            bad[row(at[space])] = True
+        for token in self.special:
+            bad |= pc.match_substring(column, token).to_numpy(zero_copy_only=False)
+        return bad
+
+    def encode_column(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all rows of a string column without nulls, one after the other, and ids per row.
+        The whole column is cut at once, each distinct piece of it is encoded once, and the
+        ids are gathered by offsets."""
+        offs = bw.offsets_of(column)
+        raw = column.buffers()[2]
+        data = np.frombuffer(raw, np.uint8)[offs[0]: offs[-1]] if raw is not None else np.zeros(0, np.uint8)
+        offs = offs - offs[0]
+        counts = np.zeros(len(column), np.int64)
+        if not len(data):
+            return np.zeros(0, np.uint32), counts
+        bad = self.whole_rows(column, data, offs)
+        starts = np.zeros(len(data) + 1, bool)
+        starts[offs[:-1]] = True
+        starts[:-1] |= (data == 0x20) | (data == 0x0A)
+        starts[1:] |= data == 0x0A
+        # Inside a piece, ASCII letters, digits and other marks are pre-tokens of their own, but for
+        # contractions and what stands beside characters beyond ASCII.
+        kind = _KIND[data]
+        inner = np.flatnonzero((kind[1:] != kind[:-1]) & (kind[1:] > 0) & (kind[:-1] > 0)) + 1
+        cuts = np.flatnonzero(starts[:-1])
+        odd = np.append(0, np.cumsum((data == 0x27) | (data >= 0x80)))
+        piece = np.searchsorted(cuts, inner, "right") - 1
+        starts[inner[odd[np.append(cuts, len(data))[piece + 1]] == odd[cuts[piece]]]] = True
+        cuts = np.flatnonzero(starts[:-1])
+        owner = np.searchsorted(offs, cuts, "right") - 1
+        pieces = pa.Array.from_buffers(pa.string(), len(cuts), [None, pa.py_buffer(np.append(cuts, len(data)).astype(np.int32)), pa.py_buffer(data)])
+        if bad.any():
+            kept = ~bad[owner]
+            pieces, owner = pieces.filter(pa.array(kept)), owner[kept]
+        coded = pieces.dictionary_encode()
+        which = coded.indices.to_numpy()
+        known = [self[x] for x in coded.dictionary.to_pylist()]
+        size = np.array([len(x) // 4 for x in known], np.int64)
+        flat, first = np.frombuffer(b"".join(known), "<u4"), np.cumsum(size) - size
+        n = size[which]
+        ends = np.cumsum(n)
+        ids = flat[np.repeat(first[which] - ends + n, n) + np.arange(ends[-1] if len(ends) else 0)]
+        counts += np.bincount(owner, n, len(column)).astype(np.int64)
+        if not bad.any():
+            return ids, counts
+        parts, at = [], 0
+        for i in np.flatnonzero(bad):
+            upto = at + counts[:i].sum() - sum(len(p) for p in parts)
+            whole = np.frombuffer(self.library(column[i].as_py()), "<u4")
+            parts += [ids[at:upto], whole]
+            at, counts[i] = upto, len(whole)
+        return np.concatenate([*parts, ids[at:]]), counts
 
     def encode(self, text: str | None) -> bytes:
-        if not text:
-            return b""
-        if not self.separable(text) or any(s in text for s in self.special):
-            return self.library(text)
-        return b"".join(map(self.__getitem__, text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")))
+        return self.encode_column(pa.array([text or ""], pa.string()))[0].astype("<u4").tobytes()
 
 
 def write_packed(df: DataFrame, text: str = "text", key: str = "doc_id",
                  tokenizer: str = "byte_bpe_50k.json", end_id: int = 0,
-                 vocabulary: int = 50257, name: str = "packed-ids") -> DataFrame:
+                 vocabulary: int | None = None, name: str = "packed-ids") -> DataFrame:
     """Encode every text and write bit-packed files in ascending ``key`` order.
 
     Returns the written table: ``part int, file int, n_docs long, n_ids long,
@@ -206,6 +272,9 @@ def write_packed(df: DataFrame, text: str = "text", key: str = "doc_id",
     an order by text; null keys come first and are stored as NULL_KEY.
     """
     spark = df.sparkSession
+    if vocabulary is None:
+        from tokenizers import Tokenizer
+        vocabulary = max(Tokenizer.from_file(scratch.tokenizer_file(tokenizer)).get_vocab_size(), end_id + 1)
     bits = bits_for(vocabulary)
     path_name = tokenizer
 
@@ -213,11 +282,10 @@ def write_packed(df: DataFrame, text: str = "text", key: str = "doc_id",
         from pyspark import TaskContext
         part = TaskContext.get().partitionId()
         enc = ByteLevelEncoder(scratch.tokenizer_file(path_name))
-        end = np.array([end_id], "<u4").tobytes()
         keys, lengths, chunks, held, file_no = [], [], [], 0, 0
 
         def close() -> pa.RecordBatch:
-            ids = np.frombuffer(b"".join(chunks), "<u4")
+            ids = np.concatenate(chunks)
             data = pack_file(keys, lengths, ids, bits)
             return pa.RecordBatch.from_pydict({
                 "part": pa.array([part], pa.int32()), "file": pa.array([file_no], pa.int32()),
@@ -225,20 +293,32 @@ def write_packed(df: DataFrame, text: str = "text", key: str = "doc_id",
                 "payload": pa.array([data], pa.binary())})
 
         for batch in batches:
-            for k, t in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                got = enc.encode(t.as_py()) + end
-                keys.append(NULL_KEY if k is None else k)
-                lengths.append(len(got) // 4)
-                chunks.append(got)
-                held += len(got) // 4
-                if held >= FILE_IDS:
-                    yield close()
-                    keys, lengths, chunks, held, file_no = [], [], [], 0, file_no + 1
+            column = bw.strings(batch.column(1))
+            for lo, hi in bw.slices(column, SLICE_BYTES):
+                ids, counts = enc.encode_column(column.slice(lo, hi - lo))
+                # The end id behind every document.
+                ended = np.full(len(ids) + len(counts), end_id, np.uint32)
+                ended[np.arange(len(ids)) + np.repeat(np.arange(len(counts)), counts)] = ids
+                counts = counts + 1
+                upto = np.cumsum(counts)
+                new = [NULL_KEY if k is None else k for k in batch.column(0).slice(lo, hi - lo).to_pylist()]
+                i, at = 0, 0
+                while i < len(new):
+                    # Documents up to the one that fills the file.
+                    j = min(int(np.searchsorted(upto, at + FILE_IDS - held)) + 1, len(new))
+                    keys += new[i:j]
+                    lengths += counts[i:j].tolist()
+                    chunks.append(ended[at: upto[j - 1]])
+                    held += int(upto[j - 1]) - at
+                    i, at = j, int(upto[j - 1])
+                    if held >= FILE_IDS:
+                        yield close()
+                        keys, lengths, chunks, held, file_no = [], [], [], 0, file_no + 1
         if keys:
             yield close()
 
     ordered = (df.select(F.col(key).cast("long").alias("k"), F.col(text).alias("t"))
-               .repartitionByRange("k").sortWithinPartitions("k", "t"))
+               .repartitionByRange("k", "t").sortWithinPartitions("k", "t"))
     files = ordered.mapInArrow(encode, "part int, file int, n_docs long, n_ids long, payload binary")
     return scratch.stage(files, name)
 

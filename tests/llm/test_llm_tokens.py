@@ -48,6 +48,20 @@ def test_byte_level_encoder_equals_library():
         assert np.frombuffer(ours.encode(t), "<u4").tolist() == lib.encode(t, add_special_tokens=False).ids, t
 
 
+@pytest.mark.parametrize("limit,step", [(200, 1), (200, 7), (400_000, 10_000)])
+def test_columns_are_encoded_as_row_by_row(limit, step):
+    import pyarrow as pa
+    path = scratch.tokenizer_file("byte_bpe_50k.json")
+    ours, lib = bitpack.ByteLevelEncoder(path, limit=limit), Tokenizer.from_file(path)
+    rows = texts(7) + ["x\u2003y", "“quoted” a\u3000b", "a\u1680b", "\u2009", "ends\n", "\nstarts", "", "é\u0301 ñ", "one\ntwo three's"]
+    column = pa.array(["left out", *rows]).slice(1)
+    for lo in range(0, len(rows), step):
+        ids, counts = ours.encode_column(column.slice(lo, step))
+        want = [lib.encode(t, add_special_tokens=False).ids for t in rows[lo: lo + step]]
+        assert counts.tolist() == [len(w) for w in want]
+        assert ids.tolist() == [i for w in want for i in w]
+
+
 def test_prefix_bpe_equals_library():
     path = scratch.tokenizer_file("word_bpe_49k.json")
     ours, lib = prefixbpe.PrefixBPE(path, limit=200), Tokenizer.from_file(path)
