@@ -23,6 +23,7 @@ import struct
 import zlib
 from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -260,6 +261,12 @@ class ByteLevelEncoder(dict):
         return self.encode_column(pa.array([text or ""], pa.string()))[0].astype("<u4").tobytes()
 
 
+@lru_cache(2)
+def encoder(tokenizer: str) -> ByteLevelEncoder:
+    """One encoder per Python worker, so that later tasks find the pieces of earlier ones."""
+    return ByteLevelEncoder(scratch.tokenizer_file(tokenizer))
+
+
 def write_packed(df: DataFrame, text: str = "text", key: str = "doc_id",
                  tokenizer: str = "byte_bpe_50k.json", end_id: int = 0,
                  vocabulary: int | None = None, name: str = "packed-ids") -> DataFrame:
@@ -269,7 +276,7 @@ def write_packed(df: DataFrame, text: str = "text", key: str = "doc_id",
     payload binary``; (part, file) ascending is key order.  Rows are dealt by key
     ranges, so the order needs no global sort; a file holds about FILE_IDS ids.
     Null texts count as empty (only the end id).  Rows with equal keys keep
-    an order by text; null keys come first and are stored as NULL_KEY.
+    an order by a hash of the text; null keys come first and are stored as NULL_KEY.
     """
     spark = df.sparkSession
     if vocabulary is None:
@@ -281,7 +288,7 @@ def write_packed(df: DataFrame, text: str = "text", key: str = "doc_id",
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
         part = TaskContext.get().partitionId()
-        enc = ByteLevelEncoder(scratch.tokenizer_file(path_name))
+        enc = encoder(path_name)
         keys, lengths, chunks, held, file_no = [], [], [], 0, 0
 
         def close() -> pa.RecordBatch:
@@ -317,8 +324,9 @@ def write_packed(df: DataFrame, text: str = "text", key: str = "doc_id",
         if keys:
             yield close()
 
-    ordered = (df.select(F.col(key).cast("long").alias("k"), F.col(text).alias("t"))
-               .repartitionByRange("k", "t").sortWithinPartitions("k", "t"))
+    # Ranges of keys alone would put rows without a key, or of one key, into one task.
+    ordered = (df.select(F.col(key).cast("long").alias("k"), F.col(text).alias("t")).withColumn("h", F.xxhash64("t"))
+               .repartitionByRange("k", "h").sortWithinPartitions("k", "h", "t").select("k", "t"))
     files = ordered.mapInArrow(encode, "part int, file int, n_docs long, n_ids long, payload binary")
     return scratch.stage(files, name)
 

@@ -292,7 +292,7 @@ def _shard(ids: list, parts: list, counts: list, n_docs: int, n_terms: int) -> t
     rank[by_df] = np.arange(len(by_df))
     impact = impact_of(tf, np.concatenate(counts)[doc], n_docs, n_terms)
     grid = build(rank[row], place[doc], impact)
-    return (keys[order].tobytes(), np.rec.fromarrays([terms, rank], names="t,r").tobytes(), df.astype("<i8").tobytes(), grid.dump())
+    return (keys[order].tobytes(), terms.tobytes() + rank.astype("<u4").tobytes(), df.astype("<u4").tobytes(), grid.dump())
 
 
 def build_index(documents: DataFrame, key: str = "doc_id", text: str = "text") -> Index:
@@ -340,7 +340,13 @@ def build_index(documents: DataFrame, key: str = "doc_id", text: str = "text") -
     spark = documents.sparkSession
     # Shards fill up only if partitions hold enough text; merging neighbours moves no row.
     whole = docs.coalesce(max(spark.sparkContext.defaultParallelism, size // SHARD_BYTES + 1))
-    table = scratch.stage(whole.mapInArrow(index, "ids binary, terms binary, dfs binary, grid binary"), "k2treap")
+    # Small row groups: readers and writers hold a few shards, not a file of them.
+    where = scratch.path(spark, "k2treap")
+    made = whole.mapInArrow(index, "ids binary, terms binary, dfs binary, grid binary")
+    small = {"parquet.block.size": str(4 << 20), "parquet.block.size.row.check.min": "1", "parquet.block.size.row.check.max": "1",
+             "parquet.page.size.row.check.min": "1", "parquet.page.size.row.check.max": "1", "parquet.enable.dictionary": "false"}
+    made.write.options(**small).parquet(where)
+    table = spark.read.schema(made.schema).parquet(where)
     return Index(table, n_docs, n_terms)
 
 
@@ -367,11 +373,11 @@ def block_of(numbers: list[int], texts: pa.Array) -> Block:
 
 def _places(terms: bytes, block: Block) -> tuple[np.ndarray, np.ndarray]:
     """For each term of the block its place in the shard's dictionary and its row; -1 where absent."""
-    held = np.frombuffer(terms, [("t", "<u8"), ("r", "<i8")])
-    t = np.ascontiguousarray(held["t"])
+    n = memoryview(terms).nbytes // 12
+    t, rank = np.frombuffer(terms, "<u8", n), np.frombuffer(terms, "<u4", n, 8 * n)
     at = np.minimum(np.searchsorted(t, block.terms), len(t) - 1)
     there = t[at] == block.terms
-    return np.where(there, at, -1), np.where(there, held["r"][at], -1)
+    return np.where(there, at, -1), np.where(there, rank[at].astype(np.int64), -1)
 
 
 def _frequencies(index: Index, sent) -> dict[int, int]:
@@ -381,8 +387,8 @@ def _frequencies(index: Index, sent) -> dict[int, int]:
         total = np.zeros(len(block.terms), np.int64)
         for batch in batches:
             for terms, dfs in zip(batch.column(0), batch.column(1), strict=True):
-                at, _ = _places(terms.as_py(), block)
-                df = np.frombuffer(dfs.as_py(), "<i8")
+                at, _ = _places(terms.as_buffer(), block)
+                df = np.frombuffer(dfs.as_buffer(), "<u4").astype(np.int64)
                 total[at >= 0] += df[at[at >= 0]]
         had = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(had, pa.int64()), pa.array(total[had], pa.int64())], names=["p", "df"])
@@ -405,7 +411,7 @@ def _search_block(index: Index, block: Block, k: int, name: str) -> DataFrame:
         best = [none] * len(block.number)
         for batch in batches:
             for ids, terms, grid in zip(*batch.columns, strict=True):
-                _, row = _places(terms.as_py(), block)
+                _, row = _places(terms.as_buffer(), block)
                 held = np.flatnonzero((row >= 0) & (weights > 0))
                 if not len(held):
                     continue
@@ -418,7 +424,7 @@ def _search_block(index: Index, block: Block, k: int, name: str) -> DataFrame:
                     if here.any():
                         count = block.count[block.cut[i]: block.cut[i + 1]][here]
                         asking.append((i, _Item(position[at][here], weights[at][here] * count, k, best[i])))
-                search(Treap.load(grid.as_py()), np.frombuffer(ids.as_py(), np.int64), row[held], [x for _, x in asking])
+                search(Treap.load(grid.as_buffer()), np.frombuffer(ids.as_buffer(), np.int64), row[held], [x for _, x in asking])
                 for i, item in asking:
                     best[i] = item.best
         size = [len(s) for s, _ in best]

@@ -200,7 +200,7 @@ def test_frequent_tokens_are_counted_over_all_sets(spark, monkeypatch):
     passage = " ".join(f"p{j}" for j in range(30))
     texts = [" ".join(f"w{i}x{j}" for j in range(20)) + " " + passage for i in range(40)] + [passage] * 50
     df = spark.createDataFrame([(t,) for t in texts], "text string").repartition(3)
-    got = tokengroups.frequent_tokens(df, 4, 5, 0, 1)       # a prefix that takes all hashes
+    got = tokengroups.frequent_tokens(df, 90, 4, 5, 0, 1)       # a prefix that takes all hashes
     shared = next(s for _, s in tokengroups.batch_sets(pa.array([passage]), 5))
     assert set(got.tolist()) == set(shared.tolist())
 
