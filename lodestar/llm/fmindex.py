@@ -39,7 +39,7 @@ class Phrases:
     length: np.ndarray          # (n,)
     owner_window: np.ndarray    # pairs (window, item), by window
     owner_item: np.ndarray
-    items: list[str]
+    items: list[str | None]
 
     @property
     def shortest(self) -> int:
@@ -51,7 +51,9 @@ def phrases_of(ids: list, texts: list, width: int) -> Phrases:
     w = bw.scan(bw.strings(pa.array(texts, pa.string())), bw.ALNUM)
     vocabulary, symbol = np.unique(w.hashes(), return_inverse=True)
     symbol = symbol.astype(np.int64) + 1
-    names, item_of = np.unique(np.array(["" if i is None else str(i) for i in ids], object).astype(str), return_inverse=True)
+    names = sorted({str(i) for i in ids if i is not None}) + [None] * any(i is None for i in ids)
+    place = {name: k for k, name in enumerate(names)}
+    item_of = [place[i if i is None else str(i)] for i in ids]
     rows, owner, at = [], [], 0
     for i, n in enumerate(w.counts):
         s = symbol[at: at + n]
@@ -65,10 +67,10 @@ def phrases_of(ids: list, texts: list, width: int) -> Phrases:
         owner.append(np.full(len(rows[-1]), item_of[i]))
     if not rows:
         return Phrases(vocabulary, np.zeros((0, width), np.int64), np.zeros(0, np.int64),
-                       np.zeros(0, np.int64), np.zeros(0, np.int64), list(names))
+                       np.zeros(0, np.int64), np.zeros(0, np.int64), names)
     windows, which = np.unique(np.concatenate(rows), axis=0, return_inverse=True)
     pairs = np.unique(np.stack([which.reshape(-1), np.concatenate(owner)], axis=1), axis=0)
-    return Phrases(vocabulary, windows, (windows > 0).sum(axis=1), pairs[:, 0], pairs[:, 1], list(names))
+    return Phrases(vocabulary, windows, (windows > 0).sum(axis=1), pairs[:, 0], pairs[:, 1], names)
 
 
 # --- index ---------------------------------------------------------------------
@@ -225,10 +227,10 @@ def _blocks(benchmark: DataFrame, item: str, text: str, width: int) -> list:
     total = rows.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     n = int(total) // BLOCK_BYTES + 1
     return [spark.sparkContext.broadcast(phrases_of([r.i for r in got], [r.t for r in got], width))
-            for got in (rows.where(F.pmod(F.xxhash64("i"), F.lit(n)) == k).collect() for k in range(n))]
+            for got in (rows.where(F.pmod(F.xxhash64("i", "t"), F.lit(n)) == k).collect() for k in range(n))]
 
 
-def _examine(column: pa.Array, blocks: list) -> tuple[bw.Words, np.ndarray, list[set[str]]]:
+def _examine(column: pa.Array, blocks: list) -> tuple[bw.Words, np.ndarray, list[set[str | None]]]:
     words = bw.scan(column, bw.ALNUM)
     hashes = words.hashes()
     hit, items = np.zeros(len(hashes), bool), [set() for _ in range(len(words.counts))]
@@ -271,7 +273,8 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame, text: str = "text"
     occurring window) and ``spans`` (merged byte ranges to remove).
 
     With ``clean`` the text has its spans replaced by line breaks, again until
-    none is left.  A null text has no words and stays null.  Rows keep their
+    none is left.  A null text has no words and stays null.  Items without an id are one
+    item, the null at the end of ``items``; one with the empty id is another.  Rows keep their
     partitions: no shuffle.  Added columns replace any of the same names.
     """
     blocks = _blocks(benchmark, item, item_text, width)
@@ -304,7 +307,7 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame, text: str = "text"
                     columns[at] = pa.array(texts, pa.string())
                 yield pa.RecordBatch.from_arrays(
                     [*columns, pa.array(words.counts, pa.int64()), pa.array(n_hit, pa.int64()),
-                     pa.array([sorted(x) for x in items], pa.list_(pa.string())),
+                     pa.array([sorted(x - {None}) + [None] * (None in x) for x in items], pa.list_(pa.string())),
                      pa.array([[{"start": a, "end": b} for a, b in s] for s in spans],
                               pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))],
                     names=[*batch.schema.names, *added])

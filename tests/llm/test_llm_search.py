@@ -92,6 +92,23 @@ def test_decontaminate_table(spark):
     assert {r.n_hit for r in fmindex.decontaminate(df, items.limit(0)).collect()} == {0}
 
 
+def test_items_without_id_as_in_the_sql(spark, tmp_path, monkeypatch):
+    docs = spark.createDataFrame([(1, "a short item b"), (2, "other one"), (3, "clean"), (None, None)], "doc_id long, text string")
+    items = spark.createDataFrame([(None, "short item"), (None, "other"), ("", "short item"), ("1", "item b"), (None, "short item")],
+                                  "item_id string, text string")
+    for name, df in (("documents", docs), ("benchmark", items)):
+        df.write.parquet(f"{tmp_path}/{name}.parquet")
+    found = {r.doc_id: r["items"] for r in fmindex.decontaminate(docs, items).collect()}
+    assert found == {1: ["", "1", None], 2: [None], 3: [], None: []}
+    db = duckdb.connect()
+    for name in ("documents", "benchmark"):
+        db.execute(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}.parquet/*.parquet'")
+    want = db.execute(plans.ORACLE["op4_fm_decontaminate"]).fetchall()
+    monkeypatch.setattr(fmindex, "BLOCK_BYTES", 12)
+    got = [tuple(r) for r in plans.QUERIES["op4_fm_decontaminate"](spark, str(tmp_path)).collect()]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+
+
 def test_cleaning_leaves_no_seam(spark):
     items = spark.createDataFrame([(1, "a b"), (2, "c d")], "item_id long, text string")
     df = spark.createDataFrame([(1, "a c d b x")], "doc_id long, text string")
