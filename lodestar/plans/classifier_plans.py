@@ -13,6 +13,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from lodestar.functions.numeric import significant
+from lodestar.operators import certificates as CE
 from lodestar.operators import linear as LN
 from lodestar.operators import metrics as MT
 from lodestar.operators import mlmodels as ML
@@ -373,11 +374,84 @@ def linear_svc_evaluate(spark, sf):
     return _ml_evaluate(spark, sf, ML.fit_linear_svc)
 
 
+def _certificate_sql(ctes: list[str], loss: str, factor: str, own: str, scale: str, gap: str = "") -> str:
+    """Loss and gradient at the weights ``w2`` of the given steps, from the rows ``d`` and ``lab``."""
+    return "WITH " + ",\n".join(ctes) + f""",
+zs AS (SELECT doc_id, sum(x * w) AS s FROM d JOIN w2 USING (pos) GROUP BY doc_id),
+zt AS (SELECT doc_id, y, 2 * y - 1 AS yp, coalesce(s, 0.0) AS theta FROM lab LEFT JOIN zs USING (doc_id)),
+zg AS (SELECT pos, sum(x * ({factor})) AS g FROM d JOIN zt USING (doc_id) GROUP BY pos),
+zv AS (SELECT {own} + {scale} * coalesce(g, 0.0) AS g, coalesce(g, 0.0) * {scale} AS data, w FROM w2 LEFT JOIN zg USING (pos)),
+zn AS (SELECT sqrt(sum(g * g)) AS norm, max(abs(g)) AS most, sum(data * data) AS data, sum(w * w) AS ww FROM zv),
+zl AS (SELECT count(*) AS rows, {loss} AS loss, avg(CASE WHEN yp * theta < 1 THEN 1.0 ELSE 0.0 END) AS dual FROM zt)
+SELECT rows, {sig('loss')} AS loss, {sig('norm')} AS gradient_norm, {sig('most')} AS gradient_max{gap} FROM zl, zn"""
+
+
+@register("logistic_certificate_two_steps", sql=_certificate_sql(
+    _logistic_ctes(source="documents"), "sum(-y * theta + greatest(theta, 0) + ln(1 + exp(-abs(theta))))", "1.0 / (1.0 + exp(-theta)) - y", "0.0", "1.0"))
+def logistic_certificate_two_steps(spark, sf):
+    """M14's certificate (loss and gradient by plain aggregates) at the weights after two full-batch steps."""
+    design = _all_design(spark, sf)
+    w, _ = LN.train_logistic(design, max_iter=2, tol=0.0)
+    design.release()
+    return _rounded_certificate(CE.logistic_certificate(*_all_rows(spark, sf), w))
+
+
+@register("hinge_certificate_two_steps", sql=_certificate_sql(
+    _hinge_ctes(source="documents"), "(SELECT 0.5 * ww FROM zn) + avg(greatest(0.0, 1 - yp * theta))", "CASE WHEN yp * theta < 1 THEN -yp ELSE 0.0 END",
+    "w", "1.0 / (SELECT n FROM nl)", f", {sig('loss - (dual - data / 2)')} AS gap"))
+def hinge_certificate_two_steps(spark, sf):
+    """M18's certificate (loss, subgradient and duality gap, reg 1.0) at the weights after two steps of M15."""
+    design = _all_design(spark, sf)
+    w, _ = LN.train_hinge(design, max_iter=2)
+    design.release()
+    return _rounded_certificate(CE.hinge_certificate(*_all_rows(spark, sf), w, reg=1.0))
+
+
+def _all_rows(spark, sf):
+    docs = table(spark, sf, "documents", "doc_id", "text")
+    labels = _labelled(docs, _labels(spark, sf))
+    features = TF.TextFeatures(docs, VOCAB).tf.select("doc_id", "pos", F.col("tf").alias("x"))
+    return features.join(labels.select("doc_id"), "doc_id", "left_semi"), labels
+
+
+def _rounded_certificate(found):
+    return found.select("rows", *[significant(c, SIG).alias(c) for c in found.columns if c != "rows"])
+
+
+@register("optimum_certificates", note="library optimiser: rows-only check")
+def optimum_certificates(spark, sf):
+    """M14 and M18 certified: loss and (sub)gradient of the weights that L-BFGS and OWL-QN end with and of zero
+    weights, recomputed by plain aggregates over the labelled training rows."""
+    sp = _Split(spark, sf)
+    features = sp.features.tf.select("doc_id", "pos", F.col("tf").alias("x")).join(sp.train_labels.select("doc_id"), "doc_id", "left_semi")
+    train = _ml_rows(sp, sp.train_tokens, sp.train_labels)
+    found = []
+    for model, fit, check in (("lbfgs", ML.fit_logistic_lbfgs, CE.logistic_certificate), ("owlqn", ML.fit_linear_svc, CE.hinge_certificate)):
+        fitted = fit(train)
+        w = fitted.coefficients.toArray()
+        # LinearSVC keeps an intercept, which is no position: its certificate is that of the weights with it.
+        shift = float(fitted.intercept)
+        rows, size = features, VOCAB
+        if shift:
+            rows = features.unionByName(sp.train_labels.select("doc_id", F.lit(VOCAB).cast("int").alias("pos"), F.lit(1.0).alias("x")))
+            w, size = np.append(w, shift), VOCAB + 1
+        for state, at in (("start", np.zeros(size)), ("fitted", w)):
+            got = check(rows, sp.train_labels, at)
+            found.append(got.select(F.lit(model).alias("model"), F.lit(state).alias("state"), "rows", "loss", "gradient_norm", "gradient_max"))
+    out = found[0]
+    for more in found[1:]:
+        out = out.unionByName(more)
+    return out
+
+
+def _ml_rows(sp, tokens, lab):
+    return (ML.tf_vectors(tokens, sp.features.vocab, VOCAB, lab)
+            .join(lab.select("doc_id", F.col("y").cast("double").alias("label")), "doc_id"))
+
+
 def _ml_evaluate(spark, sf, fit, sp=None):
     sp = sp or _Split(spark, sf)
-    train, test = (ML.tf_vectors(tokens, sp.features.vocab, VOCAB, lab)
-                   .join(lab.select("doc_id", F.col("y").cast("double").alias("label")), "doc_id")
-                   for tokens, lab in ((sp.train_tokens, sp.train_labels), (sp.test_tokens, sp.test_labels)))
+    train, test = (_ml_rows(sp, tokens, lab) for tokens, lab in ((sp.train_tokens, sp.train_labels), (sp.test_tokens, sp.test_labels)))
     scored = ML.scored(fit(train).transform(test))
     f1 = MT.f1_from_confusion(MT.confusion(scored))
     return f1.withColumn("auc", MT.auc(scored).select("auc").scalar())
