@@ -22,10 +22,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestar.llm import bytewords as bw
+from lodestar.llm import scratch
 
 SHARD_BYTES = 2 << 20       # bytes of text per index
 SAMPLE = 16
 BLOCK_BYTES = 8 << 20       # bytes of phrase texts that are searched together
+PIECE_WORDS = 50_000        # longer items are cut
+ADDED = ("n_words", "n_hit", "items", "spans")
+_SPANS = "array<struct<start: bigint, end: bigint>>"
 
 
 # --- phrases -------------------------------------------------------------------
@@ -220,29 +224,50 @@ def shard_hits(words: bw.Words, hashes: np.ndarray, p: Phrases) -> tuple[np.ndar
 
 # --- operator ----------------------------------------------------------------
 
-def _blocks(benchmark: DataFrame, item: str, text: str, width: int) -> list:
-    """Phrases in blocks of bounded size, each sent to the tasks."""
-    spark = benchmark.sparkSession
+def pieces(benchmark: DataFrame, item: str, text: str, width: int) -> DataFrame:
+    """``i, t``: the items' texts, long ones cut into pieces that overlap by ``width - 1`` words and so
+    have the same windows.  Equal rows come once; texts without words have no window and are left out."""
     rows = benchmark.select(F.col(item).cast("string").alias("i"), F.col(text).cast("string").alias("t"))
-    total = rows.agg(F.sum(F.octet_length("t"))).first()[0] or 0
-    n = int(total) // BLOCK_BYTES + 1
-    return [spark.sparkContext.broadcast(phrases_of([r.i for r in got], [r.t for r in got], width))
-            for got in (rows.where(F.pmod(F.xxhash64("i", "t"), F.lit(n)) == k).collect() for k in range(n))]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, texts = [], []
+            for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                raw = (t or "").encode("utf-8")
+                w = bw.scan(bw.strings(pa.array([t], pa.string())), bw.ALNUM)
+                n = int(w.counts[0])
+                for a in range(0, max(n - width, 0) + 1 if n else 0, PIECE_WORDS):
+                    ids.append(i)
+                    texts.append(raw[w.start[a]: w.end[min(a + PIECE_WORDS + width - 1, n) - 1]].decode("utf-8"))
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.string()), pa.array(texts, pa.string())], names=["i", "t"])
+
+    return rows.mapInArrow(run, "i string, t string").distinct()
 
 
-def _examine(column: pa.Array, blocks: list) -> tuple[bw.Words, np.ndarray, list[set[str | None]]]:
+def _block(phrases: DataFrame, k: int, blocks: int, width: int) -> Phrases:
+    got = phrases.where(F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == k).collect()
+    return phrases_of([r.i for r in got], [r.t for r in got], width)
+
+
+def _examine(column: pa.Array, p: Phrases) -> tuple[bw.Words, np.ndarray, list[set[str | None]]]:
     words = bw.scan(column, bw.ALNUM)
-    hashes = words.hashes()
-    hit, items = np.zeros(len(hashes), bool), [set() for _ in range(len(words.counts))]
-    for block in blocks:
-        p = block.value
-        h, docs, owners = shard_hits(words, hashes, p)
-        hit |= h
-        for d, i in zip(docs.tolist(), owners.tolist(), strict=True):
-            items[d].add(p.items[i])
+    hit, docs, owners = shard_hits(words, words.hashes(), p)
+    items = [set() for _ in range(len(words.counts))]
+    for d, i in zip(docs.tolist(), owners.tolist(), strict=True):
+        items[d].add(p.items[i])
     return words, hit, items
 
 
+def _inside(words: bw.Words, spans: list, offsets: np.ndarray) -> np.ndarray:
+    """Words inside the given byte spans of their texts."""
+    flat = [(int(offsets[d]) + s["start"], int(offsets[d]) + s["end"]) for d, of in enumerate(spans) for s in of]
+    if not flat or not len(words.start):
+        return np.zeros(len(words.start), bool)
+    begin, end = np.array(sorted(flat), np.int64).T
+    at = np.searchsorted(begin, words.start, "right") - 1
+    return (at >= 0) & (words.end <= end[np.maximum(at, 0)])
+
+
 def _spans(words: bw.Words, hit: np.ndarray, offsets: np.ndarray) -> list[list[tuple[int, int]]]:
     """Merged byte spans of the hit words of each text."""
     out: list[list[tuple[int, int]]] = [[] for _ in range(len(words.counts))]
@@ -258,6 +283,14 @@ def _spans(words: bw.Words, hit: np.ndarray, offsets: np.ndarray) -> list[list[t
     return out
 
 
+def _columns(words: bw.Words, hit: np.ndarray, items: list, offsets: np.ndarray) -> list[pa.Array]:
+    """The columns ADDED of one shard."""
+    return [pa.array(words.counts, pa.int64()), pa.array(np.bincount(words.doc[hit], minlength=len(words.counts)), pa.int64()),
+            pa.array([sorted(x - {None}) + [None] * (None in x) for x in items], pa.list_(pa.string())),
+            pa.array([[{"start": a, "end": b} for a, b in s] for s in _spans(words, hit, offsets)],
+                     pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))]
+
+
 def _without(text: str, spans: list[tuple[int, int]]) -> str:
     raw, at, parts = text.encode("utf-8"), 0, []
     for a, b in spans:
@@ -266,6 +299,61 @@ def _without(text: str, spans: list[tuple[int, int]]) -> str:
     return b"\n".join([*parts, raw[at:]]).decode("utf-8")
 
 
+def _searched(state: DataFrame, phrases: DataFrame, blocks: int, width: int) -> DataFrame:
+    """``state(row, t, first)`` with ``n_words, n_hit, items, spans`` of the phrases of all blocks.  Every block is
+    one pass, so tasks and driver hold the phrases of one block; what is found so far goes along, written."""
+    spark = state.sparkSession
+    found = state.selectExpr("*", "0L as n_words", "0L as n_hit", "cast(array() as array<string>) as items", f"cast(array() as {_SPANS}) as spans")
+    for k in range(blocks):
+        sent = spark.sparkContext.broadcast(_block(phrases, k, blocks, width))
+
+        def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                whole = bw.strings(batch.column("t"))
+                for lo, hi in bw.slices(whole, SHARD_BYTES):
+                    part, column = batch.slice(lo, hi - lo), whole.slice(lo, hi - lo)
+                    offsets = bw.offsets_of(column)
+                    offsets = offsets - offsets[0]
+                    words, hit, items = _examine(column, sent.value)
+                    hit |= _inside(words, part.column("spans").to_pylist(), offsets)
+                    items = [x.union(y) for x, y in zip(items, part.column("items").to_pylist(), strict=True)]
+                    yield pa.RecordBatch.from_arrays([part.column(c) for c in ("row", "t", "first")] + _columns(words, hit, items, offsets),
+                                                     names=["row", "t", "first", *ADDED])
+
+        before, found = found, scratch.stage(found.mapInArrow(run, found.schema), "hits")
+        sent.destroy()
+        if hasattr(before, "scratch_path"):
+            scratch.discard(before)
+    return found
+
+
+def _cut(found: DataFrame) -> DataFrame:
+    """``row, t, first`` of the rows with spans, these replaced by line breaks."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            texts = [_without(t, [(s["start"], s["end"]) for s in spans])
+                     for t, spans in zip(b.column("t").to_pylist(), b.column("spans").to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([b.column("row"), pa.array(texts, pa.string()), b.column("first")], names=["row", "t", "first"])
+    rows = found.where("size(spans) > 0")
+    return rows.mapInArrow(run, rows.select("row", "t", "first").schema)
+
+
+def _in_passes(base: DataFrame, phrases: DataFrame, blocks: int, text: str, width: int, clean: bool) -> DataFrame:
+    """``decontaminate`` for phrases of several blocks."""
+    first = f"struct<n_words: bigint, n_hit: bigint, items: array<string>, spans: {_SPANS}>"
+    state = base.select(F.struct("*").alias("row"), F.col(f"`{text}`").cast("string").alias("t"), F.lit(None).cast(first).alias("first"))
+    done = None
+    while True:
+        found = _searched(state, phrases, blocks, width).withColumn("first", F.coalesce("first", F.struct(*ADDED)))
+        ready = found.where("size(spans) = 0") if clean else found
+        done = ready if done is None else done.unionByName(ready)
+        if not clean or found.where("size(spans) > 0").isEmpty():
+            break
+        state = _cut(found)
+    columns = [F.col("t" if c == text else f"row.`{c}`").alias(c) for c in base.columns]
+    return done.select(*columns, *(F.col(f"first.{c}").alias(c) for c in ADDED))
+
+
 def decontaminate(documents: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id",
                   item_text: str = "text", width: int = 10, clean: bool = False) -> DataFrame:
     """All columns of ``documents`` and, for each row, ``n_words``, ``n_hit`` (words
@@ -276,10 +364,19 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame, text: str = "text"
     none is left.  A null text has no words and stays null.  Items without an id are one
     item, the null at the end of ``items``; one with the empty id is another.  Rows keep their
     partitions: no shuffle.  Added columns replace any of the same names.
+
+    Phrases come in blocks of BLOCK_BYTES, one pass over the documents each, written
+    between passes; a single block needs no written table.
     """
-    blocks = _blocks(benchmark, item, item_text, width)
-    added = ("n_words", "n_hit", "items", "spans")
-    base = documents.drop(*added)
+    base = documents.drop(*ADDED)
+    phrases = pieces(benchmark, item, item_text, width)
+    blocks = int(phrases.agg(F.sum(F.octet_length("t"))).first()[0] or 0) // BLOCK_BYTES + 1
+    if blocks > 1:
+        staged = scratch.stage(phrases, "phrases")
+        out = _in_passes(base, staged, blocks, text, width, clean)
+        scratch.discard(staged)
+        return out
+    sent = documents.sparkSession.sparkContext.broadcast(_block(phrases, 0, 1, width))
     at = base.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -287,31 +384,24 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame, text: str = "text"
             whole = bw.strings(batch.column(at))
             for lo, hi in bw.slices(whole, SHARD_BYTES):
                 column = whole.slice(lo, hi - lo)
-                words, hit, items = _examine(column, blocks)
+                words, hit, items = _examine(column, sent.value)
                 offsets = bw.offsets_of(column)
-                spans = _spans(words, hit, offsets - offsets[0])
-                n_hit = np.bincount(words.doc[hit], minlength=hi - lo)
+                offsets = offsets - offsets[0]
                 columns = [c.slice(lo, hi - lo) for c in batch.columns]
                 if clean and hit.any():
                     texts = columns[at].to_pylist()
-                    left = [i for i, s in enumerate(spans) if s]
-                    todo = {i: spans[i] for i in left}
+                    todo = {i: s for i, s in enumerate(_spans(words, hit, offsets)) if s}
                     while todo:
                         for i, s in todo.items():
                             texts[i] = _without(texts[i], s)
                         some = list(todo)
                         part = bw.strings(pa.array([texts[i] for i in some], pa.string()))
-                        w, h, _ = _examine(part, blocks)
+                        w, h, _ = _examine(part, sent.value)
                         o = bw.offsets_of(part)
                         todo = {some[k]: s for k, s in enumerate(_spans(w, h, o - o[0])) if s}
                     columns[at] = pa.array(texts, pa.string())
-                yield pa.RecordBatch.from_arrays(
-                    [*columns, pa.array(words.counts, pa.int64()), pa.array(n_hit, pa.int64()),
-                     pa.array([sorted(x - {None}) + [None] * (None in x) for x in items], pa.list_(pa.string())),
-                     pa.array([[{"start": a, "end": b} for a, b in s] for s in spans],
-                              pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))],
-                    names=[*batch.schema.names, *added])
+                yield pa.RecordBatch.from_arrays([*columns, *_columns(words, hit, items, offsets)], names=[*batch.schema.names, *ADDED])
 
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in base.schema.fields), "n_words long",
-                        "n_hit long", "items array<string>", "spans array<struct<start: long, end: long>>"])
+                        "n_hit long", "items array<string>", f"spans {_SPANS}"])
     return base.mapInArrow(run, schema)

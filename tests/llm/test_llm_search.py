@@ -47,11 +47,6 @@ def random_texts(rnd, n, longest):
     return [make(rnd.randint(0, longest)) for _ in range(n)], make
 
 
-class Block:
-    def __init__(self, value):
-        self.value = value
-
-
 @pytest.mark.parametrize("seed", range(60))
 def test_index_finds_every_window(seed):
     rnd = random.Random(seed)
@@ -60,7 +55,7 @@ def test_index_finds_every_window(seed):
     width = rnd.choice([1, 2, 3, 10])
     docs += [None, "", items[0][1] or "x"]
     p = fmindex.phrases_of([i for i, _ in items], [t for _, t in items], width)
-    words, hit, found = fmindex._examine(bw.strings(pa.array(docs, pa.string())), [Block(p)])
+    words, hit, found = fmindex._examine(bw.strings(pa.array(docs, pa.string())), p)
     got = zip(words.counts.tolist(), np.bincount(words.doc[hit], minlength=len(docs)).tolist(), map(sorted, found), strict=True)
     assert list(got) == brute_hits(docs, items, width)
 
@@ -115,6 +110,26 @@ def test_cleaning_leaves_no_seam(spark):
     assert fmindex.decontaminate(df, items, clean=True).first().text.split() == ["x"]
 
 
+@pytest.mark.parametrize("clean", [False, True])
+def test_blocks_of_phrases_equal_one_block(spark, monkeypatch, clean):
+    rnd = random.Random(7)
+    docs, make = random_texts(rnd, 25, 60)
+    items = [(i % 9, make(rnd.randint(0, 30))) for i in range(20)] + [(None, make(12)), (99, None)]
+    df = spark.createDataFrame([(i % 20, t, "x") for i, t in enumerate([*docs, None, "", docs[0]])], "doc_id long, text string, `row` string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    key = lambda found: sorted((tuple(r) for r in found.collect()), key=repr)
+    one = key(fmindex.decontaminate(df, bench, width=3, clean=clean))
+    assert any(r[4] for r in one)
+    monkeypatch.setattr(fmindex, "PIECE_WORDS", 4)
+    assert key(fmindex.decontaminate(df, bench, width=3, clean=clean)) == one
+    monkeypatch.setattr(fmindex, "BLOCK_BYTES", 300)
+    assert key(fmindex.decontaminate(df, bench, width=3, clean=clean)) == one
+    if not clean:
+        want = brute_hits([r.text for r in df.collect()], items, 3)
+        assert sorted((r[3], r[4], sorted(map(str, r[5]))) for r in one) == sorted(want)
+    assert fmindex.decontaminate(df.limit(0), bench, width=3, clean=clean).collect() == []
+
+
 # --- similarity join -----------------------------------------------------------------
 
 def shingle_set(t):
