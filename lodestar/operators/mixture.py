@@ -21,11 +21,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lodestar.operators import linear as LN
 from lodestar.operators.common import global_rank
-from lodestar.operators.linear import sparse_slices, stable
+from lodestar.operators.linear import TREE, sparse_slices, stable
 
 BLOCK_BYTES = 8 << 20       # class parameters sent to the tasks at a time
-TREE = 16                   # partial sums that one task adds up
 
 
 def class_index(labels: DataFrame, label: str = "label") -> DataFrame:
@@ -171,17 +171,8 @@ class GibbsResult:
 
 
 def packed(rows: DataFrame) -> DataFrame:
-    """``block binary``: the rows' (doc_id, pos, x) as Arrow streams of bounded size, so that a
-    pass over cached rows hands bytes to the tasks and converts nothing."""
-    def pack(batches):
-        for batch in batches:
-            for lo, hi, *_ in sparse_slices(batch):
-                out = pa.BufferOutputStream()
-                with pa.ipc.new_stream(out, batch.schema) as stream:
-                    stream.write_batch(batch.slice(lo, hi - lo))
-                yield pa.RecordBatch.from_arrays([pa.array([out.getvalue().to_pybytes()], pa.binary())], names=["block"])
-
-    return rows.select(F.col("doc_id").cast("string").alias("doc_id"), "pos", "x").mapInArrow(pack, "block binary")
+    """The rows' (doc_id, pos, x) as ``linear.packed`` blocks."""
+    return LN.packed(rows.withColumn("doc_id", F.col("doc_id").cast("string")), "doc_id", "pos", "x")
 
 
 def uniform(seed: int, iteration: int, key: str) -> float:
@@ -207,13 +198,12 @@ def sweep_sums(blocks: DataFrame, seed: int, iteration: int, log_pi: np.ndarray,
         from pyspark import TaskContext
         lpi, lmu = params.value
         n_c, s_cw = np.zeros(len(lpi)), np.zeros(lmu.size)
-        for block in (x for batch in batches for x in batch.column(0)):
-            for batch in pa.ipc.open_stream(block.as_buffer()):
-                u = np.array([uniform(seed, iteration, k) for k in batch.column(0).to_pylist()])
-                for lo, hi, lp, row, pos, x in _log_scores(batch, lpi, lmu):
-                    c = categorical_draw(_normalised(lp), u[lo:hi])
-                    n_c += np.bincount(c, minlength=len(n_c))
-                    s_cw += np.bincount(c[row] * lmu.shape[1] + pos, x, minlength=lmu.size)
+        for batch in LN.unpacked(batches):
+            u = np.array([uniform(seed, iteration, k) for k in batch.column(0).to_pylist()])
+            for lo, hi, lp, row, pos, x in _log_scores(batch, lpi, lmu):
+                c = categorical_draw(_normalised(lp), u[lo:hi])
+                n_c += np.bincount(c, minlength=len(n_c))
+                s_cw += np.bincount(c[row] * lmu.shape[1] + pos, x, minlength=lmu.size)
         used, node = np.flatnonzero(n_c), TaskContext.get().partitionId() // TREE
         yield rows_of(used, np.full(len(used), node), n_c[used], s_cw.reshape(lmu.shape)[used])
 
@@ -222,7 +212,7 @@ def sweep_sums(blocks: DataFrame, seed: int, iteration: int, log_pi: np.ndarray,
         return pa.Table.from_batches([rows_of([table.column("cls")[0].as_py()], [table.column("node")[0].as_py() // TREE],
                                               [sum(table.column("n").to_pylist())], [total])])
 
-    sums = blocks.mapInArrow(step, schema)
+    sums = blocks.select("block").mapInArrow(step, schema)
     while tasks > TREE:
         sums = sums.groupBy("cls", "node").applyInArrow(add, schema)
         tasks = -(-tasks // TREE)
