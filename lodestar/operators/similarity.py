@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestar.operators.textfeatures import TextFeatures
+from lodestar.operators.textfeatures import TextFeatures, long_counts
 
 TIE_DIGITS = 9
 
@@ -15,7 +15,7 @@ def query_vector(features: TextFeatures, query: DataFrame,
                  id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """J6 + M1 + M3 for the query text(s): ``(qid, pos, w)`` with the query's
     own TF times the corpus IDF.  At most ``size`` rows per query."""
-    q_tf = features.encode(query, id_col, text_col)
+    q_tf = long_counts(features.encode(query, id_col, text_col))
     return (q_tf.join(F.broadcast(features.idf), "pos")
             .select(F.col("doc_id").alias("qid"), "pos", (F.col("tf") * F.col("idf")).alias("w")))
 
@@ -49,7 +49,7 @@ def similarity_topk(features: TextFeatures, query: DataFrame, k: int,
     # differ in the last bits by summation order); ties -> smaller doc_id
     key = F.round("score", TIE_DIGITS)
     positive = scores.filter(F.col("score") > 0).orderBy(key.desc(), F.asc("doc_id")).limit(k)
-    first_ids = features.docs.select("doc_id").orderBy("doc_id").limit(2 * k)
+    first_ids = features.arrays.select("doc_id").orderBy("doc_id").limit(2 * k)
     zeros = (first_ids.join(F.broadcast(positive.select("doc_id")), "doc_id", "left_anti")
              .select("doc_id", F.lit(0.0).alias("score")))
     return positive.unionByName(zeros).orderBy(key.desc(), F.asc("doc_id")).limit(k)

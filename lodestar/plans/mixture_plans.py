@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from lodestar.functions import text as T
 from lodestar.functions.numeric import significant
-from lodestar.operators import linear as LN
 from lodestar.operators import mixture as MX
 from lodestar.operators import textfeatures as TF
 from lodestar.plans.registry import register
@@ -52,9 +51,8 @@ class _Corpus:
     def __init__(self, spark, sf):
         docs = table(spark, sf, "documents", "doc_id", "text", "source")
         keyed = docs.select(F.concat("source", F.lit("/"), F.col("doc_id").cast("string")).alias("doc_id"), "text")
-        self.features = TF.TextFeatures(keyed, VOCAB, persist=True)   # parameter jobs + scoring job
-        rows = LN.doc_arrays(self.features.tf.select("doc_id", "pos", F.col("tf").alias("x")))
-        rows = rows.withColumn("label", T.group_of("doc_id"))
+        self.features = TF.TextFeatures(keyed, VOCAB)
+        rows = self.features.rows.withColumn("label", T.group_of("doc_id"))
         self.classes = MX.class_index(rows)
         # scored and aggregated several times (parameters, posterior): persist once
         self.rows = rows.join(self.classes, "label") \

@@ -6,7 +6,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lodestar.functions.numeric import significant
-from lodestar.operators import linear as LN
 from lodestar.operators import stats as ST
 from lodestar.operators import textfeatures as TF
 from lodestar.plans.registry import DIGITS, register
@@ -99,7 +98,7 @@ def tf_gram_blocks(spark, sf):
     """J9 over the TF rows of all documents and the whole 20,000-word vocabulary: every
     non-zero cell of X'X, reported per row of the upper triangle."""
     f = TF.TextFeatures(table(spark, sf, "documents", "doc_id", "text"), VOCAB)
-    cells = ST.gram_blocks(LN.doc_arrays(f.tf.select("doc_id", "pos", F.col("tf").alias("x"))), VOCAB)
+    cells = ST.gram_blocks(f.rows, VOCAB)
     return ST.gram_rows(cells).select("i", "n_cells", *[significant(c, SIG).alias(c) for c in ("diagonal", "total", "weighted")])
 
 
@@ -153,7 +152,7 @@ SELECT CAST(row_number() OVER (ORDER BY {sig('variance', 10)} DESC, pos) AS INTE
 def tf_variance_ranking(spark, sf):
     """Mean and population variance of every TF column over
     the featurised documents; the 10,000 largest variances with ln(variance)."""
-    f = TF.TextFeatures(table(spark, sf, "documents", "doc_id", "text"), VOCAB, persist=True)  # subquery + main job
+    f = TF.TextFeatures(table(spark, sf, "documents", "doc_id", "text"), VOCAB)
     n = f.tf.select(F.count_distinct("doc_id")).scalar()
     top = ST.top_variance(ST.column_moments(f.tf, n), TOP_M)
     return top.select("rank", "pos", *[significant(c, SIG).alias(c) for c in ("mean", "variance", "log_variance")])
@@ -165,7 +164,7 @@ FROM tf LEFT JOIN top USING (pos) GROUP BY doc_id
 """)
 def variance_selected_features(spark, sf):
     """Keep the 10,000 highest-variance positions; a document with none of them stays, with no features."""
-    f = TF.TextFeatures(table(spark, sf, "documents", "doc_id", "text"), VOCAB, persist=True)  # subquery + main job
+    f = TF.TextFeatures(table(spark, sf, "documents", "doc_id", "text"), VOCAB)
     n = f.tf.select(F.count_distinct("doc_id")).scalar()
     top = ST.top_variance(ST.column_moments(f.tf, n), TOP_M)
     kept = ST.select_positions(f.tf, top)
