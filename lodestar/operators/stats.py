@@ -129,14 +129,15 @@ def gram_matrix(df: DataFrame, vec_col: str) -> DataFrame:
 
 HEAD = 2048                 # positions whose products a task keeps as one dense matrix (32 MB)
 HEAD_ROWS = 256             # rows of one dense product
-PAIR_LIMIT = 1 << 20        # products outside the head that a task holds before it adds them up
+PAIR_LIMIT = 1 << 20        # products outside the head that a task works on at once
+TILE_CELLS = 1 << 25        # cells outside the head that a task keeps as one dense matrix (256 MB)
 
 
-def _tail_pairs(row: np.ndarray, pos: np.ndarray, x: np.ndarray, head: int):
-    """Products ``(i, j, x_i x_j)``, i <= j, of entries of one row with j outside the head, in
-    chunks of about PAIR_LIMIT; entries ascend by (row, position)."""
+def _tail_pairs(row: np.ndarray, pos: np.ndarray, x: np.ndarray, tail):
+    """Products ``(i, j, x_i x_j)``, i <= j, of entries of one row with j among the entries ``tail`` (a mask, or
+    the first position outside the head), in chunks of about PAIR_LIMIT; entries ascend by (row, position)."""
     first = np.searchsorted(row, row)                   # first entry of the own row
-    at = np.flatnonzero(pos >= head)
+    at = np.flatnonzero(pos >= tail if np.isscalar(tail) else tail)
     many = at - first[at] + 1                           # partners up to and with itself
     ends = np.cumsum(many)
     lo = 0
@@ -149,58 +150,91 @@ def _tail_pairs(row: np.ndarray, pos: np.ndarray, x: np.ndarray, head: int):
         lo = hi
 
 
-def gram_blocks(rows: DataFrame, size: int, head: int = HEAD) -> DataFrame:
+def gram_blocks(rows: DataFrame, size: int, head: int = HEAD, tile_cells: int = TILE_CELLS) -> DataFrame:
     """J9 for sparse rows over ``size`` positions: ``(i, j, g)`` with i <= j and
     g = sum x_i x_j, for every pair of positions that some row holds together.
 
     ``rows`` has list columns ``pos`` (ascending, distinct) and ``x``; null or empty
     lists and zeros count for nothing.  Positions below ``head`` (the frequent ones, when
     positions go by frequency) form one dense block: a task adds its rows' products up
-    in a single head x head matrix and hands it on once.  Cells outside that block come
-    from the few rare positions of each row; a task adds them up slice by slice.  So a
-    task's memory is bounded by ``head`` and PAIR_LIMIT, not by ``size`` squared, the rows never move, and
-    Spark adds the partial cells by (i, j)."""
-    from lodestar.operators.linear import sparse_slices
+    in a single head x head matrix and hands it on once.  The columns outside are dealt in turn over tiles
+    of ``tile_cells`` cells; a row goes to every tile that has one of its columns, so its entries are
+    shuffled once a tile and never its products, and a tile is added up in one dense matrix."""
+    from lodestar.operators.linear import packed, sparse_slices, unpacked
     head = min(head, size)
+    width = max(1, tile_cells // size)          # columns of a tile
+    tiles = -(-(size - head) // width)
 
     def cells(i, j, g):
         return pa.RecordBatch.from_arrays([pa.array(i, pa.int32()), pa.array(j, pa.int32()), pa.array(g, pa.float64())], names=["i", "j", "g"])
 
-    def added(parts):
-        i, j, g = (np.concatenate(c) for c in zip(*parts, strict=True))
-        key, back = np.unique(i.astype(np.int64) * size + j, return_inverse=True)
-        return cells(key // size, key % size, np.bincount(back, g))
-
-    def partial(batches):
-        dense, met = np.zeros((head, head)), np.zeros((head, head), bool)
-        parts, held = [], 0
+    def entries(batches):
         for batch in batches:
             for lo, hi, row, pos, x in sparse_slices(batch):
                 used = x != 0
-                row, pos, x = row[used], pos[used], x[used]
-                for a in range(0, hi - lo, HEAD_ROWS):
-                    s = slice(*np.searchsorted(row, [a, a + HEAD_ROWS]))
-                    low = pos[s] < head
-                    block = np.zeros((min(HEAD_ROWS, hi - lo - a), head))
-                    block[row[s][low] - a, pos[s][low]] = x[s][low]
-                    dense += block.T @ block
-                    there = (block != 0).astype(np.float32)
-                    met |= there.T @ there > 0          # a cell stays though its sum may be zero
-                for i, j, g in _tail_pairs(row, pos, x, head):
-                    parts.append((i, j, g))
-                    held += len(i)
-                    if held >= PAIR_LIMIT:
-                        yield added(parts)
-                        parts, held = [], 0
-        if parts:
-            yield added(parts)
+                yield hi - lo, row[used], pos[used], x[used]
+
+    def first(batches):
+        dense, met = np.zeros((head, head)), np.zeros((head, head), bool)
+        for n, row, pos, x in entries(unpacked(batches)):
+            for a in range(0, n, HEAD_ROWS):
+                s = slice(*np.searchsorted(row, [a, a + HEAD_ROWS]))
+                low = pos[s] < head
+                block = np.zeros((min(HEAD_ROWS, n - a), head))
+                block[row[s][low] - a, pos[s][low]] = x[s][low]
+                dense += block.T @ block
+                there = (block != 0).astype(np.float32)
+                met |= there.T @ there > 0          # a cell stays though its sum may be zero
         i, j = np.nonzero(np.triu(met))
         for k in range(0, len(i), PAIR_LIMIT):
             part = slice(k, k + PAIR_LIMIT)
             yield cells(i[part], j[part], dense[i[part], j[part]])
 
-    return (rows.select("pos", "x").mapInArrow(partial, "i int, j int, g double")
-            .groupBy("i", "j").agg(F.sum("g").alias("g")))
+    def deal(batches):
+        for n, row, pos, x in entries(unpacked(batches)):
+            for t in range(tiles):
+                mine = np.flatnonzero((pos >= head) & ((pos - head) % tiles == t))
+                if not len(mine):
+                    continue
+                # Of every row with a column of the tile, its entries up to the last such column.
+                last = np.full(n, -1)
+                last[row[mine]] = mine
+                kept = np.flatnonzero(np.arange(len(row)) <= last[row])
+                r = row[kept]
+                starts = np.flatnonzero(np.append(True, r[1:] != r[:-1]))
+                ends = pa.array(np.append(starts, len(r)), pa.int32())
+                batch = pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(ends, pa.array(pos[kept], pa.int32())),
+                                                    pa.ListArray.from_arrays(ends, pa.array(x[kept]))], names=["pos", "x"])
+                out = pa.BufferOutputStream()
+                with pa.ipc.new_stream(out, batch.schema) as stream:
+                    stream.write_batch(batch)
+                yield pa.RecordBatch.from_arrays([pa.array([t], pa.int32()), pa.array([out.getvalue().to_pybytes()], pa.binary())], names=["tile", "block"])
+
+    def rest(batches):
+        found: dict = {}
+        for batch in batches:
+            for t, block in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                if t not in found:
+                    found[t] = np.zeros(size * width), np.zeros(size * width, bool)
+                total, met = found[t]
+                for _, row, pos, x in entries(pa.ipc.open_stream(block.as_buffer())):
+                    for i, j, g in _tail_pairs(row, pos, x, (pos >= head) & ((pos - head) % tiles == t)):
+                        at = i * width + (j - head) // tiles
+                        np.add.at(total, at, g)
+                        met[at] = True
+        for t, (total, met) in found.items():
+            at = np.flatnonzero(met)
+            for k in range(0, len(at), PAIR_LIMIT):
+                part = at[k: k + PAIR_LIMIT]
+                yield cells(part // width, head + part % width * tiles + t, total[part])
+
+    blocks = packed(rows, "pos", "x").select("block")
+    schema = "i int, j int, g double"
+    dense = blocks.mapInArrow(first, schema).groupBy("i", "j").agg(F.sum("g").alias("g"))
+    if not tiles:
+        return dense
+    dealt = blocks.mapInArrow(deal, "tile int, block binary").repartitionById(tiles, "tile")
+    return dense.unionByName(dealt.mapInArrow(rest, schema))
 
 
 def gram_rows(cells: DataFrame) -> DataFrame:
