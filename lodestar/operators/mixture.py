@@ -26,6 +26,7 @@ from lodestar.operators.common import global_rank
 from lodestar.operators.linear import TREE, sparse_slices, stable
 
 BLOCK_BYTES = 8 << 20       # class parameters sent to the tasks at a time
+TASK_ENTRIES = 10_000_000   # entries of the documents that a task of the sampler passes over (120 MB)
 
 
 def class_index(labels: DataFrame, label: str = "label") -> DataFrame:
@@ -180,6 +181,13 @@ def uniform(seed: int, iteration: int, key: str) -> float:
     return int(hashlib.md5(f"{seed}:{iteration}:{key}".encode()).hexdigest()[:13], 16) / 2 ** 52
 
 
+def sweep_tasks(rows: DataFrame) -> tuple[int, int]:
+    """How many tasks a sweep over the rows takes, and their number.  Each task hands on C x V sums: all cores
+    take part, and there are more tasks only where the documents need them, however many partitions they came in."""
+    total, entries = rows.select(F.count(F.lit(1)), F.coalesce(F.sum(F.size("pos")), F.lit(0))).first()
+    return max(rows.sparkSession.sparkContext.defaultParallelism, -(-entries // TASK_ENTRIES)), total
+
+
 def sweep_sums(blocks: DataFrame, seed: int, iteration: int, log_pi: np.ndarray, log_mu: np.ndarray, tasks: int):
     """One sweep over ``packed`` rows: every row draws its class under fixed parameters, and the
     draws are added up to ``(cls, n, sums)``, ``sums`` the V doubles sum of x by position.
@@ -231,17 +239,14 @@ def gibbs(rows: DataFrame, classes: int, size: int, iterations: int = 200, alpha
     The draws' uniforms do not depend on partitioning or retries; the sums are
     rounded to SUM_DIGITS before they feed the Dirichlet draws, so the order of
     float additions does not show."""
-    sc = rows.sparkSession.sparkContext
     extra = [c for c in rows.columns if c == "label"]
-    # Every iteration is one pass: all cores take part, however small the table.
-    parts = max(sc.defaultParallelism, rows.rdd.getNumPartitions())
+    parts, total = sweep_tasks(rows)
     data = stable(rows.select("doc_id", *extra, "pos", "x").repartition(parts))
     blocks = stable(packed(data))
     rng = np.random.default_rng(seed)
     a = np.full(classes, alpha)
     b = np.full((classes, size), beta)
     pi, mu = rng.dirichlet(a), _dirichlet_rows(rng, b)
-    total = data.count()
     history = []
     for it in range(iterations):
         sums, sent = sweep_sums(blocks, seed, it, np.log(pi), np.log(mu), parts)

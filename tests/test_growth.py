@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 
 from lodestar.operators import linear as LN
+from lodestar.operators import mixture as MX
 from lodestar.operators import stats as ST
 from lodestar.operators import textfeatures as TF
 
@@ -67,3 +68,11 @@ def test_renumbered_positions_ascend(spark):
     df = spark.createDataFrame([(1, [0, 2, 3], [1.0, 2.0, 3.0]), (2, [1], [4.0])], "doc_id long, pos array<int>, x array<double>")
     got = {r.doc_id: (r.pos, r.x) for r in LN.renumbered(df, np.array([1, -1, 2, 0])).collect()}
     assert got == {1: ([0, 1, 2], [3.0, 1.0, 2.0]), 2: ([], [])}
+
+
+def test_sampler_tasks_follow_the_data(spark):
+    """Each task hands on one model's worth of sums, so few documents in many partitions are few tasks."""
+    parts = spark.sparkContext.defaultParallelism
+    rows = spark.createDataFrame([(f"a/{k}", [k % 3], [1.0]) for k in range(30)], "doc_id string, pos array<int>, x array<double>")
+    res = MX.gibbs(rows.repartition(4 * parts), 2, 3, iterations=2, seed=1)
+    assert res.data.rdd.getNumPartitions() == parts and sum(res.counts[-1]) == 30
