@@ -40,12 +40,21 @@ def delimited_checked(spark: SparkSession, path: str, schema: str, header: bool
 _TYPES = ("int", "bigint", "double", "date", "timestamp", "boolean")
 
 
+# What every string that casts to a type matches, and hardly any other: a cast of strings to these types fails by an
+# exception, which costs far more than this look.
+_LIKE = {"int": "^[^0-9A-Za-z.:]*[0-9]+[^0-9A-Za-z.:-]*$",
+         "boolean": "^[^0-9A-Za-z]*(?i:t|true|y|yes|1|f|false|n|no|0)[^0-9A-Za-z]*$"}
+_LIKE["bigint"] = _LIKE["int"]
+
+
 def inferred_types(strings: DataFrame) -> dict[str, str]:
     """The narrowest of int, bigint, double, date, timestamp and boolean that every value of a string column
     reads as, in one aggregate over all columns; a column without values stays a string."""
     def fit(c: str, t: str):
         value = F.col(c)
         reads = value.try_cast(t).isNotNull()
+        if t in _LIKE:
+            reads = F.when(value.rlike(_LIKE[t]), reads).otherwise(False)
         if t == "date":                     # a time of day makes it a timestamp
             reads &= F.length(F.trim(value)) <= 10
         return F.every(value.isNull() | reads)

@@ -4,11 +4,13 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from lodestar.operators import linear as LN
 from lodestar.operators import mixture as MX
 from lodestar.operators import stats as ST
 from lodestar.operators import textfeatures as TF
+from lodestar.sources import readers
 
 
 def test_counts_are_read_not_grouped(spark):
@@ -76,3 +78,15 @@ def test_sampler_tasks_follow_the_data(spark):
     rows = spark.createDataFrame([(f"a/{k}", [k % 3], [1.0]) for k in range(30)], "doc_id string, pos array<int>, x array<double>")
     res = MX.gibbs(rows.repartition(4 * parts), 2, 3, iterations=2, seed=1)
     assert res.data.rdd.getNumPartitions() == parts and sum(res.counts[-1]) == 30
+
+
+def test_inference_guards_keep_every_value(spark):
+    ints = ["1", "-1", "+5", " 7 ", "\t8\n", "0", "12345678901", "007"]
+    bools = ["t", "TRUE", " y", "Yes ", "1", "f", "False", "n\n", "NO", "0"]
+    others = ["1996-03-13", "1996-03-13T00:00:00.000Z", "12:30", "17.0", "A", "R", "", "truth", "- 1"]
+    df = spark.createDataFrame([(v,) for v in ints + bools + others], "v string")
+    for t, values in (("int", ints), ("bigint", ints), ("boolean", bools)):
+        rows = df.select("v", F.col("v").rlike(readers._LIKE[t]).alias("may"), F.col("v").try_cast(t).isNotNull().alias("reads")).collect()
+        assert all(r.may for r in rows if r.reads) and sum(r.reads for r in rows) >= len(values) - 1
+        assert not [r.v for r in rows if r.may and r.v in others and r.v != "- 1"]
+    assert readers.inferred_types(df.select("v", F.lit("1").alias("w"), F.lit("no").alias("b"))) == {"v": "string", "w": "int", "b": "boolean"}
