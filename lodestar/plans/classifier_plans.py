@@ -41,10 +41,14 @@ def _labelled(docs, labels):
     return labels.join(docs.select("doc_id"), "doc_id", "left_semi")
 
 
-def _all_design(spark, sf):
+def _all_rows(spark, sf):
+    """Features (doc_id, pos[], x[]) of all documents and the labels of the labelled ones."""
     docs = table(spark, sf, "documents", "doc_id", "text")
-    f = TF.TextFeatures(docs, VOCAB)
-    return LN.SparseDesign.of(f.rows, _labelled(docs, _labels(spark, sf)), VOCAB)
+    return TF.TextFeatures(docs, VOCAB).rows, _labelled(docs, _labels(spark, sf))
+
+
+def _all_design(spark, sf):
+    return LN.SparseDesign.of(*_all_rows(spark, sf), VOCAB)
 
 
 class _Split:
@@ -389,10 +393,11 @@ SELECT rows, {sig('loss')} AS loss, {sig('norm')} AS gradient_norm, {sig('most')
     _logistic_ctes(source="documents"), "sum(-y * theta + greatest(theta, 0) + ln(1 + exp(-abs(theta))))", "1.0 / (1.0 + exp(-theta)) - y", "0.0", "1.0"))
 def logistic_certificate_two_steps(spark, sf):
     """M14's certificate (loss and gradient by plain aggregates) at the weights after two full-batch steps."""
-    design = _all_design(spark, sf)
+    features, labels = _all_rows(spark, sf)
+    design = LN.SparseDesign.of(features, labels, VOCAB)
     w, _ = LN.train_logistic(design, max_iter=2, tol=0.0)
     design.release()
-    return _rounded_certificate(CE.logistic_certificate(*_all_rows(spark, sf), w))
+    return _rounded_certificate(CE.logistic_certificate(features, labels, w))
 
 
 @register("hinge_certificate_two_steps", sql=_certificate_sql(
@@ -400,17 +405,11 @@ def logistic_certificate_two_steps(spark, sf):
     "w", "1.0 / (SELECT n FROM nl)", f", {sig('loss - (dual - data / 2)')} AS gap"))
 def hinge_certificate_two_steps(spark, sf):
     """M18's certificate (loss, subgradient and duality gap, reg 1.0) at the weights after two steps of M15."""
-    design = _all_design(spark, sf)
+    features, labels = _all_rows(spark, sf)
+    design = LN.SparseDesign.of(features, labels, VOCAB)
     w, _ = LN.train_hinge(design, max_iter=2)
     design.release()
-    return _rounded_certificate(CE.hinge_certificate(*_all_rows(spark, sf), w, reg=1.0))
-
-
-def _all_rows(spark, sf):
-    docs = table(spark, sf, "documents", "doc_id", "text")
-    labels = _labelled(docs, _labels(spark, sf))
-    features = TF.TextFeatures(docs, VOCAB).tf.select("doc_id", "pos", F.col("tf").alias("x"))
-    return features.join(labels.select("doc_id"), "doc_id", "left_semi"), labels
+    return _rounded_certificate(CE.hinge_certificate(features, labels, w, reg=1.0))
 
 
 def _rounded_certificate(found):
@@ -422,7 +421,7 @@ def optimum_certificates(spark, sf):
     """M14 and M18 certified: loss and (sub)gradient of the weights that L-BFGS and OWL-QN end with and of zero
     weights, recomputed by plain aggregates over the labelled training rows."""
     sp = _Split(spark, sf)
-    features = sp.features.tf.select("doc_id", "pos", F.col("tf").alias("x")).join(sp.train_labels.select("doc_id"), "doc_id", "left_semi")
+    features = sp.features.rows
     train = _ml_rows(sp, sp.train_tokens, sp.train_labels)
     found = []
     for model, fit, check in (("lbfgs", ML.fit_logistic_lbfgs, CE.logistic_certificate), ("owlqn", ML.fit_linear_svc, CE.hinge_certificate)):
@@ -432,7 +431,9 @@ def optimum_certificates(spark, sf):
         shift = float(fitted.intercept)
         rows, size = features, VOCAB
         if shift:
-            rows = features.unionByName(sp.train_labels.select("doc_id", F.lit(VOCAB).cast("int").alias("pos"), F.lit(1.0).alias("x")))
+            each = sp.train_labels.groupBy("doc_id").agg(F.count(F.lit(1)).cast("double").alias("n")).join(features, "doc_id", "left")
+            rows = each.select("doc_id", F.concat(F.coalesce("pos", F.array().cast("array<int>")), F.array(F.lit(VOCAB))).alias("pos"),
+                               F.concat(F.coalesce("x", F.array().cast("array<double>")), F.array("n")).alias("x"))
             w, size = np.append(w, shift), VOCAB + 1
         for state, at in (("start", np.zeros(size)), ("fitted", w)):
             got = check(rows, sp.train_labels, at)

@@ -61,3 +61,24 @@ def test_empty_tables(spark):
     none = CE.hinge_certificate(feats.limit(0), labels.limit(0), np.zeros(6)).first()
     assert (none.rows, none.loss, none.gradient_norm) == (0, 0.0, 0.0)
     assert CE.logistic_certificate(feats.limit(0), labels.limit(0), np.zeros(6)).first().gradient_norm == 0.0
+
+
+@pytest.mark.parametrize("check", [CE.logistic_certificate, CE.hinge_certificate])
+def test_arrays_are_shuffled_not_their_entries(spark, check):
+    x, _, feats, labels = _data(spark)
+    arrays, w = LN.doc_arrays(feats).localCheckpoint(), np.linspace(-2, 2, 6)
+    got = check(arrays, labels, w)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "explode" not in plan and plan.count("MapInArrow") == 1, plan
+    assert tuple(got.first()) == pytest.approx(tuple(check(feats, labels, w).first()))
+
+
+def test_unknown_and_repeated_labels(spark):
+    feats = spark.createDataFrame([(1, [0], [1.0]), (2, [1], [2.0]), (3, [0, 9], [5.0, 1.0])], "doc_id long, pos array<int>, x array<double>")
+    labels = spark.createDataFrame([(1, 1), (1, 1), (2, None), (None, 0), (3, 0)], "doc_id long, y int")
+    w = np.array([0.5, 1.0])
+    r = CE.logistic_certificate(feats, labels, w).first()       # a row of a repeated id counts once for each row of that id
+    loss, g = np.log1p(np.exp([0.5, 2.5])), 1 / (1 + np.exp([-0.5, -2.5])) - [1, 0]
+    assert (r.rows, r.loss, r.gradient_norm) == pytest.approx((6, 4 * (loss[0] - 0.5) + loss[1], abs(4 * g[0] + 5 * g[1])))
+    h = CE.hinge_certificate(feats, labels, w, 1.0).first()
+    assert (h.rows, h.loss) == pytest.approx((6, (4 * 0.5 + 3.5) / 6 + 0.625))
