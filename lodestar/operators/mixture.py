@@ -78,7 +78,8 @@ def _scored(rows: DataFrame, log_pi: np.ndarray, log_mu: np.ndarray, keep: list[
                 if before:
                     old = part.column(part.schema.get_field_index("post")).flatten().to_numpy(zero_copy_only=False)
                     lp = np.hstack([old.reshape(hi - lo, -1), lp])
-                out = pa.array(list(_normalised(lp) if last else lp), pa.list_(pa.float64()))
+                lp = _normalised(lp) if last else lp
+                out = pa.ListArray.from_arrays(pa.array(np.arange(len(lp) + 1) * lp.shape[1], pa.int32()), pa.array(lp.ravel()))
                 yield pa.RecordBatch.from_arrays([*(part.column(part.schema.get_field_index(c)) for c in (*keep, *more)), out],
                                                  names=[*keep, *more, "post"])
 

@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from lodestar.functions import text as T
@@ -54,9 +53,9 @@ class _Corpus:
         self.features = TF.TextFeatures(keyed, VOCAB)
         rows = self.features.rows.withColumn("label", T.group_of("doc_id"))
         self.classes = MX.class_index(rows)
-        # scored and aggregated several times (parameters, posterior): persist once
-        self.rows = rows.join(self.classes, "label") \
-            .persist(StorageLevel.MEMORY_AND_DISK)
+        # A row per class goes to every task (the parameters have V numbers per class), so no document moves to its
+        # label; the features are written already and every use reads the columns it needs.
+        self.rows = rows.join(F.broadcast(self.classes), "label")
         self.log_pi, self.log_mu = MX.mle_params(self.rows, "cls", VOCAB, BETA)
 
     def posterior(self):

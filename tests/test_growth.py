@@ -90,3 +90,22 @@ def test_inference_guards_keep_every_value(spark):
         assert all(r.may for r in rows if r.reads) and sum(r.reads for r in rows) >= len(values) - 1
         assert not [r.v for r in rows if r.may and r.v in others and r.v != "- 1"]
     assert readers.inferred_types(df.select("v", F.lit("1").alias("w"), F.lit("no").alias("b"))) == {"v": "string", "w": "int", "b": "boolean"}
+
+
+def test_long_and_split_documents_are_counted_whole(spark, monkeypatch):
+    """Texts counted in chunks, and ids going on over batches, give one row of all their words."""
+    import pandas as pd
+    docs = pd.DataFrame({"doc_id": [7, 8, 7, 9, 7, None], "text": ["a b " * 600_000, "c", "b", "zz", "a", "c c"]}).astype({"doc_id": "Int64"})
+    df = spark.createDataFrame(docs.to_dict("records"), "doc_id long, text string").coalesce(1)
+    got = {r.doc_id: (r.pos, r.n, r.total) for r in TF.encoded(df, ["a", "b", "c"]).collect()}
+    assert got == {7: ([0, 1], [600_001, 600_001], 1_200_002), 8: ([2], [1], 1), None: ([2], [2], 2)}
+
+
+def test_merged_rows_pass_unless_an_id_repeats():
+    def batch(ids, pos, n):
+        return TF._arrays(ids, TF.pa.int64(), [np.array(p, np.int32) for p in pos], [np.array(k, np.int64) for k in n])
+
+    inside = [batch([None, 1], [[0], [1, 2]], [[1], [1, 1]]), batch([1, 2, 2], [[2], [0], [0]], [[5], [1], [2]]),
+              batch([3, 4], [[0], [1]], [[1], [1]]), batch([], [], []), batch([5], [[3]], [[1]]), batch([5], [[3]], [[1]])]
+    rows = [tuple(r.values()) for b in TF._merged(iter(inside)) for r in b.to_pylist()]
+    assert rows == [(None, [0], [1]), (1, [1, 2], [1, 6]), (2, [0], [3]), (3, [0], [1]), (4, [1], [1]), (5, [3], [2])]

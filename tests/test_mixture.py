@@ -79,3 +79,17 @@ def test_wrong_parameters_fail_the_job_by_class(spark, params):
     bad = params.select("cls", F.when(F.col("cls") == 3, F.transform("log_mu", lambda v: v + 1)).otherwise(F.col("log_mu")).alias("log_mu"))
     with pytest.raises(Exception, match="class 3 with sum 2.7"):
         MX.require_valid(MX.validate_params(log_pi, bad, V)).count()
+
+
+def test_no_document_moves_to_its_label(spark, tmp_path):
+    from lodestar.plans import mixture_plans as MP
+    docs = [(i, f"s{i % 3}" if i % 10 else None, f"one two w{i % 7}") for i in range(60)]
+    spark.createDataFrame(docs, "doc_id long, source string, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    c = MP._Corpus(spark, str(tmp_path))
+    plan = c.rows._jdf.queryExecution().executedPlan().toString()
+    documents = plan[:plan.index("BroadcastExchange")]      # the side that stays
+    assert "pos#" in documents and "FileScan" in documents and "Exchange " not in documents and "SortMergeJoin" not in documents, plan
+    assert c.rows.storageLevel.useMemory is False
+    rows = {r.doc_id: (r.label, r.cls, sum(r.x)) for r in c.rows.collect()}
+    assert len(rows) == 54 and all(k.startswith(label + "/") and s == pytest.approx(1) for k, (label, _, s) in rows.items())
+    assert len({(label, cls) for label, cls, _ in rows.values()}) == 3
