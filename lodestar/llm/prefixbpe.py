@@ -22,6 +22,8 @@ import json
 import re
 import unicodedata
 from collections.abc import Iterator
+from functools import lru_cache
+from struct import pack
 
 import ahocorasick
 import numpy as np
@@ -44,7 +46,8 @@ ODD_SPACE = re.compile("[\x1c-\x1f]")
 class PrefixBPE(dict):
     """Exact encoder of a BPE tokenizer file with word ends; remembers the ids
     (little-endian u32 bytes) of at most ``limit`` white-space-separated pieces and
-    as many words."""
+    as many words, each in two generations: a full memo becomes the old one, from which what is
+    used again comes back, so that frequent words are never encoded anew."""
 
     def __init__(self, path: str, limit: int = 300_000):
         from tokenizers import Tokenizer
@@ -72,6 +75,8 @@ class PrefixBPE(dict):
         self.pairs: dict[tuple[int, int], bool] = {}
         self.whole: dict[int, bool] = {}
         self.words: dict[str, bytes] = {}
+        self.old_pieces: dict[str, bytes] = {}
+        self.old_words: dict[str, bytes] = {}
         self.automaton = ahocorasick.Automaton()
         for t, i in vocab.items():
             if not self.single(i):      # no text encodes to it
@@ -153,12 +158,17 @@ class PrefixBPE(dict):
 
     def __missing__(self, piece: str) -> bytes:
         if len(self) >= self.limit:
+            self.old_pieces = dict(self)
             self.clear()
-        if PLAIN.fullmatch(piece):
-            pre = [byte_chars(w) for w in self.pattern.findall(unicodedata.normalize("NFC", piece).lower())]
-        else:
-            pre = self.split_by_library(piece)
-        value = b"".join(map(self.known_word, pre))
+        value = self.old_pieces.get(piece)
+        if value is None:
+            if piece.isascii() and piece.isprintable():     # every character is its own byte character
+                low = piece.lower()
+                value = self.known_word(low) if low.isalpha() else b"".join(map(self.known_word, self.pattern.findall(low)))
+            elif PLAIN.fullmatch(piece):
+                value = b"".join([self.known_word(byte_chars(w)) for w in self.pattern.findall(unicodedata.normalize("NFC", piece).lower())])
+            else:
+                value = b"".join(map(self.known_word, self.split_by_library(piece)))
         self[piece] = value
         return value
 
@@ -166,8 +176,12 @@ class PrefixBPE(dict):
         got = self.words.get(chars)
         if got is None:
             if len(self.words) >= self.limit:
-                self.words.clear()
-            got = self.words[chars] = np.array(self.word(chars), "<u4").tobytes()
+                self.old_words, self.words = self.words, {}
+            got = self.old_words.get(chars)
+            if got is None:
+                ids = self.word(chars)
+                got = pack(f"<{len(ids)}I", *ids)
+            self.words[chars] = got
         return got
 
     def split_by_library(self, text: str) -> list[str]:
@@ -189,6 +203,12 @@ class PrefixBPE(dict):
         return " ".join(map(self.tokens.__getitem__, ids.tolist()))
 
 
+@lru_cache(1)
+def worker_encoder(tokenizer: str) -> PrefixBPE:
+    """One encoder per Python worker: its tables and memos serve all tasks that the worker runs."""
+    return PrefixBPE(scratch.tokenizer_file(tokenizer))
+
+
 def encode_decode(df: DataFrame, text: str = "text", tokenizer: str = "word_bpe_49k.json",
                   keep: tuple[str, ...] = ("doc_id",), ids_column: str = "ids",
                   decoded_column: str = "decoded") -> DataFrame:
@@ -201,7 +221,7 @@ def encode_decode(df: DataFrame, text: str = "text", tokenizer: str = "word_bpe_
     fields = [f for f in df.schema.fields if f.name in keep]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = PrefixBPE(scratch.tokenizer_file(name))
+        bpe = worker_encoder(name)
         for batch in batches:
             texts, start = batch.column(len(batch.columns) - 1), 0
             while start < len(texts):

@@ -97,3 +97,20 @@ def test_encode_decode_table(spark):
         assert got[i].ids == want
         assert got[i].decoded == lib.decode(want, skip_special_tokens=False)
     assert prefixbpe.encode_decode(df.limit(0)).count() == 0
+
+
+def test_prefix_bpe_memos_keep_what_is_used_and_stay_bounded():
+    path = scratch.tokenizer_file("word_bpe_49k.json")
+    ours, lib = prefixbpe.PrefixBPE(path, limit=50), Tokenizer.from_file(path)
+    encoded, plain = [], ours.word
+    ours.word = lambda chars: encoded.append(chars) or plain(chars)
+    rnd = random.Random(9)
+    for k in range(400):
+        text = f"often Often, x{k}y don't {rnd.choice('ABé')}{k} \x7f\x01z{k}"
+        assert ours.encode(text).tolist() == lib.encode(text, add_special_tokens=False).ids, text
+        assert max(map(len, (ours, ours.words, ours.old_pieces, ours.old_words))) <= 50
+    assert encoded.count("often") == 1      # a full memo does not forget it
+
+
+def test_workers_keep_their_encoder():
+    assert prefixbpe.worker_encoder("word_bpe_49k.json") is prefixbpe.worker_encoder("word_bpe_49k.json")
