@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestar.llm import fmindex, prefixbpe, quality, scratch, tokengroups, toxicity
-from lodestar.session import ship_package
+from lodestar.session import bound_batches, ship_package
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 TOXIC_FROM = 0.5            # score from which a text is toxic
@@ -23,9 +23,14 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def _prepare(spark: SparkSession) -> None:
+    ship_package(spark)
+    bound_batches(spark)
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the clause grammar rejects go."""
-    ship_package(spark)
+    _prepare(spark)
     docs = docs.select(*COLUMNS)
     model = toxicity.fit(docs, _table(spark, sf_dir, "labels").select("doc_id", "toxic"))
     return toxicity.score(docs, model).where(F.col("score") < TOXIC_FROM).select(*COLUMNS)
@@ -33,7 +38,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quadratic discriminant rejects go."""
-    ship_package(spark)
+    _prepare(spark)
     docs = docs.select(*COLUMNS)
     model = quality.fit(docs, _table(spark, sf_dir, "labels").select("doc_id", "quality"))
     return quality.score(docs, model).where(F.col("score") >= GOOD_FROM).select(*COLUMNS)
@@ -42,7 +47,7 @@ def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of the documents that similarity links join, the one with the smallest doc_id stays.
     Repeated rows stay once; rows without a doc_id, which no group can name, all stay."""
-    ship_package(spark)
+    _prepare(spark)
     docs = docs.select(*COLUMNS)
     found = tokengroups.jaccard_components(docs.select("doc_id", "text"))
     kept = found.where("doc_id = component_id").select("doc_id").distinct()
@@ -52,7 +57,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages of the benchmark are cut out of the texts; ``n_chars`` follows."""
-    ship_package(spark)
+    _prepare(spark)
     bench = _table(spark, sf_dir, "benchmark").select("item_id", "text")
     found = fmindex.decontaminate(docs.select(*COLUMNS), bench, clean=True)
     size = F.when(F.col("n_hit") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
@@ -61,7 +66,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Exact token ids of every text and a digest of their decoding."""
-    ship_package(spark)
+    _prepare(spark)
     coded = prefixbpe.encode_decode(docs.select(*COLUMNS), keep=("doc_id", "lang", "source"))
     return coded.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids",
                         F.sha2("decoded", 256).alias("decoded_sha256"))

@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 from lodestar.llm import scratch
 from lodestar.llm.bitpack import byte_chars
 
+LONGEST = 256               # characters of a piece or word that is remembered, at most
 END = "\ue000"              # stands for the word-end mark inside the automaton
 NEVER = 1 << 60
 # Below this code point the library's Unicode tables and Python's agree.
@@ -47,7 +48,8 @@ class PrefixBPE(dict):
     """Exact encoder of a BPE tokenizer file with word ends; remembers the ids
     (little-endian u32 bytes) of at most ``limit`` white-space-separated pieces and
     as many words, each in two generations: a full memo becomes the old one, from which what is
-    used again comes back, so that frequent words are never encoded anew."""
+    used again comes back, so that frequent words are never encoded anew.  Pieces and words of more
+    than ``LONGEST`` characters are not remembered, which bounds the memos in bytes too."""
 
     def __init__(self, path: str, limit: int = 300_000):
         from tokenizers import Tokenizer
@@ -156,6 +158,11 @@ class PrefixBPE(dict):
         ids.reverse()
         return ids
 
+    def forget(self) -> None:
+        """Drops all that texts have added; the tables of the file stay."""
+        self.clear()
+        self.old_pieces, self.words, self.old_words, self.pairs, self.edges = {}, {}, {}, {}, {}
+
     def __missing__(self, piece: str) -> bytes:
         if len(self) >= self.limit:
             self.old_pieces = dict(self)
@@ -169,7 +176,8 @@ class PrefixBPE(dict):
                 value = b"".join([self.known_word(byte_chars(w)) for w in self.pattern.findall(unicodedata.normalize("NFC", piece).lower())])
             else:
                 value = b"".join(map(self.known_word, self.split_by_library(piece)))
-        self[piece] = value
+        if len(piece) <= LONGEST:
+            self[piece] = value
         return value
 
     def known_word(self, chars: str) -> bytes:
@@ -181,7 +189,8 @@ class PrefixBPE(dict):
             if got is None:
                 ids = self.word(chars)
                 got = pack(f"<{len(ids)}I", *ids)
-            self.words[chars] = got
+            if len(chars) <= LONGEST:
+                self.words[chars] = got
         return got
 
     def split_by_library(self, text: str) -> list[str]:
@@ -205,7 +214,8 @@ class PrefixBPE(dict):
 
 @lru_cache(1)
 def worker_encoder(tokenizer: str) -> PrefixBPE:
-    """One encoder per Python worker: its tables and memos serve all tasks that the worker runs."""
+    """One encoder per Python worker: its tables serve all tasks that the worker runs.  A task
+    empties the memos when it ends, since the worker goes on to stages that do not encode."""
     return PrefixBPE(scratch.tokenizer_file(tokenizer))
 
 
@@ -240,6 +250,7 @@ def encode_decode(df: DataFrame, text: str = "text", tokenizer: str = "word_bpe_
                     + [pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)), pa.array(decoded, pa.string())],
                     names=[*batch.schema.names[:-1], ids_column, decoded_column])
                 start = stop
+        bpe.forget()
 
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in fields),
                         f"`{ids_column}` array<int>", f"`{decoded_column}` string"])

@@ -1,6 +1,7 @@
 """Registered queries and the pipeline on the given tables, stage by stage against plain versions."""
 
 import duckdb
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from test_llm_search import brute_components, brute_hits
@@ -8,6 +9,7 @@ from test_llm_search import brute_components, brute_hits
 import __spark_entry__ as E
 import corpus_pipeline
 from lodestar.llm import plans
+from lodestar.session import BATCH_BYTES, bound_batches
 
 TINY = "/root/testdata/sf0.001"
 TABLES = "documents embeddings pages benchmark labels conversations".split()
@@ -62,3 +64,20 @@ def test_pipeline_of_nothing(spark):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, TINY)
     assert docs.count() == 0
+
+
+def test_pipeline_bounds_the_bytes_of_a_batch(spark):
+    session = spark.newSession()
+    docs = session.range(4000).selectExpr("id AS doc_id", "repeat('many words ', 400) AS text", "'en' AS lang", "'s' AS source", "4400L AS n_chars").coalesce(1)
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows]), pa.array([b.nbytes])], names=["n", "z"])
+
+    corpus_pipeline.encode(session, docs, TINY)
+    got = docs.mapInArrow(sizes, "n long, z long").collect()
+    assert sum(r.n for r in got) == 4000 and max(r.z for r in got) < 2 * BATCH_BYTES
+    own = spark.newSession()
+    own.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "1m")
+    bound_batches(own)
+    assert own.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == "1m"

@@ -4,6 +4,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -114,3 +115,30 @@ def test_prefix_bpe_memos_keep_what_is_used_and_stay_bounded():
 
 def test_workers_keep_their_encoder():
     assert prefixbpe.worker_encoder("word_bpe_49k.json") is prefixbpe.worker_encoder("word_bpe_49k.json")
+
+
+def test_workers_forget_texts_when_a_task_ends(spark):
+    rows = [(i, f"worker{i} keeps nothing, x{i}y") for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+
+    def held(batches):
+        for _ in batches:
+            pass
+        e = prefixbpe.worker_encoder("word_bpe_49k.json")
+        yield pa.RecordBatch.from_arrays([pa.array([sum(map(len, (e, e.words, e.old_pieces, e.old_words, e.pairs)))])], names=["n"])
+
+    fresh = prefixbpe.PrefixBPE(scratch.tokenizer_file("word_bpe_49k.json"))
+    assert prefixbpe.encode_decode(df).agg(F.sum(F.size("ids"))).first()[0] == sum(len(fresh.encode(t)) for _, t in rows)
+    assert [r.n for r in df.mapInArrow(held, "n long").collect()] == [0] * 8
+
+
+def test_prefix_bpe_remembers_no_long_pieces():
+    path = scratch.tokenizer_file("word_bpe_49k.json")
+    ours, lib = prefixbpe.PrefixBPE(path), Tokenizer.from_file(path)
+    for text in ("ab" * 5000, "語文" * 3000, "x1" * 3000 + " ab", "\x1c" + "é" * 4000):
+        for _ in range(2):
+            assert ours.encode(text).tolist() == lib.encode(text, add_special_tokens=False).ids
+    assert max(map(len, [*ours, *ours.words])) <= prefixbpe.LONGEST
+    ours.forget()
+    assert not any((ours, ours.words, ours.old_pieces, ours.old_words, ours.pairs, ours.edges))
+    assert ours.encode("ab again").tolist() == lib.encode("ab again", add_special_tokens=False).ids
