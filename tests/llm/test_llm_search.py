@@ -237,6 +237,23 @@ def test_frequent_tokens_are_counted_over_all_sets(spark, monkeypatch):
     assert set(got.tolist()) == set(shared.tolist())
 
 
+def test_frequent_tokens_of_many_rows_are_counted_over_all_sets(spark):
+    """However many rows there are, tokens of the higher hashes too, and the order is that of their exact numbers."""
+    passages = [" ".join(f"p{k}x{j}" for j in range(40)) for k in range(3)]
+    texts = [" ".join([f"w{i}x{j}" for j in range(20)] + [p for k, p in enumerate(passages) if i < 30 + 10 * k]) for i in range(50)]
+    df = spark.createDataFrame([(t,) for t in texts], "text string").repartition(3)
+    got = tokengroups.frequent_tokens(df, 10 ** 9, 4, 5, 3, 4).tolist()
+    own = [set(next(s for _, s in tokengroups.batch_sets(pa.array([p]), 5)).tolist()) for p in passages]
+    assert max(own[0]) > 2 ** 63 and len(got) == len(set(got))
+    at = [sorted(got.index(t) for t in s) for s in own]
+    assert at[0][-1] < at[1][0] and at[1][-1] < at[2][0] and own[0] | own[1] | own[2] <= set(got)
+
+
+def test_counted_tokens_are_packed_whole():
+    for tokens in (np.array([5], np.uint64), np.array([0, 3, 2 ** 40, 2 ** 64 - 1], np.uint64)):
+        assert tokengroups._unplaned(tokengroups._planes(tokens)).tolist() == tokens.tolist()
+
+
 def test_join_odd_rows(spark):
     rows = [(1, None), (2, ""), (3, "a b c d e f"), (3, "a b c d e f"), (None, "a b c d e f"), (None, "alone in the world now"), (4, None)]
     got = tokengroups.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()
