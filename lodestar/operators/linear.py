@@ -141,16 +141,16 @@ def weight_table(spark: SparkSession, w: np.ndarray) -> DataFrame:
 SLICE_ENTRIES = 500_000     # non-zero entries that a task works on at once
 
 
-def sparse_slices(batch):
+def sparse_slices(batch, most: int | None = None):
     """``(first row, last row, row of each entry, pos, x)`` of an Arrow batch
-    with list columns ``pos`` and ``x``, cut by the number of entries."""
+    with list columns ``pos`` and ``x``, cut by the number of entries (``most``, or SLICE_ENTRIES)."""
     at, xs = (batch.column(batch.schema.get_field_index(c)) for c in ("pos", "x"))
     ends = np.concatenate(([0], np.cumsum(at.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))))
     pos = at.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
     x = xs.flatten().to_numpy(zero_copy_only=False).astype(float)
     lo = 0
     while lo < len(at):
-        hi = max(lo + 1, int(np.searchsorted(ends, ends[lo] + SLICE_ENTRIES, "right")) - 1)
+        hi = max(lo + 1, int(np.searchsorted(ends, ends[lo] + (most or SLICE_ENTRIES), "right")) - 1)
         hi = min(hi, len(at))
         part = slice(ends[lo], ends[hi])
         yield lo, hi, np.repeat(np.arange(hi - lo), np.diff(ends[lo: hi + 1])), pos[part], x[part]

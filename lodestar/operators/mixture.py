@@ -24,9 +24,13 @@ from pyspark.sql import functions as F
 from lodestar.operators import linear as LN
 from lodestar.operators.common import global_rank
 from lodestar.operators.linear import TREE, sparse_slices, stable
+from lodestar.session import bound_batches
 
 BLOCK_BYTES = 8 << 20       # class parameters sent to the tasks at a time
-TASK_ENTRIES = 10_000_000   # entries of the documents that a task of the sampler passes over (120 MB)
+TASK_ENTRIES = 100_000_000  # entries of the documents that a task of the sampler passes over (about 400 MB packed)
+BLOCK_ENTRIES = 1 << 17     # entries in a packed block
+CELLS = 1 << 16             # class parameters that are laid out at a time to be multiplied (a core's cache)
+PRODUCT = 1 << 13           # those of one product, few enough for BLAS to take one thread
 
 
 def class_index(labels: DataFrame, label: str = "label") -> DataFrame:
@@ -35,15 +39,32 @@ def class_index(labels: DataFrame, label: str = "label") -> DataFrame:
     return global_rank(labels.select(label).distinct(), [F.asc(label)], "cls")
 
 
-def _log_scores(batch, log_pi: np.ndarray, log_mu: np.ndarray):
-    """``(first row, last row, log scores (rows, C), row of each entry, pos, x)``
-    of an Arrow batch, slice by slice; one class at a time, so the memory
-    follows the entries of a slice and not entries x classes."""
-    for lo, hi, row, pos, x in sparse_slices(batch):
-        lp = np.tile(log_pi, (hi - lo, 1))
-        for c, words in enumerate(log_mu):
-            lp[:, c] += np.bincount(row, x * words[pos], minlength=hi - lo)
-        yield lo, hi, lp, row, pos, x
+def _log_scores(sizes: np.ndarray, pos: np.ndarray, x: np.ndarray, log_pi: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """Log scores (rows, C) of rows with so many entries, one after the other in ``pos`` and ``x``; ``words`` is
+    log mu as (V, C), so an entry needs one run of C numbers.  The runs are laid out CELLS numbers at a time and
+    multiplied row by row (a long row in parts), so the memory does not follow entries x classes."""
+    if len(pos) and (pos.min() < 0 or pos.max() >= len(words)):
+        raise IndexError(f"position outside of 0..{len(words) - 1}")
+    classes, ends = words.shape[1], np.cumsum(sizes)
+    piece = max(1, PRODUCT // classes)
+    parts = np.maximum(1, -(-sizes // piece))           # of each row
+    at = np.cumsum(parts) - parts
+    row = np.repeat(np.arange(len(sizes)), parts)
+    first = (ends - sizes)[row] + piece * (np.arange(len(row)) - at[row])
+    last = np.minimum(first + piece, ends[row])
+    out, laid = np.empty((len(row), classes)), np.empty((max(1, CELLS // classes), classes))
+    lo = 0
+    while lo < len(row):
+        a = first[lo]
+        hi = max(lo + 1, int(np.searchsorted(last, a + len(laid), "right")))
+        some, weights = laid[:last[hi - 1] - a], x[a:last[hi - 1]]
+        words.take(pos[a:last[hi - 1]], axis=0, out=some, mode="clip")
+        for k, i, j in zip(range(lo, hi), (first[lo:hi] - a).tolist(), (last[lo:hi] - a).tolist(), strict=True):
+            np.dot(weights[i:j], some[i:j], out=out[k])
+        lo = hi
+    lp = out if len(row) == len(sizes) else np.add.reduceat(out, at, axis=0)
+    lp += log_pi
+    return lp
 
 
 def _normalised(lp: np.ndarray) -> np.ndarray:
@@ -65,15 +86,16 @@ def _with_entries(keep: list[str]) -> list[str]:
 def _scored(rows: DataFrame, log_pi: np.ndarray, log_mu: np.ndarray, keep: list[str], last: bool):
     """One block of classes: their log scores behind those of the blocks before (column
     ``post``, if it is there); the last block makes posteriors of all."""
-    params = rows.sparkSession.sparkContext.broadcast((log_pi, log_mu))
+    params = rows.sparkSession.sparkContext.broadcast((log_pi, np.ascontiguousarray(log_mu.T)))
     more = [] if last else _with_entries(keep)[len(keep):]
     before = "post" in rows.columns
     schema = ", ".join([f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in (*keep, *more)] + ["post array<double>"])
 
     def score(batches):
-        lpi, lmu = params.value
+        lpi, words = params.value
         for batch in batches:
-            for lo, hi, lp, *_ in _log_scores(batch, lpi, lmu):
+            for lo, hi, row, pos, x in sparse_slices(batch):
+                lp = _log_scores(np.bincount(row, minlength=hi - lo), pos, x, lpi, words)
                 part = batch.slice(lo, hi - lo)
                 if before:
                     old = part.column(part.schema.get_field_index("post")).flatten().to_numpy(zero_copy_only=False)
@@ -169,17 +191,54 @@ class GibbsResult:
     mu: np.ndarray
     counts: list
     assigned: DataFrame
-    data: DataFrame         # cached rows behind ``assigned``: unpersist when done
+    data: DataFrame         # cached blocks behind ``assigned``: unpersist when done
 
 
 def packed(rows: DataFrame) -> DataFrame:
-    """The rows' (doc_id, pos, x) as ``linear.packed`` blocks."""
-    return LN.packed(rows.withColumn("doc_id", F.col("doc_id").cast("string")), "doc_id", "pos", "x")
+    """``block binary``: the rows' doc_id as text, label (where they have one), pos and x as Arrow streams of bounded size
+    for many passes.  Positions have the least unsigned type, and x is numbers of the block's distinct values, so
+    an entry of a term frequency takes 4 bytes instead of 12; nothing is rounded."""
+    extra = [c for c in rows.columns if c == "label"]
+
+    def least(a):
+        return pa.array(a.astype(np.min_scalar_type(int(a.max(initial=0)))))
+
+    def pack(batches):
+        for batch in batches:
+            for lo, hi, row, pos, x in sparse_slices(batch, BLOCK_ENTRIES):
+                ends = pa.array(np.concatenate(([0], np.cumsum(np.bincount(row, minlength=hi - lo)))), pa.int32())
+                values, code = np.unique(x, return_inverse=True)
+                lists = (least(pos), pa.DictionaryArray.from_arrays(least(code), pa.array(values)))
+                part = pa.RecordBatch.from_arrays([*batch.slice(lo, hi - lo).columns[:-2], *(pa.ListArray.from_arrays(ends, v) for v in lists)],
+                                                  names=batch.schema.names)
+                out = pa.BufferOutputStream()
+                with pa.ipc.new_stream(out, part.schema) as stream:
+                    stream.write_batch(part)
+                yield pa.RecordBatch.from_arrays([pa.array([out.getvalue().to_pybytes()], pa.binary())], names=["block"])
+
+    return rows.select(F.col("doc_id").cast("string").alias("doc_id"), *extra, "pos", "x").mapInArrow(pack, "block binary")
+
+
+def _entries(part) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Entries of each row, positions and values of an unpacked block."""
+    at, xs = part.column(part.num_columns - 2), part.column(part.num_columns - 1).flatten()
+    return (at.value_lengths().to_numpy().astype(np.int64), at.flatten().to_numpy().astype(np.int64),
+            xs.dictionary.to_numpy().take(xs.indices.to_numpy()))
+
+
+def uniforms(seed: int, iteration: int, keys: pa.Array) -> np.ndarray:
+    """``hash_uniform`` of a column of texts (a null one counts as "None")."""
+    keys = keys.cast(pa.string()).fill_null("None")
+    _, ends, data = keys.buffers()
+    at = np.frombuffer(ends, np.int32, len(keys) + 1, 4 * keys.offset).tolist() if len(keys) else [0]
+    start, data = f"{seed}:{iteration}:".encode(), data.to_pybytes() if data else b""
+    digests = b"".join([hashlib.md5(start + data[i:j]).digest()[:8] for i, j in zip(at, at[1:])])
+    return (np.frombuffer(digests, ">u8") >> np.uint64(12)) / 2.0 ** 52
 
 
 def uniform(seed: int, iteration: int, key: str) -> float:
     """``hash_uniform`` of one key."""
-    return int(hashlib.md5(f"{seed}:{iteration}:{key}".encode()).hexdigest()[:13], 16) / 2 ** 52
+    return float(uniforms(seed, iteration, pa.array([key]))[0])
 
 
 def sweep_tasks(rows: DataFrame) -> tuple[int, int]:
@@ -195,7 +254,7 @@ def sweep_sums(blocks: DataFrame, seed: int, iteration: int, log_pi: np.ndarray,
 
     Every one of the ``tasks`` partitions hands on one row per class that it drew; these are added TREE
     at a time until at most TREE rows per class are left, which the caller adds."""
-    params = blocks.sparkSession.sparkContext.broadcast((log_pi, log_mu))
+    params = blocks.sparkSession.sparkContext.broadcast((log_pi, np.ascontiguousarray(log_mu.T)))
     schema = "cls int, node int, n double, sums binary"
 
     def rows_of(cls, node, n, sums):
@@ -205,16 +264,16 @@ def sweep_sums(blocks: DataFrame, seed: int, iteration: int, log_pi: np.ndarray,
 
     def step(batches):
         from pyspark import TaskContext
-        lpi, lmu = params.value
-        n_c, s_cw = np.zeros(len(lpi)), np.zeros(lmu.size)
-        for batch in LN.unpacked(batches):
-            u = np.array([uniform(seed, iteration, k) for k in batch.column(0).to_pylist()])
-            for lo, hi, lp, row, pos, x in _log_scores(batch, lpi, lmu):
-                c = categorical_draw(_normalised(lp), u[lo:hi])
-                n_c += np.bincount(c, minlength=len(n_c))
-                s_cw += np.bincount(c[row] * lmu.shape[1] + pos, x, minlength=lmu.size)
+        lpi, words = params.value
+        size = len(words)
+        n_c, s_cw = np.zeros(len(lpi)), np.zeros(words.size)
+        for part in LN.unpacked(batches):
+            sizes, pos, x = _entries(part)
+            c = categorical_draw(_normalised(_log_scores(sizes, pos, x, lpi, words)), uniforms(seed, iteration, part.column(0)))
+            n_c += np.bincount(c, minlength=len(n_c))
+            np.add.at(s_cw, np.repeat(c * size, sizes) + pos, x)
         used, node = np.flatnonzero(n_c), TaskContext.get().partitionId() // TREE
-        yield rows_of(used, np.full(len(used), node), n_c[used], s_cw.reshape(lmu.shape)[used])
+        yield rows_of(used, np.full(len(used), node), n_c[used], s_cw.reshape(len(lpi), size)[used])
 
     def add(table: pa.Table) -> pa.Table:
         total = np.sum([np.frombuffer(x.as_py()) for x in table.column("sums")], axis=0)
@@ -228,6 +287,24 @@ def sweep_sums(blocks: DataFrame, seed: int, iteration: int, log_pi: np.ndarray,
     return sums.select("cls", "n", "sums"), params
 
 
+def sweep_draws(blocks: DataFrame, seed: int, iteration: int, log_pi: np.ndarray, log_mu: np.ndarray, kinds: dict[str, str]) -> DataFrame:
+    """The class that every row of ``packed`` blocks draws under fixed parameters, as ``cluster`` behind the columns of
+    ``kinds`` (doc_id and the label, with their types)."""
+    params = blocks.sparkSession.sparkContext.broadcast((log_pi, np.ascontiguousarray(log_mu.T)))
+    names = [*kinds, "cluster"]
+
+    def step(batches):
+        lpi, words = params.value
+        for part in LN.unpacked(batches):
+            keys = part.column(0)
+            u = np.where(keys.is_null().to_numpy(zero_copy_only=False), -1, uniforms(seed, iteration, keys))     # none: the first class
+            c = categorical_draw(_normalised(_log_scores(*_entries(part), lpi, words)), u)
+            yield pa.RecordBatch.from_arrays([*part.columns[:-2], pa.array(c, pa.int32())], names=names)
+
+    drawn = blocks.select("block").mapInArrow(step, ", ".join(f"`{c}` {'string' if c == 'doc_id' else kind}" for c, kind in kinds.items()) + ", cluster int")
+    return drawn.withColumn("doc_id", F.col("doc_id").cast(kinds["doc_id"]))
+
+
 def gibbs(rows: DataFrame, classes: int, size: int, iterations: int = 200, alpha: float = 0.5,
           beta: float = 0.5, seed: int = 7, accumulate: bool = True) -> GibbsResult:
     """Gibbs sampling of document classes, one ``sweep_sums`` over the cached documents per iteration.
@@ -240,10 +317,10 @@ def gibbs(rows: DataFrame, classes: int, size: int, iterations: int = 200, alpha
     The draws' uniforms do not depend on partitioning or retries; the sums are
     rounded to SUM_DIGITS before they feed the Dirichlet draws, so the order of
     float additions does not show."""
-    extra = [c for c in rows.columns if c == "label"]
+    bound_batches(rows.sparkSession)        # else a batch holds 64 MB of blocks, and a task waits for all of it
+    kinds = {c: rows.schema[c].dataType.simpleString() for c in ("doc_id", "label") if c in rows.columns}
     parts, total = sweep_tasks(rows)
-    data = stable(rows.select("doc_id", *extra, "pos", "x").repartition(parts))
-    blocks = stable(packed(data))
+    blocks = stable(packed(rows.select(*kinds, "pos", "x")).repartition(parts))
     rng = np.random.default_rng(seed)
     a = np.full(classes, alpha)
     b = np.full((classes, size), beta)
@@ -264,10 +341,7 @@ def gibbs(rows: DataFrame, classes: int, size: int, iterations: int = 200, alpha
             a, b = alpha + n_c, beta + s_cw
         pi, mu = rng.dirichlet(a), _dirichlet_rows(rng, b)
         history.append(n_c.tolist())
-    blocks.unpersist()
-    final = posterior(data.withColumn("u", hash_uniform(seed, iterations, "doc_id")), np.log(pi), np.log(mu),
-                      ["doc_id", *extra, "u"])
-    return GibbsResult(pi, mu, history, final.select("doc_id", *extra, drawn_class("post", "u").alias("cluster")), data)
+    return GibbsResult(pi, mu, history, sweep_draws(blocks, seed, iterations, np.log(pi), np.log(mu), kinds), blocks)
 
 
 SUM_DIGITS = 9

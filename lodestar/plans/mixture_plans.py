@@ -161,7 +161,7 @@ def mixture_sweep_sums(spark, sf):
     params = c.log_pi.join(c.log_mu, "cls").toArrow().sort_by("cls")        # as many classes as the report below has
     log_mu = np.array(params.column("log_mu").to_pylist())
     parts, _ = MX.sweep_tasks(c.rows)
-    sums, _ = MX.sweep_sums(MX.packed(c.rows.repartition(parts)), SWEEP_SEED, 0, params.column("log_pi").to_numpy(), log_mu, parts)
+    sums, _ = MX.sweep_sums(MX.packed(c.rows).repartition(parts), SWEEP_SEED, 0, params.column("log_pi").to_numpy(), log_mu, parts)
 
     def cells(batches):
         for batch in batches:

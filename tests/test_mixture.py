@@ -73,6 +73,38 @@ def test_tree_sums_follow_the_draws(rows, params, parts):
         assert got.get(c, (0, 0))[0] == n[c] and np.allclose(got.get(c, (0, np.zeros(V)))[1], total[c])
 
 
+def test_scores_are_the_plain_sums(monkeypatch):
+    """Rows in parts, empty rows and rows longer than what is laid out at a time."""
+    rng = np.random.default_rng(4)
+    sizes = np.array([0, 3, 900, 0, 1, 40, 5000, 0])
+    pos, x = rng.integers(0, V, sizes.sum()), rng.random(sizes.sum())
+    words, log_pi = np.log(rng.dirichlet(np.ones(V), C)).T.copy(), np.log(rng.dirichlet(np.ones(C)))
+    row = np.repeat(np.arange(len(sizes)), sizes)
+    want = log_pi + np.array([(x[row == k, None] * words[pos[row == k]]).sum(axis=0) for k in range(len(sizes))])
+    for cells, product in ((1 << 16, 1 << 13), (C * 50, C * 7), (1, 1)):
+        monkeypatch.setattr(MX, "CELLS", cells), monkeypatch.setattr(MX, "PRODUCT", product)
+        assert np.allclose(MX._log_scores(sizes, pos, x, log_pi, words), want, rtol=1e-12)
+    with pytest.raises(IndexError):
+        MX._log_scores(np.array([1]), np.array([V]), np.array([1.0]), log_pi, words)
+
+
+def test_packed_rows_come_back(spark, rows):
+    import pyarrow as pa
+    ids = [("a", 1, [2, 70_000], [0.5, -0.25]), (None, 2, [], []), ("é", None, [0], [1.0])]
+    df = spark.createDataFrame(ids, "doc_id string, label int, pos array<int>, x array<double>").coalesce(1)
+    got = []
+    for part in MX.LN.unpacked([pa.RecordBatch.from_arrays([pa.array([bytes(r.block) for r in MX.packed(df).collect()])], names=["block"])]):
+        sizes, pos, x = MX._entries(part)
+        ends = np.cumsum(sizes)
+        got += [(d, label, pos[e - n: e].tolist(), x[e - n: e].tolist()) for d, label, n, e in
+                zip(part.column(0).to_pylist(), part.column(1).to_pylist(), sizes, ends, strict=True)]
+        assert MX.uniforms(3, 9, part.column(0)).tolist() == [MX.uniform(3, 9, str(d)) for d in part.column(0).to_pylist()]
+    assert got == ids
+    # An entry of a term frequency takes few bytes: no 8 for its value, no 4 for its position.
+    many = spark.createDataFrame([(str(k), list(range(500)), [1 / 500] * 500) for k in range(200)], "doc_id string, pos array<int>, x array<double>")
+    assert sum(len(r.block) for r in MX.packed(many.coalesce(1)).collect()) < 6 * 200 * 500
+
+
 def test_wrong_parameters_fail_the_job_by_class(spark, params):
     log_pi = params.select("cls", "log_pi")
     assert MX.require_valid(MX.validate_params(log_pi, params.select("cls", "log_mu"), V)).count() == C
